@@ -261,3 +261,243 @@ def q_usr_review_buckets(spark, d):
   FROM users GROUP BY ALL""")
 def q_usr_star_floor(spark, d):
     return Q.user_star_floor(users(spark, d))
+
+
+# ---- geo ---------------------------------------------------------------------
+
+from revlens.operators import geo as G  # noqa: E402
+from revlens.operators import recommend as R  # noqa: E402
+from revlens.operators import text as T  # noqa: E402
+from revlens.functions import text as X  # noqa: E402
+
+_G = PR.GROUP_COLUMNS
+O.CTES["geo_shares"] = (
+    "SELECT pn.n_name AS Neighbourhood, p.Postcode AS PostCode, "
+    + ", ".join(f"CAST({g} AS DOUBLE) / NULLIF(CAST(pop AS DOUBLE), 0) AS {g}" for g in _G)
+    + " FROM per_nation pn LEFT JOIN postcodes_ok p ON p.Neighbourhood = pn.n_name")
+O.CTES["geo_labour"] = """
+  SELECT l.Neighbourhood, l.NeighbourhoodId, TRY_CAST(l.LabourForceCategory AS INTEGER) AS LabourForceCategory,
+         TRY_CAST(l.InLabourForce AS INTEGER) AS InLabourForce, l.Unemployed, p.Postcode AS PostCode
+  FROM (SELECT n_name AS Neighbourhood, CAST(n_nationkey AS VARCHAR) AS NeighbourhoodId,
+               CAST(pop AS VARCHAR) AS LabourForceCategory, CAST(pos AS VARCHAR) AS InLabourForce,
+               CAST(pop - pos AS VARCHAR) AS Unemployed FROM per_nation) l
+  LEFT JOIN postcodes_ok p ON p.Neighbourhood = l.Neighbourhood"""
+
+
+def postcodes_ok(spark, d):
+    return P.postcode_filter(V.postcodes(spark, d))
+
+
+@register("geo_group_share", f"""
+  SELECT b.BusinessID, b.Name, b.Latitude, b.Longitude, b.BusinessStars, s.Neighbourhood,
+         {", ".join("s." + g for g in _G)}
+  FROM business_clean b LEFT JOIN geo_shares s ON split_part(b.PostalCode, ' ', 1) = s.PostCode
+  WHERE b.City LIKE '{PR.CITY_LIKE}' AND b.Categories LIKE '{PR.CATEGORY_LIKE}'""")
+def q_geo_group_share(spark, d):
+    return G.group_share(business(spark, d), postcodes_ok(spark, d), V.ethnicity(spark, d),
+                         PR.CITY_LIKE, PR.CATEGORY_LIKE, _G)
+
+
+@register("geo_labour_ratio", f"""
+  SELECT Neighbourhood, round(avg(BusinessStars), 6) AS BusinessStars,
+         round(avg(CAST(InLabourForce AS DOUBLE) / NULLIF(CAST(LabourForceCategory AS DOUBLE), 0)), 6) AS ratio_emply
+  FROM (SELECT b.BusinessStars, l.* FROM business_clean b
+        LEFT JOIN geo_labour l ON split_part(b.PostalCode, ' ', 1) = l.PostCode
+        WHERE b.City LIKE '{PR.CITY_LIKE}')
+  WHERE Neighbourhood IS NOT NULL AND NeighbourhoodId IS NOT NULL AND LabourForceCategory IS NOT NULL
+    AND InLabourForce IS NOT NULL AND Unemployed IS NOT NULL AND PostCode IS NOT NULL
+  GROUP BY Neighbourhood""")
+def q_geo_labour_ratio(spark, d):
+    return G.labour_ratio(business(spark, d), postcodes_ok(spark, d), V.labour(spark, d), PR.CITY_LIKE)
+
+
+# ---- text --------------------------------------------------------------------
+
+O.CTES["text_clean"] = rf"""
+  SELECT ReviewID, BusinessID, Name, text_ascii,
+         regexp_replace(regexp_replace(regexp_replace(text_ascii, '{X.URL}', ' ', 'g'),
+                        '{X.PUNCT}', ' ', 'g'), '{X.DIGITS}', ' ', 'g') AS clean_text
+  FROM (SELECT r.ReviewID, r.BusinessID, b.Name,
+               lower(regexp_replace(r.Review, '{X.NON_ASCII}', '', 'g')) AS text_ascii
+        FROM text_reviews r JOIN text_businesses b USING (BusinessID) WHERE b.City = '{PR.TEXT_CITY}')"""
+
+
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+_LEX_CASE = ("CASE t " + " ".join(f"WHEN {_q(w)} THEN CAST({v!r} AS DOUBLE)" for w, v in sorted(T.LEXICON.items()))
+             + " ELSE CAST(0.0 AS DOUBLE) END")
+_NEG_LIST = ", ".join(_q(w) for w in T.NEGATORS)
+_TOKEN = X.SENTIMENT_TOKEN.replace("'", "''")
+O.CTES["text_sentiment"] = f"""
+  SELECT ReviewID, BusinessID, Name,
+    CASE WHEN n = 0 THEN 0.0 ELSE round(neg / (pos + neg + neu), 4) END AS Negative,
+    CASE WHEN n = 0 THEN 0.0 ELSE round(neu / (pos + neg + neu), 4) END AS Neutral,
+    CASE WHEN n = 0 THEN 0.0 ELSE round(pos / (pos + neg + neu), 4) END AS Positive,
+    CASE WHEN n = 0 THEN 0.0 ELSE round(s / sqrt(s * s + {T.ALPHA!r}), 4) END AS Compound
+  FROM (SELECT ReviewID, BusinessID, Name, len(toks) AS n,
+          coalesce(list_sum(list_transform(vs, lambda x: greatest(x, CAST(0.0 AS DOUBLE)))), 0.0) AS pos,
+          coalesce(list_sum(list_transform(vs, lambda x: greatest(-x, CAST(0.0 AS DOUBLE)))), 0.0) AS neg,
+          CAST(len(list_filter(vs, lambda x: x = 0)) AS DOUBLE) AS neu,
+          coalesce(list_sum(vs), 0.0) AS s
+        FROM (SELECT *, list_transform(toks, lambda t, i: ({_LEX_CASE})
+                 * (CASE WHEN coalesce(toks[i - 1], '') IN ({_NEG_LIST}) THEN -1.0 ELSE 1.0 END)) AS vs
+              FROM (SELECT ReviewID, BusinessID, Name,
+                           regexp_extract_all(text_ascii, '{_TOKEN}', 0) AS toks FROM text_clean)))"""
+
+
+def text_clean(spark, d):
+    return T.clean_reviews(V.text_reviews(spark, d), V.text_businesses(spark, d), PR.TEXT_CITY)
+
+
+def text_scores(spark, d):
+    return T.sentiment(text_clean(spark, d).drop("clean_text"), "text_ascii")
+
+
+def text_merged(spark, d):
+    return T.merge_reviews(V.text_reviews(spark, d), V.text_businesses(spark, d), PR.TEXT_CITY)
+
+
+@register("txt_clean", "SELECT ReviewID, BusinessID, Name, text_ascii, clean_text FROM text_clean")
+def q_txt_clean(spark, d):
+    return text_clean(spark, d)
+
+
+@register("txt_tokens")
+def q_txt_tokens(spark, d):
+    return T.review_tokens(text_clean(spark, d))
+
+
+@register("txt_sentiment_review", "SELECT * FROM text_sentiment")
+def q_txt_sentiment_review(spark, d):
+    return text_scores(spark, d)
+
+
+@register("txt_sentiment_business", f"""
+  SELECT g.BusinessID, avg_neg, avg_neu, avg_pos, avg_composite_score, b.Name,
+         replace(b.PostalCode, ' ', '') AS ZipCode, b.Latitude, b.Longitude
+  FROM (SELECT BusinessID, round(avg(Negative), 2) AS avg_neg, round(avg(Neutral), 2) AS avg_neu,
+               round(avg(Positive), 2) AS avg_pos, round(avg(Compound), 2) AS avg_composite_score
+        FROM text_sentiment GROUP BY BusinessID) g
+  JOIN text_businesses b ON g.BusinessID = b.BusinessID WHERE b.City = '{PR.TEXT_CITY}'""")
+def q_txt_sentiment_business(spark, d):
+    return T.business_sentiment(text_scores(spark, d), V.text_businesses(spark, d), PR.TEXT_CITY)
+
+
+@register("txt_merge_reviews", f"""
+  SELECT DISTINCT r.BusinessID, r.Review, b.Name AS BusinessName, b.BusinessStars
+  FROM text_reviews r JOIN text_businesses b ON r.BusinessID = b.BusinessID
+  WHERE b.City = '{PR.TEXT_CITY}'""")
+def q_txt_merge_reviews(spark, d):
+    return text_merged(spark, d)
+
+
+@register("txt_tfidf")
+def q_txt_tfidf(spark, d):
+    merged = text_merged(spark, d)
+    tf = T.term_counts(merged)
+    vocab = T.vocabulary(tf)
+    n_docs = merged.select("BusinessID").distinct().count()
+    return T.tfidf(tf, vocab, n_docs)
+
+
+def _topics(spark, d):
+    return T.topics(text_merged(spark, d), PR.RATING_THRESHOLD, PR.LDA_K, PR.LDA_SEED)
+
+
+@register("txt_topic_words")
+def q_txt_topic_words(spark, d):
+    return _topics(spark, d)[0]
+
+
+@register("txt_topic_dist")
+def q_txt_topic_dist(spark, d):
+    return _topics(spark, d)[1]
+
+
+@register("txt_topic_rows")
+def q_txt_topic_rows(spark, d):
+    return T.topic_rows(_topics(spark, d)[1])
+
+
+# ---- recommender ---------------------------------------------------------------
+
+O.CTES["rec_sentiment"] = """
+  SELECT g.BusinessID, avg_neg, avg_neu, avg_pos, avg_composite_score, b.Name,
+         replace(b.PostalCode, ' ', '') AS ZipCode, b.Latitude, b.Longitude
+  FROM (SELECT BusinessID, CAST(sum(Funny) AS DOUBLE) / CAST(count(*) * 10 AS DOUBLE) AS avg_neg,
+               CAST(sum(Cool) AS DOUBLE) / CAST(count(*) * 5 AS DOUBLE) AS avg_neu,
+               CAST(sum(Useful) AS DOUBLE) / CAST(count(*) * 10 AS DOUBLE) AS avg_pos,
+               CAST(sum(Useful) - sum(Funny) AS DOUBLE) / CAST(count(*) * 10 AS DOUBLE) AS avg_composite_score
+        FROM reviews GROUP BY BusinessID) g JOIN business_clean b ON g.BusinessID = b.BusinessID"""
+_BIZ_SIDE = """s.Name AS BusinessName, s.ZipCode AS BusinessPostalCode,
+         substr(s.ZipCode, 1, 3) AS BusinessNeighborhood, s.Latitude, s.Longitude,
+         s.avg_neg AS AverageNegative, s.avg_neu AS AverageNeutral, s.avg_pos AS AveragePositive,
+         s.avg_composite_score AS AverageComposite"""
+O.CTES["rec_users_sample"] = f"""
+  SELECT UserID, UserName, ReviewCount, AverageStars FROM users ORDER BY UserID LIMIT {PR.N_USERS}"""
+O.CTES["rec_cand"] = f"""
+  SELECT * FROM (
+    SELECT s.BusinessID, u.UserID, u.UserName, u.ReviewCount AS UserReviewCount,
+           u.AverageStars AS UserAverageStars, CAST(0 AS INTEGER) AS ReviewStars,
+           CAST(dayofyear(DATE '{PR.AS_OF_DATE}') AS INTEGER) AS ReviewDayOfYear, {_BIZ_SIDE}
+    FROM rec_sentiment s CROSS JOIN rec_users_sample u WHERE s.ZipCode IS NOT NULL) c
+  WHERE NOT EXISTS (SELECT 1 FROM reviews r WHERE r.BusinessID = c.BusinessID AND r.UserID = c.UserID)"""
+
+
+def rec_sentiment(spark, d):
+    return V.rec_sentiment(reviews(spark, d), business(spark, d))
+
+
+def rec_features(spark, d):
+    return R.features(reviews(spark, d), users(spark, d), rec_sentiment(spark, d))
+
+
+def rec_candidates(spark, d):
+    return R.candidates(users(spark, d), reviews(spark, d), rec_sentiment(spark, d),
+                        PR.N_USERS, PR.AS_OF_DATE)
+
+
+@register("rec_features", f"""
+  SELECT r.BusinessID, r.UserID, u.UserName, u.ReviewCount AS UserReviewCount,
+         u.AverageStars AS UserAverageStars, r.ReviewStars,
+         CAST(dayofyear(r.Date) AS INTEGER) AS ReviewDayOfYear, {_BIZ_SIDE}
+  FROM reviews r JOIN users u ON r.UserID = u.UserID
+  JOIN rec_sentiment s ON r.BusinessID = s.BusinessID WHERE s.ZipCode IS NOT NULL""")
+def q_rec_features(spark, d):
+    return rec_features(spark, d)
+
+
+@register("rec_train_eval")
+def q_rec_train_eval(spark, d):
+    from revlens.session import shared_dir
+    from revlens.sources.io import save_model
+    model, m = R.train_eval(rec_features(spark, d), PR.SPLIT_SEED)
+    save_model(model, shared_dir(spark, "models/recommender"))
+    return spark.createDataFrame([(float(m["r2"]), float(m["rmse"]))], "r2 double, rmse double")
+
+
+@register("rec_candidates", "SELECT * FROM rec_cand")
+def q_rec_candidates(spark, d):
+    return rec_candidates(spark, d)
+
+
+@register("rec_top10", f"""
+  SELECT * FROM (
+    SELECT BusinessID, BusinessName, BusinessPostalCode, BusinessNeighborhood, UserID, UserName,
+           UserReviewCount, UserAverageStars, ReviewDayOfYear, PredictedReviewStar, Latitude, Longitude,
+           AverageNegative, AverageNeutral, AveragePositive, AverageComposite, FinalStar,
+           CAST(row_number() OVER (PARTITION BY UserID ORDER BY FinalStar DESC, BusinessID) AS INTEGER) AS "rank"
+    FROM (SELECT *, least(greatest(PredictedReviewStar, CAST(0.0 AS DOUBLE)), CAST(5.0 AS DOUBLE)) AS FinalStar
+          FROM (SELECT *, UserAverageStars + CAST(3.0 AS DOUBLE) * (AveragePositive - AverageNegative)
+                       AS PredictedReviewStar FROM rec_cand)))
+  WHERE "rank" <= {PR.TOP_N}""")
+def q_rec_top10(spark, d):
+    return R.top_n(R.fixed_score(rec_candidates(spark, d)), PR.TOP_N)
+
+
+@register("rec_top10_model")
+def q_rec_top10_model(spark, d):
+    model, _ = R.train_eval(rec_features(spark, d), PR.SPLIT_SEED)
+    return R.top_n(R.predict(model, rec_candidates(spark, d)), PR.TOP_N)

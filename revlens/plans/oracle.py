@@ -176,6 +176,26 @@ CTES["per_nation"] = """
     FROM customer GROUP BY c_nationkey) c ON n_nationkey = c.c_nationkey"""
 
 
+# ---- text stand-ins and the text layer -------------------------------------------
+
+_NUM = "CAST(substr(source, 4) AS INTEGER)"
+
+CTES["text_reviews"] = """
+  SELECT CAST(doc_id AS VARCHAR) AS ReviewID, concat(source, '_q', CAST(quality AS VARCHAR)) AS BusinessID,
+         concat('u', CAST(doc_id % 97 AS VARCHAR)) AS UserID, text AS Review,
+         CASE WHEN quality = 1 THEN CAST(5.0 AS DOUBLE) ELSE CAST(1.0 AS DOUBLE) END AS ReviewStars
+  FROM documents JOIN labels USING (doc_id)"""
+
+CTES["text_businesses"] = f"""
+  SELECT concat(source, '_q', CAST(quality AS VARCHAR)) AS BusinessID, source AS Name,
+         CASE WHEN {_NUM} % 4 = 3 THEN 'Markham' ELSE 'Toronto' END AS City,
+         concat('M', lpad(CAST({_NUM} % 25 AS VARCHAR), 2, '0'), ' 1A', CAST(quality AS VARCHAR)) AS PostalCode,
+         CAST(43.6 AS DOUBLE) + {_NUM} / CAST(1000.0 AS DOUBLE) AS Latitude,
+         CAST(-79.4 AS DOUBLE) - {_NUM} / CAST(1000.0 AS DOUBLE) AS Longitude,
+         CASE WHEN quality = 1 THEN CAST(5.0 AS DOUBLE) ELSE CAST(1.0 AS DOUBLE) END AS BusinessStars
+  FROM (SELECT DISTINCT source, quality FROM documents JOIN labels USING (doc_id))"""
+
+
 def build(final: str, extra_ctes: dict[str, str] | None = None) -> str:
     """WITH clause holding every CTE that ``final`` (transitively) names."""
     pool = {**CTES, **(extra_ctes or {})}

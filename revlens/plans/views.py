@@ -200,3 +200,23 @@ def text_businesses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr(f"43.6D + {num} / 1000.0D").alias("Latitude"),
         F.expr(f"-79.4D - {num} / 1000.0D").alias("Longitude"),
         F.expr("CASE WHEN quality = 1 THEN 5.0D ELSE 1.0D END").alias("BusinessStars"))
+
+
+def rec_sentiment(reviews: DataFrame, business: DataFrame) -> DataFrame:
+    """Business sentiment stand-in for the recommender: the review table has
+    no text, so the four scores are scaled means of the review vote counts
+    (each one integer ratio, so both engines round it identically). Shape
+    and types are those of the text layer's business sentiment."""
+    n = F.count(F.lit(1))
+
+    def ratio(num, scale):
+        return num.cast("double") / (n * scale).cast("double")
+
+    g = reviews.groupBy("BusinessID").agg(
+        ratio(F.sum("Funny"), 10).alias("avg_neg"),
+        ratio(F.sum("Cool"), 5).alias("avg_neu"),
+        ratio(F.sum("Useful"), 10).alias("avg_pos"),
+        ratio(F.sum("Useful") - F.sum("Funny"), 10).alias("avg_composite_score"))
+    b = business.select("BusinessID", "Name", F.regexp_replace("PostalCode", " ", "").alias("ZipCode"),
+                        "Latitude", "Longitude")
+    return g.join(b, "BusinessID")
