@@ -19,7 +19,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from revlens.operators.joins import broadcast_if_small, take_bounded
+from revlens.operators.joins import take_bounded
 
 FEATURES = ["UserReviewCount", "UserAverageStars", "Latitude", "Longitude",
             "BusinessNeighborhoodIndexed", "ReviewDayOfYear", "AverageNegative",
@@ -32,12 +32,12 @@ def _business_side(sentiment: DataFrame) -> DataFrame:
     return s.select(
         "BusinessID", F.col("Name").alias("BusinessName"), F.col("ZipCode").alias("BusinessPostalCode"),
         F.substring("ZipCode", 1, 3).alias("BusinessNeighborhood"),
-        F.col("Latitude").cast("double").alias("Latitude"),
-        F.col("Longitude").cast("double").alias("Longitude"),
-        F.col("avg_neg").cast("double").alias("AverageNegative"),
-        F.col("avg_neu").cast("double").alias("AverageNeutral"),
-        F.col("avg_pos").cast("double").alias("AveragePositive"),
-        F.col("avg_composite_score").cast("double").alias("AverageComposite"))
+        F.col("Latitude").try_cast("double").alias("Latitude"),
+        F.col("Longitude").try_cast("double").alias("Longitude"),
+        F.col("avg_neg").try_cast("double").alias("AverageNegative"),
+        F.col("avg_neu").try_cast("double").alias("AverageNeutral"),
+        F.col("avg_pos").try_cast("double").alias("AveragePositive"),
+        F.col("avg_composite_score").try_cast("double").alias("AverageComposite"))
 
 
 def features(reviews: DataFrame, users: DataFrame, sentiment: DataFrame) -> DataFrame:
@@ -99,7 +99,9 @@ def candidates(users: DataFrame, reviews: DataFrame, sentiment: DataFrame,
         "BusinessName", "BusinessPostalCode", "BusinessNeighborhood", "Latitude", "Longitude",
         "AverageNegative", "AverageNeutral", "AveragePositive", "AverageComposite")
     visited = reviews.where(F.col("UserID").isin(ids)).select("BusinessID", "UserID").distinct()
-    return pairs.join(broadcast_if_small(visited, 1_000_000), ["BusinessID", "UserID"], "left_anti")
+    # The sample's own reviews are usually small; AQE measures the shuffle
+    # output and turns this into a broadcast join only when it is.
+    return pairs.join(visited, ["BusinessID", "UserID"], "left_anti")
 
 
 def fixed_score(cands: DataFrame) -> DataFrame:

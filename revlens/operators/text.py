@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from revlens.functions import text as X
 from revlens.operators.joins import broadcast_if_small
+from revlens.sources.io import persist_cut
 
 # The default sentiment lexicon (token -> valence in [-4, 4])
 # and the negators that flip the valence of the token after them. Users with
@@ -62,7 +63,7 @@ def city_businesses(business: DataFrame, city: str) -> DataFrame:
 def clean_reviews(reviews: DataFrame, business: DataFrame, city: str) -> DataFrame:
     """Reviews of one city's businesses: ASCII lower-case text and the same
     text without hyperlinks, punctuation and digits (K1)."""
-    b = broadcast_if_small(city_businesses(business, city).select("BusinessID", "Name"))
+    b = city_businesses(business, city).select("BusinessID", "Name")
     r = reviews.select("ReviewID", "BusinessID", "Review").join(b, "BusinessID")
     ta = X.ascii_lower(F.col("Review"))
     return (r.select("ReviewID", "BusinessID", "Name", ta.alias("text_ascii"))
@@ -166,8 +167,8 @@ def merge_reviews(reviews: DataFrame, business: DataFrame, city: str) -> DataFra
     Joined first (the city filter prunes reviews before any grouping), then
     de-duplicated per business. The set of rows per business is its merged
     document; it is never concatenated into one value."""
-    b = broadcast_if_small(city_businesses(business, city)
-                           .select("BusinessID", F.col("Name").alias("BusinessName"), "BusinessStars"))
+    b = city_businesses(business, city).select("BusinessID", F.col("Name").alias("BusinessName"),
+                                               "BusinessStars")
     return reviews.select("BusinessID", "Review").join(b, "BusinessID").distinct()
 
 
@@ -213,7 +214,7 @@ def document_features(merged: DataFrame, vocab_size: int = 1 << 18, language: st
     """TF-IDF vectors of the merged business documents, with the vocabulary."""
     tf = term_counts(merged, language).persist()
     vocab = vocabulary(tf, vocab_size).persist()
-    n_docs = merged.select("BusinessID").distinct().count()
+    n_docs = tf.select("BusinessID").distinct().count()
     vocab_len = vocab.count()
     w = tfidf(tf, vocab, n_docs)
     vec = tfidf_vectors(w, max(vocab_len, 1))
@@ -254,8 +255,15 @@ def topic_rows(dist: DataFrame) -> DataFrame:
 
 def topics(merged: DataFrame, threshold: float = 3.0, k: int = 6, seed: int = 123,
            vocab_size: int = 1 << 18, max_terms: int = 10):
-    """Fit one LDA per rating segment; return (words, distributions)."""
+    """Fit one LDA per rating segment; return (words, distributions).
+
+    The document vectors are written once to the shared folder and read back
+    (a lost executor re-reads them instead of re-running tokenisation), then
+    kept in memory for the optimizer's passes."""
     docs, vocab = document_features(merged, vocab_size)
+    spark = merged.sparkSession
+    docs = persist_cut(docs, spark, "lda-docs").persist()
+    vocab = persist_cut(vocab, spark, "lda-vocab")
     words, dists = [], []
     for name, cond in segments(threshold).items():
         part = docs.where(cond)

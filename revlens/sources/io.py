@@ -8,6 +8,8 @@ topic words), and it refuses anything larger.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -87,6 +89,6 @@ def persist_cut(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
     A lost executor then costs a re-read of this table, not a recomputation of
     everything before it. The folder comes from ``spark.checkpoint.dir``.
     """
-    path = shared_dir(spark, f"cut/{name}")
+    path = shared_dir(spark, f"cut/{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
