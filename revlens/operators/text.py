@@ -211,7 +211,12 @@ def tfidf_vectors(weights: DataFrame, vocab_len: int) -> DataFrame:
 
 
 def document_features(merged: DataFrame, vocab_size: int = 1 << 18, language: str = "english"):
-    """TF-IDF vectors of the merged business documents, with the vocabulary."""
+    """TF-IDF vectors of the merged business documents, with the vocabulary.
+
+    Returns (docs, vocab, cached): ``cached`` lists the intermediates held in
+    memory while both outputs are built; unpersist them once the outputs are
+    written (see :func:`topics`)."""
+    merged = merged.persist()
     tf = term_counts(merged, language).persist()
     vocab = vocabulary(tf, vocab_size).persist()
     n_docs = tf.select("BusinessID").distinct().count()
@@ -219,7 +224,7 @@ def document_features(merged: DataFrame, vocab_size: int = 1 << 18, language: st
     w = tfidf(tf, vocab, n_docs)
     vec = tfidf_vectors(w, max(vocab_len, 1))
     docs = merged.select("BusinessID", "BusinessName", "BusinessStars").distinct()
-    return docs.join(vec, "BusinessID"), vocab
+    return docs.join(vec, "BusinessID"), vocab, [merged, tf, vocab]
 
 
 def segments(threshold: float):
@@ -227,9 +232,20 @@ def segments(threshold: float):
     return {"low": F.col("BusinessStars") <= threshold, "high": F.col("BusinessStars") > threshold}
 
 
-def fit_topics(docs: DataFrame, k: int = 6, seed: int = 123, max_iter: int = 20):
+# Documents per partition for LDA. Every partition sends a dense k x V
+# statistics matrix to the driver on every iteration, so partitions must be
+# sized by document count, not by bytes.
+LDA_DOCS_PER_PARTITION = 20_000
+
+
+def fit_topics(docs: DataFrame, k: int = 6, seed: int = 123, max_iter: int = 20,
+               n_docs: int | None = None):
+    """Online LDA (k topics) on the ``idf_vec`` column."""
+    n_docs = docs.count() if n_docs is None else n_docs
+    parts = max(1, min(docs.sparkSession.sparkContext.defaultParallelism * 4,
+                       math.ceil(n_docs / LDA_DOCS_PER_PARTITION)))
     lda = LDA(k=k, seed=seed, optimizer="online", featuresCol="idf_vec", maxIter=max_iter)
-    return lda.fit(docs)
+    return lda.fit(docs.repartition(parts).persist())
 
 
 def topic_words(model, vocab: DataFrame, segment: str, max_terms: int = 10) -> DataFrame:
@@ -260,16 +276,19 @@ def topics(merged: DataFrame, threshold: float = 3.0, k: int = 6, seed: int = 12
     The document vectors are written once to the shared folder and read back
     (a lost executor re-reads them instead of re-running tokenisation), then
     kept in memory for the optimizer's passes."""
-    docs, vocab = document_features(merged, vocab_size)
+    docs, vocab, cached = document_features(merged, vocab_size)
     spark = merged.sparkSession
     docs = persist_cut(docs, spark, "lda-docs").persist()
     vocab = persist_cut(vocab, spark, "lda-vocab")
+    for c in cached:
+        c.unpersist()
     words, dists = [], []
     for name, cond in segments(threshold).items():
         part = docs.where(cond)
-        if part.limit(1).count() == 0:
+        n = part.count()
+        if n == 0:
             continue
-        m = fit_topics(part, k, seed)
+        m = fit_topics(part, k, seed, n_docs=n)
         words.append(topic_words(m, vocab, name, max_terms))
         dists.append(topic_distribution(m, part, name))
     out_w = words[0]
