@@ -88,7 +88,7 @@ def review_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("CAST(o_custkey AS STRING)").alias("user_id"),
         F.expr("concat('Line ', CAST(l_linenumber AS STRING), ' of order ', "
                "CAST(l_orderkey AS STRING), '\n', l_returnflag, l_linestatus)").alias("text"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"),
+        F.expr("CAST(CAST(o_orderdate AS DATE) AS STRING)").alias("date"),
         F.expr("CAST(substr(o_orderpriority, 1, 1) AS DOUBLE)").alias("stars"),
         F.expr("CAST(l_quantity AS BIGINT) % 5").alias("cool"),
         F.expr("CAST(round(l_tax * 100) AS BIGINT)").alias("funny"),
@@ -119,17 +119,23 @@ def user_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("coalesce(array_join(years, ','), '')").alias("elite"),
         F.expr("coalesce(n, 0)").alias("review_count"),
         F.col("avg_star").alias("average_stars"),
-        F.date_format("first", "yyyy-MM-dd").alias("yelping_since"),
+        F.expr("CAST(CAST(first AS DATE) AS STRING)").alias("yelping_since"),
     )
 
 
+def _wall_clock_text(ts: str) -> str:
+    """``yyyy-MM-dd HH:mm:ss`` of a TIMESTAMP_NTZ from its fields, so no
+    session time zone is involved."""
+    return (f"format_string('%04d-%02d-%02d %02d:%02d:%02d', year({ts}), month({ts}), "
+            f"dayofmonth({ts}), hour({ts}), minute({ts}), second({ts}))")
+
+
 def checkin_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
+    later = "timestampadd(DAY, CAST(floor(value) AS INT), ts)"
     return e.select(
         F.expr("CAST(user_id AS STRING)").alias("business_id"),
-        F.expr("concat(date_format(ts, 'yyyy-MM-dd HH:mm:ss'), ', ', "
-               "date_format(timestampadd(DAY, CAST(floor(value) AS INT), ts), 'yyyy-MM-dd HH:mm:ss'), ',')")
-        .alias("date"))
+        F.expr(f"concat({_wall_clock_text('ts')}, ', ', {_wall_clock_text(later)}, ',')").alias("date"))
 
 
 def postcodes(spark: SparkSession, sf_dir: str) -> DataFrame:
