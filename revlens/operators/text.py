@@ -21,7 +21,7 @@ import math
 from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import RegexTokenizer, StopWordsRemover
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import SparseVector, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -197,17 +197,19 @@ def tfidf(tf: DataFrame, vocab: DataFrame, n_docs: int) -> DataFrame:
                     (F.col("tf") * idf).alias("tfidf"))
 
 
-@F.udf(VectorUDT())
-def _sparse(size, idx, vals):
-    return SparseVector(size, idx, vals)
-
-
 def tfidf_vectors(weights: DataFrame, vocab_len: int) -> DataFrame:
     """One sparse vector per business. The per-business entry list is bounded
     by the vocabulary size; building the vector object is the only per-row
     Python step of the library."""
+
+    def to_sparse(size, idx, vals):
+        # Nested, so it ships by value: workers need pyspark only, not this package.
+        from pyspark.ml.linalg import SparseVector
+        return SparseVector(size, idx, vals)
+
+    sparse = F.udf(to_sparse, VectorUDT())
     g = weights.groupBy("BusinessID").agg(F.array_sort(F.collect_list(F.struct("idx", "tfidf"))).alias("e"))
-    return g.select("BusinessID", _sparse(F.lit(vocab_len), F.col("e.idx"), F.col("e.tfidf")).alias("idf_vec"))
+    return g.select("BusinessID", sparse(F.lit(vocab_len), F.col("e.idx"), F.col("e.tfidf")).alias("idf_vec"))
 
 
 def document_features(merged: DataFrame, vocab_size: int = 1 << 18, language: str = "english"):
