@@ -78,8 +78,9 @@ def _load(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 
 def profile(spark: SparkSession, clean_dir: str, out_dir: str, province: str = PR.PROVINCE,
-            city: str = PR.CITY, cuisines: list[str] | None = None) -> None:
-    """Every descriptive chart table as a CSV folder (the reference's outputs)."""
+            city: str = PR.CITY, cuisines: list[str] | None = None, preview: int = 0) -> None:
+    """Every descriptive chart table as a CSV folder (the reference's outputs).
+    ``preview`` > 0 prints that many rows of each small result."""
     b = _load(spark, clean_dir, "business").drop("Attributes")
     cats, attrs = _load(spark, clean_dir, "categories"), _load(spark, clean_dir, "attributes")
     chk, rev, usr = (_load(spark, clean_dir, n) for n in ("checkins", "reviews", "users"))
@@ -97,6 +98,8 @@ def profile(spark: SparkSession, clean_dir: str, out_dir: str, province: str = P
     }
     for name, df in small.items():
         io.write_small_csv(df, f"{out_dir}/{name}")
+        if preview:
+            df.show(preview, truncate=False)
     # results that grow with the data: partitioned CSV
     io.write_csv(Q.city_star_map(b, city), f"{out_dir}/BusinessCityStars")
     io.write_csv(Q.city_counts(b), f"{out_dir}/BusinessCities")
@@ -110,7 +113,7 @@ def geo(spark: SparkSession, clean_dir: str, lookup_dir: str, out_dir: str,
     b = _load(spark, clean_dir, "business")
     post = P.postcode_filter(strip(io.read_csv_strings(spark, f"{lookup_dir}/postcode.csv")))
     eth = io.read_csv_strings(spark, f"{lookup_dir}/ethnicity.csv")
-    lab = io.read_csv_strings(spark, f"{lookup_dir}/labour.csv")
+    lab = io.read_csv_strings(spark, f"{lookup_dir}/labour.csv", schemas.LABOUR_COLS)
     io.write_csv(G.group_share(b, post, eth, city_like, category_like, groups or PR.GROUP_COLUMNS),
                  f"{out_dir}/GroupShare")
     io.write_csv(G.labour_ratio(b, post, lab, city_like), f"{out_dir}/LabourRatio")

@@ -21,6 +21,11 @@ Mapping (all row-local or grouped with bounded state):
 * checkin <- events: business user_id, two times per event (ts and ts plus
   floor(value) days) packed as text with a trailing comma.
 * postcode / ethnicity / labour <- nation, region, customer.
+
+Field values are derived by rules (modulo of a size, a word of a name); none
+of them filters rows. Rows are dropped only by the operators' own validity
+rules (closed, unlisted province, short postcode, null stars), as the
+reference's ETL drops them.
 * text reviews <- documents join labels; business = source and quality.
 """
 

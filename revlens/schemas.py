@@ -83,6 +83,9 @@ USER_COLS = (["UserID", "UserName"]
 FRIEND_COLS = ["UserID", "FriendUserID"]
 ELITE_COLS = ["UserID", "EliteYear"]
 
-# Lookup tables arrive as CSV with header and are all strings.
+# Lookup tables arrive as CSV with header and are all strings; numbers are
+# parsed by the operators with try_cast.
 POSTCODE_COLS = ["Postcode", "Borough", "Neighbourhood"]
+LABOUR_COLS = ["Neighbourhood", "NeighbourhoodId", "CombinedIndicators", "TotalPopulation",
+               "LabourForceCategory", "InLabourForce", "Unemployed"]
 PLACEHOLDER = "Not assigned"
