@@ -300,7 +300,3 @@ def topics(merged: DataFrame, threshold: float = 3.0, k: int = 6, seed: int = 12
     for d in dists[1:]:
         out_d = out_d.unionByName(d)
     return out_w, out_d
-
-
-def log_idf(n_docs: int, df: int) -> float:
-    return math.log((n_docs + 1.0) / (df + 1.0))

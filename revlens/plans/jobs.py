@@ -111,7 +111,7 @@ def geo(spark: SparkSession, clean_dir: str, lookup_dir: str, out_dir: str,
         groups: list[str] | None = None) -> None:
     """Lookup CSVs: postcode.csv, ethnicity.csv, labour.csv (headers, strings)."""
     b = _load(spark, clean_dir, "business")
-    post = P.postcode_filter(strip(io.read_csv_strings(spark, f"{lookup_dir}/postcode.csv")))
+    post = P.postcode_filter(io.strip_header(io.read_csv_strings(spark, f"{lookup_dir}/postcode.csv")))
     eth = io.read_csv_strings(spark, f"{lookup_dir}/ethnicity.csv")
     lab = io.read_csv_strings(spark, f"{lookup_dir}/labour.csv", schemas.LABOUR_COLS)
     io.write_csv(G.group_share(b, post, eth, city_like, category_like, groups or PR.GROUP_COLUMNS),
@@ -119,10 +119,6 @@ def geo(spark: SparkSession, clean_dir: str, lookup_dir: str, out_dir: str,
     io.write_csv(G.labour_ratio(b, post, lab, city_like), f"{out_dir}/LabourRatio")
 
 
-def strip(df: DataFrame) -> DataFrame:
-    return io.strip_header(df)
-
-
 def text(spark: SparkSession, clean_dir: str, out_dir: str, city: str = PR.TEXT_CITY) -> None:
     b, rev = _load(spark, clean_dir, "business"), _load(spark, clean_dir, "reviews")
     cleaned = io.persist_cut(T.clean_reviews(rev, b, city), spark, "text-clean")

@@ -72,3 +72,42 @@ def test_scan_pruning(spark):
     plan = E.queries()["chk_hours"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     # events is read with only the two columns the query needs
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,value:double>" in plan
+
+
+def test_rows_and_wide_categories_agree(spark):
+    from revlens.functions.text import sanitize_name
+    from revlens.operators import prepare as P
+    from revlens.plans import catalog as C
+    from pyspark.sql import functions as F
+    rows = C.categories(spark, SF_SMALL)
+    wide = P.category_wide(rows)
+    melted = wide.select("BusinessID", F.explode(F.map_from_arrays(
+        F.array(*[F.lit(c) for c in wide.columns[1:]]), F.array(*[F.col(c) for c in wide.columns[1:]]))))
+    from_wide = {(r.BusinessID, r.key) for r in melted.where("value").collect()}
+    from_rows = {(r.BusinessID, "CAT_" + r.k) for r in rows.select("BusinessID", sanitize_name(F.col("Category"))
+                                                                     .alias("k")).collect()}
+    assert from_wide == from_rows
+
+
+def test_top10_properties(spark):
+    from revlens.plans import catalog as C
+    top = E.queries()["rec_top10"](spark, SF_SMALL).collect()
+    per_user = {}
+    for r in top:
+        per_user.setdefault(r.UserID, []).append(r)
+    assert per_user and all(len(v) <= 10 for v in per_user.values())
+    for v in per_user.values():
+        stars = [r.FinalStar for r in sorted(v, key=lambda r: r["rank"])]
+        assert stars == sorted(stars, reverse=True) and all(0 <= s <= 5 for s in stars)
+    visited = {(r.UserID, r.BusinessID) for r in C.reviews(spark, SF_SMALL).select("UserID", "BusinessID").collect()}
+    assert not any((r.UserID, r.BusinessID) in visited for r in top)
+
+
+def test_sorted_outputs_follow_their_keys(spark):
+    q = E.queries()
+    hm = [(r.CheckinWeekDayNo, r.CheckinHour) for r in q["chk_heatmap"](spark, SF_SMALL).collect()]
+    assert hm == sorted(hm)
+    cc = [r.BusinessCount for r in q["biz_city_counts"](spark, SF_SMALL).collect()]
+    assert cc == sorted(cc, reverse=True)
+    gs = [r.BusinessStars for r in q["geo_group_share"](spark, SF_SMALL).collect()]
+    assert gs == sorted(gs, reverse=True)
