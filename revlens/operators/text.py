@@ -293,10 +293,11 @@ def topics(merged: DataFrame, threshold: float = 3.0, k: int = 6, seed: int = 12
         m = fit_topics(part, k, seed, n_docs=n)
         words.append(topic_words(m, vocab, name, max_terms))
         dists.append(topic_distribution(m, part, name))
-    out_w = words[0]
-    for w in words[1:]:
-        out_w = out_w.unionByName(w)
-    out_d = dists[0]
-    for d in dists[1:]:
-        out_d = out_d.unionByName(d)
+    if not words:  # no document in either segment: empty results of the same shape
+        words = [spark.createDataFrame([], "segment string, topic int, topic_word array<string>")]
+        dists = [spark.createDataFrame([], "BusinessID string, BusinessName string, segment string, "
+                                           "topic_distribution array<double>")]
+    out_w, out_d = words[0], dists[0]
+    for w, d in zip(words[1:], dists[1:]):
+        out_w, out_d = out_w.unionByName(w), out_d.unionByName(d)
     return out_w, out_d

@@ -45,6 +45,12 @@ def test_jobs_end_to_end(spark, tmp_path):
     J.geo(spark, clean, lookup, f"{out}/geo")
     assert spark.read.option("header", True).csv(f"{out}/geo/LabourRatio").count() > 0
 
+    J.text(spark, clean, f"{out}/text", city=PR.CITY)
+    scored = spark.read.option("header", True).csv(f"{out}/text/Sentiment_for_alltext")
+    assert scored.count() == spark.read.parquet(f"{clean}/reviews").join(
+        spark.read.parquet(f"{clean}/business").where(F.col("City") == PR.CITY), "BusinessID").count()
+    assert spark.read.parquet(f"{out}/text/Topic_business_dist").count() > 0
+
     sent = str(tmp_path / "sentiment")
     V.rec_sentiment(spark.read.parquet(f"{clean}/reviews"), spark.read.parquet(f"{clean}/business")) \
         .write.option("header", True).csv(sent)
