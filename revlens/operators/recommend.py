@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from revlens.operators.joins import take_bounded
+from revlens.sources.io import persist_cut
 
 FEATURES = ["UserReviewCount", "UserAverageStars", "Latitude", "Longitude",
             "BusinessNeighborhoodIndexed", "ReviewDayOfYear", "AverageNegative",
@@ -60,7 +61,14 @@ def pipeline(seed: int = 42, max_iter: int = 5, max_depth: int = 10, max_bins: i
 
 
 def train_eval(rows: DataFrame, seed: int = 42, weights=(0.75, 0.25), **gbt):
-    """Fit on a seeded 75 % split; r2 and rmse on the rest."""
+    """Fit on a seeded 75 % split; r2 and rmse on the rest.
+
+    The rows are written to the shared folder first: ``randomSplit`` samples
+    each split from the same parent, and a parent recomputed through shuffles
+    may come back in another order, which would let rows fall into both splits
+    or neither. A written table reads back identically (and survives lost
+    executors); it is also computed once instead of once per split."""
+    rows = persist_cut(rows, rows.sparkSession, "rec-train-rows")
     train, test = rows.randomSplit(list(weights), seed)
     train = train.persist()
     test = test.persist()
