@@ -35,13 +35,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revlens.schemas import COMPLIMENTS
+from revlens.sources.io import read_parquet
 
 ATTRIBUTE_FIELDS = ["BikeParking", "WiFi", "RestaurantsPriceRange2", "Ambience", "GoodForMeal"]
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_parquet(spark, f"{sf_dir}/{name}.parquet")
 
 
 def business_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

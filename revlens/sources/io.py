@@ -24,8 +24,19 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType | None = None
     return r.json(path)
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_parquet(spark: SparkSession, path: str, spread: bool = True) -> DataFrame:
+    """Parquet scan. With ``spread``, an input that splits into fewer scan
+    tasks than the cluster has cores (one large row group, a few big files)
+    is dealt round-robin over ``defaultParallelism`` partitions, so the
+    row-level work after the scan is not confined to a few tasks. Large
+    inputs already split into many tasks and are left alone. Column pruning
+    and filter pushdown pass through the repartition."""
+    df = spark.read.parquet(path)
+    if spread:
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores)
+    return df
 
 
 def read_csv_strings(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
