@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from revlens.functions import text as X
-from revlens.operators.joins import broadcast_if_small
+from revlens.operators.joins import broadcast_if_small, take_bounded
 from revlens.sources.io import persist_cut
 
 # The default sentiment lexicon (token -> valence in [-4, 4])
@@ -181,12 +181,33 @@ def term_counts(merged: DataFrame, language: str = "english") -> DataFrame:
 
 def vocabulary(tf: DataFrame, vocab_size: int = 1 << 18, min_df: int = 1) -> DataFrame:
     """(term, idx, df): the ``vocab_size`` most frequent terms of the corpus
-    (CountVectorizer's rule), ties broken by term. Bounded by ``vocab_size``."""
+    (CountVectorizer's rule), ties broken by term, idx 0 the most frequent.
+
+    The global rank is computed without funnelling candidates into one task:
+    the distinct terms are range-partitioned by (frequency desc, term) and
+    written with their partition id (freezing the range bounds); the per-
+    partition sizes (one number per partition) give each partition's offset,
+    and a row number within each partition completes the rank. Work and
+    memory per task stay proportional to one range partition, whatever the
+    number of distinct terms."""
+    spark = tf.sparkSession
     tot = (tf.groupBy("term").agg(F.sum("tf").alias("ttf"), F.count(F.lit(1)).alias("df"))
              .where(F.col("df") >= min_df))
-    top = tot.orderBy(F.desc("ttf"), "term").limit(vocab_size)
-    w = Window.orderBy(F.desc("ttf"), "term")
-    return top.select("term", (F.row_number().over(w) - 1).cast("int").alias("idx"), "df")
+    order = [F.desc("ttf"), F.asc("term")]
+    parts = max(1, tot.rdd.getNumPartitions())
+    ranged = (tot.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+                 .withColumn("_pid", F.spark_partition_id()))
+    ranged = persist_cut(ranged, spark, "vocab-ranked")
+    sizes = sorted((r["_pid"], r["count"]) for r in take_bounded(ranged.groupBy("_pid").count(), parts))
+    offsets, acc = [], 0
+    for pid, n in sizes:
+        offsets += [F.lit(pid), F.lit(acc)]
+        acc += n
+    off = F.create_map(*offsets) if offsets else F.create_map().cast("map<int,bigint>")
+    w = Window.partitionBy("_pid").orderBy(*order)
+    idx = F.element_at(off, F.col("_pid")) + F.row_number().over(w) - 1
+    ranked = ranged.select("term", "df", idx.alias("idx"))
+    return ranked.where(F.col("idx") < vocab_size).select("term", F.col("idx").cast("int").alias("idx"), "df")
 
 
 def tfidf(tf: DataFrame, vocab: DataFrame, n_docs: int) -> DataFrame:

@@ -92,3 +92,22 @@ def test_topics_sum_to_one(spark):
     rows = T.topic_rows(dist)
     assert rows.count() == 2 * dist.count()
     assert all(len(x.topic_word) > 0 for x in words.collect())
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["b1", "b2", "b3"]), st.text("abcde", min_size=1, max_size=3),
+                          st.integers(1, 5)), min_size=1, max_size=60), st.integers(1, 20))
+def test_vocabulary_matches_brute_force(spark, rows, k):
+    agg = {}
+    for b, t, n in rows:
+        agg[(b, t)] = agg.get((b, t), 0) + n
+    tf = spark.createDataFrame([(b, t, n) for (b, t), n in agg.items()], "BusinessID string, term string, tf long")
+    ttf, df = {}, {}
+    for (b, t), n in agg.items():
+        ttf[t] = ttf.get(t, 0) + n
+        df[t] = df.get(t, 0) + 1
+    expect = sorted(ttf, key=lambda t: (-ttf[t], t))[:k]
+    got = sorted(T.vocabulary(tf, k).collect(), key=lambda r: r.idx)
+    assert [r.term for r in got] == expect
+    assert [r.idx for r in got] == list(range(len(expect)))
+    assert all(r.df == df[r.term] for r in got)
