@@ -3,8 +3,11 @@
 Candidates are (sampled user, business) pairs the user has not reviewed.
 The user sample is a parameter-bounded list (``n_users``), so it is inlined
 as a literal array and exploded against the business rows: no join is
-needed to pair them, the work is linear in the number of businesses, and
-nothing is shuffled until the anti join with the sample's own reviews.
+needed to pair them and the work is linear in the number of businesses.
+The sample's own reviews are grouped per business (at most ``n_users`` ids
+each) and joined on the business key before the explode, so "not visited"
+is a filter on each generated pair and the candidate set itself is never
+shuffled.
 Top-N per user is a ``row_number`` window filtered to N, which Spark turns
 into a partial WindowGroupLimit before the shuffle, so even a user paired
 with every business sends at most N rows per map task.
@@ -99,17 +102,21 @@ def candidates(users: DataFrame, reviews: DataFrame, sentiment: DataFrame,
                              F.lit(r["ReviewCount"]).cast("bigint").alias("UserReviewCount"),
                              F.lit(r["AverageStars"]).cast("double").alias("UserAverageStars"))
                     for r in sample])
-    biz = _business_side(sentiment)
-    pairs = biz.select("*", F.explode(arr).alias("u")).select(
+    # Each business's reviewers among the sample: at most n_users ids per
+    # business, combined map-side. Joined on the business key, the pairs are
+    # then made and filtered in place, so the n_users-times-larger candidate
+    # set is never shuffled.
+    seen = (reviews.where(F.col("UserID").isin(ids)).groupBy("BusinessID")
+            .agg(F.collect_set("UserID").alias("_seen")))
+    biz = _business_side(sentiment).join(seen, "BusinessID", "left")
+    pairs = biz.select("*", F.explode(arr).alias("u"))
+    unseen = ~F.coalesce(F.array_contains(F.col("_seen"), F.col("u.UserID")), F.lit(False))
+    return pairs.where(unseen).select(
         "BusinessID", "u.UserID", "u.UserName", "u.UserReviewCount", "u.UserAverageStars",
         F.lit(0).alias("ReviewStars"),
         F.dayofyear(F.to_date(F.lit(as_of))).alias("ReviewDayOfYear"),
         "BusinessName", "BusinessPostalCode", "BusinessNeighborhood", "Latitude", "Longitude",
         "AverageNegative", "AverageNeutral", "AveragePositive", "AverageComposite")
-    visited = reviews.where(F.col("UserID").isin(ids)).select("BusinessID", "UserID").distinct()
-    # The sample's own reviews are usually small; AQE measures the shuffle
-    # output and turns this into a broadcast join only when it is.
-    return pairs.join(visited, ["BusinessID", "UserID"], "left_anti")
 
 
 def fixed_score(cands: DataFrame) -> DataFrame:
