@@ -69,3 +69,12 @@ def test_checkin_stream(spark, tmp_path):
     q = checkin_stream(spark, src, business, sink, checkpoint=str(tmp_path / "ckpt"))
     q.awaitTermination(120)
     assert spark.read.parquet(sink).count() == C.checkins(spark, SF_SMALL).count()
+
+
+def test_review_stream(spark, tmp_path):
+    from revlens.streaming import review_stream
+    src, sink = str(tmp_path / "in"), str(tmp_path / "sink")
+    V.review_raw(spark, SF_SMALL).write.json(src)
+    q = review_stream(spark, src, C.business(spark, SF_SMALL), sink, checkpoint=str(tmp_path / "ckpt"))
+    q.awaitTermination(120)
+    assert spark.read.parquet(sink).count() == C.reviews(spark, SF_SMALL).count()
