@@ -51,9 +51,17 @@ def test_entry(spark):
     assert df.count() > 0
 
 
+DUCK_TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+              "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
+
 @pytest.mark.parametrize("key", sorted(E.oracle_sql()))
 def test_oracle(spark, con, key):
-    s = E.queries()[key](spark, SF_SMALL).toPandas()
+    sdf = E.queries()[key](spark, SF_SMALL)
+    types = {f.name: DUCK_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())
+             for f in sdf.schema.fields}
+    assert types == {r[0]: r[1] for r in con.execute(f"DESCRIBE {E.oracle_sql()[key]}").fetchall()}
+    s = sdf.toPandas()
     o = con.execute(E.oracle_sql()[key]).fetchdf()
     assert _rows(s) == _rows(o)
 
