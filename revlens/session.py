@@ -18,6 +18,16 @@ BASE_CONF = {
 }
 
 
+def _local_heap() -> str:
+    """Driver heap for local mode: 60 % of physical memory, at most 16 GB, so a
+    small machine is not promised more than it has."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+    return f"{max(1, min(16, int(total * 0.6 / 2**30)))}g"
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app: str = "revlens", extra: dict | None = None) -> SparkSession:
     """Local session for tests and the benchmark."""
@@ -25,7 +35,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
-         .config("spark.driver.memory", "16g"))
+         .config("spark.driver.memory", _local_heap()))
     for k, v in {**BASE_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
