@@ -218,10 +218,12 @@ def tfidf(tf: DataFrame, vocab: DataFrame, n_docs: int) -> DataFrame:
                     (F.col("tf") * idf).alias("tfidf"))
 
 
-def tfidf_vectors(weights: DataFrame, vocab_len: int) -> DataFrame:
+def tfidf_vectors(weights: DataFrame, vocab_len: int, docs: DataFrame | None = None) -> DataFrame:
     """One sparse vector per business. The per-business entry list is bounded
     by the vocabulary size; building the vector object is the only per-row
-    Python step of the library."""
+    Python step of the library. With ``docs`` (one row per document), a
+    document without any vocabulary term gets an empty vector instead of
+    disappearing."""
 
     def to_sparse(size, idx, vals):
         # Nested, so it ships by value: workers need pyspark only, not this package.
@@ -230,7 +232,11 @@ def tfidf_vectors(weights: DataFrame, vocab_len: int) -> DataFrame:
 
     sparse = F.udf(to_sparse, VectorUDT())
     g = weights.groupBy("BusinessID").agg(F.array_sort(F.collect_list(F.struct("idx", "tfidf"))).alias("e"))
-    return g.select("BusinessID", sparse(F.lit(vocab_len), F.col("e.idx"), F.col("e.tfidf")).alias("idf_vec"))
+    if docs is not None:
+        g = docs.join(g, "BusinessID", "left")
+    idx = F.coalesce(F.col("e.idx"), F.array().cast("array<int>"))
+    val = F.coalesce(F.col("e.tfidf"), F.array().cast("array<double>"))
+    return g.select(*([c for c in g.columns if c != "e"]), sparse(F.lit(vocab_len), idx, val).alias("idf_vec"))
 
 
 def document_features(merged: DataFrame, vocab_size: int = 1 << 18, language: str = "english"):
@@ -242,12 +248,11 @@ def document_features(merged: DataFrame, vocab_size: int = 1 << 18, language: st
     merged = merged.persist()
     tf = term_counts(merged, language).persist()
     vocab = vocabulary(tf, vocab_size).persist()
-    n_docs = tf.select("BusinessID").distinct().count()
+    docs = merged.select("BusinessID", "BusinessName", "BusinessStars").distinct()
+    n_docs = docs.count()  # every document counts for idf, also one without terms
     vocab_len = vocab.count()
     w = tfidf(tf, vocab, n_docs)
-    vec = tfidf_vectors(w, max(vocab_len, 1))
-    docs = merged.select("BusinessID", "BusinessName", "BusinessStars").distinct()
-    return docs.join(vec, "BusinessID"), vocab, [merged, tf, vocab]
+    return tfidf_vectors(w, max(vocab_len, 1), docs), vocab, [merged, tf, vocab]
 
 
 def segments(threshold: float):

@@ -111,3 +111,14 @@ def test_vocabulary_matches_brute_force(spark, rows, k):
     assert [r.term for r in got] == expect
     assert [r.idx for r in got] == list(range(len(expect)))
     assert all(r.df == df[r.term] for r in got)
+
+
+def test_document_without_terms_keeps_a_vector(spark):
+    b = spark.createDataFrame([("b1", "B", "Toronto", "M", 0.0, 0.0, 5.0),
+                               ("b2", "C", "Toronto", "M", 0.0, 0.0, 1.0)], BIZ)
+    r = spark.createDataFrame([("1", "b1", "tasty noodles"), ("2", "b2", "the and of")], REV)
+    docs, vocab, cached = T.document_features(T.merge_reviews(r, b, "Toronto"))
+    got = {x.BusinessID: x.idf_vec for x in docs.collect()}
+    assert got["b2"].numNonzeros() == 0 and got["b1"].numNonzeros() == 2
+    # idf counts both documents: ln((2 + 1) / (1 + 1))
+    assert abs(got["b1"].values[0] - math.log(1.5)) < 1e-12
