@@ -128,6 +128,12 @@ def fixed_score(cands: DataFrame) -> DataFrame:
 
 
 def predict(model: PipelineModel, cands: DataFrame) -> DataFrame:
+    """Score every candidate. Training skips rows with a missing feature; here
+    no candidate may be dropped, so a missing feature is kept as NaN (the
+    trees send it down one fixed branch) and the row is still scored."""
+    for st in model.stages:
+        if isinstance(st, VectorAssembler):
+            st.setHandleInvalid("keep")
     return model.transform(cands).withColumnRenamed("prediction", "PredictedReviewStar")
 
 

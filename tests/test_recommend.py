@@ -72,3 +72,5 @@ def test_train_save_load_predict(spark):
     again = load_model(path)
     unseen = feats.limit(3).withColumn("BusinessNeighborhood", feats.BusinessNeighborhood.substr(1, 0))
     assert R.predict(again, unseen).count() == 3  # unseen neighbourhood label is kept, not an error
+    missing = feats.limit(2).withColumn("UserAverageStars", feats.UserAverageStars * None)
+    assert R.predict(again, missing).count() == 2  # a missing feature never drops a candidate
