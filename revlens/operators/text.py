@@ -195,9 +195,11 @@ def vocabulary(tf: DataFrame, vocab_size: int = 1 << 18, min_df: int = 1) -> Dat
              .where(F.col("df") >= min_df))
     order = [F.desc("ttf"), F.asc("term")]
     parts = max(1, tot.rdd.getNumPartitions())
+    tot = tot.persist()  # read twice: by the range sampler and by the write
     ranged = (tot.repartitionByRange(parts, *order).sortWithinPartitions(*order)
                  .withColumn("_pid", F.spark_partition_id()))
     ranged = persist_cut(ranged, spark, "vocab-ranked")
+    tot.unpersist()
     sizes = sorted((r["_pid"], r["count"]) for r in take_bounded(ranged.groupBy("_pid").count(), parts))
     offsets, acc = [], 0
     for pid, n in sizes:
@@ -210,6 +212,15 @@ def vocabulary(tf: DataFrame, vocab_size: int = 1 << 18, min_df: int = 1) -> Dat
     return ranked.where(F.col("idx") < vocab_size).select("term", F.col("idx").cast("int").alias("idx"), "df")
 
 
+def tfidf_table(merged: DataFrame, vocab_size: int = 1 << 18, language: str = "english") -> DataFrame:
+    """(BusinessID, term, idx, tf, idf, tfidf) of the merged documents (txt_tfidf)."""
+    merged = merged.persist()
+    tf = term_counts(merged, language).persist()  # read by the vocabulary and the weights
+    vocab = vocabulary(tf, vocab_size)
+    n_docs = merged.select("BusinessID").distinct().count()
+    return tfidf(tf, vocab, n_docs)
+
+
 def tfidf(tf: DataFrame, vocab: DataFrame, n_docs: int) -> DataFrame:
     """(BusinessID, term, idx, tf, idf, tfidf) with idf = ln((m + 1) / (df + 1))."""
     idf = F.log((F.lit(float(n_docs)) + 1.0) / (F.col("df") + 1.0))

@@ -395,11 +395,7 @@ def q_txt_merge_reviews(spark, d):
 
 @register("txt_tfidf")
 def q_txt_tfidf(spark, d):
-    merged = text_merged(spark, d)
-    tf = T.term_counts(merged)
-    vocab = T.vocabulary(tf)
-    n_docs = merged.select("BusinessID").distinct().count()
-    return T.tfidf(tf, vocab, n_docs)
+    return T.tfidf_table(text_merged(spark, d))
 
 
 def _topics(spark, d):
