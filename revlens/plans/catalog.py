@@ -11,8 +11,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from revlens.functions import text as X
+from revlens.operators import geo as G
 from revlens.operators import prepare as P
 from revlens.operators import profile as Q
+from revlens.operators import recommend as R
+from revlens.operators import text as T
 from revlens.plans import oracle as O
 from revlens.plans import params as PR
 from revlens.plans import views as V
@@ -265,25 +269,8 @@ def q_usr_star_floor(spark, d):
 
 # ---- geo ---------------------------------------------------------------------
 
-from revlens.operators import geo as G  # noqa: E402
-from revlens.operators import recommend as R  # noqa: E402
-from revlens.operators import text as T  # noqa: E402
-from revlens.functions import text as X  # noqa: E402
-
 _G = PR.GROUP_COLUMNS
-O.CTES["geo_shares"] = (
-    "SELECT pn.n_name AS Neighbourhood, p.Postcode AS PostCode, "
-    + ", ".join(f"CAST({g} AS DOUBLE) / NULLIF(CAST(pop AS DOUBLE), 0) AS {g}" for g in _G)
-    + " FROM per_nation pn LEFT JOIN postcodes_ok p ON p.Neighbourhood = pn.n_name")
-O.CTES["geo_labour"] = """
-  SELECT l.Neighbourhood, l.NeighbourhoodId, TRY_CAST(l.LabourForceCategory AS INTEGER) AS LabourForceCategory,
-         TRY_CAST(l.InLabourForce AS INTEGER) AS InLabourForce, l.Unemployed, p.Postcode AS PostCode
-  FROM (SELECT n_name AS Neighbourhood, CAST(n_nationkey AS VARCHAR) AS NeighbourhoodId,
-               CAST(pop AS VARCHAR) AS LabourForceCategory, CAST(pos AS VARCHAR) AS InLabourForce,
-               CAST(pop - pos AS VARCHAR) AS Unemployed FROM per_nation) l
-  LEFT JOIN postcodes_ok p ON p.Neighbourhood = l.Neighbourhood"""
-
-
+_BIZ_SIDE = O.BIZ_SIDE
 def postcodes_ok(spark, d):
     return P.postcode_filter(V.postcodes(spark, d))
 
@@ -313,40 +300,6 @@ def q_geo_labour_ratio(spark, d):
 
 # ---- text --------------------------------------------------------------------
 
-O.CTES["text_clean"] = rf"""
-  SELECT ReviewID, BusinessID, Name, text_ascii,
-         regexp_replace(regexp_replace(regexp_replace(text_ascii, '{X.URL}', ' ', 'g'),
-                        '{X.PUNCT}', ' ', 'g'), '{X.DIGITS}', ' ', 'g') AS clean_text
-  FROM (SELECT r.ReviewID, r.BusinessID, b.Name,
-               lower(regexp_replace(r.Review, '{X.NON_ASCII}', '', 'g')) AS text_ascii
-        FROM text_reviews r JOIN text_businesses b USING (BusinessID) WHERE b.City = '{PR.TEXT_CITY}')"""
-
-
-def _q(s: str) -> str:
-    return "'" + s.replace("'", "''") + "'"
-
-
-_LEX_CASE = ("CASE t " + " ".join(f"WHEN {_q(w)} THEN CAST({v!r} AS DOUBLE)" for w, v in sorted(T.LEXICON.items()))
-             + " ELSE CAST(0.0 AS DOUBLE) END")
-_NEG_LIST = ", ".join(_q(w) for w in T.NEGATORS)
-_TOKEN = X.SENTIMENT_TOKEN.replace("'", "''")
-O.CTES["text_sentiment"] = f"""
-  SELECT ReviewID, BusinessID, Name,
-    CASE WHEN n = 0 THEN 0.0 ELSE round(neg / (pos + neg + neu), 4) END AS Negative,
-    CASE WHEN n = 0 THEN 0.0 ELSE round(neu / (pos + neg + neu), 4) END AS Neutral,
-    CASE WHEN n = 0 THEN 0.0 ELSE round(pos / (pos + neg + neu), 4) END AS Positive,
-    CASE WHEN n = 0 THEN 0.0 ELSE round(s / sqrt(s * s + {T.ALPHA!r}), 4) END AS Compound
-  FROM (SELECT ReviewID, BusinessID, Name, len(toks) AS n,
-          coalesce(list_sum(list_transform(vs, lambda x: greatest(x, CAST(0.0 AS DOUBLE)))), 0.0) AS pos,
-          coalesce(list_sum(list_transform(vs, lambda x: greatest(-x, CAST(0.0 AS DOUBLE)))), 0.0) AS neg,
-          CAST(len(list_filter(vs, lambda x: x = 0)) AS DOUBLE) AS neu,
-          coalesce(list_sum(vs), 0.0) AS s
-        FROM (SELECT *, list_transform(toks, lambda t, i: ({_LEX_CASE})
-                 * (CASE WHEN coalesce(toks[i - 1], '') IN ({_NEG_LIST}) THEN -1.0 ELSE 1.0 END)) AS vs
-              FROM (SELECT ReviewID, BusinessID, Name,
-                           regexp_extract_all(text_ascii, '{_TOKEN}', 0) AS toks FROM text_clean)))"""
-
-
 def text_clean(spark, d):
     return T.clean_reviews(V.text_reviews(spark, d), V.text_businesses(spark, d), PR.TEXT_CITY)
 
@@ -419,29 +372,6 @@ def q_txt_topic_rows(spark, d):
 
 # ---- recommender ---------------------------------------------------------------
 
-O.CTES["rec_sentiment"] = """
-  SELECT g.BusinessID, avg_neg, avg_neu, avg_pos, avg_composite_score, b.Name,
-         replace(b.PostalCode, ' ', '') AS ZipCode, b.Latitude, b.Longitude
-  FROM (SELECT BusinessID, CAST(sum(Funny) AS DOUBLE) / CAST(count(*) * 10 AS DOUBLE) AS avg_neg,
-               CAST(sum(Cool) AS DOUBLE) / CAST(count(*) * 5 AS DOUBLE) AS avg_neu,
-               CAST(sum(Useful) AS DOUBLE) / CAST(count(*) * 10 AS DOUBLE) AS avg_pos,
-               CAST(sum(Useful) - sum(Funny) AS DOUBLE) / CAST(count(*) * 10 AS DOUBLE) AS avg_composite_score
-        FROM reviews GROUP BY BusinessID) g JOIN business_clean b ON g.BusinessID = b.BusinessID"""
-_BIZ_SIDE = """s.Name AS BusinessName, s.ZipCode AS BusinessPostalCode,
-         substr(s.ZipCode, 1, 3) AS BusinessNeighborhood, s.Latitude, s.Longitude,
-         s.avg_neg AS AverageNegative, s.avg_neu AS AverageNeutral, s.avg_pos AS AveragePositive,
-         s.avg_composite_score AS AverageComposite"""
-O.CTES["rec_users_sample"] = f"""
-  SELECT UserID, UserName, ReviewCount, AverageStars FROM users ORDER BY UserID LIMIT {PR.N_USERS}"""
-O.CTES["rec_cand"] = f"""
-  SELECT * FROM (
-    SELECT s.BusinessID, u.UserID, u.UserName, u.ReviewCount AS UserReviewCount,
-           u.AverageStars AS UserAverageStars, CAST(0 AS INTEGER) AS ReviewStars,
-           CAST(dayofyear(DATE '{PR.AS_OF_DATE}') AS INTEGER) AS ReviewDayOfYear, {_BIZ_SIDE}
-    FROM rec_sentiment s CROSS JOIN rec_users_sample u WHERE s.ZipCode IS NOT NULL) c
-  WHERE NOT EXISTS (SELECT 1 FROM reviews r WHERE r.BusinessID = c.BusinessID AND r.UserID = c.UserID)"""
-
-
 def rec_sentiment(spark, d):
     return V.rec_sentiment(reviews(spark, d), business(spark, d))
 
