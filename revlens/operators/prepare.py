@@ -138,7 +138,7 @@ def user_valid(user_raw: DataFrame, reviews: DataFrame) -> DataFrame:
         F.col("cool").alias("Cool"), F.col("fans").alias("Fans"),
         F.col("review_count").alias("ReviewCount"),
         F.col("average_stars").alias("AverageStars"),
-        F.expr("try_cast(yelping_since AS DATE)").alias("YelpingSince"))
+        F.expr("try_cast(yelping_since AS DATE)").alias("MemberSince"))
 
 
 def _list_rows(users: DataFrame, col: str, out: str) -> DataFrame:

@@ -244,7 +244,7 @@ def q_rev_star_trend(spark, d):
 
 
 @register("usr_join_years", """
-  SELECT CAST(year(YelpingSince) AS INTEGER) AS Year, count(UserID) AS UsersCount
+  SELECT CAST(year(MemberSince) AS INTEGER) AS Year, count(UserID) AS UsersCount
   FROM users GROUP BY ALL""")
 def q_usr_join_years(spark, d):
     return Q.user_join_years(users(spark, d))

@@ -92,7 +92,7 @@ def profile(spark: SparkSession, clean_dir: str, out_dir: str, province: str = P
         "BusinessAttrSubset": Q.attr_subset_dist(attrs, PR.ATTR_SUBSET_KEY),
         "CheckinHeatMap": Q.checkin_heatmap(chk), "CheckinMonths": Q.checkin_months(chk),
         "CheckinDays": Q.checkin_days(chk), "CheckinHours": Q.checkin_hours(chk),
-        "ReviewYears": Q.review_years(rev), "UserYelpingYears": Q.user_join_years(usr),
+        "ReviewYears": Q.review_years(rev), "UserJoinYears": Q.user_join_years(usr),
         "UserReviewCounts": Q.user_review_buckets(usr, PR.BUCKET_WIDTH),
         "UserStarCounts": Q.user_star_floor(usr),
     }

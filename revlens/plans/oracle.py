@@ -146,7 +146,7 @@ CTES["users"] = f"""
   SELECT user_id AS UserID, name AS UserName, {_COMP_OUT},
          useful AS Useful, funny AS Funny, cool AS Cool, fans AS Fans,
          review_count AS ReviewCount, average_stars AS AverageStars,
-         TRY_CAST(yelping_since AS DATE) AS YelpingSince
+         TRY_CAST(yelping_since AS DATE) AS MemberSince
   FROM valid_user_raw"""
 
 

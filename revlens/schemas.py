@@ -9,6 +9,8 @@ without renaming.
 from pyspark.sql import types as T
 
 # ---- raw inputs (JSON lines) ------------------------------------------------
+# The field names below are those of the input JSON records and
+# must be spelled as the files spell them.
 
 PROVINCE_RAW = T.StructType([
     T.StructField("code", T.StringType()),
@@ -79,7 +81,7 @@ REVIEW_COLS = ["ReviewID", "BusinessID", "UserID", "Review", "Date", "ReviewStar
 USER_COLS = (["UserID", "UserName"]
              + ["Compliment" + c.split("_")[1].capitalize() for c in COMPLIMENTS]
              + ["Useful", "Funny", "Cool", "Fans", "ReviewCount", "AverageStars",
-                "YelpingSince"])
+                "MemberSince"])
 FRIEND_COLS = ["UserID", "FriendUserID"]
 ELITE_COLS = ["UserID", "EliteYear"]
 
