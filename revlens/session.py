@@ -46,13 +46,17 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def shared_dir(spark: SparkSession, sub: str = "") -> str:
     """Folder shared by all executors, taken from ``spark.checkpoint.dir``.
 
-    On a cluster this setting names the shared file system folder. Only when
-    it is unset (local runs, tests) is a fresh local folder created and
-    registered, so later ``checkpoint()`` calls and model saves land there.
+    On a cluster this setting names the shared file system folder, and a
+    cluster session without it is refused (a machine-local folder would not be
+    seen by other executors). Only a local-mode session without it (tests)
+    gets a fresh temporary folder, registered so later ``checkpoint()`` calls
+    and model saves land there.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="revlens-ckpt-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder on the shared file system")
+        base = tempfile.mkdtemp(prefix="revlens-ckpt-")  # local mode only: one machine
         spark.conf.set("spark.checkpoint.dir", base)
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
