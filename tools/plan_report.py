@@ -5,11 +5,12 @@ For each key: shuffles, join strategies and types, partial aggregation,
 window limits, Python evaluation nodes, and what each scan reads.
 """
 
+import os
 import re
 import sys
 from collections import Counter
 
-sys.path.insert(0, ".")
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 import __spark_entry__ as E  # noqa: E402
 from revlens.session import build_session  # noqa: E402
 
