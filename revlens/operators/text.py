@@ -179,7 +179,13 @@ def term_counts(merged: DataFrame, language: str = "english") -> DataFrame:
     return e.groupBy("BusinessID", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def vocabulary(tf: DataFrame, vocab_size: int = 1 << 18, min_df: int = 1) -> DataFrame:
+# Distinct terms per range partition when ranking the vocabulary (short
+# strings and two counts: tens of MB per partition).
+TERMS_PER_RANGE = 1_000_000
+
+
+def vocabulary(tf: DataFrame, vocab_size: int = 1 << 18, min_df: int = 1,
+               terms_per_range: int = TERMS_PER_RANGE) -> DataFrame:
     """(term, idx, df): the ``vocab_size`` most frequent terms of the corpus
     (CountVectorizer's rule), ties broken by term, idx 0 the most frequent.
 
@@ -194,8 +200,8 @@ def vocabulary(tf: DataFrame, vocab_size: int = 1 << 18, min_df: int = 1) -> Dat
     tot = (tf.groupBy("term").agg(F.sum("tf").alias("ttf"), F.count(F.lit(1)).alias("df"))
              .where(F.col("df") >= min_df))
     order = [F.desc("ttf"), F.asc("term")]
-    parts = max(1, tot.rdd.getNumPartitions())
-    tot = tot.persist()  # read twice: by the range sampler and by the write
+    tot = tot.persist()  # read by the count, the range sampler and the write
+    parts = max(1, math.ceil(tot.count() / terms_per_range))
     ranged = (tot.repartitionByRange(parts, *order).sortWithinPartitions(*order)
                  .withColumn("_pid", F.spark_partition_id()))
     ranged = persist_cut(ranged, spark, "vocab-ranked")

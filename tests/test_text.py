@@ -96,8 +96,8 @@ def test_topics_sum_to_one(spark):
 
 @settings(max_examples=8, deadline=None)
 @given(st.lists(st.tuples(st.sampled_from(["b1", "b2", "b3"]), st.text("abcde", min_size=1, max_size=3),
-                          st.integers(1, 5)), min_size=1, max_size=60), st.integers(1, 20))
-def test_vocabulary_matches_brute_force(spark, rows, k):
+                          st.integers(1, 5)), min_size=1, max_size=60), st.integers(1, 20), st.integers(1, 7))
+def test_vocabulary_matches_brute_force(spark, rows, k, per_range):
     agg = {}
     for b, t, n in rows:
         agg[(b, t)] = agg.get((b, t), 0) + n
@@ -107,7 +107,8 @@ def test_vocabulary_matches_brute_force(spark, rows, k):
         ttf[t] = ttf.get(t, 0) + n
         df[t] = df.get(t, 0) + 1
     expect = sorted(ttf, key=lambda t: (-ttf[t], t))[:k]
-    got = sorted(T.vocabulary(tf, k).collect(), key=lambda r: r.idx)
+    # a small range size spreads the terms over several range partitions
+    got = sorted(T.vocabulary(tf, k, terms_per_range=per_range).collect(), key=lambda r: r.idx)
     assert [r.term for r in got] == expect
     assert [r.idx for r in got] == list(range(len(expect)))
     assert all(r.df == df[r.term] for r in got)
