@@ -78,3 +78,14 @@ def test_review_stream(spark, tmp_path):
     q = review_stream(spark, src, C.business(spark, SF_SMALL), sink, checkpoint=str(tmp_path / "ckpt"))
     q.awaitTermination(120)
     assert spark.read.parquet(sink).count() == C.reviews(spark, SF_SMALL).count()
+
+
+def test_cli_usage():
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-m", "revlens.plans.jobs", "--help"], cwd=root,
+                         capture_output=True, text=True, timeout=120)
+    assert out.returncode == 0
+    for job in ("etl", "profile", "geo", "text", "train", "recommend"):
+        assert job in out.stdout
