@@ -162,16 +162,18 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--lookup")
     ap.add_argument("--sentiment")
     ap.add_argument("--model")
+    ap.add_argument("--city", help="city of the profile map (profile) or of the text analyses (text)")
+    ap.add_argument("--province", default=PR.PROVINCE, help="province of the cuisine ranking (profile)")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"revlens-{a.job}").getOrCreate()
     if a.job == "etl":
         etl(spark, a.input, a.out)
     elif a.job == "profile":
-        profile(spark, a.input, a.out)
+        profile(spark, a.input, a.out, province=a.province, city=a.city or PR.CITY)
     elif a.job == "geo":
         geo(spark, a.input, a.lookup, a.out)
     elif a.job == "text":
-        text(spark, a.input, a.out)
+        text(spark, a.input, a.out, city=a.city or PR.TEXT_CITY)
     elif a.job == "train":
         print(train(spark, a.input, a.sentiment, a.out))
     else:
