@@ -12,11 +12,11 @@ s AS (
 x AS (SELECT doc_id, unnest(s) AS x FROM s),
 shared AS (SELECT x FROM x GROUP BY x HAVING count(*) > 1),
 y AS (SELECT doc_id, x FROM x SEMI JOIN shared USING (x)),
-both AS (
+common AS (
   SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS n FROM y a JOIN y b ON a.x = b.x AND a.doc_id < b.doc_id
   GROUP BY 1, 2),
 link AS (
-  SELECT u, v FROM both JOIN s a ON a.doc_id = u JOIN s b ON b.doc_id = v
+  SELECT u, v FROM common JOIN s a ON a.doc_id = u JOIN s b ON b.doc_id = v
   WHERE 100 * n >= 85 * (len(a.s) + len(b.s) - n)),
 e AS (SELECT u, v FROM link UNION SELECT v, u FROM link),
 reach AS (
