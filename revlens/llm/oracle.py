@@ -26,3 +26,19 @@ reach AS (
 SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, r.component_id
 FROM s JOIN (SELECT node, min(root) AS component_id FROM reach GROUP BY node) r ON r.node = s.doc_id
 """
+
+SUBSTRING = """
+WITH w AS (SELECT doc_id, """ + WORDS.format("text") + """ AS w FROM documents),
+win AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM w)),
+low AS (SELECT h, min(doc_id) AS lo FROM win GROUP BY h HAVING min(doc_id) < max(doc_id)),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM win JOIN low USING (h) WHERE doc_id > lo),
+word AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS p FROM w),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS t, count(*) AS n FROM word ANTI JOIN gone USING (doc_id, p)
+  GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""

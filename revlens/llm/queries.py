@@ -2,8 +2,18 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from revlens.llm import oracle as O
+from revlens.llm.line_crf import fit_quality, score_quality
 from revlens.llm.partenum import jaccard_classes
+from revlens.llm.samples import remainder
+from revlens.llm.substring import remove_repeats
+from revlens.llm.toxicity import fit_toxicity, score_toxicity
+
+
+#: Scores from which a document counts as good, and as toxic.
+GOOD, TOXIC = 0.3, 0.7
 
 
 def _docs(spark, sf_dir):
@@ -15,9 +25,37 @@ def op1_ngram_jaccard(spark, sf_dir):
     return jaccard_classes(_docs(spark, sf_dir), words=4, percent=85)
 
 
+def op2_substring_dedup(spark, sf_dir):
+    """Every document without its repeats of 50 words and more."""
+    return remove_repeats(_docs(spark, sf_dir), width=50).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op9_line_crf_quality(spark, sf_dir):
+    """Quality score of every document; rows of remainder 0 mod 5 are held out."""
+    docs, labels = _docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    theta = fit_quality(docs, labels, remainder(F.col("doc_id"), 5) != 0)
+    return score_quality(docs, theta).select(
+        "doc_id", (remainder(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+        (F.col("score") >= GOOD).cast("int").alias("predicted"), "n_lines", "n_good_lines")
+
+
+def op10_counterfactual_toxicity(spark, sf_dir):
+    """Toxicity score of every document; rows of remainder 1 mod 3 are held out."""
+    docs, labels = _docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = fit_toxicity(docs, labels, remainder(F.col("doc_id"), 3) != 1)
+    return score_toxicity(docs, model).select(
+        "doc_id", (remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "score",
+        (F.col("score") >= TOXIC).cast("int").alias("predicted"))
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
+    "op2_substring_dedup": op2_substring_dedup,
+    "op9_line_crf_quality": op9_line_crf_quality,
+    "op10_counterfactual_toxicity": op10_counterfactual_toxicity,
 }
 ORACLE = {
     "op1_ngram_jaccard": O.JACCARD,
+    "op2_substring_dedup": O.SUBSTRING,
 }

@@ -24,6 +24,10 @@ _BASE = int(_rng.integers(0, 2**63, dtype=_U)) * 2 + 1
 _BASE_INV = pow(_BASE, -1, 2**64)
 BLANK = np.zeros(256, bool)
 BLANK[[0x20, *range(0x09, 0x0E)]] = True
+#: Bytes outside letters, for texts already in lower case: other ASCII.
+NOT_LETTER = np.ones(256, bool)
+NOT_LETTER[97:123] = False
+NOT_LETTER[128:] = False
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -51,10 +55,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def word_spans(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_spans(buf: np.ndarray, blank: np.ndarray = BLANK) -> tuple[np.ndarray, np.ndarray]:
     """Start and end offsets of the words of a byte array."""
     solid = np.zeros(len(buf) + 2, np.int8)
-    solid[1:-1] = ~BLANK[buf]
+    solid[1:-1] = ~blank[buf]
     step = np.diff(solid)
     return np.flatnonzero(step == 1), np.flatnonzero(step == -1)
 
@@ -100,13 +104,14 @@ class Block:
     """Words of some texts: ``at[i]:at[i+1]`` are text ``i``'s words in ``h``,
     ``starts`` and ``ends`` (offsets into ``raw``)."""
 
-    def __init__(self, rows: range, texts: list[bytes], lower: bool):
+    def __init__(self, rows: range, texts: list[bytes], lower: bool, blank: np.ndarray):
         self.rows = rows
         self.raw = b"\n".join(texts)
         buf = np.frombuffer(self.raw, np.uint8)
         if lower:
             buf = LOWER[buf]
-        self.starts, self.ends = word_spans(buf)
+        self.buf = buf
+        self.starts, self.ends = word_spans(buf, blank)
         self.h = hash_words(buf, self.starts, self.ends)
         begin = np.cumsum([0] + [len(t) + 1 for t in texts])
         self.at = np.searchsorted(self.starts, begin)
@@ -121,14 +126,14 @@ def text_bytes(col) -> list[bytes]:
     return [t or b"" for t in col.cast(pa.binary()).to_pylist()]
 
 
-def blocks(texts: list[bytes], lower: bool = False) -> Iterator[Block]:
+def blocks(texts: list[bytes], lower: bool = False, blank: np.ndarray = BLANK) -> Iterator[Block]:
     """Consecutive texts of about ``BLOCK_BYTES`` together; one longer text is
     a block of its own."""
     first, size = 0, 0
     for i, t in enumerate(texts):
         if size and size + len(t) > BLOCK_BYTES:
-            yield Block(range(first, i), texts[first:i], lower)
+            yield Block(range(first, i), texts[first:i], lower, blank)
             first, size = i, 0
         size += len(t) + 1
     if first < len(texts):
-        yield Block(range(first, len(texts)), texts[first:], lower)
+        yield Block(range(first, len(texts)), texts[first:], lower, blank)
