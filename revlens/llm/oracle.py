@@ -42,3 +42,13 @@ SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0)
   sha256(coalesce(t, '')) AS kept_sha256
 FROM w LEFT JOIN kept USING (doc_id)
 """
+
+_LOWER_WORDS = WORDS.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
+_FIVES = "list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))"
+CONTAINED = f"""
+WITH d AS (SELECT doc_id, unnest({_FIVES}) AS x FROM (SELECT doc_id, {_LOWER_WORDS} AS w FROM documents)),
+q AS (SELECT item_id, {_FIVES} AS s FROM (SELECT item_id, {_LOWER_WORDS} AS w FROM benchmark)),
+x AS (SELECT item_id, len(s) AS n, unnest(s) AS x FROM q)
+SELECT doc_id, item_id, CAST(any_value(n) AS BIGINT) AS n_item, count(*) AS n_found
+FROM d JOIN x USING (x) GROUP BY doc_id, item_id HAVING 100 * count(*) >= 80 * any_value(n)
+"""

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from revlens.llm import oracle as O
+from revlens.llm.bpe import Vocabulary, decode, encode, lists
+from revlens.llm.contain import contaminated
 from revlens.llm.line_crf import fit_quality, score_quality
 from revlens.llm.partenum import jaccard_classes
 from revlens.llm.samples import remainder
@@ -31,6 +37,39 @@ def op2_substring_dedup(spark, sf_dir):
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_benchmark_containment(spark, sf_dir):
+    """Benchmark items of which a document holds 80 % of the 5-word shingles."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return contaminated(_docs(spark, sf_dir), items, percent=80)
+
+
+def _id_digests(names):
+    """n_tokens and the sha256 of the ids in decimal, joined by commas."""
+    def run(batches):
+        for batch in batches:
+            ids = lists(batch.column("ids"))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array([len(x) for x in ids], pa.int64()),
+                 pa.array([hashlib.sha256(b",".join(map(names.__getitem__, x.tolist()))).hexdigest() for x in ids],
+                          pa.string()), batch.column("ids")], names=["doc_id", "n_tokens", "ids_sha256", "ids"])
+    return run
+
+
+def bpe_digests(docs, vocabulary):
+    """Encode, digest the ids, decode them again and digest the bytes."""
+    names = [str(i).encode() for i in range(len(vocabulary.tokens))]
+    ids = encode(docs, vocabulary).mapInArrow(
+        _id_digests(names), "doc_id long, n_tokens long, ids_sha256 string, ids array<int>")
+    return decode(ids, vocabulary).select("doc_id", "n_tokens", "ids_sha256",
+                                          F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
+def op8_byte_bpe(spark, sf_dir, path=None, pattern=public_tokenizers.PATTERN):
+    """Ids of every document and the text they decode to, as digests."""
+    v = Vocabulary.read(path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), pattern)
+    return bpe_digests(_docs(spark, sf_dir), v)
+
+
 def op9_line_crf_quality(spark, sf_dir):
     """Quality score of every document; rows of remainder 0 mod 5 are held out."""
     docs, labels = _docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -52,10 +91,13 @@ def op10_counterfactual_toxicity(spark, sf_dir):
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_substring_dedup": op2_substring_dedup,
+    "op5_benchmark_containment": op5_benchmark_containment,
+    "op8_byte_bpe": op8_byte_bpe,
     "op9_line_crf_quality": op9_line_crf_quality,
     "op10_counterfactual_toxicity": op10_counterfactual_toxicity,
 }
 ORACLE = {
     "op1_ngram_jaccard": O.JACCARD,
     "op2_substring_dedup": O.SUBSTRING,
+    "op5_benchmark_containment": O.CONTAINED,
 }
