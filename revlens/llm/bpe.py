@@ -24,6 +24,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from revlens.llm import textops as X
+
 #: Pre-tokens remembered by a task before it turns to a new memory; the last
 #: one stays at hand. Only time depends on it.
 REMEMBERED = 300_000
@@ -186,7 +188,7 @@ class Decoder:
 def _encode(shared):
     def run(batches):
         encoder = Encoder(shared.value)
-        for batch in batches:
+        for batch in X.small(batches):
             texts = batch.column("text")
             size = np.cumsum(np.r_[0, [0 if t is None else len(t) for t in texts.to_pylist()]])
             first = 0
@@ -213,7 +215,7 @@ def lists(col) -> list[np.ndarray]:
 def _decode(shared):
     def run(batches):
         decoder = Decoder(shared.value)
-        for batch in batches:
+        for batch in X.small(batches):
             names = [c for c in batch.schema.names if c != "ids"]
             text = pa.array([decoder.decode(x) for x in lists(batch.column("ids"))], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in names] + [text], names=names + ["bytes"])

@@ -151,7 +151,7 @@ def _rows(rows) -> pa.RecordBatch:
 def _search(items: Items, percent: int):
     def run(batches):
         table = items.lookup()
-        for batch in batches:
+        for batch in X.small(batches):
             ids = batch.column("doc_id").to_pylist()
             rows = []
             for block in X.blocks(X.text_bytes(batch.column("text")), lower=True):
@@ -170,7 +170,7 @@ def _key(c: int, j: int, m: np.ndarray) -> np.ndarray:
 
 def _window_keys(classes: int):
     def run(batches):
-        for batch in batches:
+        for batch in X.small(batches):
             ids = batch.column("doc_id").to_numpy()
             for block in X.blocks(X.text_bytes(batch.column("text")), lower=True):
                 w = Windows(block)
@@ -182,7 +182,7 @@ def _window_keys(classes: int):
 
 
 def _item_keys(batches):
-    for batch in batches:
+    for batch in X.small(batches):
         keys, ids, cls = [], [], []
         for i, t in zip(batch.column("item_id").to_pylist(), X.text_bytes(batch.column("text"))):
             q = shingles(t)
@@ -197,7 +197,7 @@ def _item_keys(batches):
 
 def _verify(percent: int):
     def run(batches):
-        for batch in batches:
+        for batch in X.small(batches):
             rows = []
             cols = [batch.column(c).to_pylist() for c in ("doc_id", "item_id")]
             for d, i, t, q in zip(*cols, X.text_bytes(batch.column("text")), X.text_bytes(batch.column("item"))):

@@ -168,7 +168,7 @@ def _score(theta: np.ndarray):
     w, stay = theta[:-2], theta[-2:]
 
     def run(batches):
-        for batch in batches:
+        for batch in X.small(batches):
             texts = X.text_bytes(batch.column("text"))
             score, lines_n, good = [], [], []
             for block in X.blocks(texts):

@@ -133,7 +133,7 @@ def _sets(texts: list[bytes], words: int) -> Iterator[tuple[int, np.ndarray]]:
 def _describe(words: int, percent: int):
     def run(batches):
         bands = Bands(percent)
-        for batch in batches:
+        for batch in X.small(batches):
             n, node, band, home, guest = [], [], [], [], []
             for _, s in _sets(X.text_bytes(batch.column("text")), words):
                 n.append(len(s))
@@ -157,7 +157,7 @@ def _sign(words: int, percent: int):
     def run(batches):
         bands = Bands(percent)
         done: set[int] = set()  # nodes this task has signed: a combiner for copies
-        for batch in batches:
+        for batch in X.small(batches):
             sig, node = [], []
             for _, s in _sets(X.text_bytes(batch.column("text")), words):
                 if not len(s) or (i := _node(s)) in done:
@@ -215,7 +215,7 @@ def _most(n, m, percent: int):
 def _close(percent: int):
     """Pairs with sketches -> pairs whose sketches allow a link."""
     def run(batches):
-        for batch in batches:
+        for batch in X.small(batches):
             keep = []
             c = {k: batch.column(k).to_pylist() for k in ("nu", "nv", "bu", "bv", "hu", "hv", "gu", "gv")}
             for nu, nv, bu, bv, hu, hv, gu, gv in zip(*c.values()):
@@ -276,7 +276,7 @@ def _search(percent: int):
 
 def _verify(words: int, percent: int):
     def run(batches):
-        for batch in batches:
+        for batch in X.small(batches):
             keep = []
             for (_, a), (_, b) in zip(*(_sets(X.text_bytes(batch.column(c)), words) for c in ("tu", "tv"))):
                 both = len(np.intersect1d(a, b, assume_unique=True))

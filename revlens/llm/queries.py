@@ -9,9 +9,11 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from revlens.llm import oracle as O
+from revlens.llm import textops as X
 from revlens.llm.bpe import Vocabulary, decode, encode, lists
 from revlens.llm.contain import contaminated
 from revlens.llm.line_crf import fit_quality, score_quality
+from revlens.llm.langid import predict_held_out
 from revlens.llm.partenum import jaccard_classes
 from revlens.llm.samples import remainder
 from revlens.llm.substring import remove_repeats
@@ -46,7 +48,7 @@ def op5_benchmark_containment(spark, sf_dir):
 def _id_digests(names):
     """n_tokens and the sha256 of the ids in decimal, joined by commas."""
     def run(batches):
-        for batch in batches:
+        for batch in X.small(batches):
             ids = lists(batch.column("ids"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([len(x) for x in ids], pa.int64()),
@@ -70,6 +72,11 @@ def op8_byte_bpe(spark, sf_dir, path=None, pattern=public_tokenizers.PATTERN):
     return bpe_digests(_docs(spark, sf_dir), v)
 
 
+def op7_word_first_language(spark, sf_dir):
+    """Language of every document; rows of remainder 0 mod 5 are held out."""
+    return predict_held_out(_docs(spark, sf_dir), 5)
+
+
 def op9_line_crf_quality(spark, sf_dir):
     """Quality score of every document; rows of remainder 0 mod 5 are held out."""
     docs, labels = _docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -92,6 +99,7 @@ QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_substring_dedup": op2_substring_dedup,
     "op5_benchmark_containment": op5_benchmark_containment,
+    "op7_word_first_language": op7_word_first_language,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_line_crf_quality": op9_line_crf_quality,
     "op10_counterfactual_toxicity": op10_counterfactual_toxicity,

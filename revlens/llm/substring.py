@@ -67,7 +67,7 @@ def _halves(digests: list[bytes]) -> tuple[pa.Array, pa.Array]:
 
 def _seed(width: int, seed: int):
     def run(batches):
-        for batch in batches:
+        for batch in X.small(batches):
             ids = batch.column("doc_id").to_numpy()
             texts = X.text_bytes(batch.column("text"))
             for block in X.blocks(texts):
@@ -91,7 +91,7 @@ def _seed(width: int, seed: int):
 def _windows(width: int):
     """Texts with the neighbourhoods they represent -> one row per window."""
     def run(batches):
-        for batch in batches:
+        for batch in X.small(batches):
             ids = batch.column("doc_id").to_numpy()
             texts = X.text_bytes(batch.column("text"))
             for row, spans in enumerate(batch.column("spans").to_pylist()):
@@ -108,7 +108,7 @@ def _windows(width: int):
 
 def _cut_words(batches):
     """Texts with the word ranges to remove -> kept words joined by a blank."""
-    for batch in batches:
+    for batch in X.small(batches):
         n, removed, kept = [], [], []
         for text, spans in zip(X.text_bytes(batch.column("text")), batch.column("spans").to_pylist()):
             words = text.split()

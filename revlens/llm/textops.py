@@ -32,7 +32,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 #: Bytes of text handled at once. Only temporary arrays depend on it.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 _pow = {"up": np.ones(1, _U), "down": np.ones(1, _U)}
 
 
@@ -63,9 +63,10 @@ def word_spans(buf: np.ndarray, blank: np.ndarray = BLANK) -> tuple[np.ndarray,
     return np.flatnonzero(step == 1), np.flatnonzero(step == -1)
 
 
-def hash_words(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each word. Works through the buffer in slices cut between
-    words, so temporary arrays stay near ``BLOCK_BYTES`` whatever the text."""
+def hash_spans(values, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of the spans of a sequence; ``values(a, b)`` gives the random
+    64-bit values of its elements. Works in slices cut between spans, so
+    temporary arrays stay near ``BLOCK_BYTES`` elements whatever the text."""
     out = np.empty(len(starts), _U)
     i = 0
     while i < len(starts):
@@ -73,13 +74,17 @@ def hash_words(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
         a, b = int(starts[i]), int(ends[j - 1])
         up, down = _powers(b - a)
         run = np.zeros(b - a + 1, _U)
-        np.cumsum(BYTE_TABLE[buf[a:b]] * up, out=run[1:])
+        np.cumsum(values(a, b) * up, out=run[1:])
         s, e = starts[i:j] - a, ends[i:j] - a
         out[i:j] = (run[e] - run[s]) * down[s] + (e - s).astype(_U) * GRAM[0]
         i = j
     return mix(out)
 
 
+def hash_words(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return hash_spans(lambda a, b: BYTE_TABLE[buf[a:b]], starts, ends)
+
+
 def grams(h: np.ndarray, n: int) -> np.ndarray:
     """Hashes of the ``n``-word runs of a word hash array; empty when shorter."""
     m = len(h) - n + 1
@@ -121,6 +126,15 @@ class Block:
             yield row, self.h[self.at[k]:self.at[k + 1]]
 
 
+def small(batches, rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in slices of at most ``rows`` rows, so that only a slice is
+    ever unpacked to Python objects; gives unused memory back at the end."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+    pa.default_memory_pool().release_unused()
+
+
 def text_bytes(col) -> list[bytes]:
     """UTF-8 bytes of an Arrow string column, nulls as empty."""
     return [t or b"" for t in col.cast(pa.binary()).to_pylist()]

@@ -73,7 +73,7 @@ def _blocks(texts: list[bytes]):
 def _count(batches):
     """Documents of each class that have a feature, by slot."""
     found = np.zeros((2, SLOTS), np.int64)
-    for batch in batches:
+    for batch in X.small(batches):
         y = batch.column("y").to_numpy()
         for block in _blocks(_lower(batch.column("text"))):
             doc, slot = _features(block)
@@ -188,7 +188,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, usable: Column, most: int =
 def _score(model: Model):
     def run(batches):
         index, k = model.index(), len(model.slots)
-        for batch in batches:
+        for batch in X.small(batches):
             texts = _lower(batch.column("text"))
             s, n = np.full(len(texts), model.bias), np.zeros(len(texts), np.int64)
             for d, f, v in _vectors(texts, index, k):
