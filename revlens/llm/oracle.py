@@ -52,3 +52,20 @@ x AS (SELECT item_id, len(s) AS n, unnest(s) AS x FROM q)
 SELECT doc_id, item_id, CAST(any_value(n) AS BIGINT) AS n_item, count(*) AS n_found
 FROM d JOIN x USING (x) GROUP BY doc_id, item_id HAVING 100 * count(*) >= 80 * any_value(n)
 """
+
+_BLANK_LINE = "regexp_full_match(x, '[\\x20\\x09-\\x0D]*')"
+LINES = f"""
+WITH l AS (
+  SELECT doc_id, source, p, s[p] AS x
+  FROM (SELECT doc_id, source, s, unnest(range(1, len(s) + 1)) AS p
+        FROM (SELECT doc_id, source, string_split(text, chr(10)) AS s FROM documents WHERE text IS NOT NULL))),
+bad AS (SELECT x FROM l WHERE NOT {_BLANK_LINE} GROUP BY x HAVING count(DISTINCT source) >= 10),
+m AS (SELECT l.*, bad.x IS NOT NULL AS gone FROM l LEFT JOIN bad ON bad.x = l.x),
+g AS (
+  SELECT doc_id, count(*) FILTER (NOT {_BLANK_LINE}) AS n_lines, count(*) FILTER (gone) AS n_removed,
+    string_agg(x, chr(10) ORDER BY p) FILTER (NOT gone) AS kept
+  FROM m GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents d LEFT JOIN g USING (doc_id)
+"""

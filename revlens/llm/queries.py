@@ -14,7 +14,9 @@ from revlens.llm.bpe import Vocabulary, decode, encode, lists
 from revlens.llm.contain import contaminated
 from revlens.llm.line_crf import fit_quality, score_quality
 from revlens.llm.langid import predict_held_out
+from revlens.llm.lines import remove_boilerplate
 from revlens.llm.partenum import jaccard_classes
+from revlens.llm.rules import quality_rules
 from revlens.llm.samples import remainder
 from revlens.llm.substring import remove_repeats
 from revlens.llm.toxicity import fit_toxicity, score_toxicity
@@ -39,6 +41,19 @@ def op2_substring_dedup(spark, sf_dir):
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_ngram_likelihood_rules(spark, sf_dir):
+    """Base counts and the verdict of every document; documents labelled good
+    are the trusted target."""
+    trusted = spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1").select("doc_id")
+    return quality_rules(_docs(spark, sf_dir), trusted)
+
+
+def op4_line_site_spread(spark, sf_dir):
+    """Every document without lines that stand in ten sources or more."""
+    return remove_boilerplate(_docs(spark, sf_dir), min_sites=10).select(
+        "doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op5_benchmark_containment(spark, sf_dir):
     """Benchmark items of which a document holds 80 % of the 5-word shingles."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
@@ -98,6 +113,8 @@ def op10_counterfactual_toxicity(spark, sf_dir):
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_ngram_likelihood_rules": op3_ngram_likelihood_rules,
+    "op4_line_site_spread": op4_line_site_spread,
     "op5_benchmark_containment": op5_benchmark_containment,
     "op7_word_first_language": op7_word_first_language,
     "op8_byte_bpe": op8_byte_bpe,
@@ -107,5 +124,6 @@ QUERIES = {
 ORACLE = {
     "op1_ngram_jaccard": O.JACCARD,
     "op2_substring_dedup": O.SUBSTRING,
+    "op4_line_site_spread": O.LINES,
     "op5_benchmark_containment": O.CONTAINED,
 }
