@@ -69,3 +69,55 @@ SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_re
   sha256(coalesce(kept, '')) AS kept_sha256
 FROM documents d LEFT JOIN g USING (doc_id)
 """
+
+_START = "^[A-Za-z][A-Za-z0-9+.-]*://"
+_TRACKING = "^(utm_[^=]*|ref|fbclid|gclid|msclkid|sid|sessionid|phpsessid|jsessionid)(=|$)"
+_ETAG = "'\"' || md5(html) || '\"'"
+REVISITS = f"""
+WITH rec AS (
+  SELECT page_id * 4 AS id, url, 1700000000 + page_id * 37 AS sec, true AS whole,
+    CASE WHEN page_id % 11 = 0 THEN 'W/' ELSE '' END || {_ETAG} AS etag,
+    'day ' || (page_id % 28 + 1) AS modified, html FROM pages
+  UNION ALL
+  SELECT page_id * 4 + 1, url, 1700000000 + page_id * 37 + 86400, false,
+    CASE WHEN page_id % 15 = 0 THEN '"changed"' ELSE {_ETAG} END, NULL, NULL FROM pages WHERE page_id % 3 = 0
+  UNION ALL
+  SELECT page_id * 4 + 2, url, 1700000000 + page_id * 37 - 1000, false, {_ETAG}, NULL, NULL
+  FROM pages WHERE page_id % 7 = 0
+  UNION ALL
+  SELECT page_id * 4 + 3, url, 1700000000 + page_id * 37 + 172800, false, NULL,
+    CASE WHEN page_id % 20 <> 0 THEN 'day ' || (page_id % 28 + 1) END, NULL FROM pages WHERE page_id % 5 = 0),
+u AS (SELECT *, regexp_replace(trim(url), '#(.|\\n)*$', '') AS u FROM rec),
+p AS (
+  SELECT *, regexp_replace(lower(regexp_extract(u, '{_START}(?:[^/?@]*@)?([^/?:]*)', 1)), '^www[.]', '') AS host,
+    regexp_replace(regexp_extract(u, '{_START}(?:[^/?@]*@)?[^/?:]*(:[0-9]+)', 1), '^:(80|443)$', '') AS port,
+    regexp_replace(regexp_extract(u, '{_START}[^/?]*([^?]*)', 1), '/+$', '') AS path,
+    array_to_string(list_sort(list_filter(string_split(regexp_extract(u, '[?]((.|\\n)*)$', 1), '&'),
+      lambda q: q <> '' AND NOT regexp_matches(lower(q), '{_TRACKING}'))), '&') AS query FROM u),
+c AS (SELECT *, CASE WHEN regexp_matches(u, '{_START}') THEN
+    host || port || path || CASE WHEN query = '' THEN '' ELSE '?' || query END ELSE u END AS canonical FROM p),
+l AS (SELECT *, last_value(CASE WHEN whole THEN id END IGNORE NULLS) OVER (
+    PARTITION BY canonical ORDER BY sec, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS response_id FROM c),
+j AS (
+  SELECT l.id, l.canonical, l.response_id, l.etag, l.modified, r.etag AS old_etag, r.modified AS old_modified, r.html,
+    CASE WHEN l.response_id IS NULL THEN 'no_response'
+      WHEN l.etag IS NOT NULL THEN CASE WHEN regexp_replace(l.etag, '^W/', '') = regexp_replace(r.etag, '^W/', '')
+        THEN 'resolved' ELSE 'validator_mismatch' END
+      WHEN l.modified IS NOT NULL THEN CASE WHEN l.modified = r.modified THEN 'resolved' ELSE 'validator_mismatch' END
+      ELSE 'validator_mismatch' END AS outcome
+  FROM l LEFT JOIN rec r ON r.id = l.response_id WHERE NOT l.whole),
+h AS (SELECT *, chr(13) || chr(10) AS nl FROM j)
+SELECT id AS record_id, canonical AS canonical_url, response_id, outcome,
+  CASE WHEN outcome = 'resolved' THEN md5(html) END AS payload_md5,
+  CASE WHEN outcome = 'resolved' THEN
+    'HTTP/1.1 200 OK' || nl || 'content-type: text/html'
+    || CASE WHEN etag IS NULL THEN nl || 'etag: ' || old_etag ELSE '' END
+    || CASE WHEN modified IS NULL THEN nl || 'last-modified: ' || old_modified ELSE '' END
+    || nl || 'content-length: ' || strlen(html) || nl || 'cache-control: max-age=600'
+    || CASE WHEN etag IS NOT NULL THEN nl || 'etag: ' || etag ELSE '' END
+    || CASE WHEN modified IS NOT NULL THEN nl || 'last-modified: ' || modified ELSE '' END
+  ELSE 'HTTP/1.1 304 Not Modified' || nl || 'Cache-Control: max-age=600' || nl || 'Content-Length: 0' || nl
+    || CASE WHEN etag IS NOT NULL THEN 'ETag: ' || etag
+       WHEN modified IS NOT NULL THEN 'Last-Modified: ' || modified ELSE 'X-None: 1' END END AS http_headers
+FROM h
+"""

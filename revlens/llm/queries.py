@@ -12,6 +12,7 @@ from revlens.llm import oracle as O
 from revlens.llm import textops as X
 from revlens.llm.bpe import Vocabulary, decode, encode, lists
 from revlens.llm.contain import contaminated
+from revlens.llm.crawl import warc_records
 from revlens.llm.line_crf import fit_quality, score_quality
 from revlens.llm.langid import predict_held_out
 from revlens.llm.lines import remove_boilerplate
@@ -20,6 +21,7 @@ from revlens.llm.rules import quality_rules
 from revlens.llm.samples import remainder
 from revlens.llm.substring import remove_repeats
 from revlens.llm.toxicity import fit_toxicity, score_toxicity
+from revlens.llm.warc import resolve_revisits
 
 
 #: Scores from which a document counts as good, and as toxic.
@@ -87,6 +89,13 @@ def op8_byte_bpe(spark, sf_dir, path=None, pattern=public_tokenizers.PATTERN):
     return bpe_digests(_docs(spark, sf_dir), v)
 
 
+def op6_warc_revisits(spark, sf_dir):
+    """Every not-modified revisit of the crawl derived from the pages."""
+    records = warc_records(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return resolve_revisits(records).select("record_id", "canonical_url", "response_id", "outcome",
+                                            F.md5("payload").alias("payload_md5"), "http_headers")
+
+
 def op7_word_first_language(spark, sf_dir):
     """Language of every document; rows of remainder 0 mod 5 are held out."""
     return predict_held_out(_docs(spark, sf_dir), 5)
@@ -116,6 +125,7 @@ QUERIES = {
     "op3_ngram_likelihood_rules": op3_ngram_likelihood_rules,
     "op4_line_site_spread": op4_line_site_spread,
     "op5_benchmark_containment": op5_benchmark_containment,
+    "op6_warc_revisits": op6_warc_revisits,
     "op7_word_first_language": op7_word_first_language,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_line_crf_quality": op9_line_crf_quality,
@@ -126,4 +136,5 @@ ORACLE = {
     "op2_substring_dedup": O.SUBSTRING,
     "op4_line_site_spread": O.LINES,
     "op5_benchmark_containment": O.CONTAINED,
+    "op6_warc_revisits": O.REVISITS,
 }

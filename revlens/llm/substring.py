@@ -140,7 +140,9 @@ def repeated_spans(docs: DataFrame, width: int = 50, seed: int = 10) -> DataFram
                        spark, "neighbourhoods")
     copies = (occ.join(same.where("r.doc_id < hi").select("d1", "d2", F.col("r.doc_id").alias("lo")), ["d1", "d2"])
               .where("doc_id > lo").select("doc_id", "first", (F.col("last") + width).alias("end")))
-    several = same.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
+    # Written first, so that the join below has an exchange on both sides, which AQE can split.
+    several = persist_cut(same.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"),
+                          spark, "contested")
     spans = persist_cut(same.join(several, "anchor", "left_semi").select("r.*").groupBy("doc_id").agg(
         F.collect_list(F.struct("first", "last")).alias("spans")), spark, "extend")
     few = spans.count() <= BROADCAST_IDS
