@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revlens.llm import textops as X
+from revlens.llm.samples import without
 from revlens.sources.io import persist_cut
 
 WORDS = 5
@@ -239,5 +240,4 @@ def contaminated(docs: DataFrame, items: DataFrame, percent: int = 80,
 def decontaminate(docs: DataFrame, items: DataFrame, percent: int = 80) -> DataFrame:
     """Rows of ``docs``, all their columns, in which no item is found. Rows with
     a null doc_id are kept: nothing can be said against them."""
-    found = contaminated(docs, items, percent).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    return without(docs, contaminated(docs, items, percent))

@@ -164,33 +164,37 @@ def fit_quality(docs: DataFrame, labels: DataFrame, usable: Column, most: int =
     return np.average([r.weights for r in rows], axis=0, weights=[r.n for r in rows])
 
 
-def _score(theta: np.ndarray):
+def _scores(texts: list[bytes], theta: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Score, lines and good lines of each text."""
     w, stay = theta[:-2], theta[-2:]
-
-    def run(batches):
-        for batch in X.small(batches):
-            texts = X.text_bytes(batch.column("text"))
-            score, lines_n, good = [], [], []
-            for block in X.blocks(texts):
-                lines = Lines(block, texts[block.rows.start:block.rows.stop])
-                p = marginals(lines.x @ w, lines.at, stay)
-                size = np.add.reduceat(lines.length, lines.at[:-1])
-                mean = np.add.reduceat(p * lines.length, lines.at[:-1]) / np.maximum(size, 1)
-                score.append(np.where(size > 0, mean, p[lines.at[:-1]]))
-                lines_n.append(np.diff(lines.at))
-                good.append(np.add.reduceat((p >= 0.5).astype(np.int64), lines.at[:-1]))
-            cat = (lambda a, t: np.concatenate(a).astype(t) if a else np.empty(0, t))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in batch.schema.names if c != "text"]
-                + [pa.array(np.clip(cat(score, float), 0, 1)), pa.array(cat(lines_n, np.int64)),
-                   pa.array(cat(good, np.int64))],
-                names=[c for c in batch.schema.names if c != "text"] + ["score", "n_lines", "n_good_lines"])
-    return run
+    out = []
+    for block in X.blocks(texts):
+        lines = Lines(block, texts[block.rows.start:block.rows.stop])
+        p = marginals(lines.x @ w, lines.at, stay)
+        size = np.add.reduceat(lines.length, lines.at[:-1])
+        mean = np.add.reduceat(p * lines.length, lines.at[:-1]) / np.maximum(size, 1)
+        out.append((np.clip(np.where(size > 0, mean, p[lines.at[:-1]]), 0, 1), np.diff(lines.at),
+                    np.add.reduceat((p >= 0.5).astype(np.int64), lines.at[:-1])))
+    return tuple(np.concatenate(c) for c in zip(*out)) if out else (np.empty(0), *[np.empty(0, np.int64)] * 2)
 
 
 def score_quality(docs: DataFrame, theta: np.ndarray) -> DataFrame:
     """doc_id, score (0 to 1, higher is better), n_lines, n_good_lines for every
     row of ``docs`` (doc_id, text; other columns are ignored). Null text counts
     as empty: one empty line, whose own marginal is the score."""
-    return docs.select("doc_id", "text").mapInArrow(
-        _score(theta), "doc_id long, score double, n_lines long, n_good_lines long")
+    def run(batches):
+        for batch in X.small(batches):
+            score, n, good = _scores(X.text_bytes(batch.column("text")), theta)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(score), pa.array(n, pa.int64()), pa.array(good, pa.int64())],
+                names=["doc_id", "score", "n_lines", "n_good_lines"])
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double, n_lines long, n_good_lines long")
+
+
+def keep_good(docs: DataFrame, theta: np.ndarray, least: float) -> DataFrame:
+    """Rows of ``docs``, all their columns, whose score is at least ``least``."""
+    def run(batches):
+        for batch in X.small(batches):
+            score = _scores(X.text_bytes(batch.column("text")), theta)[0]
+            yield batch.filter(pa.array(score >= least))
+    return docs.mapInArrow(run, docs.schema)

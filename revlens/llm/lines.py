@@ -57,25 +57,26 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = 10, site: str = "source
     """``docs`` without its boilerplate lines.
 
     ``docs``: doc_id long, text string, ``site`` and any further columns. Returns
-    doc_id, text (remaining lines joined by newlines), n_lines (lines with a
-    word), n_removed. Null text stays null with 0 lines; empty texts stay empty.
+    all its columns, in ``text`` the remaining lines joined by newlines, then
+    n_lines (lines with a word before) and n_removed; columns of these two names
+    are replaced. Null text stays null with 0 lines; empty texts stay empty.
     A null site counts as no site, but its documents lose boilerplate too. Rows
     with a null doc_id come back unchanged. Rows that repeat a doc_id lose each
     line found to be boilerplate in any of them at the same place.
     """
     spark = docs.sparkSession
+    docs = docs.drop("n_lines", "n_removed")
     d = docs.select("doc_id", "text", F.col(site).cast("string").alias("site"))
     known = persist_cut(boilerplate(d, min_sites), spark, "boilerplate")
-    gone = (_lines(d).where("doc_id IS NOT NULL").join(known, ["h1", "h2"]).groupBy("doc_id")
-            .agg(F.collect_set("place").alias("gone")))
+    gone = (_lines(d).where("doc_id IS NOT NULL").join(known, ["h1", "h2"]).groupBy(F.col("doc_id").alias("gone_id"))
+            .agg(F.collect_set("place").alias("gone_places")))
     all_lines = "split(text, '\\n')"
     worded = f"cast(size(filter({all_lines}, x -> NOT ({N.is_blank('x')}))) as bigint)"
-    # The removed places come as a sorted array, walked along with the lines.
-    cut = d.select("doc_id", "text").join(gone, "doc_id", "left")
+    kept = F.expr("CASE WHEN gone_places IS NULL THEN text ELSE " + N.let(
+        "l", all_lines, "array_join(transform(array_except(sequence(0, size(l) - 1), gone_places), i -> l[i]), '\\n')")
+        + " END")
+    cut = docs.join(gone, docs["doc_id"] == gone["gone_id"], "left")
     return cut.select(
-        "doc_id",
-        F.expr("CASE WHEN gone IS NULL THEN text ELSE " + N.let(
-            "l", all_lines, "array_join(transform(array_except(sequence(0, size(l) - 1), gone), i -> l[i]), '\\n')")
-            + " END").alias("text"),
+        *[kept.alias("text") if c == "text" else docs[c] for c in docs.columns],
         F.expr(f"CASE WHEN text IS NULL THEN 0L ELSE {worded} END").alias("n_lines"),
-        F.expr("coalesce(cast(size(gone) as bigint), 0L)").alias("n_removed"))
+        F.expr("coalesce(cast(size(gone_places) as bigint), 0L)").alias("n_removed"))

@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from revlens.llm import textops as X
 from revlens.llm.components import components
+from revlens.llm.samples import without
 from revlens.sources.io import persist_cut
 
 #: Up to this symmetric difference a part tolerates one difference (n2 = 3,
@@ -366,3 +367,8 @@ def jaccard_classes(docs: DataFrame, words: int = 4, percent: int = 85) -> DataF
         "node", F.coalesce("component", "rep").alias("component_id")), spark, "classes")
     return base.select("doc_id", "n_shingles", "node").join(own, "node", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def keep_first(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """Rows of ``docs``, all their columns, but those whose class has a smaller doc_id."""
+    return without(docs, jaccard_classes(docs, words, percent).where("component_id < doc_id"))
