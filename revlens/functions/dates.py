@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-CHECKIN_FORMAT = "yyyy-MM-dd HH:mm:ss"
-
-
 def iso_weekday(c: Column) -> Column:
     """Monday = 1 .. Sunday = 7 (the old 'u' pattern, removed in Spark 3+)."""
     return (F.weekday(c) + 1).cast("int")

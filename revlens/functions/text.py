@@ -42,11 +42,6 @@ def sentiment_tokens(c: Column) -> Column:
     return F.regexp_extract_all(c, F.lit(SENTIMENT_TOKEN), 0)
 
 
-def word_tokens(c: Column) -> Column:
-    """Tokens as RegexTokenizer(pattern='\\w+', gaps=False) makes them."""
-    return F.regexp_extract_all(F.lower(c), F.lit(r"\w+"), 0)
-
-
 def remove_blanks(c: Column) -> Column:
     return F.regexp_replace(c, " ", "")
 

@@ -5,25 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows a dimension may hold and still be broadcast. Lookup tables in this
-# library (provinces, postcodes, neighbourhood shares) hold hundreds of rows.
-DIM_MAX_ROWS = 200_000
+# Bytes that Catalyst must prove a side to stay under before it is broadcast.
+BROADCAST_BYTES = 32 << 20
 
 
-def bounded_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+def planned_bytes(df: DataFrame) -> int:
+    """Upper estimate of a plan's output in bytes, from file sizes and column
+    types alone: no job runs. A plan that Catalyst cannot bound is huge."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
-    ``limit(max_rows + 1).count()`` stops scanning once the bound is passed,
-    so the check costs at most ``max_rows + 1`` rows even on a huge table.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
 
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DIM_MAX_ROWS) -> DataFrame:
-    """Broadcast hint for a checked-small side; otherwise leave the choice to
-    Catalyst and AQE (sort-merge or shuffled hash join, runtime conversion to
-    broadcast when the shuffle output proves small)."""
-    return F.broadcast(df) if bounded_rows(df, max_rows) else df
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint for a side whose statistics prove it small; otherwise the
+    choice is left to Catalyst and AQE (which measures the shuffle output)."""
+    return F.broadcast(df) if planned_bytes(df) <= max_bytes else df
 
 
 def take_bounded(df: DataFrame, max_rows: int) -> list:

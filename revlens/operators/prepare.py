@@ -15,7 +15,7 @@ from revlens import schemas
 from revlens.functions import attributes as A
 from revlens.functions import dates as D
 from revlens.functions import text as X
-from revlens.operators.joins import broadcast_if_small, take_bounded
+from revlens.operators.joins import take_bounded
 
 # Spark's own ceiling for pivot values (spark.sql.pivotMaxValues).
 PIVOT_MAX_VALUES = 10_000
@@ -24,7 +24,7 @@ PIVOT_MAX_VALUES = 10_000
 def business_clean(business_raw: DataFrame, provinces: DataFrame,
                    postcode_length: int = 7) -> DataFrame:
     """Open businesses of the listed provinces with complete core fields."""
-    prov = broadcast_if_small(provinces.select(F.col("code").alias("state")).distinct())
+    prov = provinces.select(F.col("code").alias("state"))
     b = business_raw.where(
         (F.col("is_open") == 1)
         & F.col("postal_code").isNotNull()
@@ -43,11 +43,10 @@ def business_clean(business_raw: DataFrame, provinces: DataFrame,
 
 
 def category_rows(business: DataFrame) -> DataFrame:
-    """One upper-case, trimmed row per business and listed category."""
+    """One upper-case, trimmed row per business and listed category; an empty
+    name between two commas is a row too."""
     e = business.select("BusinessID", F.explode(F.split("Categories", ",")).alias("c"))
-    return (e.select("BusinessID", F.upper(F.trim("c")).alias("Category"),
-                     F.lit(True).alias("Served"))
-             .where(F.col("Category") != ""))
+    return e.select("BusinessID", F.upper(F.trim("c")).alias("Category"), F.lit(True).alias("Served"))
 
 
 def pivot_values(df: DataFrame, col: str, max_values: int = PIVOT_MAX_VALUES) -> list[str]:
@@ -91,19 +90,13 @@ def business_wide(business: DataFrame, cat_wide: DataFrame, attr_wide: DataFrame
     return base.join(cat_wide, "BusinessID").join(attr_wide, "BusinessID")
 
 
-def _valid_ids(business: DataFrame) -> DataFrame:
-    return business.select("BusinessID").distinct()
-
-
 def checkin_explode(checkin_raw: DataFrame, business: DataFrame) -> DataFrame:
     """One row per check-in time of a valid business. Empty pieces are
-    dropped; a piece that is not a time gives no row."""
+    dropped; a piece that is not a time gives a null time."""
     c = checkin_raw.select(F.col("business_id").alias("BusinessID"), "date")
-    c = c.join(_valid_ids(business), "BusinessID", "left_semi")
-    e = c.select("BusinessID", F.explode(F.transform(F.split("date", ","), lambda x: F.trim(x))).alias("t"))
-    return (e.where(F.col("t") != "")
-             .select("BusinessID", D.parse_time(F.col("t")).alias("CheckinDate"))
-             .where(F.col("CheckinDate").isNotNull()))
+    c = c.join(business.select("BusinessID"), "BusinessID", "left_semi")
+    e = c.select("BusinessID", F.explode(F.split("date", ",")).alias("t"))
+    return e.where(F.col("t") != "").select("BusinessID", D.parse_time(F.trim("t")).alias("CheckinDate"))
 
 
 def review_clean(review_raw: DataFrame, business: DataFrame) -> DataFrame:
@@ -112,8 +105,7 @@ def review_clean(review_raw: DataFrame, business: DataFrame) -> DataFrame:
         F.col("text").isNotNull() & F.col("useful").isNotNull() & F.col("cool").isNotNull()
         & F.col("funny").isNotNull() & F.col("stars").isNotNull()
         & F.col("stars").between(0, 5))
-    r = r.join(_valid_ids(business).withColumnRenamed("BusinessID", "business_id"),
-               "business_id", "left_semi")
+    r = r.join(business.select(F.col("BusinessID").alias("business_id")), "business_id", "left_semi")
     return r.select(
         F.col("review_id").alias("ReviewID"), F.col("business_id").alias("BusinessID"),
         F.col("user_id").alias("UserID"),

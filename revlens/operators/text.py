@@ -6,12 +6,13 @@ Scale notes
   of a business into one value, because one business may own a third of all
   reviews. A business's "merged document" is its set of distinct reviews,
   and its term vector is summed from them.
-* Sentiment scoring runs inside the JVM with higher-order functions over the
-  token array and an inline lexicon map (no shuffle at all) when the lexicon
-  is small; a large lexicon given as a DataFrame is joined instead
-  (broadcast behind a size check) and scores are summed per review.
-* The vocabulary is bounded by ``vocab_size`` and is the only broadcast side
-  of the TF-IDF step.
+* The businesses of one city are broadcast to the reviews when their
+  statistics prove them small, so review text is not shuffled by business.
+* Sentiment is scored inside the JVM with higher-order functions over the
+  token array and an inline lexicon map (no shuffle) when the lexicon has few
+  tokens; a larger one is joined by token. Both give the same rows.
+* TF-IDF keeps every term: document frequencies are a grouped count joined
+  back by term. Only LDA, whose model is a dense matrix, ranks a vocabulary.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from revlens.functions import text as X
 from revlens.operators.joins import broadcast_if_small, take_bounded
@@ -51,7 +53,7 @@ NEGATORS = ["not", "no", "nor", "never", "none", "nothing", "nobody", "nowhere",
             "cannot", "don't", "doesn't", "didn't", "isn't", "wasn't", "aren't",
             "weren't", "won't", "wouldn't", "can't", "couldn't", "shouldn't", "hardly"]
 # Inline lexicons above this size are joined instead of embedded in the plan.
-INLINE_LEXICON_MAX = 5_000
+INLINE_LEXICON_MAX = 5_000  # both ways score alike
 # Normalisation constant of the compound score s / sqrt(s^2 + alpha).
 ALPHA = 15.0
 
@@ -63,7 +65,7 @@ def city_businesses(business: DataFrame, city: str) -> DataFrame:
 def clean_reviews(reviews: DataFrame, business: DataFrame, city: str) -> DataFrame:
     """Reviews of one city's businesses: ASCII lower-case text and the same
     text without hyperlinks, punctuation and digits (K1)."""
-    b = city_businesses(business, city).select("BusinessID", "Name")
+    b = broadcast_if_small(city_businesses(business, city).select("BusinessID", "Name"))
     r = reviews.select("ReviewID", "BusinessID", "Review").join(b, "BusinessID")
     ta = X.ascii_lower(F.col("Review"))
     return (r.select("ReviewID", "BusinessID", "Name", ta.alias("text_ascii"))
@@ -99,56 +101,78 @@ def _prev_tokens(toks):
     return F.concat(F.array(F.lit("")), F.slice(toks, 1, F.greatest(F.size(toks) - 1, F.lit(0))))
 
 
-def sentiment(df: DataFrame, text_col: str = "text_ascii", key: str = "ReviewID",
-              lexicon=None, negators: list[str] | None = None) -> DataFrame:
+def _token_table(spark, lexicon) -> DataFrame:
+    """(token, valence), one row per token: the largest valence where a token
+    is listed twice; null tokens and valences are left out."""
+    if isinstance(lexicon, dict):
+        lexicon = spark.createDataFrame(sorted(lexicon.items()), "token string, valence double")
+    lex = lexicon.toDF("token", "valence").where("token IS NOT NULL AND valence IS NOT NULL")
+    return lex.groupBy("token").agg(F.max(F.col("valence").cast("double")).alias("valence"))
+
+
+def sentiment(df: DataFrame, text_col: str = "text_ascii", lexicon=None,
+              negators: list[str] | None = None, inline_max: int = INLINE_LEXICON_MAX) -> DataFrame:
     """neg / neu / pos shares and compound score per row (K3).
 
     Tokens: ``[a-z]+('[a-z]+)?`` of the ASCII lower-case text. A token's
     valence comes from the lexicon (0 if absent) and flips sign after a
     negator. pos and neg are the summed positive and negative valence, neu the
     number of zero-valence tokens; the three shares sum to 1. compound is
-    s / sqrt(s^2 + 15) with s the summed valence. No token: all zero.
+    s / sqrt(s^2 + 15) with s the summed valence. No token: all zero. Null
+    text: all null. Every row of ``df`` is scored by itself, whatever its key.
+
+    ``lexicon``: dict, or DataFrame (token, valence). Up to ``inline_max``
+    distinct tokens it becomes a map in the plan, beyond it is joined.
     """
     lexicon = LEXICON if lexicon is None else lexicon
     negators = NEGATORS if negators is None else negators
     keep = [c for c in df.columns if c != text_col]
-    toks = X.sentiment_tokens(F.col(text_col))
-    if isinstance(lexicon, dict) and len(lexicon) <= INLINE_LEXICON_MAX:
-        lex = F.create_map(*[x for w, v in sorted(lexicon.items()) for x in (F.lit(w), F.lit(float(v)))])
-        neg_arr = F.array(*[F.lit(w) for w in negators])
-        t = df.select(*keep, toks.alias("_t")).withColumn("_p", _prev_tokens(F.col("_t")))
-        vals = F.zip_with("_t", "_p", lambda tok, prev: F.coalesce(F.try_element_at(lex, tok), F.lit(0.0))
-                          * F.when(F.array_contains(neg_arr, prev), F.lit(-1.0)).otherwise(F.lit(1.0)))
-        t = t.withColumn("_v", vals)
-        add = lambda acc, x: acc + x
-        pos = F.aggregate(F.transform("_v", lambda x: F.greatest(x, F.lit(0.0))), F.lit(0.0), add)
-        neg = F.aggregate(F.transform("_v", lambda x: F.greatest(-x, F.lit(0.0))), F.lit(0.0), add)
-        neu = F.size(F.filter("_v", lambda x: x == 0)).cast("double")
-        s = F.aggregate("_v", F.lit(0.0), add)
-        return t.select(*keep, *_scores(pos, neg, neu, s, F.size("_t")))
-    return _sentiment_join(df, text_col, key, keep, toks, lexicon, negators)
-
-
-def _sentiment_join(df, text_col, key, keep, toks, lexicon, negators) -> DataFrame:
+    if not isinstance(lexicon, dict):
+        lexicon = _token_table(df.sparkSession, lexicon)
+        few = lexicon.limit(inline_max + 1).collect()
+        lexicon = {r["token"]: r["valence"] for r in few} if len(few) <= inline_max else lexicon
+    if isinstance(lexicon, dict) and len(lexicon) <= inline_max:
+        valence = F.create_map(*[x for w, v in sorted(lexicon.items()) for x in (F.lit(w), F.lit(float(v)))])
+        if not lexicon:
+            valence = F.create_map().cast("map<string,double>")
+        t = df.select(*keep, X.sentiment_tokens(F.col(text_col)).alias("_t"))
+        t = t.withColumn("_v", F.zip_with(
+            "_t", _prev_tokens(F.col("_t")),
+            lambda tok, prev: F.coalesce(F.try_element_at(valence, tok), F.lit(0.0)) * _flip(prev, negators)))
+        return _from_valences(t, keep)
+    return _sentiment_join(df, text_col, keep, lexicon, negators)
+
+
+def _flip(prev, negators: list[str]):
+    return F.when(F.array_contains(F.array(*[F.lit(w) for w in negators]), prev), F.lit(-1.0)).otherwise(F.lit(1.0))
+
+
+def _from_valences(t: DataFrame, keep: list[str]) -> DataFrame:
+    """Scores from the tokens' valences in text order (``_v``, null for null text)."""
+    def add(acc, x):
+        return acc + x
+    pos = F.aggregate(F.transform("_v", lambda x: F.greatest(x, F.lit(0.0))), F.lit(0.0), add)
+    neg = F.aggregate(F.transform("_v", lambda x: F.greatest(-x, F.lit(0.0))), F.lit(0.0), add)
+    neu = F.size(F.filter("_v", lambda x: x == 0)).cast("double")
+    return t.select(*keep, *_scores(pos, neg, neu, F.aggregate("_v", F.lit(0.0), add), F.size("_v")))
+
+
+def _sentiment_join(df: DataFrame, text_col: str, keep: list[str], lexicon, negators: list[str]) -> DataFrame:
+    """Scores by joining tokens with a lexicon too large for the plan. Rows get
+    an id of their own in a written table; a row's valences come back in text
+    order, so sums are those of the inline map."""
     spark = df.sparkSession
-    if isinstance(lexicon, dict):
-        lexicon = spark.createDataFrame(sorted(lexicon.items()), "token string, valence double")
-    lex = broadcast_if_small(lexicon.toDF("token", "valence"), 1_000_000)
-    t = df.select(key, toks.alias("_t"))
-    z = t.select(key, F.explode_outer(F.arrays_zip(F.col("_t").alias("tok"),
-                                                   _prev_tokens(F.col("_t")).alias("prev"))).alias("z"))
-    z = z.select(key, F.col("z.tok").alias("token"), F.col("z.prev").alias("prev"))
-    z = z.join(lex, "token", "left")
-    v = (F.coalesce(F.col("valence"), F.lit(0.0))
-         * F.when(F.col("prev").isin(negators), F.lit(-1.0)).otherwise(F.lit(1.0)))
-    z = z.select(key, "token", v.alias("v"))
-    g = z.groupBy(key).agg(
-        F.sum(F.greatest("v", F.lit(0.0))).alias("pos"), F.sum(F.greatest(-F.col("v"), F.lit(0.0))).alias("neg"),
-        F.count(F.when(F.col("token").isNotNull() & (F.col("v") == 0), 1)).cast("double").alias("neu"),
-        F.sum("v").alias("s"), F.count("token").alias("n"))
-    g = g.select(key, *_scores(F.col("pos"), F.col("neg"), F.col("neu"),
-                               F.coalesce(F.col("s"), F.lit(0.0)), F.col("n")))
-    return df.select(*keep).join(g, key)
+    lex = persist_cut(_token_table(spark, lexicon), spark, "lexicon")
+    rows = persist_cut(df.withColumn("_row", F.monotonically_increasing_id()), spark, "sentiment-rows")
+    toks = rows.select("_row", X.sentiment_tokens(F.col(text_col)).alias("_t"))
+    z = toks.select("_row", F.posexplode(F.arrays_zip(F.col("_t").alias("tok"), _prev_tokens(F.col("_t")).alias("prev")))
+                    .alias("at", "z"))
+    z = z.select("_row", "at", F.col("z.tok").alias("token"), F.col("z.prev").alias("prev")).join(lex, "token", "left")
+    v = F.coalesce("valence", F.lit(0.0)) * _flip(F.col("prev"), negators)
+    order = z.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("at", v.alias("v")))).alias("_o"))
+    none = F.when(F.col(text_col).isNotNull(), F.array().cast("array<double>"))
+    t = rows.join(order, "_row", "left").withColumn("_v", F.coalesce(F.col("_o.v"), none))
+    return _from_valences(t, keep)
 
 
 def business_sentiment(scored: DataFrame, business: DataFrame, city: str) -> DataFrame:
@@ -167,8 +191,8 @@ def merge_reviews(reviews: DataFrame, business: DataFrame, city: str) -> DataFra
     Joined first (the city filter prunes reviews before any grouping), then
     de-duplicated per business. The set of rows per business is its merged
     document; it is never concatenated into one value."""
-    b = city_businesses(business, city).select("BusinessID", F.col("Name").alias("BusinessName"),
-                                               "BusinessStars")
+    b = broadcast_if_small(city_businesses(business, city).select(
+        "BusinessID", F.col("Name").alias("BusinessName"), "BusinessStars"))
     return reviews.select("BusinessID", "Review").join(b, "BusinessID").distinct()
 
 
@@ -218,58 +242,51 @@ def vocabulary(tf: DataFrame, vocab_size: int = 1 << 18, min_df: int = 1,
     return ranked.where(F.col("idx") < vocab_size).select("term", F.col("idx").cast("int").alias("idx"), "df")
 
 
-def tfidf_table(merged: DataFrame, vocab_size: int = 1 << 18, language: str = "english") -> DataFrame:
-    """(BusinessID, term, idx, tf, idf, tfidf) of the merged documents (txt_tfidf)."""
-    merged = merged.persist()
-    tf = term_counts(merged, language).persist()  # read by the vocabulary and the weights
-    vocab = vocabulary(tf, vocab_size)
-    n_docs = merged.select("BusinessID").distinct().count()
-    return tfidf(tf, vocab, n_docs)
-
-
-def tfidf(tf: DataFrame, vocab: DataFrame, n_docs: int) -> DataFrame:
-    """(BusinessID, term, idx, tf, idf, tfidf) with idf = ln((m + 1) / (df + 1))."""
-    idf = F.log((F.lit(float(n_docs)) + 1.0) / (F.col("df") + 1.0))
-    j = tf.join(F.broadcast(vocab), "term")  # vocab size is bounded by vocab_size
-    return j.select("BusinessID", "term", "idx", "tf", idf.alias("idf"),
-                    (F.col("tf") * idf).alias("tfidf"))
-
-
-def tfidf_vectors(weights: DataFrame, vocab_len: int, docs: DataFrame | None = None) -> DataFrame:
-    """One sparse vector per business. The per-business entry list is bounded
-    by the vocabulary size; building the vector object is the only per-row
-    Python step of the library. With ``docs`` (one row per document), a
-    document without any vocabulary term gets an empty vector instead of
-    disappearing."""
-
-    def to_sparse(size, idx, vals):
-        # Nested, so it ships by value: workers need pyspark only, not this package.
-        from pyspark.ml.linalg import SparseVector
-        return SparseVector(size, idx, vals)
-
-    sparse = F.udf(to_sparse, VectorUDT())
-    g = weights.groupBy("BusinessID").agg(F.array_sort(F.collect_list(F.struct("idx", "tfidf"))).alias("e"))
-    if docs is not None:
-        g = docs.join(g, "BusinessID", "left")
-    idx = F.coalesce(F.col("e.idx"), F.array().cast("array<int>"))
-    val = F.coalesce(F.col("e.tfidf"), F.array().cast("array<double>"))
-    return g.select(*([c for c in g.columns if c != "e"]), sparse(F.lit(vocab_len), idx, val).alias("idf_vec"))
-
-
-def document_features(merged: DataFrame, vocab_size: int = 1 << 18, language: str = "english"):
-    """TF-IDF vectors of the merged business documents, with the vocabulary.
-
-    Returns (docs, vocab, cached): ``cached`` lists the intermediates held in
-    memory while both outputs are built; unpersist them once the outputs are
-    written (see :func:`topics`)."""
-    merged = merged.persist()
-    tf = term_counts(merged, language).persist()
-    vocab = vocabulary(tf, vocab_size).persist()
-    docs = merged.select("BusinessID", "BusinessName", "BusinessStars").distinct()
-    n_docs = docs.count()  # every document counts for idf, also one without terms
-    vocab_len = vocab.count()
-    w = tfidf(tf, vocab, n_docs)
-    return tfidf_vectors(w, max(vocab_len, 1), docs), vocab, [merged, tf, vocab]
+def tfidf_table(merged: DataFrame, language: str = "english") -> DataFrame:
+    """(BusinessID, term, tf, idf, tfidf) of the merged documents, every term
+    (txt_tfidf)."""
+    docs = merged.agg(F.count_distinct("BusinessID").alias("m")).scalar()
+    return tfidf(term_counts(merged, language), docs)
+
+
+def tfidf(tf: DataFrame, n_docs) -> DataFrame:
+    """Weights of (BusinessID, term, tf) with idf = ln((m + 1) / (df + 1)).
+    df is a grouped count that comes back by a join on the term."""
+    df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    idf = F.log((n_docs + F.lit(1)).cast("double") / (F.col("df") + 1))
+    return tf.join(df, "term").select("BusinessID", "term", "tf", idf.alias("idf"), (F.col("tf") * idf).alias("tfidf"))
+
+
+# Entries of document vectors in one LDA partition. The online optimizer draws
+# its minibatches by partition, so the partitions must not depend on the cluster.
+LDA_ENTRIES_PER_PARTITION = 100_000
+
+
+def document_vectors(merged: DataFrame, vocab_size: int = 1 << 18, language: str = "english"):
+    """TF-IDF vectors of the merged business documents over the ``vocab_size``
+    most frequent terms (for LDA: its model is dense in the vocabulary).
+
+    Returns (docs, vocab), both written to the shared folder. A vector is
+    written as the struct that VectorUDT stores and read back as one, so no row
+    passes through Python. A document without terms keeps an empty vector. The
+    documents lie in partitions by id, sized by vector entries and sorted, the
+    same on every cluster."""
+    spark = merged.sparkSession
+    merged = persist_cut(merged, spark, "lda-merged")
+    tf = persist_cut(term_counts(merged, language), spark, "lda-terms")
+    vocab = persist_cut(vocabulary(tf, vocab_size), spark, "lda-vocab")
+    names = merged.select("BusinessID", "BusinessName", "BusinessStars").distinct()
+    w = tfidf(tf, names.agg(F.count(F.lit(1)).alias("m")).scalar()).join(vocab.select("term", "idx"), "term")
+    e = w.groupBy("BusinessID").agg(F.array_sort(F.collect_list(F.struct("idx", "tfidf"))).alias("e"))
+    size = max(1, vocab.count())
+    vector = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"),
+                      F.coalesce(F.col("e.idx"), F.array().cast("array<int>")).alias("indices"),
+                      F.coalesce(F.col("e.tfidf"), F.array().cast("array<double>")).alias("values"))
+    docs = names.join(e, "BusinessID", "left").select(
+        "BusinessID", "BusinessName", "BusinessStars", F.coalesce(F.size("e"), F.lit(0)).alias("n_entries"),
+        vector.alias("idf_vec"))
+    schema = T.StructType([*docs.schema.fields[:-1], T.StructField("idf_vec", VectorUDT())])
+    return persist_cut(docs, spark, "lda-docs", schema), vocab
 
 
 def segments(threshold: float):
@@ -277,27 +294,21 @@ def segments(threshold: float):
     return {"low": F.col("BusinessStars") <= threshold, "high": F.col("BusinessStars") > threshold}
 
 
-# Documents per partition for LDA. Every partition sends a dense k x V
-# statistics matrix to the driver on every iteration, so partitions must be
-# sized by document count, not by bytes.
-LDA_DOCS_PER_PARTITION = 20_000
-
-
-def fit_topics(docs: DataFrame, k: int = 6, seed: int = 123, max_iter: int = 20,
-               n_docs: int | None = None):
-    """Online LDA (k topics) on the ``idf_vec`` column."""
-    n_docs = docs.count() if n_docs is None else n_docs
-    parts = max(1, min(docs.sparkSession.sparkContext.defaultParallelism * 4,
-                       math.ceil(n_docs / LDA_DOCS_PER_PARTITION)))
-    lda = LDA(k=k, seed=seed, optimizer="online", featuresCol="idf_vec", maxIter=max_iter)
-    return lda.fit(docs.repartition(parts).persist())
+def fit_topics(docs: DataFrame, k: int = 6, seed: int = 123, max_iter: int = 20):
+    """Online LDA (k topics) of document vectors (see :func:`document_vectors`)."""
+    entries = docs.agg(F.sum("n_entries")).first()[0] or 0
+    parts = max(1, math.ceil(entries / LDA_ENTRIES_PER_PARTITION))
+    spread = docs.repartition(parts, "BusinessID").sortWithinPartitions("BusinessID").persist()
+    model = LDA(k=k, seed=seed, optimizer="online", featuresCol="idf_vec", maxIter=max_iter).fit(spread)
+    spread.unpersist()
+    return model
 
 
 def topic_words(model, vocab: DataFrame, segment: str, max_terms: int = 10) -> DataFrame:
-    """Top words per topic; term indices are resolved by a join with the
-    (bounded, broadcast) vocabulary, keeping the model's rank order."""
+    """Top words per topic in the model's rank order. The few term numbers
+    (k x max_terms) are broadcast to the vocabulary."""
     t = model.describeTopics(max_terms).select("topic", F.posexplode("termIndices").alias("rank", "idx"))
-    j = t.join(F.broadcast(vocab.select("idx", "term")), "idx")
+    j = vocab.select("idx", "term").join(F.broadcast(t), "idx")
     g = j.groupBy("topic").agg(F.array_sort(F.collect_list(F.struct("rank", "term"))).alias("w"))
     return g.select(F.lit(segment).alias("segment"), "topic", F.col("w.term").alias("topic_word"))
 
@@ -318,22 +329,16 @@ def topics(merged: DataFrame, threshold: float = 3.0, k: int = 6, seed: int = 12
            vocab_size: int = 1 << 18, max_terms: int = 10):
     """Fit one LDA per rating segment; return (words, distributions).
 
-    The document vectors are written once to the shared folder and read back
-    (a lost executor re-reads them instead of re-running tokenisation), then
-    kept in memory for the optimizer's passes."""
-    docs, vocab, cached = document_features(merged, vocab_size)
+    Both results are written to the shared folder, so nothing stays cached and
+    reading them fits nothing again."""
+    docs, vocab = document_vectors(merged, vocab_size)
     spark = merged.sparkSession
-    docs = persist_cut(docs, spark, "lda-docs").persist()
-    vocab = persist_cut(vocab, spark, "lda-vocab")
-    for c in cached:
-        c.unpersist()
     words, dists = [], []
     for name, cond in segments(threshold).items():
         part = docs.where(cond)
-        n = part.count()
-        if n == 0:
+        if part.isEmpty():
             continue
-        m = fit_topics(part, k, seed, n_docs=n)
+        m = fit_topics(part, k, seed)
         words.append(topic_words(m, vocab, name, max_terms))
         dists.append(topic_distribution(m, part, name))
     if not words:  # no document in either segment: empty results of the same shape
@@ -343,4 +348,4 @@ def topics(merged: DataFrame, threshold: float = 3.0, k: int = 6, seed: int = 12
     out_w, out_d = words[0], dists[0]
     for w, d in zip(words[1:], dists[1:]):
         out_w, out_d = out_w.unionByName(w), out_d.unionByName(d)
-    return out_w, out_d
+    return persist_cut(out_w, spark, "topic-words"), persist_cut(out_d, spark, "topic-mixtures")

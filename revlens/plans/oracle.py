@@ -8,7 +8,12 @@ side (counts BIGINT, floors BIGINT, years INTEGER, means rounded).
 
 from __future__ import annotations
 
+import glob
+import os
 import re
+import zipfile
+
+import pyspark
 
 from revlens.functions import text as X
 from revlens.operators import text as T
@@ -20,6 +25,15 @@ _COMP_OUT = ", ".join(f"{c} AS {n}" for c, n in zip(COMPLIMENTS, USER_COLS[2:13]
 _ATTR_FIELDS = ["BikeParking", "WiFi", "RestaurantsPriceRange2", "Ambience", "GoodForMeal"]
 _SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
+
+
+def stop_words(language: str = "english") -> list[str]:
+    """Spark ML's stop words, from its jar: no session is needed."""
+    jars = os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar")
+    with zipfile.ZipFile(glob.glob(jars)[0]) as z:
+        return z.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt").decode().split("\n")
+
+
 CTES: dict[str, str] = {}
 
 CTES["business_raw"] = r"""
@@ -62,8 +76,7 @@ CTES["business_clean"] = """
 CTES["category_rows"] = """
   SELECT BusinessID, Category, TRUE AS Served FROM (
     SELECT BusinessID, upper(trim(c)) AS Category
-    FROM (SELECT BusinessID, unnest(string_split(Categories, ',')) AS c FROM business_clean))
-  WHERE Category <> ''"""
+    FROM (SELECT BusinessID, unnest(string_split(Categories, ',')) AS c FROM business_clean))"""
 
 
 def _clean_val(v: str) -> str:
@@ -93,12 +106,10 @@ CTES["checkin_raw"] = """
   FROM events"""
 
 CTES["checkins"] = """
-  SELECT BusinessID, CheckinDate FROM (
-    SELECT BusinessID, t, try_strptime(t, '%Y-%m-%d %H:%M:%S') AS CheckinDate FROM (
-      SELECT BusinessID, trim(t0) AS t FROM (
-        SELECT business_id AS BusinessID, unnest(string_split(date, ',')) AS t0 FROM checkin_raw
-        WHERE business_id IN (SELECT BusinessID FROM business_clean))))
-  WHERE t <> '' AND CheckinDate IS NOT NULL"""
+  SELECT BusinessID, try_strptime(trim(t), '%Y-%m-%d %H:%M:%S') AS CheckinDate FROM (
+    SELECT business_id AS BusinessID, unnest(string_split(date, ',')) AS t FROM checkin_raw
+    WHERE business_id IN (SELECT BusinessID FROM business_clean))
+  WHERE t <> ''"""
 
 CTES["review_raw"] = """
   SELECT concat(CAST(l_orderkey AS VARCHAR), '-', CAST(l_linenumber AS VARCHAR)) AS review_id,
@@ -183,20 +194,24 @@ CTES["per_nation"] = """
 
 _NUM = "CAST(substr(source, 4) AS INTEGER)"
 
+CTES["text_classed"] = """
+  SELECT documents.*, coalesce(CAST(quality AS BIGINT), doc_id % 2) AS class
+  FROM documents LEFT JOIN labels USING (doc_id)"""
+
 CTES["text_reviews"] = """
-  SELECT CAST(doc_id AS VARCHAR) AS ReviewID, concat(source, '_q', CAST(quality AS VARCHAR)) AS BusinessID,
+  SELECT CAST(doc_id AS VARCHAR) AS ReviewID, concat(source, '_q', CAST(class AS VARCHAR)) AS BusinessID,
          concat('u', CAST(doc_id % 97 AS VARCHAR)) AS UserID, text AS Review,
-         CASE WHEN quality = 1 THEN CAST(5.0 AS DOUBLE) ELSE CAST(1.0 AS DOUBLE) END AS ReviewStars
-  FROM documents JOIN labels USING (doc_id)"""
+         CASE WHEN class = 1 THEN CAST(5.0 AS DOUBLE) ELSE CAST(1.0 AS DOUBLE) END AS ReviewStars
+  FROM text_classed"""
 
 CTES["text_businesses"] = f"""
-  SELECT concat(source, '_q', CAST(quality AS VARCHAR)) AS BusinessID, source AS Name,
+  SELECT concat(source, '_q', CAST(class AS VARCHAR)) AS BusinessID, source AS Name,
          CASE WHEN {_NUM} % 4 = 3 THEN 'Markham' ELSE 'Toronto' END AS City,
-         concat('M', lpad(CAST({_NUM} % 25 AS VARCHAR), 2, '0'), ' 1A', CAST(quality AS VARCHAR)) AS PostalCode,
+         concat('M', lpad(CAST({_NUM} % 25 AS VARCHAR), 2, '0'), ' 1A', CAST(class AS VARCHAR)) AS PostalCode,
          CAST(43.6 AS DOUBLE) + {_NUM} / CAST(1000.0 AS DOUBLE) AS Latitude,
          CAST(-79.4 AS DOUBLE) - {_NUM} / CAST(1000.0 AS DOUBLE) AS Longitude,
-         CASE WHEN quality = 1 THEN CAST(5.0 AS DOUBLE) ELSE CAST(1.0 AS DOUBLE) END AS BusinessStars
-  FROM (SELECT DISTINCT source, quality FROM documents JOIN labels USING (doc_id))"""
+         CASE WHEN class = 1 THEN CAST(5.0 AS DOUBLE) ELSE CAST(1.0 AS DOUBLE) END AS BusinessStars
+  FROM (SELECT DISTINCT source, class FROM text_classed)"""
 
 
 # ---- geo, text and recommender layers ----------------------------------------
@@ -246,6 +261,19 @@ CTES["text_sentiment"] = f"""
               FROM (SELECT ReviewID, BusinessID, Name,
                            regexp_extract_all(text_ascii, '{_TOKEN}', 0) AS toks FROM text_clean)))"""
 
+STOP_WORDS = "(" + ", ".join(_q(w) for w in stop_words() if w) + ")"
+CTES["merged_reviews"] = f"""
+  SELECT DISTINCT r.BusinessID, r.Review, b.Name AS BusinessName, b.BusinessStars
+  FROM text_reviews r JOIN text_businesses b ON r.BusinessID = b.BusinessID WHERE b.City = '{PR.TEXT_CITY}'"""
+CTES["term_freqs"] = f"""
+  SELECT BusinessID, term, count(*) AS tf FROM (
+    SELECT BusinessID, unnest(list_filter(regexp_extract_all(lower(Review), '\\w+'),
+                                          lambda x: x NOT IN {STOP_WORDS})) AS term FROM merged_reviews)
+  GROUP BY ALL"""
+CTES["term_idfs"] = """
+  SELECT term, ln(CAST((SELECT count(DISTINCT BusinessID) FROM merged_reviews) + 1 AS DOUBLE) / (count(*) + 1)) AS idf
+  FROM term_freqs GROUP BY term"""
+
 CTES["rec_sentiment"] = """
   SELECT g.BusinessID, avg_neg, avg_neu, avg_pos, avg_composite_score, b.Name,
          replace(b.PostalCode, ' ', '') AS ZipCode, b.Latitude, b.Longitude

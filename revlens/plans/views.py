@@ -26,7 +26,9 @@ Field values are derived by rules (modulo of a size, a word of a name); none
 of them filters rows. Rows are dropped only by the operators' own validity
 rules (closed, unlisted province, short postcode, null stars), as the
 reference's ETL drops them.
-* text reviews <- documents join labels; business = source and quality.
+* text reviews <- all documents; business = source and class, the class being
+  the label's quality where there is one and doc_id mod 2 elsewhere, so that
+  both rating segments hold labelled and unlabelled documents.
 """
 
 from __future__ import annotations
@@ -34,6 +36,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from revlens.operators.joins import broadcast_if_small
 from revlens.schemas import COMPLIMENTS
 from revlens.sources.io import read_parquet
 
@@ -42,7 +45,9 @@ SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_parquet(spark, f"{sf_dir}/{name}.parquet")
+    """A test table. Those with much work per row (texts, packed times) are
+    dealt over all cores first; the others are scanned as they are split."""
+    return read_parquet(spark, f"{sf_dir}/{name}.parquet", spread=name in ("documents", "events"))
 
 
 def business_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,33 +190,35 @@ def labour(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def text_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled documents as reviews (clean review shape)."""
-    d = table(spark, sf_dir, "documents")
-    lb = table(spark, sf_dir, "labels")
-    j = d.join(lb, "doc_id")
-    return j.select(
+    """Every document as a review (clean review shape)."""
+    return _classed(spark, sf_dir).select(
         F.col("doc_id").cast("string").alias("ReviewID"),
-        F.expr("concat(source, '_q', CAST(quality AS STRING))").alias("BusinessID"),
+        F.expr("concat(source, '_q', CAST(class AS STRING))").alias("BusinessID"),
         F.expr("concat('u', CAST(doc_id % 97 AS STRING))").alias("UserID"),
         F.col("text").alias("Review"),
-        F.expr("CASE WHEN quality = 1 THEN 5.0D ELSE 1.0D END").alias("ReviewStars"))
+        F.expr("CASE WHEN class = 1 THEN 5.0D ELSE 1.0D END").alias("ReviewStars"))
 
 
-def text_businesses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One business per (source, quality) seen in the labelled documents."""
+def _classed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with their class: the labelled quality, else doc_id mod 2."""
     d = table(spark, sf_dir, "documents")
-    lb = table(spark, sf_dir, "labels")
-    k = d.join(lb, "doc_id").select("source", "quality").distinct()
+    lb = broadcast_if_small(table(spark, sf_dir, "labels").select("doc_id", "quality"))
+    return d.join(lb, "doc_id", "left").withColumn("class", F.expr("coalesce(CAST(quality AS BIGINT), doc_id % 2)"))
+
+
+def text_businesses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One business per (source, class) seen in the documents."""
+    k = _classed(spark, sf_dir).select("source", "class").distinct()
     num = "CAST(substr(source, 4) AS INT)"
     return k.select(
-        F.expr("concat(source, '_q', CAST(quality AS STRING))").alias("BusinessID"),
+        F.expr("concat(source, '_q', CAST(class AS STRING))").alias("BusinessID"),
         F.col("source").alias("Name"),
         F.expr(f"CASE WHEN {num} % 4 = 3 THEN 'Markham' ELSE 'Toronto' END").alias("City"),
-        F.expr(f"concat('M', lpad(CAST({num} % 25 AS STRING), 2, '0'), ' 1A', CAST(quality AS STRING))")
+        F.expr(f"concat('M', lpad(CAST({num} % 25 AS STRING), 2, '0'), ' 1A', CAST(class AS STRING))")
         .alias("PostalCode"),
         F.expr(f"43.6D + {num} / 1000.0D").alias("Latitude"),
         F.expr(f"-79.4D - {num} / 1000.0D").alias("Longitude"),
-        F.expr("CASE WHEN quality = 1 THEN 5.0D ELSE 1.0D END").alias("BusinessStars"))
+        F.expr("CASE WHEN class = 1 THEN 5.0D ELSE 1.0D END").alias("BusinessStars"))
 
 
 def rec_sentiment(reviews: DataFrame, business: DataFrame) -> DataFrame:

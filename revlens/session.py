@@ -63,6 +63,3 @@ def shared_dir(spark: SparkSession, sub: str = "") -> str:
         sc.setCheckpointDir(base)
     return base.rstrip("/") + ("/" + sub.strip("/") if sub else "")
 
-
-def sf_dir_default() -> str:
-    return os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")

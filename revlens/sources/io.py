@@ -16,6 +16,10 @@ from pyspark.sql import types as T
 from revlens.session import shared_dir
 
 
+# Bytes of a scan split (the default of spark.sql.files.maxPartitionBytes).
+SPLIT_BYTES = 128 << 20
+
+
 def read_json(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """JSON lines. With ``schema`` there is no inference pass over the files."""
     r = spark.read
@@ -24,19 +28,15 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType | None = None
     return r.json(path)
 
 
-def read_parquet(spark: SparkSession, path: str, spread: bool = True) -> DataFrame:
-    """Parquet scan. With ``spread``, an input that splits into fewer scan
-    tasks than the cluster has cores (one large row group, a few big files)
-    is dealt round-robin over ``defaultParallelism`` partitions, so the
-    row-level work after the scan is not confined to a few tasks. Large
-    inputs already split into many tasks and are left alone. Column pruning
-    and filter pushdown pass through the repartition."""
+def read_parquet(spark: SparkSession, path: str, spread: bool = False) -> DataFrame:
+    """Parquet scan. With ``spread``, an input of fewer bytes than one scan
+    split per core is dealt round-robin over the cores before the row-level
+    work that follows; larger inputs split by themselves. Sizes come from the
+    file listing. Column pruning and filter pushdown pass through the exchange."""
     df = spark.read.parquet(path)
-    if spread:
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
-            df = df.repartition(cores)
-    return df
+    cores = spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) if spread else 0
+    return df.repartition(cores) if spread and size < cores * SPLIT_BYTES else df
 
 
 def read_csv_strings(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
@@ -94,12 +94,32 @@ def load_model(path: str):
     return PipelineModel.load(path)
 
 
-def persist_cut(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
+_cuts: list[str] = []
+
+
+def persist_cut(df: DataFrame, spark: SparkSession, name: str, schema: T.StructType | None = None) -> DataFrame:
     """Cut lineage by writing ``df`` to the shared folder and reading it back.
 
     A lost executor then costs a re-read of this table, not a recomputation of
-    everything before it. The folder comes from ``spark.checkpoint.dir``.
+    everything before it. The folder comes from ``spark.checkpoint.dir``; it is
+    deleted by :func:`release_cuts`. With ``schema`` the table is read as such.
     """
     path = shared_dir(spark, f"cut/{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    _cuts.append(path)
+    return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
+
+
+def cut_folders() -> list[str]:
+    """Cut folders of this process that are not released."""
+    return list(_cuts)
+
+
+def release_cuts(spark: SparkSession, since: int = 0) -> None:
+    """Delete the cut folders made after the first ``since`` ones. To be called
+    when nothing that reads them is needed any more, at the end of a job."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while len(_cuts) > since:
+        path = jvm.org.apache.hadoop.fs.Path(_cuts.pop())
+        path.getFileSystem(conf).delete(path, True)
