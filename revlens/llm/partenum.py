@@ -20,7 +20,8 @@ least ``percent``/100. The join is exact:
    completely, in blocks of bounded size: all pairs of different components
    are compared by odd sketches (one parity bit per slot; the number of
    unequal bits never exceeds the symmetric difference, so the filter loses no
-   link) and the survivors verified. After it no link can join two components.
+   link) and the survivors verified. Each pair is reported by the first bucket
+   it shares. After it no link can join two components.
 
 Verification counts the intersection of the two texts' shingle sets.
 """
@@ -231,16 +232,26 @@ def _close(percent: int):
 
 def _candidates(t: dict[str, np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of one block pair of one bucket that are of different components,
-    not both guests (those meet in the band before) and near by their sketches."""
+    near by their sketches and not together in a bucket of smaller signature,
+    which reports them."""
     bits = np.frombuffer(b"".join(t["sketch"]), np.uint8).reshape(len(t["sketch"]), -1)
-    rep, comp, n, home, side = t["rep"], t["comp"], t["n_shingles"], t["home"], t["side"]
+    rep, comp, n, side = t["rep"], t["comp"], t["n_shingles"], t["side"]
     within = side.min() == side.max()
+    earlier: dict[int, frozenset] = {}  # by row: its smaller signatures
     us, vs = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+
+    def met_before(i: int, j: int) -> bool:
+        for k in (i, j):
+            if k not in earlier:
+                earlier[k] = frozenset(t["earlier"][k])
+        return not earlier[i].isdisjoint(earlier[j])
+
     for i in range(len(rep)):
-        j = np.flatnonzero((comp != comp[i]) & (home | home[i]) & ((rep > rep[i]) if within else (side > side[i])))
+        j = np.flatnonzero((comp != comp[i]) & ((rep > rep[i]) if within else (side > side[i])))
         if len(j):
             most = _most(n[j], n[i], percent)
             j = j[np.bitwise_count(bits[j] ^ bits[i]).sum(1, dtype=np.int64) <= most]
+            j = np.array([k for k in j.tolist() if not met_before(i, k)], np.int64)
             us.append(np.full(len(j), rep[i]))
             vs.append(rep[j])
     return np.concatenate(us), np.concatenate(vs)
@@ -265,8 +276,10 @@ def _search(percent: int):
             if batch is not None:
                 rest = t.slice(int(begin[-2]))
                 begin = begin[:-1]
-            c = {k: t.column(k).to_numpy() for k in ("rep", "comp", "n_shingles", "home", "side")}
-            c["sketch"] = np.array(t.column("sketch").to_pylist(), object)
+            c = {k: t.column(k).to_numpy() for k in ("rep", "comp", "n_shingles", "side")}
+            for k in ("sketch", "earlier"):
+                c[k] = np.empty(t.num_rows, object)
+                c[k][:] = t.column(k).to_pylist()
             pairs = [_candidates({k: v[i:j] for k, v in c.items()}, percent) for i, j in zip(begin[:-1], begin[1:])]
             if pairs:
                 u, v = (np.concatenate(x) for x in zip(*pairs))
@@ -350,16 +363,21 @@ def jaccard_classes(docs: DataFrame, words: int = 4, percent: int = 85) -> DataF
     mixed = persist_cut(mixed.groupBy("x", "y", "n", F.expr("sig & 1")).agg(F.min("sig").alias("sig")).select(
         "sig", F.ceil(F.col("n") / BLOCK_NODES).cast("int").alias("n_blocks")), spark, "mixed")
     at_home = F.expr("(sig & 1) = (band & 1)")
-    todo = (rows.join(mixed, "sig")
-            .join(reps.select("node", "n_shingles", "band", "home", "guest"), "node")
-            .select("sig", "rep", "comp", "n_shingles", "n_blocks", at_home.alias("home"),
+    # A node's buckets in order, so that each knows the ones before it.
+    of_node = rows.join(mixed, "sig").groupBy("node", "rep", "comp").agg(
+        F.array_sort(F.collect_list(F.struct("sig", "n_blocks"))).alias("buckets"))
+    todo = (of_node.join(reps.select("node", "n_shingles", "band", "home", "guest"), "node")
+            .select("*", F.posexplode("buckets").alias("place", "bucket"))
+            .select("rep", "comp", "n_shingles", "band", "home", "guest", "bucket.sig", "bucket.n_blocks",
+                    F.slice("buckets.sig", F.lit(1), F.col("place")).alias("earlier"))
+            .select("sig", "rep", "comp", "n_shingles", "n_blocks", "earlier",
                     F.pmod(F.xxhash64("rep"), "n_blocks").cast("int").alias("side"),
                     F.when(at_home, F.col("home")).otherwise(F.col("guest")).alias("sketch"))
             .withColumn("other", F.explode(F.expr("sequence(0, n_blocks - 1)")))
             .select("*", F.least("side", "other").cast("long").alias("lo"),
                     F.greatest("side", "other").cast("long").alias("hi")).drop("other", "n_blocks"))
     second = persist_cut(todo.repartition("sig", "lo", "hi").sortWithinPartitions("sig", "lo", "hi")
-                         .mapInArrow(_search(percent), "u long, v long").distinct(), spark, "pairs")
+                         .mapInArrow(_search(percent), "u long, v long"), spark, "pairs")
     links = links1.unionByName(_verified(second, docs, words, percent))
     comp = components(links)
     own = base.groupBy("node").agg(F.min("doc_id").alias("rep")).where("node IS NOT NULL")
