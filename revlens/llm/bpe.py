@@ -13,6 +13,7 @@ data) and broadcast. Texts are independent: nothing is shuffled.
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 from array import array
 from itertools import chain
@@ -26,10 +27,10 @@ from pyspark.sql import types as T
 
 from revlens.llm import textops as X
 
-#: Pre-tokens remembered by a task before it turns to a new memory; the last
+#: Pre-tokens remembered by a worker before it turns to a new memory; the last
 #: one stays at hand. Only time depends on it.
-REMEMBERED = 300_000
-#: Pairs remembered by a task; forgotten all at once.
+REMEMBERED = 400_000
+#: Pairs remembered by a worker; forgotten all at once.
 PAIRS = 1_000_000
 #: Text bytes after which a task hands on a batch.
 BATCH_BYTES = 4 << 20
@@ -90,6 +91,7 @@ class Vocabulary:
         self.byte = [self.hash.get(bytes([b])) for b in range(256)]
         if min(self.byte) < 0:
             raise ValueError("a byte-level vocabulary holds every single byte")
+        self.key = hashlib.sha256(repr((pattern, tokens)).encode()).hexdigest()
 
     @classmethod
     def read(cls, path: str, pattern: str) -> Vocabulary:
@@ -185,9 +187,20 @@ class Decoder:
         return self.flat[np.repeat(self.begin[ids] - (end - size), size) + np.arange(total)].tobytes()
 
 
+_encoders: dict[str, Encoder] = {}
+
+
+def _encoder(vocabulary: Vocabulary) -> Encoder:
+    """The encoder of this worker process, with what earlier tasks have met."""
+    if vocabulary.key not in _encoders:
+        _encoders.clear()
+        _encoders[vocabulary.key] = Encoder(vocabulary)
+    return _encoders[vocabulary.key]
+
+
 def _encode(shared):
     def run(batches):
-        encoder = Encoder(shared.value)
+        encoder = _encoder(shared.value)
         for batch in X.small(batches):
             texts = batch.column("text")
             size = np.cumsum(np.r_[0, [0 if t is None else len(t) for t in texts.to_pylist()]])
