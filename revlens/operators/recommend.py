@@ -1,13 +1,12 @@
 """Rating model: training rows, GBT fit and evaluation, and top-N suggestions.
 
-Candidates are (sampled user, business) pairs the user has not reviewed.
-The user sample is a parameter-bounded list (``n_users``), so it is inlined
-as a literal array and exploded against the business rows: no join is
-needed to pair them and the work is linear in the number of businesses.
-The sample's own reviews are grouped per business (at most ``n_users`` ids
-each) and joined on the business key before the explode, so "not visited"
-is a filter on each generated pair and the candidate set itself is never
-shuffled.
+Candidates are (sampled user, business) pairs the user has not reviewed. The
+user sample is bounded by ``n_users``; it reaches the plan as one array value
+(a scalar subquery) that is exploded against the business rows, so the work is
+linear in the number of businesses and no join makes the pairs. The sample's
+own reviews are grouped per business (at most ``n_users`` ids each) and joined
+on the business key before the explode, so "not visited" is a filter on each
+pair and the candidate set is never shuffled.
 Top-N per user is a ``row_number`` window filtered to N, which Spark turns
 into a partial WindowGroupLimit before the shuffle, so even a user paired
 with every business sends at most N rows per map task.
@@ -17,18 +16,18 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from revlens.operators.joins import take_bounded
 from revlens.sources.io import persist_cut
 
+# The model's ten features and the booster's settings.
 FEATURES = ["UserReviewCount", "UserAverageStars", "Latitude", "Longitude",
             "BusinessNeighborhoodIndexed", "ReviewDayOfYear", "AverageNegative",
             "AverageNeutral", "AveragePositive", "AverageComposite"]
-MAX_USERS = 10_000
+MAX_ITER, MAX_DEPTH, MAX_BINS = 5, 10, 110
 
 
 def _business_side(sentiment: DataFrame) -> DataFrame:
@@ -54,67 +53,74 @@ def features(reviews: DataFrame, users: DataFrame, sentiment: DataFrame) -> Data
     return ru.join(_business_side(sentiment), "BusinessID")
 
 
-def pipeline(seed: int = 42, max_iter: int = 5, max_depth: int = 10, max_bins: int = 110) -> Pipeline:
+def fit(train: DataFrame, seed: int = 42, max_iter: int = MAX_ITER, max_depth: int = MAX_DEPTH,
+        max_bins: int = MAX_BINS) -> PipelineModel:
+    """Index the neighbourhood, fill missing numbers with the training mean,
+    assemble, boost. No row is dropped: fit, evaluation and scoring share the
+    one rule for missing values. ``max_bins`` grows with the number of
+    neighbourhoods (an unseen one is a category of its own)."""
+    numbers = [c for c in FEATURES if c != "BusinessNeighborhoodIndexed"]
+    doubled = train.withColumns({c: F.col(c).cast("double") for c in numbers})
+    known = doubled.agg(*[F.count(F.col(c)).alias(c) for c in numbers]).first()
+    fill = [c for c in numbers if known[c]]  # a column without any number tells nothing and is left out
     indexer = StringIndexer(inputCol="BusinessNeighborhood", outputCol="BusinessNeighborhoodIndexed",
-                            handleInvalid="keep")
-    assembler = VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="skip")
-    gbt = GBTRegressor(featuresCol="features", labelCol="ReviewStars", maxIter=max_iter,
-                       maxDepth=max_depth, maxBins=max_bins, seed=seed)
-    return Pipeline(stages=[indexer, assembler, gbt])
+                            handleInvalid="keep").fit(train)
+    imputer = Imputer(inputCols=fill, outputCols=[f"{c}_filled" for c in fill])
+    assembler = VectorAssembler(inputCols=[*[f"{c}_filled" for c in fill], "BusinessNeighborhoodIndexed"],
+                                outputCol="features")
+    gbt = GBTRegressor(featuresCol="features", labelCol="ReviewStars", maxIter=max_iter, maxDepth=max_depth,
+                       maxBins=max(max_bins, len(indexer.labels) + 1), seed=seed)
+    rest = Pipeline(stages=[imputer, assembler, gbt]).fit(indexer.transform(_numbers(train)))
+    return PipelineModel([indexer, *rest.stages])
+
+
+def _numbers(rows: DataFrame) -> DataFrame:
+    """The numeric features as doubles (the imputer and its model want one type)."""
+    return rows.withColumns({c: F.col(c).cast("double") for c in FEATURES if c in rows.columns})
 
 
 def train_eval(rows: DataFrame, seed: int = 42, weights=(0.75, 0.25), **gbt):
-    """Fit on a seeded 75 % split; r2 and rmse on the rest.
+    """Fit on a seeded 75 % split; r2 and rmse on all rows of the rest.
 
     The rows are written to the shared folder first: ``randomSplit`` samples
     each split from the same parent, and a parent recomputed through shuffles
     may come back in another order, which would let rows fall into both splits
     or neither. A written table reads back identically (and survives lost
     executors); it is also computed once instead of once per split."""
-    rows = persist_cut(rows, rows.sparkSession, "rec-train-rows")
-    train, test = rows.randomSplit(list(weights), seed)
-    train = train.persist()
-    test = test.persist()
-    model = pipeline(seed, **gbt).fit(train)
+    rows = persist_cut(_numbers(rows), rows.sparkSession, "rec-train-rows")
+    train, test = (x.persist() for x in rows.randomSplit(list(weights), seed))
+    model = fit(train, seed, **gbt)
     pred = model.transform(test)
     ev = RegressionEvaluator(predictionCol="prediction", labelCol="ReviewStars")
-    r2 = ev.setMetricName("r2").evaluate(pred)
-    rmse = ev.setMetricName("rmse").evaluate(pred)
+    metrics = {m: ev.setMetricName(m).evaluate(pred) for m in ("r2", "rmse")}
     train.unpersist()
     test.unpersist()
-    return model, {"r2": r2, "rmse": rmse}
+    return model, metrics
 
 
-def sample_users(users: DataFrame, n_users: int) -> list:
+def sample_users(users: DataFrame, n_users: int) -> DataFrame:
     """The first ``n_users`` users by id (a fixed, reproducible sample)."""
-    if n_users > MAX_USERS:
-        raise ValueError(f"n_users {n_users} exceeds {MAX_USERS}")
-    return take_bounded(users.select("UserID", "UserName", "ReviewCount", "AverageStars")
-                        .orderBy("UserID").limit(n_users), n_users)
+    return users.select("UserID", "UserName", F.col("ReviewCount").alias("UserReviewCount"),
+                        F.col("AverageStars").alias("UserAverageStars")).orderBy("UserID").limit(n_users)
 
 
 def candidates(users: DataFrame, reviews: DataFrame, sentiment: DataFrame,
-               n_users: int = 50, as_of: str = "2024-06-30") -> DataFrame:
-    """Unvisited (user, business) pairs of the user sample, with features."""
-    sample = sample_users(users, n_users)
-    ids = [r["UserID"] for r in sample]
-    arr = F.array(*[F.struct(F.lit(r["UserID"]).alias("UserID"), F.lit(r["UserName"]).alias("UserName"),
-                             F.lit(r["ReviewCount"]).cast("bigint").alias("UserReviewCount"),
-                             F.lit(r["AverageStars"]).cast("double").alias("UserAverageStars"))
-                    for r in sample])
+               n_users: int = 50, as_of: str | None = None) -> DataFrame:
+    """Unvisited (user, business) pairs of the user sample, with features.
+    ``as_of``: the day of the supposed review, today by default."""
+    sample = persist_cut(sample_users(users, n_users), users.sparkSession, "rec-users")  # n_users rows
+    everyone = sample.agg(F.array_sort(F.collect_list(F.struct(*sample.columns)))).scalar()
     # Each business's reviewers among the sample: at most n_users ids per
-    # business, combined map-side. Joined on the business key, the pairs are
-    # then made and filtered in place, so the n_users-times-larger candidate
-    # set is never shuffled.
-    seen = (reviews.where(F.col("UserID").isin(ids)).groupBy("BusinessID")
+    # business, combined map-side.
+    seen = (reviews.join(F.broadcast(sample.select("UserID")), "UserID", "left_semi").groupBy("BusinessID")
             .agg(F.collect_set("UserID").alias("_seen")))
     biz = _business_side(sentiment).join(seen, "BusinessID", "left")
-    pairs = biz.select("*", F.explode(arr).alias("u"))
+    pairs = biz.select("*", F.explode(everyone).alias("u"))
     unseen = ~F.coalesce(F.array_contains(F.col("_seen"), F.col("u.UserID")), F.lit(False))
+    day = F.to_date(F.lit(as_of)) if as_of else F.current_date()
     return pairs.where(unseen).select(
         "BusinessID", "u.UserID", "u.UserName", "u.UserReviewCount", "u.UserAverageStars",
-        F.lit(0).alias("ReviewStars"),
-        F.dayofyear(F.to_date(F.lit(as_of))).alias("ReviewDayOfYear"),
+        F.lit(0).alias("ReviewStars"), F.dayofyear(day).alias("ReviewDayOfYear"),
         "BusinessName", "BusinessPostalCode", "BusinessNeighborhood", "Latitude", "Longitude",
         "AverageNegative", "AverageNeutral", "AveragePositive", "AverageComposite")
 
@@ -128,13 +134,9 @@ def fixed_score(cands: DataFrame) -> DataFrame:
 
 
 def predict(model: PipelineModel, cands: DataFrame) -> DataFrame:
-    """Score every candidate. Training skips rows with a missing feature; here
-    no candidate may be dropped, so a missing feature is kept as NaN (the
-    trees send it down one fixed branch) and the row is still scored."""
-    for st in model.stages:
-        if isinstance(st, VectorAssembler):
-            st.setHandleInvalid("keep")
-    return model.transform(cands).withColumnRenamed("prediction", "PredictedReviewStar")
+    """Score every candidate; the model's own rule fills missing numbers."""
+    scored = model.transform(_numbers(cands)).withColumnRenamed("prediction", "PredictedReviewStar")
+    return scored.withColumns({c: F.col(c).cast(t) for c, t in cands.dtypes if c in FEATURES})
 
 
 def top_n(pred: DataFrame, n: int = 10) -> DataFrame:

@@ -136,9 +136,9 @@ def sentiment(df: DataFrame, text_col: str = "text_ascii", lexicon=None,
         if not lexicon:
             valence = F.create_map().cast("map<string,double>")
         t = df.select(*keep, X.sentiment_tokens(F.col(text_col)).alias("_t"))
-        t = t.withColumn("_v", F.zip_with(
-            "_t", _prev_tokens(F.col("_t")),
-            lambda tok, prev: F.coalesce(F.try_element_at(valence, tok), F.lit(0.0)) * _flip(prev, negators)))
+        t = t.withColumn("_p", _prev_tokens(F.col("_t"))).withColumn("_v", F.transform(
+            "_t", lambda tok, i: F.coalesce(F.try_element_at(valence, tok), F.lit(0.0))
+            * _flip(F.get(F.col("_p"), i), negators)))
         return _from_valences(t, keep)
     return _sentiment_join(df, text_col, keep, lexicon, negators)
 
@@ -167,7 +167,8 @@ def _sentiment_join(df: DataFrame, text_col: str, keep: list[str], lexicon, nega
     toks = rows.select("_row", X.sentiment_tokens(F.col(text_col)).alias("_t"))
     z = toks.select("_row", F.posexplode(F.arrays_zip(F.col("_t").alias("tok"), _prev_tokens(F.col("_t")).alias("prev")))
                     .alias("at", "z"))
-    z = z.select("_row", "at", F.col("z.tok").alias("token"), F.col("z.prev").alias("prev")).join(lex, "token", "left")
+    z = z.select("_row", "at", F.col("z.tok").alias("token"), F.col("z.prev").alias("prev"))
+    z = z.where("token IS NOT NULL").join(lex, "token", "left")
     v = F.coalesce("valence", F.lit(0.0)) * _flip(F.col("prev"), negators)
     order = z.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("at", v.alias("v")))).alias("_o"))
     none = F.when(F.col(text_col).isNotNull(), F.array().cast("array<double>"))

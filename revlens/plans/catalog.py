@@ -7,6 +7,7 @@ an oracle entry (ML fits) are checked by row count and by pytest properties.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,8 @@ from revlens.operators import text as T
 from revlens.plans import oracle as O
 from revlens.plans import params as PR
 from revlens.plans import views as V
+from revlens.session import shared_dir
+from revlens.sources.io import load_model, persist_cut, save_model
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -399,17 +402,22 @@ def q_txt_topic_rows(spark, d):
 
 # ---- recommender ---------------------------------------------------------------
 
-def rec_sentiment(spark, d):
-    return V.rec_sentiment(reviews(spark, d), business(spark, d))
+def rec_inputs(spark, d):
+    """Reviews, users and business sentiment; the reviews, from which the other
+    two are derived, are written once."""
+    b = persist_cut(business(spark, d), spark, "rec-business")
+    r = persist_cut(P.review_clean(V.review_raw(spark, d), b).drop("Review"), spark, "rec-reviews")
+    return r, P.user_valid(V.user_raw(spark, d), r), V.rec_sentiment(r, b)
 
 
 def rec_features(spark, d):
-    return R.features(reviews(spark, d), users(spark, d), rec_sentiment(spark, d))
+    r, u, s = rec_inputs(spark, d)
+    return R.features(r, u, s)
 
 
 def rec_candidates(spark, d):
-    return R.candidates(users(spark, d), reviews(spark, d), rec_sentiment(spark, d),
-                        PR.N_USERS, PR.AS_OF_DATE)
+    r, u, s = rec_inputs(spark, d)
+    return R.candidates(u, r, s, PR.N_USERS, PR.AS_OF_DATE)
 
 
 @register("rec_features", f"""
@@ -422,12 +430,21 @@ def q_rec_features(spark, d):
     return rec_features(spark, d)
 
 
+_models: dict[tuple[str, str], str] = {}
+
+
+def _train(spark, d) -> dict[str, float]:
+    """Fit and evaluate, and save the model for the session."""
+    model, metrics = R.train_eval(rec_features(spark, d), PR.SPLIT_SEED)
+    path = shared_dir(spark, f"models/recommender-{uuid.uuid4().hex}")
+    save_model(model, path)
+    _models[spark.sparkContext.applicationId, d] = path
+    return metrics
+
+
 @register("rec_train_eval")
 def q_rec_train_eval(spark, d):
-    from revlens.session import shared_dir
-    from revlens.sources.io import save_model
-    model, m = R.train_eval(rec_features(spark, d), PR.SPLIT_SEED)
-    save_model(model, shared_dir(spark, "models/recommender"))
+    m = _train(spark, d)
     return spark.createDataFrame([(float(m["r2"]), float(m["rmse"]))], "r2 double, rmse double")
 
 
@@ -452,5 +469,8 @@ def q_rec_top10(spark, d):
 
 @register("rec_top10_model")
 def q_rec_top10_model(spark, d):
-    model, _ = R.train_eval(rec_features(spark, d), PR.SPLIT_SEED)
+    """Top 10 by the saved model of this table folder (trained where none is)."""
+    if (spark.sparkContext.applicationId, d) not in _models:
+        _train(spark, d)
+    model = load_model(_models[spark.sparkContext.applicationId, d])
     return R.top_n(R.predict(model, rec_candidates(spark, d)), PR.TOP_N)

@@ -6,7 +6,7 @@ import os
 import pytest
 
 from revlens import schemas
-from revlens.operators.joins import bounded_rows, broadcast_if_small, take_bounded
+from revlens.operators.joins import broadcast_if_small, planned_bytes, take_bounded
 from revlens.session import shared_dir
 from revlens.sources import io
 
@@ -50,8 +50,8 @@ def test_persist_cut_in_shared_folder(spark):
 
 def test_bounded_helpers(spark):
     df = spark.range(100)
-    assert bounded_rows(df, 100) and not bounded_rows(df, 99)
-    assert "BroadcastExchange" in broadcast_if_small(df, 100).join(df, "id")._jdf.queryExecution() \
+    assert planned_bytes(df) <= 100 * 8
+    assert "BroadcastExchange" in broadcast_if_small(df, 800).join(df, "id")._jdf.queryExecution() \
         .executedPlan().toString()
     with pytest.raises(ValueError):
         take_bounded(df, 10)

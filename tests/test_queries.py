@@ -7,11 +7,12 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as E
+from revlens.plans import catalog as C
 from tests.conftest import SF_SMALL
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
-ML_KEYS = {"txt_tokens", "txt_tfidf", "txt_topic_words", "txt_topic_dist", "txt_topic_rows",
+ML_KEYS = {"txt_topic_words", "txt_topic_dist", "txt_topic_rows",
            "rec_train_eval", "rec_top10_model"}
 
 
@@ -39,8 +40,8 @@ def con():
 
 
 def test_contract():
-    q, o = E.queries(), E.oracle_sql()
-    assert set(o) <= set(q)
+    q, o = C.QUERIES, C.ORACLE
+    assert set(o) <= set(q) <= set(E.queries())
     assert set(q) - set(o) == ML_KEYS
     assert len(q) == 44
 
@@ -55,22 +56,19 @@ DUCK_TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double
               "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
 
 
-@pytest.mark.parametrize("key", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(C.ORACLE))
 def test_oracle(spark, con, key):
-    sdf = E.queries()[key](spark, SF_SMALL)
+    sdf = C.QUERIES[key](spark, SF_SMALL)
+    con.sql(C.ORACLE[key]).create_view("o0", replace=True)  # as the driver's check reads it
     types = {f.name: DUCK_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())
              for f in sdf.schema.fields}
-    assert types == {r[0]: r[1] for r in con.execute(f"DESCRIBE {E.oracle_sql()[key]}").fetchall()}
+    assert types == {r[0]: r[1] for r in con.execute("DESCRIBE o0").fetchall()}
     s = sdf.toPandas()
-    o = con.execute(E.oracle_sql()[key]).fetchdf()
+    o = con.sql("SELECT * FROM o0").df()
     assert _rows(s) == _rows(o)
 
 
-PY_ALLOWED = {"txt_tfidf", "txt_topic_words", "txt_topic_dist", "txt_topic_rows", "rec_top10_model",
-              "rec_train_eval"}
-
-
-@pytest.mark.parametrize("key", sorted(set(E.oracle_sql()) | {"txt_tokens"}))
+@pytest.mark.parametrize("key", sorted(C.ORACLE))
 def test_no_python_rows(spark, key):
     plan = E.queries()[key](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan

@@ -74,3 +74,15 @@ def test_train_save_load_predict(spark):
     assert R.predict(again, unseen).count() == 3  # unseen neighbourhood label is kept, not an error
     missing = feats.limit(2).withColumn("UserAverageStars", feats.UserAverageStars * None)
     assert R.predict(again, missing).count() == 2  # a missing feature never drops a candidate
+    assert R.predict(again, missing).where("PredictedReviewStar IS NULL").count() == 0
+
+
+def test_many_neighbourhoods_and_missing_numbers_train(spark):
+    rows = spark.range(600).selectExpr(
+        "concat('b', id) AS BusinessID", "'u' AS UserID", "'n' AS UserName", "id % 9 AS UserReviewCount",
+        "CASE WHEN id % 4 = 0 THEN NULL ELSE 3.0D END AS UserAverageStars", "CAST(id % 5 + 1 AS DOUBLE) AS ReviewStars",
+        "CAST(id % 365 + 1 AS INT) AS ReviewDayOfYear", "'B' AS BusinessName", "'M' AS BusinessPostalCode",
+        "concat('N', id % 200) AS BusinessNeighborhood", "43.0D + id % 7 AS Latitude", "CAST(NULL AS DOUBLE) AS Longitude",
+        "0.1D AS AverageNegative", "0.5D AS AverageNeutral", "0.4D AS AveragePositive", "0.3D AS AverageComposite")
+    model = R.fit(rows, max_iter=1, max_depth=2)
+    assert model.transform(rows.withColumn("Longitude", rows.Latitude * None)).count() == 600
