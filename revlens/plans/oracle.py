@@ -211,7 +211,7 @@ CTES["text_businesses"] = f"""
          CAST(43.6 AS DOUBLE) + {_NUM} / CAST(1000.0 AS DOUBLE) AS Latitude,
          CAST(-79.4 AS DOUBLE) - {_NUM} / CAST(1000.0 AS DOUBLE) AS Longitude,
          CASE WHEN class = 1 THEN CAST(5.0 AS DOUBLE) ELSE CAST(1.0 AS DOUBLE) END AS BusinessStars
-  FROM (SELECT DISTINCT source, class FROM text_classed)"""
+  FROM (SELECT DISTINCT source FROM documents), (VALUES (0), (1)) AS c(class)"""
 
 
 # ---- geo, text and recommender layers ----------------------------------------

@@ -207,8 +207,9 @@ def _classed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def text_businesses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One business per (source, class) seen in the documents."""
-    k = _classed(spark, sf_dir).select("source", "class").distinct()
+    """One business per source of the documents and class."""
+    k = (read_parquet(spark, f"{sf_dir}/documents.parquet").select("source").distinct()
+         .select("source", F.explode(F.array(F.lit(0), F.lit(1))).alias("class")))
     num = "CAST(substr(source, 4) AS INT)"
     return k.select(
         F.expr("concat(source, '_q', CAST(class AS STRING))").alias("BusinessID"),
