@@ -25,7 +25,9 @@ MOST_TARGET = 20_000
 #: Score from which a document is kept. Text like the target scores about 0;
 #: a document of which a good part is text that trusted documents lack falls
 #: far below.
-LEAST_SCORE = -0.15
+LEAST_SCORE = -0.2
+#: Added to every count: a slot met once or twice tells little either way.
+SMOOTHING = 8.0
 SYMBOLS = "#*$%&|<>"
 
 
@@ -52,8 +54,8 @@ def slot_weights(docs: DataFrame, trusted: DataFrame, most: int = MOST_TARGET) -
         target, "slot", "left").select("slot", F.coalesce("r", F.lit(0)).alias("r"), F.coalesce("t", F.lit(0)).alias("t"))
     both = persist_cut(both, spark, "slots")
     total = both.agg(F.sum("r").alias("nr"), F.sum("t").alias("nt"))
-    weight = (F.log((F.col("t") + 1.0) / (F.col("nt") + float(SLOTS)))
-              - F.log((F.col("r") + 1.0) / (F.col("nr") + float(SLOTS))))
+    weight = (F.log((F.col("t") + SMOOTHING) / (F.col("nt") + SMOOTHING * SLOTS))
+              - F.log((F.col("r") + SMOOTHING) / (F.col("nr") + SMOOTHING * SLOTS)))
     return both.join(F.broadcast(total)).select(F.struct("slot", weight.alias("w")).alias("x")).agg(
         F.array_sort(F.collect_list("x")).alias("x")).select(F.col("x.w").alias("weights"))
 
