@@ -29,21 +29,26 @@ def is_blank(text: str) -> str:
     return f"translate({text}, {BLANKS}, '') = ''"
 
 
+def word_hashes(text: str) -> str:
+    """Array of the 64-bit hashes of a string column's words."""
+    return f"transform({words(text)}, one_word -> xxhash64(one_word))"
+
+
 def repeated_words(w: str) -> str:
-    """Words of array ``w`` that lie in a 3-word window found twice or more.
+    """Words of array ``w`` (of word hashes) that lie in a 3-word window found
+    twice or more.
 
     Each window becomes one long, its hash in the high bits and its position in
     just as many low bits as the array needs. Sorted, equal windows stand side
     by side, with no per-window search. (48 hash bits are left at 20,000 words.)
     """
-    high = "~low"
-    same = f"(s[k - 1] & {high}) = (x & {high})"
-    following = f"(s[k + 1] & {high}) = (x & {high})"
     pack = ("transform(sequence(0, size(w) - 3), i -> "
-            "(xxhash64(w[i], w[i + 1], w[i + 2]) & ~low) | cast(i as bigint))")
-    twice = f"filter(s, (x, k) -> (k > 0 AND {same}) OR (k < size(s) - 1 AND {following}))"
+            "(xxhash64(w[i], w[i + 1], w[i + 2]) & high) | cast(i as bigint))")
+    twice = ("filter(s, (x, k) -> (k > 0 AND ((s[k - 1] ^ x) & high) = 0L) "
+             "OR (k < size(s) - 1 AND ((s[k + 1] ^ x) & high) = 0L))")
     spread = ("aggregate(p, struct(-3L as at, 0L as n), "
               "(a, x) -> struct(x as at, a.n + least(3L, x - a.at) as n), a -> a.n)")
-    places = let("p", f"sort_array(transform({twice}, x -> x & low))", spread)
-    body = let("low", "shiftleft(1L, length(bin(cast(size(w) as bigint)))) - 1L", let("s", f"sort_array({pack})", places))
+    places = let("p", f"sort_array(transform({twice}, x -> x & ~high))", spread)
+    body = let("high", "~(shiftleft(1L, length(bin(cast(size(w) as bigint)))) - 1L)",
+               let("s", f"sort_array({pack})", places))
     return let("w", w, f"CASE WHEN size(w) < 4 THEN 0L ELSE {body} END")

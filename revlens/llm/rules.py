@@ -25,17 +25,28 @@ MOST_TARGET = 20_000
 #: Score from which a document is kept. Text like the target scores about 0;
 #: a document of which a good part is text that trusted documents lack falls
 #: far below.
-LEAST_SCORE = -0.2
+LEAST_SCORE = -0.1
 #: Added to every count: a slot met once or twice tells little either way.
 SMOOTHING = 8.0
 SYMBOLS = "#*$%&|<>"
 
 
+_ONE = f"cast({{0}}[i] & {SLOTS - 1} as int)"
+_TWO = f"cast(xxhash64({{0}}[i], {{0}}[i + 1]) & {SLOTS - 1} as int)"
+
+
 def _slots(w: str) -> str:
-    one = f"transform({w}, x -> cast(pmod(xxhash64(x), {SLOTS}) as int))"
-    two = (f"transform(sequence(0, size({w}) - 2), i -> "
-           f"cast(pmod(xxhash64({w}[i], {w}[i + 1]), {SLOTS}) as int))")
-    return f"CASE WHEN size({w}) < 2 THEN {one} ELSE concat({one}, {two}) END"
+    """Slots of the words and word pairs of an array of word hashes."""
+    one = f"transform(sequence(0, size({w}) - 1), i -> {_ONE.format(w)})"
+    two = f"transform(sequence(0, size({w}) - 2), i -> {_TWO.format(w)})"
+    return f"CASE WHEN size({w}) = 0 THEN array() WHEN size({w}) = 1 THEN {one} ELSE concat({one}, {two}) END"
+
+
+def _mean_weight(w: str) -> str:
+    """Mean weight of the words and word pairs, without listing them."""
+    pair = f"CASE WHEN i < size({w}) - 1 THEN weights[{_TWO.format(w)}] ELSE 0D END"
+    total = f"aggregate(sequence(0, size({w}) - 1), 0D, (a, i) -> a + weights[{_ONE.format(w)}] + {pair})"
+    return f"CASE WHEN size({w}) = 0 THEN 0D ELSE {total} / (2 * size({w}) - 1) END"
 
 
 def slot_weights(docs: DataFrame, trusted: DataFrame, most: int = MOST_TARGET) -> DataFrame:
@@ -45,7 +56,7 @@ def slot_weights(docs: DataFrame, trusted: DataFrame, most: int = MOST_TARGET) -
            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
 
     def counts(d: DataFrame, name: str) -> DataFrame:
-        slot = F.explode(F.expr(N.let("w", N.words("text"), _slots("w")))).alias("slot")
+        slot = F.explode(F.expr(N.let("w", N.word_hashes("text"), _slots("w")))).alias("slot")
         return d.select(slot).groupBy("slot").agg(F.count(F.lit(1)).alias(name))
 
     raw = counts(docs, "r")
@@ -54,8 +65,9 @@ def slot_weights(docs: DataFrame, trusted: DataFrame, most: int = MOST_TARGET) -
         target, "slot", "left").select("slot", F.coalesce("r", F.lit(0)).alias("r"), F.coalesce("t", F.lit(0)).alias("t"))
     both = persist_cut(both, spark, "slots")
     total = both.agg(F.sum("r").alias("nr"), F.sum("t").alias("nt"))
-    weight = (F.log((F.col("t") + SMOOTHING) / (F.col("nt") + SMOOTHING * SLOTS))
-              - F.log((F.col("r") + SMOOTHING) / (F.col("nr") + SMOOTHING * SLOTS)))
+    # The target's counts are scaled to the corpus, so a target that is like it weighs 0.
+    scaled = F.col("t") * F.col("nr") / F.col("nt")
+    weight = F.when(F.col("nt") > 0, F.log((scaled + SMOOTHING) / (F.col("r") + SMOOTHING))).otherwise(0.0)
     return both.join(F.broadcast(total)).select(F.struct("slot", weight.alias("w")).alias("x")).agg(
         F.array_sort(F.collect_list("x")).alias("x")).select(F.col("x.w").alias("weights"))
 
@@ -68,22 +80,21 @@ def quality_rules(docs: DataFrame, trusted: DataFrame, least: float = LEAST_SCOR
     Returns doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words
     (long), base_failed, kept (boolean), score (double). Null and empty texts
     have no words: they fail the base rules and score 0. Without trusted
-    documents the target is uniform.
+    documents every score is 0.
     """
     weights = persist_cut(slot_weights(docs, trusted), docs.sparkSession, "weights").scalar()
     text = "coalesce(text, '')"
     lines = f"filter(split({text}, '\\n'), x -> NOT ({N.is_blank('x')}))"
     w = docs.select(
         "doc_id",
-        F.expr(N.words("text")).alias("w"),
+        F.expr(N.word_hashes("text")).alias("w"),
         F.expr(f"cast(char_length(translate({text}, {N.BLANKS}, '')) as bigint)").alias("word_chars"),
         F.expr(N.count_chars(text, SYMBOLS)).alias("n_symbols"),
         F.expr(N.let("l", lines, "cast(size(l) - size(array_distinct(l)) as bigint)")).alias("n_dup_lines"),
         weights.alias("weights"))
-    mean = "aggregate(s, 0D, (a, i) -> a + weights[i]) / greatest(size(s), 1)"
     rows = w.select("doc_id", F.size("w").cast("long").alias("n_words"), "word_chars", "n_symbols", "n_dup_lines",
                     F.expr(N.repeated_words("w")).alias("n_repeat_words"),
-                    F.expr(N.let("s", _slots("w"), mean)).alias("score"))
+                    F.expr(_mean_weight("w")).alias("score"))
     failed: Column = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                        failed.alias("base_failed"), (~failed & (F.col("score") >= least)).alias("kept"), "score")
