@@ -16,7 +16,6 @@ import base64
 import hashlib
 import heapq
 from array import array
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -105,8 +104,7 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
         self.split = regex.compile(vocabulary.pattern).findall
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.memory, self.older = _Memory(), _Memory()
         self.pairs: dict[int, int] = {}
 
     def _pair(self, a: int, b: int) -> int:
@@ -156,20 +154,47 @@ class Encoder:
                     heapq.heappush(heap, s << 32 | p)
         return tuple([x for x in ids if x >= 0])
 
-    def encode(self, text: str) -> array:
+    def encode(self, text: str) -> np.ndarray:
         words = self.split(text)
-        known, older = self.known, self.older
-        if len(known) >= REMEMBERED:  # the words in use come back from the older half
-            known, older = self.known, self.older = {}, known
-        for w in set(words):
-            if w not in known:
-                ids = older.get(w)
-                if ids is None:
-                    b = w.encode()
-                    i = self.v.hash.get(b)
-                    ids = (i,) if i >= 0 else self.merge(b)
-                known[w] = ids
-        return array("i", chain.from_iterable(map(known.__getitem__, words)))
+        if len(self.memory.place) >= REMEMBERED:  # the words in use come back from the older one
+            self.memory, self.older = _Memory(), self.memory
+        m = self.memory
+        for w in set(words).difference(m.place):
+            ids = self.older.get(w)
+            if ids is None:
+                b = w.encode()
+                i = self.v.hash.get(b)
+                ids = (i,) if i >= 0 else self.merge(b)
+            m.add(w, ids)
+        return m.gather(words)
+
+
+class _Memory:
+    """Ids of pre-tokens, one after the other, and where each one's begin."""
+
+    def __init__(self):
+        self.place: dict[str, int] = {}
+        self.ids, self.begin = array("i"), array("q", [0])
+
+    def add(self, word: str, ids) -> None:
+        self.place[word] = len(self.begin) - 1
+        self.ids.extend(ids)
+        self.begin.append(len(self.ids))
+
+    def get(self, word: str):
+        k = self.place.get(word)
+        return None if k is None else self.ids[self.begin[k]:self.begin[k + 1]]
+
+    def gather(self, words: list[str]) -> np.ndarray:
+        """Ids of all the words in order, each one remembered."""
+        if not words:
+            return np.empty(0, np.int32)
+        k = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+        begin = np.frombuffer(self.begin, np.int64)
+        first, size = begin[k], begin[k + 1] - begin[k]
+        end = np.cumsum(size)
+        at = np.repeat(first - (end - size), size) + np.arange(end[-1])
+        return np.frombuffer(self.ids, np.int32)[at]
 
 
 class Decoder:
@@ -207,13 +232,11 @@ def _encode(shared):
             first = 0
             while first < len(texts):
                 last = max(first + 1, int(np.searchsorted(size, size[first] + BATCH_BYTES, "right")) - 1)
-                ids, at = array("i"), [0]
-                for t in texts.slice(first, last - first).to_pylist():
-                    ids.extend(encoder.encode(t or ""))
-                    at.append(len(ids))
+                ids = [encoder.encode(t or "") for t in texts.slice(first, last - first).to_pylist()]
+                at = np.cumsum([0] + [len(x) for x in ids])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(first, last - first),
-                     pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.frombuffer(ids, np.int32)))],
+                     pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate(ids)))],
                     names=["doc_id", "ids"])
                 first = last
     return run
