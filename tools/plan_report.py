@@ -11,7 +11,7 @@ import sys
 from collections import Counter
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-import __spark_entry__ as E  # noqa: E402
+from revlens.plans import catalog as C  # noqa: E402
 from revlens.session import build_session  # noqa: E402
 
 
@@ -46,7 +46,7 @@ def main():
           "into the Parquet reader.\n")
     print("| Key | Shuffles | Broadcasts | Joins | Partial agg | Window limit | Python | Scans |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- |")
-    for k, q in E.queries().items():
+    for k, q in C.QUERIES.items():
         df = q(spark, sf)
         df.write.format("noop").mode("overwrite").save()
         qe = df._jdf.queryExecution()
