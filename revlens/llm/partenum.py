@@ -20,8 +20,8 @@ least ``percent``/100. The join is exact:
    completely, in blocks of bounded size: all pairs of different components
    are compared by odd sketches (one parity bit per slot; the number of
    unequal bits never exceeds the symmetric difference, so the filter loses no
-   link) and the survivors verified. Each pair is reported by the first bucket
-   it shares. After it no link can join two components.
+   link) and the survivors verified. A pair that an early bucket has reported
+   is not reported again. After it no link can join two components.
 
 Verification counts the intersection of the two texts' shingle sets.
 """
@@ -48,6 +48,9 @@ ENUMERATE_UP_TO = 40
 #: Nodes in one block of a bucket in the second round; larger buckets are
 #: split into blocks and every pair of blocks is searched.
 BLOCK_NODES = 2048
+#: A pair met in one of the first so many buckets of both nodes is not reported
+#: again by a later one. More only saves repeated reports.
+KNOWN_BUCKETS = 16
 #: Ids up to which the texts to verify are picked by a broadcast semi join
 #: (16 bytes each); beyond it the same join shuffles.
 BROADCAST_IDS = 500_000
@@ -232,8 +235,8 @@ def _close(percent: int):
 
 def _candidates(t: dict[str, np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of one block pair of one bucket that are of different components,
-    near by their sketches and not together in a bucket of smaller signature,
-    which reports them."""
+    near by their sketches and not known to be together in a bucket of smaller
+    signature, which reports them."""
     bits = np.frombuffer(b"".join(t["sketch"]), np.uint8).reshape(len(t["sketch"]), -1)
     rep, comp, n, side = t["rep"], t["comp"], t["n_shingles"], t["side"]
     within = side.min() == side.max()
@@ -321,9 +324,9 @@ def jaccard_classes(docs: DataFrame, words: int = 4, percent: int = 85) -> DataF
     other columns are ignored).
 
     Returns one row per document: doc_id, n_shingles (distinct shingles),
-    component_id (smallest doc_id reachable by links, its own without links). Null, empty and blank texts have no
-    shingles and stay alone. Rows with a null doc_id are ignored. An empty
-    table gives an empty result.
+    component_id (smallest doc_id reachable by links, its own without links).
+    Null, empty and blank texts have no shingles and stay alone. Rows with a
+    null doc_id are ignored. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text").where("doc_id IS NOT NULL")
@@ -363,13 +366,13 @@ def jaccard_classes(docs: DataFrame, words: int = 4, percent: int = 85) -> DataF
     mixed = persist_cut(mixed.groupBy("x", "y", "n", F.expr("sig & 1")).agg(F.min("sig").alias("sig")).select(
         "sig", F.ceil(F.col("n") / BLOCK_NODES).cast("int").alias("n_blocks")), spark, "mixed")
     at_home = F.expr("(sig & 1) = (band & 1)")
-    # A node's buckets in order, so that each knows the ones before it.
+    # A node's buckets in order, so that each knows the first ones before it.
     of_node = rows.join(mixed, "sig").groupBy("node", "rep", "comp").agg(
         F.array_sort(F.collect_list(F.struct("sig", "n_blocks"))).alias("buckets"))
     todo = (of_node.join(reps.select("node", "n_shingles", "band", "home", "guest"), "node")
             .select("*", F.posexplode("buckets").alias("place", "bucket"))
             .select("rep", "comp", "n_shingles", "band", "home", "guest", "bucket.sig", "bucket.n_blocks",
-                    F.slice("buckets.sig", F.lit(1), F.col("place")).alias("earlier"))
+                    F.slice("buckets.sig", F.lit(1), F.least("place", F.lit(KNOWN_BUCKETS))).alias("earlier"))
             .select("sig", "rep", "comp", "n_shingles", "n_blocks", "earlier",
                     F.pmod(F.xxhash64("rep"), "n_blocks").cast("int").alias("side"),
                     F.when(at_home, F.col("home")).otherwise(F.col("guest")).alias("sketch"))
@@ -377,7 +380,7 @@ def jaccard_classes(docs: DataFrame, words: int = 4, percent: int = 85) -> DataF
             .select("*", F.least("side", "other").cast("long").alias("lo"),
                     F.greatest("side", "other").cast("long").alias("hi")).drop("other", "n_blocks"))
     second = persist_cut(todo.repartition("sig", "lo", "hi").sortWithinPartitions("sig", "lo", "hi")
-                         .mapInArrow(_search(percent), "u long, v long"), spark, "pairs")
+                         .mapInArrow(_search(percent), "u long, v long").distinct(), spark, "pairs")
     links = links1.unionByName(_verified(second, docs, words, percent))
     comp = components(links)
     own = base.groupBy("node").agg(F.min("doc_id").alias("rep")).where("node IS NOT NULL")
