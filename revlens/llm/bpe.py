@@ -212,21 +212,11 @@ class Decoder:
         return self.flat[np.repeat(self.begin[ids] - (end - size), size) + np.arange(total)].tobytes()
 
 
-_encoders: dict[str, Encoder] = {}
-
-
-def _encoder(vocabulary: Vocabulary) -> Encoder:
-    """The encoder of this worker process, with what earlier tasks have met."""
-    if vocabulary.key not in _encoders:
-        _encoders.clear()
-        _encoders[vocabulary.key] = Encoder(vocabulary)
-    return _encoders[vocabulary.key]
-
-
 def _encode(shared):
     def run(batches):
-        encoder = _encoder(shared.value)
-        for batch in X.small(batches):
+        # the encoder of this worker process, with what earlier tasks have met
+        encoder = X.kept(f"bpe {shared.value.key}", lambda: Encoder(shared.value))
+        for batch in X.small(batches, keep="bpe"):
             texts = batch.column("text")
             size = np.cumsum(np.r_[0, [0 if t is None else len(t) for t in texts.to_pylist()]])
             first = 0
@@ -251,7 +241,7 @@ def lists(col) -> list[np.ndarray]:
 def _decode(shared):
     def run(batches):
         decoder = Decoder(shared.value)
-        for batch in X.small(batches):
+        for batch in X.small(batches, keep="bpe"):
             names = [c for c in batch.schema.names if c != "ids"]
             text = pa.array([decoder.decode(x) for x in lists(batch.column("ids"))], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in names] + [text], names=names + ["bytes"])

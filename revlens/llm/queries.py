@@ -65,7 +65,7 @@ def op5_benchmark_containment(spark, sf_dir):
 def _id_digests(names):
     """n_tokens and the sha256 of the ids in decimal, joined by commas."""
     def run(batches):
-        for batch in X.small(batches):
+        for batch in X.small(batches, keep="bpe"):
             ids = lists(batch.column("ids"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([len(x) for x in ids], pa.int64()),

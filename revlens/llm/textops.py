@@ -126,9 +126,23 @@ class Block:
             yield row, self.h[self.at[k]:self.at[k + 1]]
 
 
-def small(batches, rows: int = 512) -> Iterator[pa.RecordBatch]:
+_kept: dict[str, object] = {}
+
+
+def kept(name: str, make):
+    """What a worker process keeps between tasks that name it; the tasks of all
+    other operators drop it, so memories do not pile up."""
+    if name not in _kept:
+        _kept.clear()
+        _kept[name] = make()
+    return _kept[name]
+
+
+def small(batches, rows: int = 512, keep: str = "") -> Iterator[pa.RecordBatch]:
     """Arrow batches in slices of at most ``rows`` rows, so that only a slice is
     ever unpacked to Python objects; gives unused memory back at the end."""
+    for name in [k for k in _kept if not keep or not k.startswith(keep)]:
+        del _kept[name]
     for batch in batches:
         for i in range(0, batch.num_rows, rows):
             yield batch.slice(i, rows)
