@@ -13,7 +13,6 @@ data) and broadcast. Texts are independent: nothing is shuffled.
 from __future__ import annotations
 
 import base64
-import hashlib
 import heapq
 from array import array
 
@@ -26,10 +25,10 @@ from pyspark.sql import types as T
 
 from revlens.llm import textops as X
 
-#: Pre-tokens remembered by a worker before it turns to a new memory; the last
+#: Pre-tokens remembered by a task before it turns to a new memory; the last
 #: one stays at hand. Only time depends on it.
 REMEMBERED = 400_000
-#: Pairs remembered by a worker; forgotten all at once.
+#: Pairs remembered by a task; forgotten all at once.
 PAIRS = 1_000_000
 #: Text bytes after which a task hands on a batch.
 BATCH_BYTES = 4 << 20
@@ -90,7 +89,6 @@ class Vocabulary:
         self.byte = [self.hash.get(bytes([b])) for b in range(256)]
         if min(self.byte) < 0:
             raise ValueError("a byte-level vocabulary holds every single byte")
-        self.key = hashlib.sha256(repr((pattern, tokens)).encode()).hexdigest()
 
     @classmethod
     def read(cls, path: str, pattern: str) -> Vocabulary:
@@ -214,9 +212,8 @@ class Decoder:
 
 def _encode(shared):
     def run(batches):
-        # the encoder of this worker process, with what earlier tasks have met
-        encoder = X.kept(f"bpe {shared.value.key}", lambda: Encoder(shared.value))
-        for batch in X.small(batches, keep="bpe"):
+        encoder = Encoder(shared.value)  # its memory goes with the task
+        for batch in X.small(batches):
             texts = batch.column("text")
             size = np.cumsum(np.r_[0, [0 if t is None else len(t) for t in texts.to_pylist()]])
             first = 0
@@ -241,7 +238,7 @@ def lists(col) -> list[np.ndarray]:
 def _decode(shared):
     def run(batches):
         decoder = Decoder(shared.value)
-        for batch in X.small(batches, keep="bpe"):
+        for batch in X.small(batches):
             names = [c for c in batch.schema.names if c != "ids"]
             text = pa.array([decoder.decode(x) for x in lists(batch.column("ids"))], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in names] + [text], names=names + ["bytes"])
