@@ -13,8 +13,8 @@ per anchor, not per word.
 it. Documents with the same neighbourhood (128-bit digest) agree on every
 window in it, to both sides: one grouped minimum decides them, with no pairs.
 Neighbourhoods of one anchor that differ (the ends of a shared passage, an
-edit in a copy) are extended window by window, one representative each, and
-meet on the digests of their windows.
+edit in a copy) are extended window by window, at every place where the smallest
+document of each holds it, and meet on the digests of their windows.
 
 Overlapping windows of a document union into its maximal repeats. Grouped
 minima combine map-side and come back by equi-joins that AQE can split, so an
@@ -135,16 +135,18 @@ def repeated_spans(docs: DataFrame, width: int = 50, seed: int = 10) -> DataFram
     shared = persist_cut(occ.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
                          .where("lo < hi").select("anchor"), spark, "shared-anchors")
     occ = persist_cut(occ.join(shared, "anchor", "left_semi"), spark, "seeds")
-    same = persist_cut(occ.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "first", "last")).alias("r"),
-                                                   F.max("doc_id").alias("hi"), F.min("anchor").alias("anchor")),
-                       spark, "neighbourhoods")
-    copies = (occ.join(same.where("r.doc_id < hi").select("d1", "d2", F.col("r.doc_id").alias("lo")), ["d1", "d2"])
+    same = persist_cut(occ.groupBy("d1", "d2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"),
+                                                   F.min("anchor").alias("anchor")), spark, "neighbourhoods")
+    copies = (occ.join(same.where("lo < hi").select("d1", "d2", "lo"), ["d1", "d2"])
               .where("doc_id > lo").select("doc_id", "first", (F.col("last") + width).alias("end")))
-    # Written first, so that the join below has an exchange on both sides, which AQE can split.
+    # Written first, so that the joins below have an exchange on both sides, which AQE can split.
     several = persist_cut(same.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"),
                           spark, "contested")
-    spans = persist_cut(same.join(several, "anchor", "left_semi").select("r.*").groupBy("doc_id").agg(
-        F.collect_list(F.struct("first", "last")).alias("spans")), spark, "extend")
+    contested = persist_cut(same.join(several, "anchor", "left_semi").select("d1", "d2", F.col("lo").alias("doc_id")),
+                            spark, "representatives")
+    # Every occurrence in the representing document: its repeats there are no copies, but may be met too.
+    spans = persist_cut(occ.join(contested, ["d1", "d2", "doc_id"], "left_semi").groupBy("doc_id").agg(
+        F.collect_set(F.struct("first", "last")).alias("spans")), spark, "extend")
     few = spans.count() <= BROADCAST_IDS
     ids = spans.select("doc_id")
     texts = docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")

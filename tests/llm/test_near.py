@@ -120,6 +120,19 @@ def test_repeats_equal_brute_force(spark, seed, width):
     assert got == brute.kept_words(rows, width)
 
 
+@pytest.mark.parametrize("cut", [(0, 40), (25, 65), (50, 90), (0, 90)])
+def test_block_repeated_inside_a_document(spark, cut):
+    """Each place of a block loses what a smaller document holds of it."""
+    block = [f"b{i}" for i in range(90)]
+    own = [" ".join(f"{c}{i}" for i in range(40)) for c in "stuvxyz"]
+    whole, part = " ".join(block), " ".join(block[slice(*cut)])
+    rows = [(1, f"{own[0]} {part} {own[1]}"), (2, f"{own[2]} {whole} {own[3]} {whole} {own[4]} {whole}"),
+            (3, f"{whole} {whole} {own[5]}"), (4, f"{own[6]} {part} {part}"), (5, "q " * 30), (6, "q " * 60 + part)]
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in
+           remove_repeats(spark.createDataFrame(rows, DOCS), 12, seed=5).collect()}
+    assert got == brute.kept_words(rows, 12)
+
+
 def test_repeats_of_odd_tables(spark):
     assert remove_repeats(spark.createDataFrame([], DOCS), 3, 2).collect() == []
     d = spark.createDataFrame([(1, "a b c", 1), (1, "a b c", 1), (None, "a b c", 1), (2, "z a b c", 2)],
