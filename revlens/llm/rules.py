@@ -7,9 +7,10 @@ target; a slot's weight is the log of their smoothed ratio. A document's score
 is the mean weight of its words and word pairs, so it does not grow with length,
 and the document is kept when the score reaches a fixed threshold.
 
-The target is a bounded sample of trusted documents (``MOST_TARGET``, the first
-by hashed id); its ids are broadcast. The weights (``SLOTS`` doubles) enter the
-scoring plan as a scalar subquery. No text is shuffled.
+Both are counted whole, in one pass over the corpus that marks the trusted
+documents. Their ids are broadcast when few enough (then no text is shuffled);
+beyond that the same join shuffles. The weights (``SLOTS`` doubles) enter the
+scoring plan as a scalar subquery.
 """
 
 from __future__ import annotations
@@ -21,7 +22,8 @@ from revlens.llm import native as N
 from revlens.sources.io import persist_cut
 
 SLOTS = 1 << 16
-MOST_TARGET = 20_000
+#: Trusted ids up to which they are broadcast (16 bytes each).
+BROADCAST_IDS = 500_000
 #: Score from which a document is kept. Text like the target scores about 0;
 #: a document of which a good part is text that trusted documents lack falls
 #: far below.
@@ -49,24 +51,20 @@ def _mean_weight(w: str) -> str:
     return f"CASE WHEN size({w}) = 0 THEN 0D ELSE {total} / (2 * size({w}) - 1) END"
 
 
-def slot_weights(docs: DataFrame, trusted: DataFrame, most: int = MOST_TARGET) -> DataFrame:
+def slot_weights(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     """One row: ``weights``, the log ratio of every slot. ``trusted``: doc_id."""
     spark = docs.sparkSession
-    ids = (trusted.where("doc_id IS NOT NULL").select("doc_id").distinct()
-           .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
-
-    def counts(d: DataFrame, name: str) -> DataFrame:
-        slot = F.explode(F.expr(N.let("w", N.word_hashes("text"), _slots("w")))).alias("slot")
-        return d.select(slot).groupBy("slot").agg(F.count(F.lit(1)).alias(name))
-
-    raw = counts(docs, "r")
-    target = counts(docs.join(F.broadcast(ids), "doc_id", "left_semi"), "t")
-    both = spark.range(SLOTS).select(F.col("id").cast("int").alias("slot")).join(raw, "slot", "left").join(
-        target, "slot", "left").select("slot", F.coalesce("r", F.lit(0)).alias("r"), F.coalesce("t", F.lit(0)).alias("t"))
+    ids = persist_cut(trusted.where("doc_id IS NOT NULL").select("doc_id").distinct(), spark, "trusted")
+    ids, few = ids.withColumn("trusted", F.lit(True)), ids.count() <= BROADCAST_IDS
+    marked = docs.select("doc_id", "text").join(F.broadcast(ids) if few else ids, "doc_id", "left")
+    slot = F.explode(F.expr(N.let("w", N.word_hashes("text"), _slots("w")))).alias("slot")
+    met = marked.select("trusted", slot).groupBy("slot").agg(F.count(F.lit(1)).alias("r"), F.count("trusted").alias("t"))
+    both = spark.range(SLOTS).select(F.col("id").cast("int").alias("slot")).join(met, "slot", "left").select(
+        "slot", F.coalesce("r", F.lit(0)).alias("r"), F.coalesce("t", F.lit(0)).alias("t"))
     both = persist_cut(both, spark, "slots")
     total = both.agg(F.sum("r").alias("nr"), F.sum("t").alias("nt"))
     # The target's counts are scaled to the corpus, so a target that is like it weighs 0.
-    scaled = F.col("t") * F.col("nr") / F.col("nt")
+    scaled = F.col("t") * (F.col("nr") / F.col("nt"))
     weight = F.when(F.col("nt") > 0, F.log((scaled + SMOOTHING) / (F.col("r") + SMOOTHING))).otherwise(0.0)
     return both.join(F.broadcast(total)).select(F.struct("slot", weight.alias("w")).alias("x")).agg(
         F.array_sort(F.collect_list("x")).alias("x")).select(F.col("x.w").alias("weights"))

@@ -5,6 +5,7 @@ import random
 import pytest
 
 from revlens.llm.lines import boilerplate, remove_boilerplate
+from revlens.llm import rules
 from revlens.llm.rules import quality_rules
 from revlens.llm.warc import resolve_revisits
 from tests.llm import brute
@@ -42,6 +43,14 @@ def test_rules_reject_what_the_target_lacks(spark):
     assert all(not out[i].base_failed for i in range(60))
 
 
+@pytest.mark.parametrize("broadcast_ids", [500_000, 0])
+def test_every_trusted_document_counts(spark, monkeypatch, broadcast_ids):
+    """A target that is the corpus itself weighs nothing, however large."""
+    monkeypatch.setattr(rules, "BROADCAST_IDS", broadcast_ids, raising=False)
+    d = spark.range(25_000).selectExpr("id AS doc_id", "concat('w', id, ' v', id) AS text")
+    assert set(rules.slot_weights(d, d).first().weights) == {0.0}
+
+
 def test_rules_of_odd_tables(spark):
     schema = "doc_id long, text string, w int, weights string, score int"
     empty = spark.createDataFrame([], schema)
