@@ -8,8 +8,9 @@ language with the largest sum wins.
 
 Learned from a bounded sample (``MOST_DOCS`` labelled documents of each
 language, the first by hashed id): the tables hold every word found twice or
-more and every n-gram found ``LEAST_GRAM`` times or more in the sample, the
-most frequent up to ``MOST_CELLS`` numbers. All texts are predicted, whole.
+more and every n-gram found ``LEAST_GRAM`` times or more in the sample, up to
+each language's own ``MOST_ENTRIES`` most frequent ones, however many languages
+there are. All texts are predicted, whole.
 """
 
 from __future__ import annotations
@@ -26,8 +27,8 @@ from revlens.sources.io import persist_cut
 MOST_DOCS = 1000
 LONGEST = 5
 LEAST_WORD, LEAST_GRAM = 2, 3
-#: Numbers in a table (entries times languages), at most.
-MOST_CELLS = 400_000
+#: Entries of one language in a table, at most: its most frequent ones.
+MOST_ENTRIES = 100_000
 _U = np.uint64
 _BLANK = 0x20
 _letters: list[np.ndarray] = []
@@ -114,28 +115,48 @@ def _count(batches):
              pa.array(k)], names=["lang", "n", "h", "k"])
 
 
-class Model:
-    """Languages in order, and per length (0: words) sorted hashes with a matrix
-    of log-frequencies."""
+class Table:
+    """Sorted hashes, each with the log-frequencies of the languages that have
+    it; the others have ``base``. Sparse: few languages share an entry."""
 
-    def __init__(self, langs: list[str], tables: dict[int, tuple[np.ndarray, np.ndarray]]):
-        self.langs, self.tables = langs, tables
+    def __init__(self, h: np.ndarray, lang: np.ndarray, k: np.ndarray, n_langs: int):
+        self.h, at = np.unique(h, return_inverse=True)
+        order = np.argsort(at, kind="stable")
+        self.begin = np.r_[0, np.cumsum(np.bincount(at, minlength=len(self.h)))].astype(np.int64)
+        self.lang = lang[order]
+        total = np.bincount(lang, k, n_langs) + 0.5 * max(1, len(self.h))
+        self.base = np.log(0.5 / total)
+        self.value = np.log((k[order] + 0.5) / total[self.lang])
 
-    def find(self, n: int, h: np.ndarray) -> np.ndarray:
-        """Row of each hash in the table of length n, -1 where unknown."""
-        known = self.tables[n][0]
-        if not len(known):
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Row of each hash, -1 where unknown."""
+        if not len(self.h):
             return np.full(len(h), -1)
-        at = np.minimum(np.searchsorted(known, h), len(known) - 1)
-        return np.where(known[at] == h, at, -1)
+        at = np.minimum(np.searchsorted(self.h, h), len(self.h) - 1)
+        return np.where(self.h[at] == h, at, -1)
+
+    def sums(self, rows: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+        """Summed log-frequencies of rows by owner, as (n, languages) matrix."""
+        count = self.begin[rows + 1] - self.begin[rows]
+        cell = np.repeat(self.begin[rows] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+        lang, width = self.lang[cell], len(self.base)
+        more = np.bincount(np.repeat(owner, count) * width + lang, self.value[cell] - self.base[lang], n * width)
+        return np.bincount(owner, minlength=n)[:, None] * self.base + more.reshape(n, width)
+
+
+class Model:
+    """Languages in order, and per length (0: words) a table."""
+
+    def __init__(self, langs: list[str], tables: dict[int, Table]):
+        self.langs, self.tables = langs, tables
 
     def word_scores(self, w: Letters) -> tuple[np.ndarray, np.ndarray, int]:
         """Documents' summed scores per language as (document, language) matrix
         pieces: word index -> score row, for all words of ``w``."""
-        at = self.find(0, w.h)
-        rows = np.zeros((len(w.h), len(self.langs)))
+        at = self.tables[0].find(w.h)
         hit = at >= 0
-        rows[hit] = self.tables[0][1][at[hit]]
+        known = np.flatnonzero(hit)
+        rows = self.tables[0].sums(at[known], known, len(w.h))
         unseen = np.flatnonzero(~hit)
         _, first, back = np.unique(w.h[unseen], return_index=True, return_inverse=True)
         words = unseen[first]
@@ -145,12 +166,10 @@ class Model:
             if not len(left):
                 break
             h, owner = w.grams(words[left], n)
-            g = self.find(n, h)
+            g = self.tables[n].find(h)
             ok = g >= 0
             k = np.bincount(owner[ok], minlength=len(left))
-            for c in range(len(self.langs)):
-                s = np.bincount(owner[ok], self.tables[n][1][g[ok], c], len(left))
-                score[left, c] = np.where(k > 0, s / np.maximum(k, 1), 0)
+            score[left] = self.tables[n].sums(g[ok], owner[ok], len(left)) / np.maximum(k, 1)[:, None]
             left = left[k == 0]
         rows[unseen] = score[back]
         return rows, hit, len(words)
@@ -166,20 +185,23 @@ def fit_language(docs: DataFrame, usable: Column, most: int = MOST_DOCS) -> Mode
     sample = docs.select("doc_id", "text").join(F.broadcast(few.select("doc_id", "lang").distinct()), "doc_id")
     langs = sorted(r.lang for r in few.select("lang").distinct().collect())
     if not langs:
-        return Model([], {n: (np.empty(0, _U), np.empty((0, 0))) for n in range(LONGEST + 1)})
-    by_lang = [F.sum(F.when(F.col("lang") == x, F.col("k")).otherwise(0)).alias(f"k{i}") for i, x in enumerate(langs)]
+        return Model([], {})
     counts = persist_cut(sample.select("lang", "text").mapInArrow(_count, "lang string, n int, h long, k long")
-                         .groupBy("n", "h").agg(F.sum("k").alias("k"), *by_lang)
-                         .where(F.when(F.col("n") == 0, F.col("k") >= LEAST_WORD).otherwise(F.col("k") >= LEAST_GRAM)),
-                         docs.sparkSession, "language-counts")
+                         .groupBy("n", "h", "lang").agg(F.sum("k").alias("k")), docs.sparkSession, "language-counts")
+    often = counts.groupBy("n", "h").agg(F.sum("k").alias("all")).where(
+        F.when(F.col("n") == 0, F.col("all") >= LEAST_WORD).otherwise(F.col("all") >= LEAST_GRAM)).select("n", "h")
+    counts = persist_cut(counts.join(often, ["n", "h"], "left_semi"), docs.sparkSession, "language-often")
+    # The union of every language's own most frequent entries, with the counts of all languages.
+    rank = F.row_number().over(Window.partitionBy("n", "lang").orderBy(F.desc("k"), "h"))
+    top = counts.withColumn("rank", rank).where(F.col("rank") <= MOST_ENTRIES).select("n", "h").distinct()
+    counts = persist_cut(counts.join(top, ["n", "h"], "left_semi"), docs.sparkSession, "language-tables")
     tables = {}
     for n in range(LONGEST + 1):
-        t = counts.where(F.col("n") == n).orderBy(F.desc("k"), "h").limit(MOST_CELLS // len(langs)).toArrow()
-        h = t.column("h").to_numpy().view(_U)
-        k = np.stack([t.column(f"k{i}").to_numpy() for i in range(len(langs))], 1).astype(float)
-        order = np.argsort(h)
-        total = k.sum(0) + 0.5 * max(1, len(h))
-        tables[n] = h[order], np.log((k[order] + 0.5) / total)
+        t = counts.where(F.col("n") == n).orderBy("h", "lang").select("h", "lang", "k").toArrow()
+        lang = t.column("lang").combine_chunks().dictionary_encode()
+        place = np.array([langs.index(x) for x in lang.dictionary.to_pylist()], np.int64)
+        tables[n] = Table(t.column("h").to_numpy().view(_U), place[lang.indices.to_numpy()],
+                          t.column("k").to_numpy().astype(float), len(langs))
     return Model(langs, tables)
 
 

@@ -251,3 +251,18 @@ def test_languages(spark):
     assert by[404].lang_pred == "xx"
     assert langid.predict_held_out(d.limit(0)).collect() == []
     assert {r.lang_pred for r in langid.predict_held_out(d.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
+
+
+def test_rare_language_among_many_keeps_its_words(spark):
+    """Forty languages of 400 frequent words each, one of few short texts."""
+    rng = random.Random(8)
+    rows = []
+    for k in range(40):
+        own = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=9)) for _ in range(400)]
+        rows += [(10 * k + i, " ".join(own * 3), f"l{k:02}") for i in range(2)]
+    rare = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=9)) for _ in range(6)]
+    rows += [(1000 + i, " ".join(rare), "rare") for i in range(2)]
+    d = spark.createDataFrame(rows, DOCS + ", lang string")
+    out = langid.predict_language(d, langid.fit_language(d, F.lit(True))).collect()
+    assert all(r.n_known_words == r.n_words for r in out)
+    assert {r.doc_id: r.lang_pred for r in out} == {i: x for i, _, x in rows}
