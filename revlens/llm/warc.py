@@ -47,8 +47,8 @@ def canonical_url(url: str) -> str:
 def fields(headers: str) -> str:
     """SQL for the header fields of an HTTP head as array of (name, value):
     names in lower case, the status line left out, lines without colon ignored."""
-    lines = f"slice(split(coalesce({headers}, ''), '\\r?\\n'), 2, 100000)"
-    return (f"transform(filter({lines}, x -> instr(x, ':') > 1), x -> struct("
+    lines = f"split(coalesce({headers}, ''), '\\r?\\n')"
+    return (f"transform(filter({lines}, (x, i) -> i > 0 AND instr(x, ':') > 1), x -> struct("
             "lower(trim(substring_index(x, ':', 1))) as name, trim(substr(x, instr(x, ':') + 1)) as value))")
 
 

@@ -159,3 +159,14 @@ def test_revisits_of_one_hot_url(spark):
             at = (int(d[8:10]) - 1) * 86400 + int(d[11:13]) * 3600 + int(d[14:16]) * 60 + int(d[17:19])
             before = [t for t in times.values() if t < (at, r[0])]
             assert got[r[0]].response_id == (max(before)[1] if before else None)
+
+
+def test_fields_far_down_a_head_are_seen(spark):
+    """The validator and a field to merge stand after 100,000 others."""
+    many = "".join(f"X-{i}: {i}\r\n" for i in range(100_001))
+    rows = [(1, "response", "http://a.org/", "2024-01-01T00:00:00Z", f'HTTP/1.1 200 OK\r\n{many}ETag: "e"\r\nAge: 1', "body"),
+            (2, "revisit", "http://a.org/", "2024-01-02T00:00:00Z", 'HTTP/1.1 304 Not Modified\r\nETag: "e"\r\nAge: 2', None)]
+    r = _revisits(spark, rows)[2]
+    assert (r.outcome, r.payload) == ("resolved", "body")
+    lines = r.http_headers.split("\r\n")
+    assert len(lines) == 100_004 and "x-100000: 100000" in lines and lines[-2:] == ['etag: "e"', "age: 2"]
