@@ -75,9 +75,9 @@ def clean_reviews(reviews: DataFrame, business: DataFrame, city: str) -> DataFra
 def tokenize(df: DataFrame, input_col: str, output_col: str = "no_stopword",
              language: str = "english") -> DataFrame:
     """``\\w+`` tokens (lower-cased) without the language's stop words."""
+    words = X.STOP_WORDS if language == "english" else StopWordsRemover.loadDefaultStopWords(language)
     tok = RegexTokenizer(inputCol=input_col, outputCol="_tok", pattern=r"\w+", gaps=False)
-    sw = StopWordsRemover(inputCol="_tok", outputCol=output_col,
-                          stopWords=StopWordsRemover.loadDefaultStopWords(language))
+    sw = StopWordsRemover(inputCol="_tok", outputCol=output_col, stopWords=words)
     return sw.transform(tok.transform(df)).drop("_tok")
 
 

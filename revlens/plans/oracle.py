@@ -8,12 +8,7 @@ side (counts BIGINT, floors BIGINT, years INTEGER, means rounded).
 
 from __future__ import annotations
 
-import glob
-import os
 import re
-import zipfile
-
-import pyspark
 
 from revlens.functions import text as X
 from revlens.operators import text as T
@@ -26,14 +21,6 @@ _ATTR_FIELDS = ["BikeParking", "WiFi", "RestaurantsPriceRange2", "Ambience", "Go
 _SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 
-
-def stop_words(language: str = "english") -> list[str]:
-    """Spark ML's stop words, from its jar: no session is needed."""
-    jars = os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar")
-    with zipfile.ZipFile(glob.glob(jars)[0]) as z:
-        return z.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt").decode().split("\n")
-
-
 CTES: dict[str, str] = {}
 
 CTES["business_raw"] = r"""
@@ -261,7 +248,7 @@ CTES["text_sentiment"] = f"""
               FROM (SELECT ReviewID, BusinessID, Name,
                            regexp_extract_all(text_ascii, '{_TOKEN}', 0) AS toks FROM text_clean)))"""
 
-STOP_WORDS = "(" + ", ".join(_q(w) for w in stop_words() if w) + ")"
+STOP_WORDS = "(" + ", ".join(_q(w) for w in X.STOP_WORDS) + ")"
 CTES["merged_reviews"] = f"""
   SELECT DISTINCT r.BusinessID, r.Review, b.Name AS BusinessName, b.BusinessStars
   FROM text_reviews r JOIN text_businesses b ON r.BusinessID = b.BusinessID WHERE b.City = '{PR.TEXT_CITY}'"""
