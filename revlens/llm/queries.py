@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 
-import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import functions as F
 
@@ -83,10 +82,16 @@ def bpe_digests(docs, vocabulary):
                                           F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
-def op8_byte_bpe(spark, sf_dir, path=None, pattern=public_tokenizers.PATTERN):
+def op8_byte_bpe(spark, sf_dir, path=None, pattern=None):
     """Ids of every document and the text they decode to, as digests."""
-    v = Vocabulary.read(path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), pattern)
-    return bpe_digests(_docs(spark, sf_dir), v)
+    return bpe_digests(_docs(spark, sf_dir), public_vocabulary(path, pattern))
+
+
+def public_vocabulary(path=None, pattern=None):
+    """A rank file and its pattern, by default the public 50k byte vocabulary."""
+    import public_tokenizers  # only where tokens are asked for
+    return Vocabulary.read(path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+                           pattern or public_tokenizers.PATTERN)
 
 
 def op6_warc_revisits(spark, sf_dir):
