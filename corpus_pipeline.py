@@ -7,15 +7,13 @@ the columns of ``documents``.
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import functions as F
 
-from revlens.llm.bpe import Vocabulary
 from revlens.llm.contain import decontaminate
 from revlens.llm.line_crf import fit_quality, keep_good
 from revlens.llm.lines import remove_boilerplate
 from revlens.llm.partenum import keep_first
-from revlens.llm.queries import GOOD, bpe_digests
+from revlens.llm.queries import GOOD, bpe_digests, public_vocabulary
 from revlens.llm.samples import remainder
 from revlens.sources.io import persist_cut
 
@@ -45,8 +43,7 @@ def decontamination(spark, docs, sf_dir):
 
 def tokens(spark, docs, sf_dir, path=None):
     """Token ids of each text and what they decode to, as digests."""
-    path = path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return bpe_digests(docs, Vocabulary.read(path, public_tokenizers.PATTERN))
+    return bpe_digests(docs, public_vocabulary(path))
 
 
 STAGES = [
