@@ -15,9 +15,11 @@ from __future__ import annotations
 import base64
 import heapq
 from array import array
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 from pyspark.sql import DataFrame
@@ -25,56 +27,70 @@ from pyspark.sql import types as T
 
 from revlens.llm import textops as X
 
-#: Pre-tokens remembered by a task before it turns to a new memory; the last
-#: one stays at hand. Only time depends on it.
-REMEMBERED = 400_000
-#: Pairs remembered by a task; forgotten all at once.
-PAIRS = 1_000_000
+#: Pre-tokens, and their characters, remembered by a task before it turns to a
+#: new memory; the last one stays at hand. Only time depends on them.
+REMEMBERED = 100_000
+REMEMBERED_CHARS = 4_000_000
 #: Text bytes after which a task hands on a batch.
 BATCH_BYTES = 4 << 20
+#: Displacements tried for a group of keys before the table takes another seed,
+#: and seeds tried.
+MOST_SHIFT, MOST_SEEDS = 1 << 16, 1000
+_MASK = (1 << 64) - 1
 
 
 class PerfectHash:
-    """Minimal perfect hash over byte strings: n keys fill n slots."""
+    """Minimal perfect hash over distinct byte strings: n keys fill n slots."""
 
     def __init__(self, keys: list[bytes]):
-        n = max(1, len(keys))
-        self.n, self.groups = n, n // 3 + 1
+        if len(set(keys)) < len(keys):
+            raise ValueError("keys must be distinct")
+        self.n = max(1, len(keys))
+        self.groups = self.n // 3 + 1
+        for self.seed in range(MOST_SEEDS):
+            if self._place(keys):
+                return
+        raise ValueError("no seed places every key")  # needs keys of equal hash
+
+    def _place(self, keys: list[bytes]) -> bool:
+        """Fill the table under the present seed: the largest groups first, by
+        displacement; groups of one key take the slots left over."""
         groups: list[list[int]] = [[] for _ in range(self.groups)]
-        hashes = [xxhash.xxh3_64_intdigest(k) for k in keys]
+        hashes = [xxhash.xxh3_64_intdigest(k, self.seed) for k in keys]
         for i, h in enumerate(hashes):
             groups[h % self.groups].append(i)
         self.shift = [0] * self.groups
-        self.key: list[bytes | None] = [None] * n
-        self.value = [0] * n
+        self.key: list[bytes | None] = [None] * self.n
+        self.value = [0] * self.n
         for g in sorted(range(self.groups), key=lambda g: -len(groups[g])):
-            if not groups[g]:
+            if len(groups[g]) < 2:
                 break
-            if len(groups[g]) == 1:  # any free slot will do: a negative shift names it
-                break
-            d = 0
-            while True:
+            for d in range(MOST_SHIFT):
                 at = {self._slot(hashes[i], d) for i in groups[g]}
                 if len(at) == len(groups[g]) and all(self.key[s] is None for s in at):
                     break
-                d += 1
+            else:
+                return False
             self.shift[g] = d
             for i in groups[g]:
                 s = self._slot(hashes[i], d)
                 self.key[s], self.value[s] = keys[i], i
-        free = iter([s for s in range(n) if self.key[s] is None])
+        free = iter([s for s in range(self.n) if self.key[s] is None])
         for g, members in enumerate(groups):
-            if len(members) == 1:
+            if len(members) == 1:  # any free slot will do: a negative shift names it
                 s = next(free)
                 self.shift[g] = -1 - s
                 self.key[s], self.value[s] = keys[members[0]], members[0]
+        return True
 
     def _slot(self, h: int, d: int) -> int:
-        return ((h >> 20) + d * ((h >> 40) | 1) + d * d) % self.n
+        x = (h ^ d * 0x9E3779B97F4A7C15) * 0xBF58476D1CE4E5B9 & _MASK
+        x = (x ^ x >> 31) * 0x94D049BB133111EB & _MASK
+        return (x >> 32) * self.n >> 32
 
     def get(self, key: bytes) -> int:
         """Index of the key in the list it was built from, -1 for others."""
-        h = xxhash.xxh3_64_intdigest(key)
+        h = xxhash.xxh3_64_intdigest(key, self.seed)
         d = self.shift[h % self.groups]
         s = -1 - d if d < 0 else self._slot(h, d)
         return self.value[s] if self.key[s] == key else -1
@@ -89,6 +105,15 @@ class Vocabulary:
         self.byte = [self.hash.get(bytes([b])) for b in range(256)]
         if min(self.byte) < 0:
             raise ValueError("a byte-level vocabulary holds every single byte")
+        self.pairs = self._pairs()
+
+    def _pairs(self) -> dict[int, int]:
+        """(left id << 32 | right id) -> id of every pair that merges: each way
+        of cutting a token into two tokens. What is not here never merges, so
+        encoding needs no table that grows with the texts."""
+        ids = {t: i for i, t in enumerate(self.tokens)}
+        return {ids[t[:k]] << 32 | ids[t[k:]]: i for i, t in enumerate(self.tokens)
+                for k in range(1, len(t)) if t[:k] in ids and t[k:] in ids}
 
     @classmethod
     def read(cls, path: str, pattern: str) -> Vocabulary:
@@ -103,27 +128,18 @@ class Encoder:
         self.v = vocabulary
         self.split = regex.compile(vocabulary.pattern).findall
         self.memory, self.older = _Memory(), _Memory()
-        self.pairs: dict[int, int] = {}
-
-    def _pair(self, a: int, b: int) -> int:
-        if len(self.pairs) >= PAIRS:
-            self.pairs.clear()
-        r = self.pairs[a << 32 | b] = self.v.hash.get(self.v.tokens[a] + self.v.tokens[b])
-        return r
 
     def merge(self, word: bytes) -> tuple[int, ...]:
         """Ids of a pre-token outside the vocabulary. Heap entries are rank and
         position in one integer; ``rank`` tells which of them still hold."""
-        byte, seen, pair = self.v.byte, self.pairs.get, self._pair
+        byte, pair = self.v.byte, self.v.pairs.get
         ids = [byte[b] for b in word]
         n = len(ids)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         rank, heap = [-1] * n, []
         for i in range(n - 1):
-            a, b = ids[i], ids[i + 1]
-            if (r := seen(a << 32 | b)) is None:
-                r = pair(a, b)
-            if r >= 0:
+            r = pair(ids[i] << 32 | ids[i + 1])
+            if r is not None:
                 rank[i] = r
                 heap.append(r << 32 | i)
         heapq.heapify(heap)
@@ -138,23 +154,22 @@ class Encoder:
             rank[i] = -1
             if k < n:
                 before[k] = i
-                if (s := seen(r << 32 | ids[k])) is None:
-                    s = pair(r, ids[k])
-                if s >= 0:
+                s = pair(r << 32 | ids[k])
+                if s is not None:
                     rank[i] = s
                     heapq.heappush(heap, s << 32 | i)
             if (p := before[i]) >= 0:
                 rank[p] = -1
-                if (s := seen(ids[p] << 32 | r)) is None:
-                    s = pair(ids[p], r)
-                if s >= 0:
+                s = pair(ids[p] << 32 | r)
+                if s is not None:
                     rank[p] = s
                     heapq.heappush(heap, s << 32 | p)
         return tuple([x for x in ids if x >= 0])
 
     def encode(self, text: str) -> np.ndarray:
         words = self.split(text)
-        if len(self.memory.place) >= REMEMBERED:  # the words in use come back from the older one
+        if len(self.memory.place) >= REMEMBERED or self.memory.chars >= REMEMBERED_CHARS:
+            # the words in use come back from the older one
             self.memory, self.older = _Memory(), self.memory
         m = self.memory
         for w in set(words).difference(m.place):
@@ -172,10 +187,12 @@ class _Memory:
 
     def __init__(self):
         self.place: dict[str, int] = {}
+        self.chars = 0
         self.ids, self.begin = array("i"), array("q", [0])
 
     def add(self, word: str, ids) -> None:
         self.place[word] = len(self.begin) - 1
+        self.chars += len(word)
         self.ids.extend(ids)
         self.begin.append(len(self.ids))
 
@@ -210,22 +227,39 @@ class Decoder:
         return self.flat[np.repeat(self.begin[ids] - (end - size), size) + np.arange(total)].tobytes()
 
 
+def _encoded(batches, encoder):
+    """(doc_id column, ids of each text) of runs of rows of some ``BATCH_BYTES``."""
+    for batch in X.small(batches):
+        texts = batch.column("text")
+        size = np.cumsum(np.r_[0, pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)])
+        first = 0
+        while first < len(texts):
+            last = max(first + 1, int(np.searchsorted(size, size[first] + BATCH_BYTES, "right")) - 1)
+            ids = [encoder.encode(t or "") for t in texts.slice(first, last - first).to_pylist()]
+            yield batch.column("doc_id").slice(first, last - first), ids
+            first = last
+
+
 def _encode(shared):
     def run(batches):
-        encoder = Encoder(shared.value)  # its memory goes with the task
-        for batch in X.small(batches):
-            texts = batch.column("text")
-            size = np.cumsum(np.r_[0, [0 if t is None else len(t) for t in texts.to_pylist()]])
-            first = 0
-            while first < len(texts):
-                last = max(first + 1, int(np.searchsorted(size, size[first] + BATCH_BYTES, "right")) - 1)
-                ids = [encoder.encode(t or "") for t in texts.slice(first, last - first).to_pylist()]
-                at = np.cumsum([0] + [len(x) for x in ids])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(first, last - first),
-                     pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate(ids)))],
-                    names=["doc_id", "ids"])
-                first = last
+        for doc_id, ids in _encoded(batches, Encoder(shared.value)):  # its memory goes with the task
+            at = np.cumsum([0] + [len(x) for x in ids])
+            yield pa.RecordBatch.from_arrays(
+                [doc_id, pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate(ids)))],
+                names=["doc_id", "ids"])
+    return run
+
+
+def _digest(shared):
+    def run(batches):
+        decoder = Decoder(shared.value)
+        names = [str(i).encode() for i in range(len(shared.value.tokens))]
+        for doc_id, ids in _encoded(batches, Encoder(shared.value)):
+            yield pa.RecordBatch.from_arrays(
+                [doc_id, pa.array([len(x) for x in ids], pa.int64()),
+                 pa.array([sha256(b",".join(map(names.__getitem__, x.tolist()))).hexdigest() for x in ids], pa.string()),
+                 pa.array([sha256(decoder.decode(x)).hexdigest() for x in ids], pa.string())],
+                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
     return run
 
 
@@ -239,7 +273,7 @@ def _decode(shared):
     def run(batches):
         decoder = Decoder(shared.value)
         for batch in X.small(batches):
-            names = [c for c in batch.schema.names if c != "ids"]
+            names = [c for c in batch.schema.names if c not in ("ids", "bytes")]
             text = pa.array([decoder.decode(x) for x in lists(batch.column("ids"))], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in names] + [text], names=names + ["bytes"])
     return run
@@ -252,10 +286,21 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(_encode(shared), "doc_id long, ids array<int>")
 
 
+def digests(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 (of the decimal ids joined by commas) and
+    decoded_sha256 (of the bytes that the ids decode to) of every row of ``docs``
+    (doc_id, text; other columns are ignored): encoded and decoded in one pass,
+    so ids do not leave the task. Null and empty texts have no ids."""
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    return docs.select("doc_id", "text").mapInArrow(
+        _digest(shared), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
 def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """``encoded`` with its ids (array of int) replaced by their bytes. Null ids
-    give empty bytes. Ids from elsewhere need not make whole characters, so the
-    result is binary."""
+    """``encoded`` with its ids (array of int) replaced by their bytes (column
+    ``bytes``; one of the input of that name is replaced). Null ids give empty
+    bytes. Ids from elsewhere need not make whole characters, so the result is
+    binary."""
     shared = encoded.sparkSession.sparkContext.broadcast(vocabulary)
-    kept = T.StructType([f for f in encoded.schema.fields if f.name != "ids"])
+    kept = T.StructType([f for f in encoded.schema.fields if f.name not in ("ids", "bytes")])
     return encoded.select(*kept.names, "ids").mapInArrow(_decode(shared), kept.add("bytes", "binary"))

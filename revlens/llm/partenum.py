@@ -280,10 +280,10 @@ def _search(percent: int):
                 rest = t.slice(int(begin[-2]))
                 begin = begin[:-1]
             c = {k: t.column(k).to_numpy() for k in ("rep", "comp", "n_shingles", "side")}
-            for k in ("sketch", "earlier"):
-                c[k] = np.empty(t.num_rows, object)
-                c[k][:] = t.column(k).to_pylist()
-            pairs = [_candidates({k: v[i:j] for k, v in c.items()}, percent) for i, j in zip(begin[:-1], begin[1:])]
+            # Sketches and bucket lists become Python objects one run at a time.
+            pairs = [_candidates({k: v[i:j] for k, v in c.items()} | {
+                k: t.column(k).slice(i, j - i).to_pylist() for k in ("sketch", "earlier")}, percent)
+                for i, j in zip(begin[:-1].tolist(), begin[1:].tolist())]
             if pairs:
                 u, v = (np.concatenate(x) for x in zip(*pairs))
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))],

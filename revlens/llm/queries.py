@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-import hashlib
-
-import pyarrow as pa
 from pyspark.sql import functions as F
 
 from revlens.llm import oracle as O
-from revlens.llm import textops as X
-from revlens.llm.bpe import Vocabulary, decode, encode, lists
+from revlens.llm.bpe import Vocabulary, digests
 from revlens.llm.contain import contaminated
 from revlens.llm.crawl import warc_records
 from revlens.llm.line_crf import fit_quality, score_quality
@@ -61,30 +57,9 @@ def op5_benchmark_containment(spark, sf_dir):
     return contaminated(_docs(spark, sf_dir), items, percent=80)
 
 
-def _id_digests(names):
-    """n_tokens and the sha256 of the ids in decimal, joined by commas."""
-    def run(batches):
-        for batch in X.small(batches):
-            ids = lists(batch.column("ids"))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(x) for x in ids], pa.int64()),
-                 pa.array([hashlib.sha256(b",".join(map(names.__getitem__, x.tolist()))).hexdigest() for x in ids],
-                          pa.string()), batch.column("ids")], names=["doc_id", "n_tokens", "ids_sha256", "ids"])
-    return run
-
-
-def bpe_digests(docs, vocabulary):
-    """Encode, digest the ids, decode them again and digest the bytes."""
-    names = [str(i).encode() for i in range(len(vocabulary.tokens))]
-    ids = encode(docs, vocabulary).mapInArrow(
-        _id_digests(names), "doc_id long, n_tokens long, ids_sha256 string, ids array<int>")
-    return decode(ids, vocabulary).select("doc_id", "n_tokens", "ids_sha256",
-                                          F.sha2("bytes", 256).alias("decoded_sha256"))
-
-
 def op8_byte_bpe(spark, sf_dir, path=None, pattern=None):
     """Ids of every document and the text they decode to, as digests."""
-    return bpe_digests(_docs(spark, sf_dir), public_vocabulary(path, pattern))
+    return digests(_docs(spark, sf_dir), public_vocabulary(path, pattern))
 
 
 def public_vocabulary(path=None, pattern=None):

@@ -12,7 +12,6 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from revlens.llm import bpe, contain, langid, line_crf, toxicity
-from revlens.llm.queries import bpe_digests
 from tests.llm import brute
 
 DOCS = "doc_id long, text string"
@@ -78,6 +77,36 @@ def test_perfect_hash_is_minimal_and_exact(vocabulary):
     assert bpe.PerfectHash([b"x"]).get(b"x") == 0 and bpe.PerfectHash([]).get(b"x") == -1
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.one_of(st.sets(st.binary(max_size=6), max_size=40), st.integers(0, 2000)))
+def test_perfect_hash_of_any_size(keys):
+    keys = [b"%d" % i for i in range(keys)] if isinstance(keys, int) else sorted(keys)
+    h = bpe.PerfectHash(keys)
+    assert [h.get(k) for k in keys] == list(range(len(keys)))
+    assert h.get(b"not one of them") == -1 and len(h.value) == max(1, len(keys))
+
+
+def test_perfect_hash_refuses_repeated_keys():
+    with pytest.raises(ValueError):
+        bpe.PerfectHash([b"a", b"a"])
+
+
+def test_vocabulary_of_bytes_alone(exact):
+    e = bpe.Encoder(bpe.Vocabulary([bytes([b]) for b in range(256)], public_tokenizers.PATTERN))
+    assert list(e.encode("héy")) == list("héy".encode())
+
+
+def test_very_long_text(vocabulary, exact):
+    text = "thshble onininger, " * 20_000 + "x" * 20_000
+    assert list(bpe.Encoder(vocabulary).encode(text)) == exact.encode_ordinary(text)
+
+
+def test_decode_replaces_a_column_of_its_name(spark, vocabulary):
+    d = spark.createDataFrame([(1, "a b", "own")], DOCS + ", bytes string")
+    ids = bpe.encode(d, vocabulary).join(d.select("doc_id", "bytes"), "doc_id")
+    assert [tuple(r) for r in bpe.decode(ids, vocabulary).collect()] == [(1, bytearray(b"a b"))]
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(max_size=80))
 def test_encoding_equals_the_library(vocabulary, exact, text):
@@ -89,20 +118,22 @@ def test_encoding_equals_the_library(vocabulary, exact, text):
 def test_bpe_query(spark, vocabulary, exact):
     texts = [None, "", " ", "héllo wörld 123's <|endoftext|>", "a" * 5000, "日本語 \r\n\t x", "b " * 3000]
     d = spark.createDataFrame([(i, t, "n") for i, t in enumerate(texts)], DOCS + ", ids string")
-    for r in bpe_digests(d, vocabulary).collect():
+    for r in bpe.digests(d, vocabulary).collect():
         ids = exact.encode_ordinary(texts[r.doc_id] or "")
         assert r.n_tokens == len(ids)
         assert r.ids_sha256 == brute.sha(",".join(map(str, ids)).encode())
         assert r.decoded_sha256 == brute.sha((texts[r.doc_id] or "").encode())
-    assert bpe_digests(d.limit(0), vocabulary).collect() == []
+    assert bpe.digests(d.limit(0), vocabulary).collect() == []
 
 
 def test_small_memories_change_nothing(vocabulary, exact, monkeypatch):
     monkeypatch.setattr(bpe, "REMEMBERED", 3)
-    monkeypatch.setattr(bpe, "PAIRS", 5)
     e = bpe.Encoder(vocabulary)
     for t in ["some words of a text", "of other wordings", "some words again", "thshble onininger"] * 3:
         assert list(e.encode(t)) == exact.encode_ordinary(t)
+    monkeypatch.setattr(bpe, "REMEMBERED_CHARS", 10)
+    for t in ["some words of a text", "of other wordings"] * 2:
+        assert list(e.encode(t)) == exact.encode_ordinary(t)
 
 
 # ---- line field ---------------------------------------------------------------------
