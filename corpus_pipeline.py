@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from revlens.llm.bpe import digests
 from revlens.llm.contain import decontaminate
 from revlens.llm.line_crf import fit_quality, keep_good
 from revlens.llm.lines import remove_boilerplate
 from revlens.llm.partenum import keep_first
-from revlens.llm.queries import GOOD, bpe_digests, public_vocabulary
+from revlens.llm.queries import GOOD, public_vocabulary
 from revlens.llm.samples import remainder
 from revlens.sources.io import persist_cut
 
@@ -43,7 +44,7 @@ def decontamination(spark, docs, sf_dir):
 
 def tokens(spark, docs, sf_dir, path=None):
     """Token ids of each text and what they decode to, as digests."""
-    return bpe_digests(docs, public_vocabulary(path))
+    return digests(docs, public_vocabulary(path))
 
 
 STAGES = [
