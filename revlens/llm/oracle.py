@@ -2,13 +2,16 @@
 
 WORDS = "regexp_extract_all(coalesce({0}, ''), '[^\\x20\\x09-\\x0D]+')"
 
-JACCARD = """
+
+def jaccard(words: int, percent: int, more: str = "") -> str:
+    """Near-duplicate classes by all shared shingles; ``more``: further columns."""
+    return """
 WITH RECURSIVE w AS (
   SELECT doc_id, """ + WORDS.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')") + """ AS w
   FROM documents),
 s AS (
-  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
-    ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s FROM w),
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < """ + str(words) + """ THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - """ + str(words - 2) + """), lambda i: array_to_string(w[i:i + """ + str(words - 1) + """], ' ')) END) AS s FROM w),
 x AS (SELECT doc_id, unnest(s) AS x FROM s),
 shared AS (SELECT x FROM x GROUP BY x HAVING count(*) > 1),
 y AS (SELECT doc_id, x FROM x SEMI JOIN shared USING (x)),
@@ -17,16 +20,20 @@ common AS (
   GROUP BY 1, 2),
 link AS (
   SELECT u, v FROM common JOIN s a ON a.doc_id = u JOIN s b ON b.doc_id = v
-  WHERE 100 * n >= 85 * (len(a.s) + len(b.s) - n)),
+  WHERE 100 * n >= """ + str(percent) + """ * (len(a.s) + len(b.s) - n)),
 e AS (SELECT u, v FROM link UNION SELECT v, u FROM link),
 reach AS (
   SELECT doc_id AS node, doc_id AS root FROM documents
   UNION
   SELECT e.v, r.root FROM reach r JOIN e ON e.u = r.node)
-SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, r.component_id
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, r.component_id""" + more + """
 FROM s JOIN (SELECT node, min(root) AS component_id FROM reach GROUP BY node) r ON r.node = s.doc_id
 """
 
+
+JACCARD = jaccard(4, 85)
+HYPERMINHASH = jaccard(3, 85, ", s.doc_id = r.component_id AS kept")
+
 SUBSTRING = """
 WITH w AS (SELECT doc_id, """ + WORDS.format("text") + """ AS w FROM documents),
 win AS (

@@ -8,6 +8,7 @@ from revlens.llm import oracle as O
 from revlens.llm.bpe import Vocabulary, digests
 from revlens.llm.contain import contaminated
 from revlens.llm.crawl import warc_records
+from revlens.llm.hyperminhash import near_duplicates
 from revlens.llm.line_crf import fit_quality, score_quality
 from revlens.llm.langid import predict_held_out
 from revlens.llm.lines import remove_boilerplate
@@ -99,6 +100,11 @@ def op10_counterfactual_toxicity(spark, sf_dir):
         (F.col("score") >= TOXIC).cast("int").alias("predicted"))
 
 
+def op11_hyperminhash(spark, sf_dir):
+    """Near-duplicate class of every document, 3-word shingles, Jaccard 0.85."""
+    return near_duplicates(_docs(spark, sf_dir), words=3, percent=85)
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_substring_dedup": op2_substring_dedup,
@@ -110,6 +116,7 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_line_crf_quality": op9_line_crf_quality,
     "op10_counterfactual_toxicity": op10_counterfactual_toxicity,
+    "op11_hyperminhash": op11_hyperminhash,
 }
 ORACLE = {
     "op1_ngram_jaccard": O.JACCARD,
@@ -117,4 +124,5 @@ ORACLE = {
     "op4_line_site_spread": O.LINES,
     "op5_benchmark_containment": O.CONTAINED,
     "op6_warc_revisits": O.REVISITS,
+    "op11_hyperminhash": O.HYPERMINHASH,
 }

@@ -18,6 +18,7 @@ CONTRACT = {
     "op8_": {"doc_id": "bigint", "n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"},
     "op9_": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
     "op10_": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
+    "op11_": {"doc_id": "bigint", "n_shingles": "bigint", "component_id": "bigint", "kept": "boolean"},
 }
 
 
@@ -30,7 +31,7 @@ def con():
 
 
 def test_registered():
-    assert {k.split("_")[0] for k in QUERIES} == {f"op{n}" for n in range(1, 11)} and len(QUERIES) == 10
+    assert {k.split("_")[0] for k in QUERIES} == {f"op{n}" for n in range(1, len(QUERIES) + 1)}
     assert set(E.queries()) >= {*QUERIES, "pipeline"} and set(E.oracle_sql()) >= set(ORACLE)
 
 
