@@ -128,3 +128,32 @@ SELECT id AS record_id, canonical AS canonical_url, response_id, outcome,
        WHEN modified IS NOT NULL THEN 'Last-Modified: ' || modified ELSE 'X-None: 1' END END AS http_headers
 FROM h
 """
+
+RANKED = r"""
+WITH runs AS (
+  SELECT doc_id, term, count(*) AS tf FROM (
+    SELECT doc_id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents)
+  GROUP BY doc_id, term),
+size AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM runs GROUP BY doc_id),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM size),
+weight AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM runs GROUP BY term), total),
+mass AS (SELECT doc_id, 100 - 25 + ((25 * n * docs) // terms) AS m FROM size, total),
+wanted AS (
+  SELECT item_id, term, count(*) AS c FROM (
+    SELECT item_id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+  GROUP BY item_id, term),
+scored AS (
+  SELECT item_id, doc_id, CAST(sum(c * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM wanted JOIN weight USING (term) JOIN runs USING (term) JOIN mass USING (doc_id)
+  GROUP BY item_id, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+       doc_id, score
+FROM scored WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 20
+"""

@@ -8,6 +8,7 @@ from revlens.llm import oracle as O
 from revlens.llm.bpe import Vocabulary, digests
 from revlens.llm.contain import contaminated
 from revlens.llm.crawl import warc_records
+from revlens.llm.dualtree import ranked_search
 from revlens.llm.hyperminhash import near_duplicates
 from revlens.llm.line_crf import fit_quality, score_quality
 from revlens.llm.langid import predict_held_out
@@ -105,6 +106,11 @@ def op11_hyperminhash(spark, sf_dir):
     return near_duplicates(_docs(spark, sf_dir), words=3, percent=85)
 
 
+def op12_dual_tree_search(spark, sf_dir):
+    """The 20 best documents for every benchmark item."""
+    return ranked_search(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), k=20)
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_substring_dedup": op2_substring_dedup,
@@ -117,6 +123,7 @@ QUERIES = {
     "op9_line_crf_quality": op9_line_crf_quality,
     "op10_counterfactual_toxicity": op10_counterfactual_toxicity,
     "op11_hyperminhash": op11_hyperminhash,
+    "op12_dual_tree_search": op12_dual_tree_search,
 }
 ORACLE = {
     "op1_ngram_jaccard": O.JACCARD,
@@ -125,4 +132,5 @@ ORACLE = {
     "op5_benchmark_containment": O.CONTAINED,
     "op6_warc_revisits": O.REVISITS,
     "op11_hyperminhash": O.HYPERMINHASH,
+    "op12_dual_tree_search": O.RANKED,
 }
