@@ -157,3 +157,49 @@ SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC
 FROM scored WHERE score > 0
 QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 20
 """
+
+VARIANTS = r"""
+WITH RECURSIVE entries AS (
+  SELECT list(c ORDER BY i) AS crc_table FROM (
+    SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, k:
+      CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM (SELECT CAST(unnest(range(256)) AS BIGINT) AS i))),
+runs AS (
+  SELECT id, run, count(*) AS times FROM (
+    SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+           unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[a-zÀ-ÿ]+')) AS run FROM documents)
+  WHERE length(run) >= 7 GROUP BY id, run),
+bytes AS (
+  SELECT run, times, flatten(list_transform(string_split(id || ':' || run, ''), lambda ch:
+    CASE WHEN unicode(ch) < 128 THEN [CAST(unicode(ch) AS BIGINT)]
+         ELSE [CAST(195 AS BIGINT), CAST(unicode(ch) - 64 AS BIGINT)] END)) AS b FROM runs),
+hashed AS (
+  SELECT run, times, xor(list_reduce(list_prepend(4294967295, b), lambda c, x:
+    xor(c >> 8, crc_table[(xor(c, x) & 255) + 1])), 4294967295) AS h FROM bytes, entries),
+words AS (
+  SELECT word, CAST(sum(times) AS BIGINT) AS n FROM (
+    SELECT times, CASE WHEN h % 31 = 0
+      THEN left(run, CAST(h % length(run) AS INTEGER)) || substr(run, CAST(h % length(run) AS INTEGER) + 2)
+      ELSE run END AS word FROM hashed)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(times) >= 2),
+places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words),
+blanked AS (SELECT word, n, left(word, i - 1) || '*' || substr(word, i + 1) AS p FROM places),
+shorter AS (SELECT DISTINCT word, n, left(word, i - 1) || substr(word, i + 1) AS p FROM places),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS m FROM blanked a JOIN blanked b ON a.p = b.p AND a.word <> b.word
+  UNION ALL SELECT s.word, w.word, w.n FROM shorter s JOIN words w ON w.word = s.p
+  UNION ALL SELECT w.word, s.word, s.n FROM shorter s JOIN words w ON w.word = s.p),
+best AS (
+  SELECT word, count(*) AS n_near, max(m) AS m FROM near GROUP BY word),
+forms AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.m >= 10 * w.n THEN b.m END AS form_n,
+         CASE WHEN b.m >= 10 * w.n THEN (SELECT min(other) FROM near x WHERE x.word = w.word AND x.m = b.m) END AS form
+  FROM words w LEFT JOIN best b ON b.word = w.word),
+chain AS (
+  SELECT word, word AS here, 0 AS step FROM forms
+  UNION ALL
+  SELECT c.word, f.form, c.step + 1 FROM chain c JOIN forms f ON f.word = c.here WHERE f.form IS NOT NULL)
+SELECT f.word, f.n, f.n_near, f.form, f.form_n, r.root
+FROM forms f JOIN (SELECT word, arg_max(here, step) AS root FROM chain GROUP BY word) r ON r.word = f.word
+"""

@@ -16,6 +16,7 @@ from revlens.llm.lines import remove_boilerplate
 from revlens.llm.partenum import jaccard_classes
 from revlens.llm.rules import quality_rules
 from revlens.llm.samples import remainder
+from revlens.llm.spelling import variants, words
 from revlens.llm.substring import remove_repeats
 from revlens.llm.toxicity import fit_toxicity, score_toxicity
 from revlens.llm.warc import resolve_revisits
@@ -111,6 +112,11 @@ def op12_dual_tree_search(spark, sf_dir):
     return ranked_search(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), k=20)
 
 
+def op13_spelling_variants(spark, sf_dir):
+    """Every word of seven letters or more with its spelling form and root."""
+    return variants(words(_docs(spark, sf_dir), every=31, least=7, times=2), times=10)
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_substring_dedup": op2_substring_dedup,
@@ -124,6 +130,7 @@ QUERIES = {
     "op10_counterfactual_toxicity": op10_counterfactual_toxicity,
     "op11_hyperminhash": op11_hyperminhash,
     "op12_dual_tree_search": op12_dual_tree_search,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 ORACLE = {
     "op1_ngram_jaccard": O.JACCARD,
@@ -133,4 +140,5 @@ ORACLE = {
     "op6_warc_revisits": O.REVISITS,
     "op11_hyperminhash": O.HYPERMINHASH,
     "op12_dual_tree_search": O.RANKED,
+    "op13_spelling_variants": O.VARIANTS,
 }

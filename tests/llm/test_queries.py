@@ -20,6 +20,7 @@ CONTRACT = {
     "op10_": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
     "op11_": {"doc_id": "bigint", "n_shingles": "bigint", "component_id": "bigint", "kept": "boolean"},
     "op12_": {"item_id": "bigint", "rank": "int", "doc_id": "bigint", "score": "bigint"},
+    "op13_": {"word": "string", "n": "bigint", "n_near": "bigint", "form": "string", "form_n": "bigint", "root": "string"},
 }
 
 
