@@ -17,8 +17,9 @@ URL = r"https?://(www.)?\w+\.\w+(/\w+)*/?"
 # One ASCII punctuation character (the 32 characters of C's ispunct).
 PUNCT = r"[!-/:-@\[-`{-~]"
 DIGITS = r"\d+"
-# Sentiment tokens: letters with an optional apostrophe part (don't, isn't).
-SENTIMENT_TOKEN = r"[a-z]+('[a-z]+)?"
+# The same 32 characters, and runs of the six ASCII blanks.
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+BLANKS = r"[\x09-\x0D ]+"
 # The default English stop words of Spark ML (Apache License 2.0),
 # which StopWordsRemover.loadDefaultStopWords("english") returns.
 STOP_WORDS = [
@@ -57,10 +58,6 @@ def ascii_lower(c: Column) -> Column:
     return F.lower(strip_non_ascii(c))
 
 
-def sentiment_tokens(c: Column) -> Column:
-    return F.regexp_extract_all(c, F.lit(SENTIMENT_TOKEN), 0)
-
-
 def remove_blanks(c: Column) -> Column:
     return F.regexp_replace(c, " ", "")
 

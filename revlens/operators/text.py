@@ -1,4 +1,4 @@
-"""Review text: cleaning, tokens, lexicon sentiment, TF-IDF and LDA topics.
+"""Review text: cleaning, tokens, mean sentiment, TF-IDF and LDA topics.
 
 Scale notes
 * Every step up to the term counts is per review (bounded by review length)
@@ -8,9 +8,6 @@ Scale notes
   and its term vector is summed from them.
 * The businesses of one city are broadcast to the reviews when their
   statistics prove them small, so review text is not shuffled by business.
-* Sentiment is scored inside the JVM with higher-order functions over the
-  token array and an inline lexicon map (no shuffle) when the lexicon has few
-  tokens; a larger one is joined by token. Both give the same rows.
 * TF-IDF keeps every term: document frequencies are a grouped count joined
   back by term. Only LDA, whose model is a dense matrix, ranks a vocabulary.
 """
@@ -31,33 +28,6 @@ from revlens.functions import text as X
 from revlens.operators.joins import broadcast_if_small, take_bounded
 from revlens.sources.io import persist_cut
 
-# The default sentiment lexicon (token -> valence in [-4, 4])
-# and the negators that flip the valence of the token after them. Users with
-# a fuller lexicon pass it as a dict or a (token, valence) DataFrame.
-LEXICON = {
-    "good": 1.9, "great": 3.1, "excellent": 2.7, "amazing": 2.8, "awesome": 3.1,
-    "best": 3.2, "better": 1.9, "love": 3.2, "loved": 2.9, "like": 1.5, "liked": 1.8,
-    "nice": 1.8, "happy": 2.7, "friendly": 2.2, "delicious": 2.7, "tasty": 2.0,
-    "fresh": 1.3, "clean": 1.7, "perfect": 2.7, "wonderful": 2.7, "fantastic": 2.6,
-    "enjoy": 2.2, "enjoyed": 2.3, "recommend": 1.5, "fast": 0.8, "fine": 0.8,
-    "pleasant": 2.3, "helpful": 1.8, "worth": 0.9, "fun": 2.3,
-    "bad": -2.5, "worse": -2.1, "worst": -3.1, "terrible": -2.1, "awful": -2.0,
-    "horrible": -2.5, "hate": -2.7, "hated": -3.2, "poor": -2.1, "rude": -2.0,
-    "dirty": -1.9, "slow": -1.0, "cold": -0.5, "bland": -1.1, "disappointing": -2.2,
-    "disappointed": -1.9, "expensive": -0.9, "overpriced": -1.6, "wrong": -2.1,
-    "never": -0.4, "sad": -2.1, "angry": -2.3, "sick": -1.9, "gross": -2.1,
-    "boring": -1.3, "problem": -1.7, "mess": -1.5, "waste": -1.8, "noisy": -0.9,
-    "unfriendly": -2.0,
-}
-NEGATORS = ["not", "no", "nor", "never", "none", "nothing", "nobody", "nowhere",
-            "cannot", "don't", "doesn't", "didn't", "isn't", "wasn't", "aren't",
-            "weren't", "won't", "wouldn't", "can't", "couldn't", "shouldn't", "hardly"]
-# Inline lexicons above this size are joined instead of embedded in the plan.
-INLINE_LEXICON_MAX = 5_000  # both ways score alike
-# Normalisation constant of the compound score s / sqrt(s^2 + alpha).
-ALPHA = 15.0
-
-
 def city_businesses(business: DataFrame, city: str) -> DataFrame:
     return business.where(F.col("City") == city)
 
@@ -88,94 +58,6 @@ def review_tokens(cleaned: DataFrame, language: str = "english") -> DataFrame:
                     F.array_join("no_stopword", " ").alias("fine_text"))
 
 
-def _scores(pos, neg, neu, s, n):
-    total = pos + neg + neu
-    z = F.lit(0.0)
-    return [F.when(n == 0, z).otherwise(F.round(neg / total, 4)).alias("Negative"),
-            F.when(n == 0, z).otherwise(F.round(neu / total, 4)).alias("Neutral"),
-            F.when(n == 0, z).otherwise(F.round(pos / total, 4)).alias("Positive"),
-            F.when(n == 0, z).otherwise(F.round(s / F.sqrt(s * s + F.lit(ALPHA)), 4)).alias("Compound")]
-
-
-def _prev_tokens(toks):
-    return F.concat(F.array(F.lit("")), F.slice(toks, 1, F.greatest(F.size(toks) - 1, F.lit(0))))
-
-
-def _token_table(spark, lexicon) -> DataFrame:
-    """(token, valence), one row per token: the largest valence where a token
-    is listed twice; null tokens and valences are left out."""
-    if isinstance(lexicon, dict):
-        lexicon = spark.createDataFrame(sorted(lexicon.items()), "token string, valence double")
-    lex = lexicon.toDF("token", "valence").where("token IS NOT NULL AND valence IS NOT NULL")
-    return lex.groupBy("token").agg(F.max(F.col("valence").cast("double")).alias("valence"))
-
-
-def sentiment(df: DataFrame, text_col: str = "text_ascii", lexicon=None,
-              negators: list[str] | None = None, inline_max: int = INLINE_LEXICON_MAX) -> DataFrame:
-    """neg / neu / pos shares and compound score per row (K3).
-
-    Tokens: ``[a-z]+('[a-z]+)?`` of the ASCII lower-case text. A token's
-    valence comes from the lexicon (0 if absent) and flips sign after a
-    negator. pos and neg are the summed positive and negative valence, neu the
-    number of zero-valence tokens; the three shares sum to 1. compound is
-    s / sqrt(s^2 + 15) with s the summed valence. No token: all zero. Null
-    text: all null. Every row of ``df`` is scored by itself, whatever its key.
-
-    ``lexicon``: dict, or DataFrame (token, valence). Up to ``inline_max``
-    distinct tokens it becomes a map in the plan, beyond it is joined.
-    """
-    lexicon = LEXICON if lexicon is None else lexicon
-    negators = NEGATORS if negators is None else negators
-    keep = [c for c in df.columns if c != text_col]
-    if not isinstance(lexicon, dict):
-        lexicon = _token_table(df.sparkSession, lexicon)
-        few = lexicon.limit(inline_max + 1).collect()
-        lexicon = {r["token"]: r["valence"] for r in few} if len(few) <= inline_max else lexicon
-    if isinstance(lexicon, dict) and len(lexicon) <= inline_max:
-        valence = F.create_map(*[x for w, v in sorted(lexicon.items()) for x in (F.lit(w), F.lit(float(v)))])
-        if not lexicon:
-            valence = F.create_map().cast("map<string,double>")
-        t = df.select(*keep, X.sentiment_tokens(F.col(text_col)).alias("_t"))
-        t = t.withColumn("_p", _prev_tokens(F.col("_t"))).withColumn("_v", F.transform(
-            "_t", lambda tok, i: F.coalesce(F.try_element_at(valence, tok), F.lit(0.0))
-            * _flip(F.get(F.col("_p"), i), negators)))
-        return _from_valences(t, keep)
-    return _sentiment_join(df, text_col, keep, lexicon, negators)
-
-
-def _flip(prev, negators: list[str]):
-    return F.when(F.array_contains(F.array(*[F.lit(w) for w in negators]), prev), F.lit(-1.0)).otherwise(F.lit(1.0))
-
-
-def _from_valences(t: DataFrame, keep: list[str]) -> DataFrame:
-    """Scores from the tokens' valences in text order (``_v``, null for null text)."""
-    def add(acc, x):
-        return acc + x
-    pos = F.aggregate(F.transform("_v", lambda x: F.greatest(x, F.lit(0.0))), F.lit(0.0), add)
-    neg = F.aggregate(F.transform("_v", lambda x: F.greatest(-x, F.lit(0.0))), F.lit(0.0), add)
-    neu = F.size(F.filter("_v", lambda x: x == 0)).cast("double")
-    return t.select(*keep, *_scores(pos, neg, neu, F.aggregate("_v", F.lit(0.0), add), F.size("_v")))
-
-
-def _sentiment_join(df: DataFrame, text_col: str, keep: list[str], lexicon, negators: list[str]) -> DataFrame:
-    """Scores by joining tokens with a lexicon too large for the plan. Rows get
-    an id of their own in a written table; a row's valences come back in text
-    order, so sums are those of the inline map."""
-    spark = df.sparkSession
-    lex = persist_cut(_token_table(spark, lexicon), spark, "lexicon")
-    rows = persist_cut(df.withColumn("_row", F.monotonically_increasing_id()), spark, "sentiment-rows")
-    toks = rows.select("_row", X.sentiment_tokens(F.col(text_col)).alias("_t"))
-    z = toks.select("_row", F.posexplode(F.arrays_zip(F.col("_t").alias("tok"), _prev_tokens(F.col("_t")).alias("prev")))
-                    .alias("at", "z"))
-    z = z.select("_row", "at", F.col("z.tok").alias("token"), F.col("z.prev").alias("prev"))
-    z = z.where("token IS NOT NULL").join(lex, "token", "left")
-    v = F.coalesce("valence", F.lit(0.0)) * _flip(F.col("prev"), negators)
-    order = z.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("at", v.alias("v")))).alias("_o"))
-    none = F.when(F.col(text_col).isNotNull(), F.array().cast("array<double>"))
-    t = rows.join(order, "_row", "left").withColumn("_v", F.coalesce(F.col("_o.v"), none))
-    return _from_valences(t, keep)
-
-
 def business_sentiment(scored: DataFrame, business: DataFrame, city: str) -> DataFrame:
     """Mean scores per business, rounded to 2 digits, with name and place."""
     g = scored.groupBy("BusinessID").agg(

@@ -17,7 +17,9 @@ from revlens.operators import geo as G
 from revlens.operators import prepare as P
 from revlens.operators import profile as Q
 from revlens.operators import recommend as R
+from revlens.operators import sentiment as S
 from revlens.operators import text as T
+from revlens.operators.joins import broadcast_if_small
 from revlens.plans import oracle as O
 from revlens.plans import params as PR
 from revlens.plans import views as V
@@ -323,7 +325,15 @@ def text_clean(spark, d):
 
 
 def text_scores(spark, d):
-    return T.sentiment(text_clean(spark, d).drop("clean_text"), "text_ascii")
+    return S.sentiment(text_clean(spark, d).drop("clean_text"), "text_ascii")
+
+
+def rated_lexicon(spark, d):
+    """Words and valences learnt from the city's rated reviews."""
+    stars = V.text_reviews(spark, d).select("ReviewID", "ReviewStars", "Review", "BusinessID")
+    city = T.city_businesses(V.text_businesses(spark, d), PR.TEXT_CITY).select("BusinessID")
+    return S.rated_lexicon(stars.join(broadcast_if_small(city), "BusinessID", "left_semi"), "Review", "ReviewStars",
+                           PR.RATING_THRESHOLD, PR.LEXICON_LEAST)
 
 
 def text_merged(spark, d):
@@ -349,6 +359,17 @@ def q_txt_sentiment_review(spark, d):
     return text_scores(spark, d)
 
 
+@register("txt_lexicon_rated", "SELECT token, valence, high, low FROM lexicon_rated")
+def q_txt_lexicon_rated(spark, d):
+    return rated_lexicon(spark, d)
+
+
+@register("txt_sentiment_rated", "SELECT * FROM text_sentiment_rated")
+def q_txt_sentiment_rated(spark, d):
+    """Sentiment by the learnt lexicon, whose size grows with the reviews."""
+    return S.sentiment(text_clean(spark, d).drop("clean_text"), "text_ascii", rated_lexicon(spark, d))
+
+
 @register("txt_sentiment_business", f"""
   SELECT g.BusinessID, avg_neg, avg_neu, avg_pos, avg_composite_score, b.Name,
          replace(b.PostalCode, ' ', '') AS ZipCode, b.Latitude, b.Longitude

@@ -29,6 +29,7 @@ from revlens.operators import geo as G
 from revlens.operators import prepare as P
 from revlens.operators import profile as Q
 from revlens.operators import recommend as R
+from revlens.operators import sentiment as S
 from revlens.operators import text as T
 from revlens.plans import params as PR
 from revlens.sources import io
@@ -144,7 +145,7 @@ def text(spark: SparkSession, clean_dir: str, out_dir: str, city: str = CITY, th
     b, rev = _load(spark, clean_dir, "business"), _load(spark, clean_dir, "reviews")
     cleaned = io.persist_cut(T.clean_reviews(rev, b, city), spark, "text-clean")
     io.write_table(T.review_tokens(cleaned), f"{out_dir}/ReviewTokens")
-    scored = io.persist_cut(T.sentiment(cleaned.drop("clean_text")), spark, "text-scores")
+    scored = io.persist_cut(S.sentiment(cleaned.drop("clean_text")), spark, "text-scores")
     io.write_csv(scored, f"{out_dir}/Sentiment_for_alltext")
     io.write_csv(T.business_sentiment(scored, b, city), f"{out_dir}/BusinessSentiment")
     words, dist = T.topics(T.merge_reviews(rev, b, city), threshold, n_topics, PR.LDA_SEED)

@@ -11,7 +11,7 @@ from __future__ import annotations
 import re
 
 from revlens.functions import text as X
-from revlens.operators import text as T
+from revlens.operators import sentiment as S
 from revlens.plans import params as PR
 from revlens.schemas import COMPLIMENTS, USER_COLS
 
@@ -228,25 +228,82 @@ def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-_LEX_CASE = ("CASE t " + " ".join(f"WHEN {_q(w)} THEN CAST({v!r} AS DOUBLE)" for w, v in sorted(T.LEXICON.items()))
-             + " ELSE CAST(0.0 AS DOUBLE) END")
-_NEG_LIST = ", ".join(_q(w) for w in T.NEGATORS)
-_TOKEN = X.SENTIMENT_TOKEN.replace("'", "''")
-CTES["text_sentiment"] = f"""
+_PUNCT = _q(X.PUNCTUATION)
+CTES["sentiment_words"] = rf"""
+  SELECT ReviewID, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM (
+    SELECT ReviewID, list_transform(list_filter(string_split_regex(text_ascii, '{X.BLANKS}'), lambda x: length(x) > 1),
+      lambda x: CASE WHEN length(trim(x, {_PUNCT})) <= 2 THEN x ELSE trim(x, {_PUNCT}) END) AS w FROM text_clean)"""
+CTES["sentiment_rules"] = ("SELECT * FROM (VALUES " + ", ".join(
+    f"({_q(w)}, CAST({b!r} AS DOUBLE), {k})" for w, (b, k) in S.rule_words().items()) + ") AS r(word, b, k)")
+CTES["lexicon"] = ("SELECT * FROM (VALUES " + ", ".join(
+    f"({_q(w)}, CAST({v!r} AS DOUBLE))" for w, v in S.LEXICON.items()) + ") AS l(token, valence)")
+CTES["lexicon_rated"] = f"""
+  SELECT token, valence, high, low FROM (
+    SELECT token, high, low, round(least(greatest(ln(((high + 1.0::DOUBLE) / (h + 2.0::DOUBLE))
+             / ((low + 1.0::DOUBLE) / (l + 2.0::DOUBLE))), -4), 4), 2) AS valence
+    FROM (SELECT w AS token, CAST(sum(up) AS BIGINT) AS high, CAST(sum(1 - up) AS BIGINT) AS low
+          FROM (SELECT DISTINCT ReviewID, w FROM sentiment_words) JOIN rated USING (ReviewID) GROUP BY w
+          HAVING count(*) >= {PR.LEXICON_LEAST}),
+         (SELECT sum(up) AS h, sum(1 - up) AS l FROM rated))
+  WHERE valence <> 0"""
+CTES["rated"] = f"""
+  SELECT c.ReviewID, CAST(r.ReviewStars > {PR.RATING_THRESHOLD} AS BIGINT) AS up
+  FROM text_clean c JOIN text_reviews r USING (ReviewID) WHERE text_ascii IS NOT NULL"""
+
+
+def _sentiment(lexicon: str) -> str:
+    """The rules by window functions over the words of each review. The texts are
+    in lower case, so capitals do not occur."""
+    turn, so, but = S.NEGATION, S.NEVER_SO, S.BUT
+
+    def has(k, flag):
+        return f"({k} & {flag}) <> 0"
+    factors = [f"CASE WHEN {has('k1', S.NEGATES)} THEN {turn} ELSE 1 END",
+               f"CASE WHEN {has('k2', S.NEVER)} AND {has('k1', S.SO)} THEN {so[0]} "
+               f"WHEN {has('k2', S.NEGATES)} THEN {turn} ELSE 1 END",
+               f"CASE WHEN {has('k3', S.NEVER)} AND ({has('k2', S.SO)} OR {has('k1', S.SO)}) THEN {so[1]} "
+               f"WHEN {has('k3', S.NEGATES)} THEN {turn} ELSE 1 END",
+               f"CASE WHEN {has('k1', S.LEAST)} AND NOT {has('k2', S.AT)} THEN {turn} ELSE 1 END"]
+    c = ", ".join(f"CAST({x} AS DOUBLE) AS c{i + 1}" for i, x in enumerate(factors))
+    size = "abs(v)"
+    for i, d in enumerate(S.DECAY):
+        size = f"greatest({size} + b{i + 1} * CAST({d} AS DOUBLE), 0) * abs(c{i + 1})"
+    lags = ", ".join(f"coalesce(lag({x}, {i}) OVER o, 0) AS {x}{i}" for x in "bk" for i in (1, 2, 3))
+    q = "length(text_ascii) - length(replace(text_ascii, '?', ''))"
+    return f"""
   SELECT ReviewID, BusinessID, Name,
-    CASE WHEN n = 0 THEN 0.0 ELSE round(neg / (pos + neg + neu), 4) END AS Negative,
-    CASE WHEN n = 0 THEN 0.0 ELSE round(neu / (pos + neg + neu), 4) END AS Neutral,
-    CASE WHEN n = 0 THEN 0.0 ELSE round(pos / (pos + neg + neu), 4) END AS Positive,
-    CASE WHEN n = 0 THEN 0.0 ELSE round(s / sqrt(s * s + {T.ALPHA!r}), 4) END AS Compound
-  FROM (SELECT ReviewID, BusinessID, Name, len(toks) AS n,
-          coalesce(list_sum(list_transform(vs, lambda x: greatest(x, CAST(0.0 AS DOUBLE)))), 0.0) AS pos,
-          coalesce(list_sum(list_transform(vs, lambda x: greatest(-x, CAST(0.0 AS DOUBLE)))), 0.0) AS neg,
-          CAST(len(list_filter(vs, lambda x: x = 0)) AS DOUBLE) AS neu,
-          coalesce(list_sum(vs), 0.0) AS s
-        FROM (SELECT *, list_transform(toks, lambda t, i: ({_LEX_CASE})
-                 * (CASE WHEN coalesce(toks[i - 1], '') IN ({_NEG_LIST}) THEN -1.0 ELSE 1.0 END)) AS vs
-              FROM (SELECT ReviewID, BusinessID, Name,
-                           regexp_extract_all(text_ascii, '{_TOKEN}', 0) AS toks FROM text_clean)))"""
+    CASE WHEN text_ascii IS NULL THEN NULL WHEN n = 0 THEN 0 ELSE round(g / (p + g + z), 3) END AS Negative,
+    CASE WHEN text_ascii IS NULL THEN NULL WHEN n = 0 THEN 0 ELSE round(z / (p + g + z), 3) END AS Neutral,
+    CASE WHEN text_ascii IS NULL THEN NULL WHEN n = 0 THEN 0 ELSE round(p / (p + g + z), 3) END AS Positive,
+    CASE WHEN text_ascii IS NULL THEN NULL WHEN n = 0 THEN 0 ELSE round(s / sqrt(s * s + {S.ALPHA}), 4) END AS Compound
+  FROM (SELECT *, total + sign(total) * loud AS s,
+               pos + n_pos + CASE WHEN pos + n_pos > n_neg - neg THEN loud ELSE 0 END AS p,
+               n_neg - neg + CASE WHEN pos + n_pos < n_neg - neg THEN loud ELSE 0 END AS g,
+               CAST(n - n_pos - n_neg AS DOUBLE) AS z
+        FROM (SELECT t.ReviewID, t.BusinessID, t.Name, t.text_ascii, coalesce(n, 0) AS n, n_pos, n_neg, pos, neg, pos + neg AS total,
+                CAST(least(length(text_ascii) - length(replace(text_ascii, '!', '')), {S.EXCLAMATIONS}) AS DOUBLE) * {S.EXCLAMATION}
+                + CASE WHEN {q} > {S.QUESTIONS} THEN CAST({S.MANY_QUESTIONS} AS DOUBLE)
+                       WHEN {q} > 1 THEN ({q}) * CAST({S.QUESTION} AS DOUBLE) ELSE 0 END AS loud
+              FROM text_clean t LEFT JOIN (
+                SELECT ReviewID, count(*) AS n, count(*) FILTER (s > 0) AS n_pos, count(*) FILTER (s < 0) AS n_neg,
+                       coalesce(sum(s) FILTER (s > 0), 0) AS pos, coalesce(sum(s) FILTER (s < 0), 0) AS neg
+                FROM (SELECT ReviewID, coalesce(sign(v) * sign(c1) * sign(c2) * sign(c3) * sign(c4) * {size} * abs(c4)
+                               * CASE WHEN i < but THEN {but[0]}::DOUBLE WHEN i > but THEN {but[1]}::DOUBLE ELSE 1 END, 0) AS s
+                      FROM (SELECT *, {c} FROM (
+                        SELECT ReviewID, i, {lags}, min(CASE WHEN {has('k', S.IS_BUT)} THEN i END) OVER (PARTITION BY ReviewID) AS but,
+                               CASE WHEN w = 'kind' AND lead(w) OVER o = 'of' THEN NULL ELSE v END AS v
+                        FROM (SELECT s.ReviewID, s.i, s.w, CASE WHEN coalesce(r.b, 0) = 0 THEN l.valence END AS v,
+                                     CASE WHEN l.valence IS NULL THEN coalesce(r.b, 0) ELSE 0 END AS b,
+                                     CASE WHEN l.valence IS NULL THEN coalesce(r.k, 0) | CASE WHEN contains(s.w, 'n''t') THEN {S.NEGATES} ELSE 0 END
+                                          ELSE 0 END AS k
+                              FROM sentiment_words s LEFT JOIN {lexicon} l ON l.token = s.w
+                              LEFT JOIN sentiment_rules r ON r.word = s.w)
+                        WINDOW o AS (PARTITION BY ReviewID ORDER BY i))))
+                GROUP BY ReviewID) f ON f.ReviewID = t.ReviewID))"""
+
+
+CTES["text_sentiment"] = _sentiment("lexicon")
+CTES["text_sentiment_rated"] = _sentiment("lexicon_rated")
 
 STOP_WORDS = "(" + ", ".join(_q(w) for w in X.STOP_WORDS) + ")"
 CTES["merged_reviews"] = f"""

@@ -19,6 +19,7 @@ ATTR_MAIN_KEY = "WiFi"
 ATTR_SUBSET_KEY = "Ambience"
 TEXT_CITY = "Toronto"
 RATING_THRESHOLD = 3.0
+LEXICON_LEAST = 5            # reviews that hold a word of a learnt lexicon
 N_USERS = 50
 TOP_N = 10
 AS_OF_DATE = "2024-06-30"    # the reference's current_date, fixed for reproducibility

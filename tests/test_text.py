@@ -2,9 +2,6 @@
 
 import math
 
-from hypothesis import given, settings
-from hypothesis import strategies as st
-
 from revlens.operators import text as T
 
 BIZ = "BusinessID string, Name string, City string, PostalCode string, Latitude double, " \
@@ -32,53 +29,6 @@ def test_tokens_drop_stop_words(spark):
     assert got.fine_text == "food good staff"
 
 
-def test_sentiment_examples(spark):
-    df = spark.createDataFrame([("1", "good food"), ("2", "not good"), ("3", ""), ("4", "zzz qqq")],
-                               "ReviewID string, text_ascii string")
-    got = {r.ReviewID: r for r in T.sentiment(df).collect()}
-    g = T.LEXICON["good"]
-    assert got["1"].Positive == round(g / (g + 1), 4) and got["1"].Neutral == round(1 / (g + 1), 4)
-    assert got["1"].Compound == round(g / math.sqrt(g * g + 15), 4)
-    assert got["2"].Negative > 0 and got["2"].Compound < 0  # negated
-    assert tuple(got["3"])[1:] == (0.0, 0.0, 0.0, 0.0)
-    assert got["4"].Neutral == 1.0 and got["4"].Compound == 0.0
-
-
-WORDS = list(T.LEXICON)[:12] + T.NEGATORS[:4] + ["food", "the", "place", "it's"]
-
-
-@settings(max_examples=15, deadline=None)
-@given(st.lists(st.lists(st.sampled_from(WORDS), max_size=12), min_size=1, max_size=8))
-def test_sentiment_inline_equals_join(spark, texts):
-    df = spark.createDataFrame([(str(i), " ".join(t)) for i, t in enumerate(texts)],
-                               "ReviewID string, text_ascii string")
-    inline = {r.ReviewID: tuple(r)[1:] for r in T.sentiment(df).collect()}
-    lex = spark.createDataFrame(sorted(T.LEXICON.items()), "token string, valence double")
-    joined = {r.ReviewID: tuple(r)[1:] for r in T.sentiment(df, lexicon=lex, inline_max=3).collect()}
-    assert inline == joined
-    for k, v in inline.items():
-        neg, neu, pos, comp = v
-        assert -1 <= comp <= 1
-        assert (neg + neu + pos == 0) or abs(neg + neu + pos - 1) < 2e-4
-
-
-def test_sentiment_paths_agree_on_odd_rows(spark):
-    """Null text, a repeated key, a null key and a token listed twice."""
-    df = spark.createDataFrame([("1", None), ("2", "good food"), ("2", "not good at all"), (None, "bad soup"),
-                                ("3", ""), ("4", "soup")], "ReviewID string, text_ascii string")
-    lex = spark.createDataFrame([("good", 1.0), ("good", 3.0), ("bad", -2.0), (None, 1.0), ("soup", None)],
-                                "token string, valence double")
-
-    def rows(d):
-        return sorted((tuple(r) for r in d.collect()), key=repr)
-
-    inline = rows(T.sentiment(df, lexicon=lex))
-    joined = rows(T.sentiment(df, lexicon=lex, inline_max=1))
-    assert inline == joined == rows(T.sentiment(df, lexicon={"good": 3.0, "bad": -2.0}))
-    assert ("1", None, None, None, None) in inline and ("3", 0.0, 0.0, 0.0, 0.0) in inline
-    assert len(inline) == 6
-
-
 def test_city_businesses_are_broadcast_to_the_text(spark):
     from revlens.plans import catalog as C
     plan = C.text_clean(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
