@@ -13,9 +13,9 @@ data) and broadcast. Texts are independent: nothing is shuffled.
 from __future__ import annotations
 
 import base64
-import heapq
-from array import array
 from hashlib import sha256
+from heapq import heapify, heappop, heappush
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -105,6 +105,7 @@ class Vocabulary:
         self.byte = [self.hash.get(bytes([b])) for b in range(256)]
         if min(self.byte) < 0:
             raise ValueError("a byte-level vocabulary holds every single byte")
+        self.numbers = list(range(len(tokens)))  # one object for each id, however often it is remembered
         self.pairs = self._pairs()
 
     def _pairs(self) -> dict[int, int]:
@@ -127,29 +128,37 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
         self.split = regex.compile(vocabulary.pattern).findall
-        self.memory, self.older = _Memory(), _Memory()
+        #: Ids of remembered pre-tokens: this generation and the one before.
+        self.memory: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
+        self.chars = 0
 
     def merge(self, word: bytes) -> tuple[int, ...]:
         """Ids of a pre-token outside the vocabulary. Heap entries are rank and
         position in one integer; ``rank`` tells which of them still hold."""
-        byte, pair = self.v.byte, self.v.pairs.get
-        ids = [byte[b] for b in word]
+        pair, own = self.v.pairs.get, self.v.numbers
+        ids = list(map(self.v.byte.__getitem__, word))
         n = len(ids)
+        shift = max(10, n.bit_length())  # small entries compare fastest
+        mask = (1 << shift) - 1
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         rank, heap = [-1] * n, []
+        a = ids[0]
         for i in range(n - 1):
-            r = pair(ids[i] << 32 | ids[i + 1])
+            b = ids[i + 1]
+            r = pair(a << 32 | b)
             if r is not None:
                 rank[i] = r
-                heap.append(r << 32 | i)
-        heapq.heapify(heap)
+                heap.append(r << shift | i)
+            a = b
+        heapify(heap)
         while heap:
-            top = heapq.heappop(heap)
-            r, i = top >> 32, top & 0xFFFFFFFF
+            top = heappop(heap)
+            r, i = top >> shift, top & mask
             if rank[i] != r:
                 continue  # merged or changed since
             j = after[i]
-            ids[i], ids[j], rank[j] = r, -1, -1
+            ids[i], ids[j], rank[j] = own[r], -1, -1
             k = after[i] = after[j]
             rank[i] = -1
             if k < n:
@@ -157,59 +166,32 @@ class Encoder:
                 s = pair(r << 32 | ids[k])
                 if s is not None:
                     rank[i] = s
-                    heapq.heappush(heap, s << 32 | i)
-            if (p := before[i]) >= 0:
-                rank[p] = -1
+                    heappush(heap, s << shift | i)
+            p = before[i]
+            if p >= 0:
                 s = pair(ids[p] << 32 | r)
                 if s is not None:
                     rank[p] = s
-                    heapq.heappush(heap, s << 32 | p)
+                    heappush(heap, s << shift | p)
+                else:
+                    rank[p] = -1
         return tuple([x for x in ids if x >= 0])
 
-    def encode(self, text: str) -> np.ndarray:
+    def encode(self, text: str) -> list[int]:
         words = self.split(text)
-        if len(self.memory.place) >= REMEMBERED or self.memory.chars >= REMEMBERED_CHARS:
+        if len(self.memory) >= REMEMBERED or self.chars >= REMEMBERED_CHARS:
             # the words in use come back from the older one
-            self.memory, self.older = _Memory(), self.memory
-        m = self.memory
-        for w in set(words).difference(m.place):
-            ids = self.older.get(w)
+            self.memory, self.older, self.chars = {}, self.memory, 0
+        memory, older, find, tokens = self.memory, self.older.get, self.v.hash.get, self.v.numbers
+        for w in set(words).difference(memory):
+            ids = older(w)
             if ids is None:
                 b = w.encode()
-                i = self.v.hash.get(b)
-                ids = (i,) if i >= 0 else self.merge(b)
-            m.add(w, ids)
-        return m.gather(words)
-
-
-class _Memory:
-    """Ids of pre-tokens, one after the other, and where each one's begin."""
-
-    def __init__(self):
-        self.place: dict[str, int] = {}
-        self.chars = 0
-        self.ids, self.begin = array("i"), array("q", [0])
-
-    def add(self, word: str, ids) -> None:
-        self.place[word] = len(self.begin) - 1
-        self.chars += len(word)
-        self.ids.extend(ids)
-        self.begin.append(len(self.ids))
-
-    def get(self, word: str):
-        k = self.place.get(word)
-        return None if k is None else self.ids[self.begin[k]:self.begin[k + 1]]
-
-    def gather(self, words: list[str]) -> np.ndarray:
-        """Ids of all the words in order, each one remembered."""
-        if not words:
-            return np.empty(0, np.int32)
-        k = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
-        begin = np.frombuffer(self.begin, np.int64)
-        first, size = begin[k], begin[k + 1] - begin[k]
-        end = np.cumsum(size)
-        at = np.repeat(first - (end - size), size) + np.arange(end[-1])
-        return np.frombuffer(self.ids, np.int32)[at]
+                i = find(b)
+                ids = (tokens[i],) if i >= 0 else self.merge(b)
+            memory[w] = ids
+            self.chars += len(w)
+        return list(chain.from_iterable(map(memory.__getitem__, words)))
 
 
 class Decoder:
@@ -243,10 +225,7 @@ def _encoded(batches, encoder):
 def _encode(shared):
     def run(batches):
         for doc_id, ids in _encoded(batches, Encoder(shared.value)):  # its memory goes with the task
-            at = np.cumsum([0] + [len(x) for x in ids])
-            yield pa.RecordBatch.from_arrays(
-                [doc_id, pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate(ids)))],
-                names=["doc_id", "ids"])
+            yield pa.RecordBatch.from_arrays([doc_id, pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
     return run
 
 
@@ -257,8 +236,8 @@ def _digest(shared):
         for doc_id, ids in _encoded(batches, Encoder(shared.value)):
             yield pa.RecordBatch.from_arrays(
                 [doc_id, pa.array([len(x) for x in ids], pa.int64()),
-                 pa.array([sha256(b",".join(map(names.__getitem__, x.tolist()))).hexdigest() for x in ids], pa.string()),
-                 pa.array([sha256(decoder.decode(x)).hexdigest() for x in ids], pa.string())],
+                 pa.array([sha256(b",".join(map(names.__getitem__, x))).hexdigest() for x in ids], pa.string()),
+                 pa.array([sha256(decoder.decode(np.array(x, np.int32))).hexdigest() for x in ids], pa.string())],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
     return run
 
