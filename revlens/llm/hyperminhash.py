@@ -20,11 +20,14 @@ is at least ``percent``/100.
 4. *First round.* Each node is paired with the two smallest nodes of its buckets
    that it meets most often. Verified, these pairs join most of a large group.
 5. *Second round.* Buckets that still hold several components are searched
-   completely, in blocks of bounded size. A pair of different components survives
-   if its estimate allows a link.
+   completely, in blocks of bounded size, the likeliest pairs first. A pair is
+   verified there only while its components are apart, and a block hands on no
+   more links than join its components.
 6. *Estimate.* The share of equal registers among buckets that either set fills,
    less the equal registers that chance makes (closed form for the two sizes). A
-   pair is dropped only when it lies ``SLACK`` standard errors under the threshold.
+   pair is dropped only when it lies ``SLACK`` standard errors under the threshold;
+   registers are drawn from the union without replacement, so small sets, whose
+   shingles are nearly all seen, are told apart sharply.
 7. *Verification* counts the intersection of the two whole shingle sets.
 """
 
@@ -50,10 +53,10 @@ MISS = 1e-8
 #: Standard errors of the estimate by which a pair must fall short to be dropped:
 #: a link is lost here with a probability of 1e-9.
 SLACK = 6.0
-#: Nodes of one block of a bucket in the second round; larger buckets are split
-#: into blocks and every pair of blocks is searched.
-BLOCK_NODES = 1024
-#: Ids up to which texts to verify are picked, and copies left out, by a broadcast
+#: Nodes, and their shingles, of one block of a bucket in the second round; larger
+#: buckets are split into blocks and every pair of blocks is searched.
+BLOCK_NODES, BLOCK_SHINGLES = 1024, 1_000_000
+#: Ids up to which texts that meet are picked, and copies left out, by a broadcast
 #: join (at most 32 bytes each); beyond it the same join shuffles.
 BROADCAST_IDS = 500_000
 _U = np.uint64
@@ -132,16 +135,41 @@ def estimate(same: np.ndarray, used: np.ndarray, n: np.ndarray, m: np.ndarray) -
     return (same / used - c) / (1 - c)
 
 
-def may_link(ru: np.ndarray, rv: np.ndarray, n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
-    """Pairs of register rows whose sizes and estimate allow a link."""
-    used = ((ru | rv) > 0).sum(1)
-    same = ((ru == rv) & (ru > 0)).sum(1)
+def least_equal(used: np.ndarray, n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
+    """Smallest estimate, ``SLACK`` standard errors under the threshold, that a
+    linked pair of sets of sizes n and m may show on ``used`` buckets: a sample
+    without replacement of the union, whose size is (n + m) / (1 + J)."""
     t = percent / 100
-    least = t - SLACK * np.sqrt(t * (1 - t) / used) - 1e-9
-    ok = (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & (same >= least * used)
-    some = np.flatnonzero(ok)  # the correction only lowers an estimate
-    ok[some] = estimate(same[some], used[some], n[some], m[some]) >= least[some]
-    return ok
+    union = (n + m) / (1 + t)
+    seen = np.clip((union - used) / np.maximum(union - 1, 1), 0, 1)
+    return t - SLACK * np.sqrt(t * (1 - t) / used * seen) - 1.0 / used - 1e-9
+
+
+def occupied(r: np.ndarray) -> np.ndarray:
+    """Bits of the full buckets of register rows."""
+    return np.packbits(r > 0, axis=-1).view(np.uint64)
+
+
+def likely(one, many, n: int, m: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of register rows ``many`` those that may link with ``one`` (each a pair of
+    registers and occupied bits; sizes n and m), and their estimates."""
+    (r, full), (rs, fulls) = one, many
+    used = np.bitwise_count(fulls | full).sum(1, dtype=np.int64)
+    same = (rs == r).sum(1) - (BUCKETS - used)  # less the buckets that both leave empty
+    least = least_equal(used, n, m, percent)
+    ok = np.flatnonzero((same >= least * used) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m)))
+    j = estimate(same[ok], used[ok], np.full(len(ok), n), m[ok])  # the correction only lowers
+    fit = j >= least[ok]
+    return ok[fit], j[fit]
+
+
+def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two sorted shingle sets link."""
+    if len(a) > len(b):
+        a, b = b, a
+    at = np.minimum(np.searchsorted(b, a), len(b) - 1)
+    both = int((b[at] == a).sum())
+    return 100 * both >= percent * (len(a) + len(b) - both)
 
 
 def _fingerprint(s: np.ndarray) -> tuple[int, int]:
@@ -158,74 +186,105 @@ def _sets(texts: list[bytes], words: int):
             yield row, X.shingle_set(h, words)
 
 
-_BASE = "doc_id long, n_shingles long, fa long, fb long, registers binary, bands array<long>"
-
-
 def _describe(words: int, percent: int):
     rows = band_rows(percent)
 
     def run(batches):
         for batch in X.small(batches):
-            n, fa, fb, regs, bands = [], [], [], [], []
+            n, fa, fb, bands = [], [], [], []
             for _, s in _sets(X.text_bytes(batch.column("text")), words):
                 n.append(len(s))
-                if not len(s):
-                    for c in (fa, fb, regs, bands):
-                        c.append(None)
-                    continue
-                a, b = _fingerprint(s)
+                a, b = _fingerprint(s) if len(s) else (None, None)
                 fa.append(a)
                 fb.append(b)
-                r = registers(s)
-                regs.append(r.tobytes())
-                bands.append(band_keys(densified(r), rows).view(np.int64))
+                bands.append(band_keys(densified(registers(s)), rows).view(np.int64) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(fa, pa.int64()), pa.array(fb, pa.int64()),
-                 pa.array(regs, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "fa", "fb", "registers", "bands"])
+                 pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "fa", "fb", "bands"])
+    return run
+
+
+def _sketch(words: int):
+    """Texts -> registers and sorted shingle set."""
+    def run(batches):
+        for batch in X.small(batches, 128):
+            n, regs, sets = [], [], []
+            for _, s in _sets(X.text_bytes(batch.column("text")), words):
+                n.append(len(s))
+                regs.append(registers(s).tobytes() if len(s) else b"")
+                sets.append(s.tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), pa.array(n, pa.int64()), pa.array(regs, pa.binary()), pa.array(sets, pa.binary())],
+                names=["node", "n_shingles", "registers", "shingles"])
     return run
 
 
-def _rows(col) -> np.ndarray:
-    """Register rows of a binary column without nulls."""
-    return np.frombuffer(b"".join(col.to_pylist()), np.uint16).reshape(len(col), BUCKETS)
+def _rows(values: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(values), np.uint16).reshape(len(values), BUCKETS)
 
 
-def _close(percent: int):
-    """Pairs with sizes and registers -> pairs that may link."""
+def _verify(percent: int):
+    """Pairs with registers and sets -> links, by estimate, then by sets."""
     def run(batches):
-        for batch in X.small(batches):
-            if batch.num_rows:
-                keep = may_link(_rows(batch.column("ru")), _rows(batch.column("rv")),
-                                batch.column("nu").to_numpy(), batch.column("nv").to_numpy(), percent)
-                yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
+        for batch in X.small(batches, 128):
+            keep = []
+            c = {k: batch.column(k).to_pylist() for k in ("ru", "rv", "su", "sv")}
+            for ru, rv, su, sv in zip(*c.values()):
+                a, b = np.frombuffer(su, _U), np.frombuffer(sv, _U)
+                x, y = _rows([ru]), _rows([rv])
+                ok, _ = likely((x[0], occupied(x)[0]), (y, occupied(y)), len(a), np.array([len(b)]), percent)
+                keep.append(bool(len(ok)) and linked(a, b, percent))
+            yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
     return run
 
 
-def _block_pairs(t: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of different components within a block, or between two blocks, of
-    one bucket that may link."""
+def _join_block(t: pa.Table, percent: int) -> tuple[list[int], list[int]]:
+    """Links that join the components within a block, or between two blocks, of one
+    bucket: every pair of different components that may link is verified, the
+    likeliest first, unless links found here have joined its components."""
     node, comp, n, side = (t.column(c).to_numpy() for c in ("node", "comp", "n_shingles", "side"))
-    r = _rows(t.column("registers").combine_chunks())
+    r = _rows(t.column("registers").to_pylist())
+    full = occupied(r)
     within = side.min() == side.max()
-    us, vs = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    found = []
     for i in range(len(node)):
         j = np.flatnonzero((comp != comp[i]) & ((node > node[i]) if within else (side > side[i])))
         if len(j):
-            ok = may_link(np.broadcast_to(r[i], (len(j), BUCKETS)), r[j], np.full(len(j), n[i]), n[j], percent)
-            us.append(np.full(int(ok.sum()), node[i]))
-            vs.append(node[j[ok]])
-    return np.concatenate(us), np.concatenate(vs)
+            ok, est = likely((r[i], full[i]), (r[j], full[j]), int(n[i]), n[j], percent)
+            found.append((np.full(len(ok), i), j[ok], est))
+    us, vs = [], []
+    if not found:
+        return us, vs
+    i, j, est = (np.concatenate(x) for x in zip(*found))
+    by = np.argsort(-est, kind="stable")
+    sets = t.column("shingles")
+    held: dict[int, np.ndarray] = {}
+    root = {c: c for c in np.unique(comp).tolist()}
+
+    def top(c: int) -> int:
+        while root[c] != c:
+            root[c] = c = root[root[c]]
+        return c
+
+    for a, b in zip(i[by].tolist(), j[by].tolist()):
+        x, y = top(int(comp[a])), top(int(comp[b]))
+        if x == y:
+            continue
+        for k in (a, b):
+            if k not in held:
+                held[k] = np.frombuffer(sets[k].as_py(), _U)
+        if linked(held[a], held[b], percent):
+            root[max(x, y)] = min(x, y)
+            us.append(min(int(node[a]), int(node[b])))
+            vs.append(max(int(node[a]), int(node[b])))
+    return us, vs
 
 
 def _search(percent: int):
-    """Rows sorted by (key, lo, hi), one run per block pair of a bucket, to pairs
-    that may link. A run has at most about ``2 * BLOCK_NODES`` rows and no more
-    than one is held between batches; a task reports a pair once while it
-    remembers it."""
+    """Rows sorted by (key, lo, hi), one run per block pair of a bucket, to links. A
+    run has at most about two blocks and no more than one is held between batches."""
     def run(batches):
         rest: pa.Table | None = None
-        told = np.empty(0, np.uint64)
         for batch in itertools.chain(batches, [None]):
             if batch is None:
                 t, rest = rest, None
@@ -237,47 +296,17 @@ def _search(percent: int):
             key = np.stack([t.column(c).to_numpy() for c in ("key", "lo", "hi")], 1)
             begin = np.r_[0, np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1, len(key)].tolist()
             if batch is not None:
-                rest = t.slice(begin[-2]).combine_chunks()
+                rest = t.slice(begin[-2])
                 begin.pop()
             for i, j in zip(begin[:-1], begin[1:]):
-                u, v = _block_pairs(t.slice(i, j - i), percent)
-                u, v = np.minimum(u, v), np.maximum(u, v)
-                pair = X.mix(X.mix(u.view(_U)) + v.view(_U))
-                new = ~np.isin(pair, told)
-                if new.any():
-                    told = np.r_[told[-REMEMBERED:], pair[new]]
-                    yield pa.RecordBatch.from_arrays([pa.array(u[new]), pa.array(v[new])], names=["u", "v"])
-    return run
-
-
-#: Pairs that a task of the second round remembers to have reported (8 bytes
-#: each). Only repeated reports depend on it; they are made distinct afterwards.
-REMEMBERED = 100_000
-
-
-def _verify(words: int, percent: int):
-    def run(batches):
-        for batch in X.small(batches, 64):
-            keep = []
-            for (_, a), (_, b) in zip(*(_sets(X.text_bytes(batch.column(c)), words) for c in ("tu", "tv"))):
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                keep.append(100 * both >= percent * (len(a) + len(b) - both))
-            yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
+                u, v = _join_block(t.slice(i, j - i), percent)
+                if u:
+                    yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())],
+                                                     names=["u", "v"])
+        pa.default_memory_pool().release_unused()
     return run
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links among ``pairs`` (u, v), by the whole shingle sets of the texts."""
-    spark = docs.sparkSession
-    ids = persist_cut(pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct(), spark, "hmh-ids")
-    few = ids.count() <= BROADCAST_IDS
-    texts = persist_cut(docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi"), spark, "hmh-texts")
-    u = texts.select(F.col("doc_id").alias("u"), F.col("text").alias("tu"))
-    v = texts.select(F.col("doc_id").alias("v"), F.col("text").alias("tv"))
-    return pairs.join(u, "u").join(v, "v").select("u", "v", "tu", "tv").mapInArrow(
-        _verify(words, percent), "u long, v long").distinct()
-
-
 def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85) -> DataFrame:
     """Near-duplicate classes of ``docs`` (doc_id long, text string; other
     columns, whatever their names, are ignored).
@@ -292,7 +321,9 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85) -> DataF
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text").where("doc_id IS NOT NULL")
-    base = persist_cut(docs.mapInArrow(_describe(words, percent), _BASE), spark, "hmh-sets")
+    base = persist_cut(docs.mapInArrow(_describe(words, percent),
+                                       "doc_id long, n_shingles long, fa long, fb long, bands array<long>"),
+                       spark, "hmh-base")
     first = base.where("fa IS NOT NULL").groupBy("fa", "fb").agg(
         F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("n")).where("n > 1")
     first = persist_cut(first.select("fa", "fb", "node"), spark, "hmh-copied")  # sets of several rows
@@ -304,39 +335,43 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85) -> DataF
 
     low = keys.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("other")).where("pivot < other")
     met = persist_cut(keys.join(low.select("key", "pivot"), "key").select("key", "node", "pivot"), spark, "hmh-met")
-    regs = persist_cut(nodes.select(F.col("doc_id").alias("node"), "n_shingles", "registers")
-                       .join(met.select("node").distinct(), "node", "left_semi"), spark, "hmh-registers")
+    meet = persist_cut(met.select(F.col("node").alias("doc_id")).distinct(), spark, "hmh-meet")
+    few = meet.count() <= BROADCAST_IDS
+    sets = persist_cut(docs.join(F.broadcast(meet) if few else meet, "doc_id", "left_semi")
+                       .select(F.col("doc_id").alias("node"), "text")
+                       .mapInArrow(_sketch(words), "node long, n_shingles long, registers binary, shingles binary"),
+                       spark, "hmh-sets")
 
     # First round: the two smallest nodes of buckets that a node meets most often.
     often = met.where("node <> pivot").groupBy("node", "pivot").count().withColumn("rank", F.row_number().over(
         Window.partitionBy("node").orderBy(F.desc("count"), "pivot"))).where("rank <= 2")
-    left, right = (regs.select(F.col("node").alias(k), F.col("node").alias(u), F.col("n_shingles").alias("n" + u),
-                               F.col("registers").alias("r" + u)) for k, u in (("node", "u"), ("pivot", "v")))
-    near = persist_cut(often.join(left, "node").join(right, "pivot").select("u", "v", "nu", "nv", "ru", "rv")
-                       .mapInArrow(_close(percent), "u long, v long"), spark, "hmh-pairs")
-    links = persist_cut(_verified(near, docs, words, percent), spark, "hmh-links")
+    left, right = (sets.select(F.col("node").alias(k), F.col("node").alias(u), F.col("registers").alias("r" + u),
+                               F.col("shingles").alias("s" + u)) for k, u in (("node", "u"), ("pivot", "v")))
+    links = persist_cut(often.join(left, "node").join(right, "pivot").select("u", "v", "ru", "rv", "su", "sv")
+                        .mapInArrow(_verify(percent), "u long, v long").distinct(), spark, "hmh-links")
     found = persist_cut(components(links), spark, "hmh-components")
 
     # Second round: complete search of buckets that hold several components.
-    rows = persist_cut(met.select("key", "node").join(found, "node", "left").select(
-        "key", "node", F.coalesce("component", "node").alias("comp")), spark, "hmh-rows")
+    known = sets.select("node", "n_shingles").join(found, "node", "left").select(
+        "node", "n_shingles", F.coalesce("component", "node").alias("comp"))
+    rows = persist_cut(met.select("key", "node").join(known, "node"), spark, "hmh-rows")
     mixed = rows.groupBy("key").agg(
         F.min("comp").alias("least"), F.max("comp").alias("most"), F.count(F.lit(1)).alias("n"),
-        F.bit_xor(F.xxhash64("node")).alias("x"),
+        F.sum("n_shingles").alias("size"), F.bit_xor(F.xxhash64("node")).alias("x"),
         F.sum(F.xxhash64("node", F.lit(1)).cast("decimal(38,0)")).alias("y")).where("least < most")
     # Buckets of the same members are searched once.
-    mixed = persist_cut(mixed.groupBy("x", "y", "n").agg(F.min("key").alias("key")).select(
-        "key", F.ceil(F.col("n") / BLOCK_NODES).cast("int").alias("n_blocks")), spark, "hmh-mixed")
-    todo = (rows.join(mixed, "key").join(regs, "node")
+    mixed = persist_cut(mixed.groupBy("x", "y", "n", "size").agg(F.min("key").alias("key")).select(
+        "key", F.greatest(F.ceil(F.col("n") / BLOCK_NODES), F.ceil(F.col("size") / BLOCK_SHINGLES)).cast("int")
+        .alias("n_blocks")), spark, "hmh-mixed")
+    todo = (rows.join(mixed, "key").join(sets.drop("n_shingles"), "node")
             .withColumn("side", F.pmod(F.xxhash64("node"), "n_blocks").cast("int"))
             .withColumn("beside", F.explode(F.expr("sequence(0, n_blocks - 1)")))
             .select("key", F.least("side", "beside").cast("long").alias("lo"),
                     F.greatest("side", "beside").cast("long").alias("hi"),
-                    "node", "comp", "n_shingles", "side", "registers"))
+                    "node", "comp", "n_shingles", "side", "registers", "shingles"))
     late = persist_cut(todo.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-                       .mapInArrow(_search(percent), "u long, v long").distinct(), spark, "hmh-pairs")
-    links = links.unionByName(_verified(late, docs, words, percent))
-    comp = persist_cut(components(links), spark, "hmh-components")
+                       .mapInArrow(_search(percent), "u long, v long").distinct(), spark, "hmh-links")
+    comp = persist_cut(components(links.unionByName(late)), spark, "hmh-components")
     back = base.select("doc_id", "n_shingles", "fa", "fb").join(first, ["fa", "fb"], "left").withColumn(
         "node", F.coalesce("node", "doc_id"))
     out = back.join(comp, "node", "left").select(

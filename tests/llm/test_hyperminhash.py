@@ -114,14 +114,28 @@ def test_estimate_is_corrected_for_chance(monkeypatch):
         assert abs(np.mean(est) - truth) < 0.03 and np.mean(raw) - truth > 0.05
 
 
+def _likely(a, b, percent):
+    x, y = H.registers(a), H.registers(b)[None]
+    return H.likely((x, H.occupied(x)), (y, H.occupied(y)), len(a), np.array([len(b)]), percent)
+
+
 def test_no_link_is_filtered():
+    """Pairs just at the threshold, of all sizes; and the filter bites."""
     rng = np.random.default_rng(7)
-    for n in (7, 40, 300, 4000):
-        k = max(1, int(n * 0.075))
-        for _ in range(100):
+    for n in (7, 40, 150, 300, 1000, 4000):
+        k = int(n * 0.15 / 1.85)
+        for _ in range(150):
             s = _set(rng, n + k)
-            a, b = s[:n], s[k:]
-            if 100 * (n - k) < 85 * (n + k):
+            a, b = np.sort(s[:n]), np.sort(s[k:])
+            if k == 0:
                 b = a[:-1]
-            ok = H.may_link(H.registers(a)[None], H.registers(b)[None], np.array([len(a)]), np.array([len(b)]), 85)
-            assert ok.all()
+            assert H.linked(a, b, 85) and len(_likely(a, b, 85)[0]) == 1
+    far = [len(_likely(s[:150], s[50:], 85)[0]) for s in (_set(rng, 200) for _ in range(200))]
+    assert sum(far) < 10  # similarity 0.5
+
+
+def test_linked_counts_exactly():
+    a = np.arange(0, 17, dtype=np.uint64)
+    assert H.linked(a, np.arange(0, 20, dtype=np.uint64), 85) and H.linked(a, a, 100)
+    assert not H.linked(a, np.arange(0, 21, dtype=np.uint64), 85)
+    assert not H.linked(a, a + np.uint64(100), 1)
