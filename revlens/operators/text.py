@@ -9,22 +9,19 @@ Scale notes
 * The businesses of one city are broadcast to the reviews when their
   statistics prove them small, so review text is not shuffled by business.
 * TF-IDF keeps every term: document frequencies are a grouped count joined
-  back by term. Only LDA, whose model is a dense matrix, ranks a vocabulary.
+  back by term. So do the topics, whose model is a table (operators/topics.py).
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import RegexTokenizer, StopWordsRemover
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from revlens.functions import text as X
+from revlens.operators import topics as L
 from revlens.operators.joins import broadcast_if_small, take_bounded
 from revlens.sources.io import persist_cut
 
@@ -140,66 +137,40 @@ def tfidf(tf: DataFrame, n_docs) -> DataFrame:
     return tf.join(df, "term").select("BusinessID", "term", "tf", idf.alias("idf"), (F.col("tf") * idf).alias("tfidf"))
 
 
-# Entries of document vectors in one LDA partition. The online optimizer draws
-# its minibatches by partition, so the partitions must not depend on the cluster.
-LDA_ENTRIES_PER_PARTITION = 100_000
-
-
-def document_vectors(merged: DataFrame, vocab_size: int = 1 << 18, language: str = "english"):
-    """TF-IDF vectors of the merged business documents over the ``vocab_size``
-    most frequent terms (for LDA: its model is dense in the vocabulary).
-
-    Returns (docs, vocab), both written to the shared folder. A vector is
-    written as the struct that VectorUDT stores and read back as one, so no row
-    passes through Python. A document without terms keeps an empty vector. The
-    documents lie in partitions by id, sized by vector entries and sorted, the
-    same on every cluster."""
-    spark = merged.sparkSession
-    merged = persist_cut(merged, spark, "lda-merged")
-    tf = persist_cut(term_counts(merged, language), spark, "lda-terms")
-    vocab = persist_cut(vocabulary(tf, vocab_size), spark, "lda-vocab")
-    names = merged.select("BusinessID", "BusinessName", "BusinessStars").distinct()
-    w = tfidf(tf, names.agg(F.count(F.lit(1)).alias("m")).scalar()).join(vocab.select("term", "idx"), "term")
-    e = w.groupBy("BusinessID").agg(F.array_sort(F.collect_list(F.struct("idx", "tfidf"))).alias("e"))
-    size = max(1, vocab.count())
-    vector = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"),
-                      F.coalesce(F.col("e.idx"), F.array().cast("array<int>")).alias("indices"),
-                      F.coalesce(F.col("e.tfidf"), F.array().cast("array<double>")).alias("values"))
-    docs = names.join(e, "BusinessID", "left").select(
-        "BusinessID", "BusinessName", "BusinessStars", F.coalesce(F.size("e"), F.lit(0)).alias("n_entries"),
-        vector.alias("idf_vec"))
-    schema = T.StructType([*docs.schema.fields[:-1], T.StructField("idf_vec", VectorUDT())])
-    return persist_cut(docs, spark, "lda-docs", schema), vocab
-
-
 def segments(threshold: float):
     """Low (stars <= threshold) and high (stars > threshold) segments."""
-    return {"low": F.col("BusinessStars") <= threshold, "high": F.col("BusinessStars") > threshold}
+    return F.when(F.col("BusinessStars") <= threshold, "low").when(F.col("BusinessStars") > threshold, "high")
+
+
+def segment_documents(merged: DataFrame, threshold: float = 3.0) -> DataFrame:
+    """The merged documents: (BusinessID, BusinessName, segment); businesses
+    without stars are in neither segment."""
+    d = merged.select("BusinessID", "BusinessName", segments(threshold).alias("segment"))
+    return d.where("segment IS NOT NULL").distinct()
 
 
-def fit_topics(docs: DataFrame, k: int = 6, seed: int = 123, max_iter: int = 20):
-    """Online LDA (k topics) of document vectors (see :func:`document_vectors`)."""
-    entries = docs.agg(F.sum("n_entries")).first()[0] or 0
-    parts = max(1, math.ceil(entries / LDA_ENTRIES_PER_PARTITION))
-    spread = docs.repartition(parts, "BusinessID").sortWithinPartitions("BusinessID").persist()
-    model = LDA(k=k, seed=seed, optimizer="online", featuresCol="idf_vec", maxIter=max_iter).fit(spread)
-    spread.unpersist()
-    return model
+def segment_terms(merged: DataFrame, threshold: float = 3.0, language: str = "english") -> DataFrame:
+    """(group, doc, term, weight): TF-IDF weights of the documents of both
+    segments, idf taken over all of them; every term."""
+    own = segment_documents(merged, threshold).select("BusinessID", F.col("segment").alias("group"))
+    return tfidf_table(merged, language).join(own, "BusinessID").select(
+        "group", F.col("BusinessID").alias("doc"), "term", F.col("tfidf").alias("weight"))
 
 
-def topic_words(model, vocab: DataFrame, segment: str, max_terms: int = 10) -> DataFrame:
-    """Top words per topic in the model's rank order. The few term numbers
-    (k x max_terms) are broadcast to the vocabulary."""
-    t = model.describeTopics(max_terms).select("topic", F.posexplode("termIndices").alias("rank", "idx"))
-    j = vocab.select("idx", "term").join(F.broadcast(t), "idx")
-    g = j.groupBy("topic").agg(F.array_sort(F.collect_list(F.struct("rank", "term"))).alias("w"))
-    return g.select(F.lit(segment).alias("segment"), "topic", F.col("w.term").alias("topic_word"))
+def topic_words(model: DataFrame, max_terms: int = 10) -> DataFrame:
+    """Top words of each topic of each segment."""
+    return L.top_terms(model, max_terms).select(F.col("group").alias("segment"), "topic",
+                                                F.col("terms").alias("topic_word"))
 
 
-def topic_distribution(model, docs: DataFrame, segment: str) -> DataFrame:
-    t = model.transform(docs)
-    return t.select("BusinessID", "BusinessName", F.lit(segment).alias("segment"),
-                    vector_to_array("topicDistribution").alias("topic_distribution"))
+def topic_distribution(model: DataFrame, terms: DataFrame, documents: DataFrame) -> DataFrame:
+    """Mixture of every document under the model, evenly spread for one without
+    terms that the model knows."""
+    k = L.n_topics(model)
+    mixed = L.infer(model, terms).withColumnRenamed("doc", "BusinessID")
+    even = F.array(*[F.lit(1.0 / k)] * k)
+    return documents.join(mixed, "BusinessID", "left").select(
+        "BusinessID", "BusinessName", "segment", F.coalesce("topics", even).alias("topic_distribution"))
 
 
 def topic_rows(dist: DataFrame) -> DataFrame:
@@ -208,27 +179,9 @@ def topic_rows(dist: DataFrame) -> DataFrame:
                        F.posexplode("topic_distribution").alias("TopicID", "TopicDistribution"))
 
 
-def topics(merged: DataFrame, threshold: float = 3.0, k: int = 6, seed: int = 123,
-           vocab_size: int = 1 << 18, max_terms: int = 10):
-    """Fit one LDA per rating segment; return (words, distributions).
-
-    Both results are written to the shared folder, so nothing stays cached and
-    reading them fits nothing again."""
-    docs, vocab = document_vectors(merged, vocab_size)
-    spark = merged.sparkSession
-    words, dists = [], []
-    for name, cond in segments(threshold).items():
-        part = docs.where(cond)
-        if part.isEmpty():
-            continue
-        m = fit_topics(part, k, seed)
-        words.append(topic_words(m, vocab, name, max_terms))
-        dists.append(topic_distribution(m, part, name))
-    if not words:  # no document in either segment: empty results of the same shape
-        words = [spark.createDataFrame([], "segment string, topic int, topic_word array<string>")]
-        dists = [spark.createDataFrame([], "BusinessID string, BusinessName string, segment string, "
-                                           "topic_distribution array<double>")]
-    out_w, out_d = words[0], dists[0]
-    for w, d in zip(words[1:], dists[1:]):
-        out_w, out_d = out_w.unionByName(w), out_d.unionByName(d)
-    return persist_cut(out_w, spark, "topic-words"), persist_cut(out_d, spark, "topic-mixtures")
+def topics(merged: DataFrame, threshold: float = 3.0, k: int = 6, seed: int = 123, max_terms: int = 10):
+    """Fit one topic model per rating segment; return (words, distributions)."""
+    merged = persist_cut(merged, merged.sparkSession, "topic-merged")
+    terms = persist_cut(segment_terms(merged, threshold), merged.sparkSession, "topic-terms")
+    model, _ = L.fit_topics(terms, k, seed)
+    return topic_words(model, max_terms), topic_distribution(model, terms, segment_documents(merged, threshold))

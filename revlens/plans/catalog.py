@@ -7,7 +7,6 @@ an oracle entry (ML fits) are checked by row count and by pytest properties.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,12 +18,12 @@ from revlens.operators import profile as Q
 from revlens.operators import recommend as R
 from revlens.operators import sentiment as S
 from revlens.operators import text as T
+from revlens.operators import topics as L
 from revlens.operators.joins import broadcast_if_small
 from revlens.plans import oracle as O
 from revlens.plans import params as PR
 from revlens.plans import views as V
-from revlens.session import shared_dir
-from revlens.sources.io import load_model, persist_cut, save_model
+from revlens.sources.io import load_model, persist_cut, save_model, stored, write_staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -394,31 +393,42 @@ def q_txt_tfidf(spark, d):
     return t.withColumns({c: F.round(c, 9) for c in ("idf", "tfidf")})  # two libraries' logarithms
 
 
-_fitted: dict[tuple[str, str], tuple[DataFrame, DataFrame]] = {}
+def _paths(d: str, *tables: str) -> list[str]:
+    return [f"{d}/{t}.parquet" for t in tables]
 
 
-def _topics(spark, d):
-    """Topics of a table folder, fitted once in a session: the three keys read
-    the same written results."""
-    key = (spark.sparkContext.applicationId, d)
-    if key not in _fitted:
-        _fitted[key] = T.topics(text_merged(spark, d), PR.RATING_THRESHOLD, PR.LDA_K, PR.LDA_SEED)
-    return _fitted[key]
+def _topic_model(spark, d):
+    """The topic model of a table folder: read where one was fitted on these very
+    files with these parameters, else fitted and stored."""
+    path, there = stored(spark, "topics", _paths(d, "documents", "labels"), PR.TEXT_CITY, PR.RATING_THRESHOLD,
+                         PR.LDA_K, PR.LDA_SEED)
+    if not there:
+        terms = T.segment_terms(persist_cut(text_merged(spark, d), spark, "topic-merged"), PR.RATING_THRESHOLD)
+        write_staged(L.fit_topics(terms, PR.LDA_K, PR.LDA_SEED)[0], path)
+    return spark.read.schema(L.columns(PR.LDA_K)).parquet(path)
+
+
+def _topic_distribution(spark, d):
+    """Mixtures of all documents, inferred under the stored model."""
+    model = _topic_model(spark, d)
+    merged = persist_cut(text_merged(spark, d), spark, "topic-merged")
+    return T.topic_distribution(model, T.segment_terms(merged, PR.RATING_THRESHOLD),
+                                T.segment_documents(merged, PR.RATING_THRESHOLD))
 
 
 @register("txt_topic_words")
 def q_txt_topic_words(spark, d):
-    return _topics(spark, d)[0]
+    return T.topic_words(_topic_model(spark, d))
 
 
 @register("txt_topic_dist")
 def q_txt_topic_dist(spark, d):
-    return _topics(spark, d)[1]
+    return _topic_distribution(spark, d)
 
 
 @register("txt_topic_rows")
 def q_txt_topic_rows(spark, d):
-    return T.topic_rows(_topics(spark, d)[1])
+    return T.topic_rows(_topic_distribution(spark, d))
 
 
 # ---- recommender ---------------------------------------------------------------
@@ -451,15 +461,14 @@ def q_rec_features(spark, d):
     return rec_features(spark, d)
 
 
-_models: dict[tuple[str, str], str] = {}
+def _model_path(spark, d):
+    return stored(spark, "recommender", _paths(d, "part", "orders", "lineitem", "customer"), PR.SPLIT_SEED)
 
 
 def _train(spark, d) -> dict[str, float]:
-    """Fit and evaluate, and save the model for the session."""
+    """Fit, evaluate and store the model."""
     model, metrics = R.train_eval(rec_features(spark, d), PR.SPLIT_SEED)
-    path = shared_dir(spark, f"models/recommender-{uuid.uuid4().hex}")
-    save_model(model, path)
-    _models[spark.sparkContext.applicationId, d] = path
+    save_model(model, _model_path(spark, d)[0])
     return metrics
 
 
@@ -490,8 +499,8 @@ def q_rec_top10(spark, d):
 
 @register("rec_top10_model")
 def q_rec_top10_model(spark, d):
-    """Top 10 by the saved model of this table folder (trained where none is)."""
-    if (spark.sparkContext.applicationId, d) not in _models:
+    """Top 10 by the model stored for these very files (trained where none is)."""
+    path, there = _model_path(spark, d)
+    if not there:
         _train(spark, d)
-    model = load_model(_models[spark.sparkContext.applicationId, d])
-    return R.top_n(R.predict(model, rec_candidates(spark, d)), PR.TOP_N)
+    return R.top_n(R.predict(load_model(path), rec_candidates(spark, d)), PR.TOP_N)

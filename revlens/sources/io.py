@@ -8,9 +8,11 @@ topic words), and it refuses anything larger.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revlens.session import shared_dir
@@ -52,22 +54,125 @@ def strip_header(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.strip() for c in df.columns])
 
 
+FILE_FORMATS = ("parquet", "orc", "json", "csv", "text")
+
+
 def write_table(df: DataFrame, dest: str, fmt: str = "parquet", mode: str = "overwrite",
                 options: dict | None = None, partition_by: list[str] | None = None) -> None:
     """Warehouse sink. Parquet by default; any format with a Spark data source
     (a warehouse connector on the classpath, for instance) goes through
-    ``df.write.format``."""
+    ``df.write.format``. Overwriting a folder is staged (:func:`write_staged`)."""
+    if mode == "overwrite" and fmt in FILE_FORMATS:
+        write_staged(df, dest, fmt, options, partition_by)
+        return
     w = df.write.format(fmt).mode(mode)
     for k, v in (options or {}).items():
         w = w.option(k, v)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    if fmt in ("parquet", "orc", "json", "csv", "text"):
+    if fmt in FILE_FORMATS:
         w.save(dest)
     else:
         w.option("table", dest).save()
 
 
+def _fs(spark: SparkSession, path: str):
+    """Hadoop path of ``path`` and its file system."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _rename(spark: SparkSession, old: str, new: str) -> None:
+    a, fs = _fs(spark, old)
+    if not fs.rename(a, _fs(spark, new)[0]):
+        raise OSError(f"cannot rename {old} to {new}")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _fs(spark, path)
+    return fs.exists(p)
+
+
+def _drop(spark: SparkSession, path: str) -> None:
+    p, fs = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def recover_table(spark: SparkSession, dest: str) -> None:
+    """Finish or undo a replacement that was cut off: without a table its former
+    one comes back; beside a complete new one the former one goes."""
+    old = dest.rstrip("/") + "._old"
+    if _exists(spark, old):
+        if _exists(spark, dest):
+            _drop(spark, old)
+        else:
+            _rename(spark, old, dest)
+
+
+def write_staged(df: DataFrame, dest: str, fmt: str = "parquet", options: dict | None = None,
+                 partition_by: list[str] | None = None, check=None) -> int:
+    """Replace the table in folder ``dest`` as a whole; returns its number of rows.
+
+    The rows go to a folder of their own beside it. Read back, they must have as
+    many rows as were written (counted in the same pass) and, where the format
+    keeps them, the same columns and types; ``check(table)`` may raise as well. Only
+    then is the old folder set aside and the new one renamed into its place. A job
+    that dies leaves the old table or the new one, never a mixture and never
+    neither: :func:`recover_table`, which runs first here, brings back a table that
+    was set aside. ``df`` may read the old table.
+    """
+    spark = df.sparkSession
+    dest = dest.rstrip("/")
+    staging, old = f"{dest}._new-{uuid.uuid4().hex}", dest + "._old"
+    recover_table(spark, dest)
+    seen = Observation("staged-" + uuid.uuid4().hex)
+    w = df.observe(seen, F.count(F.lit(1)).alias("n")).write.format(fmt).options(**(options or {}))
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    try:
+        w.save(staging)
+        n = seen.get["n"]
+        if fmt in ("parquet", "orc"):
+            back = spark.read.format(fmt).load(staging) if n else None
+            if back is not None:
+                want = {f.name: f.dataType for f in df.schema if f.name not in (partition_by or [])}
+                got = {f.name: f.dataType for f in back.schema if f.name in want}
+                held = back.count()
+                # a task that ran twice is observed twice: then the rows are counted
+                if [k for k in want if got.get(k) != want[k]] or held != n and held != df.count():
+                    raise OSError(f"{staging} does not hold what was written to it")
+                n = held
+        if check is not None:
+            check(spark.read.format(fmt).options(**(options or {})).load(staging))
+    except BaseException:
+        _drop(spark, staging)
+        raise
+    if _exists(spark, dest):
+        _rename(spark, dest, old)
+    _rename(spark, staging, dest)
+    _drop(spark, old)
+    return n
+
+
+def input_key(spark: SparkSession, paths: list[str], *params) -> str:
+    """Name for what is derived from some inputs: a digest of their files' names,
+    sizes and times and of the parameters. Changed inputs have another name."""
+    found = [repr(params)]
+    for path in paths:
+        p, fs = _fs(spark, path)
+        for f in (fs.listStatus(p) if fs.exists(p) else []):
+            found.append(f"{path}|{f.getPath().getName()}|{f.getLen()}|{f.getModificationTime()}")
+    return hashlib.sha256("\n".join(found).encode()).hexdigest()[:32]
+
+
+def stored(spark: SparkSession, name: str, paths: list[str], *params) -> tuple[str, bool]:
+    """Folder in the shared folder for what ``name`` derives from inputs and
+    parameters, and whether it is there already. Nothing is kept in the session."""
+    path = shared_dir(spark, f"derived/{name}-{input_key(spark, paths, *params)}")
+    recover_table(spark, path)
+    return path, _exists(spark, path)
+
+
 def write_csv(df: DataFrame, dest: str, mode: str = "overwrite") -> None:
     """One CSV part per partition, with header."""
     df.write.mode(mode).option("header", True).csv(dest)
@@ -86,7 +191,15 @@ def write_small_csv(df: DataFrame, dest: str, max_rows: int = 100_000, mode: str
 
 
 def save_model(model, path: str) -> None:
-    model.write().overwrite().save(path)
+    """Save a fitted pipeline, staged like a table."""
+    spark = SparkSession.active()
+    staging = f"{path}._new-{uuid.uuid4().hex}"
+    model.write().save(staging)
+    recover_table(spark, path)
+    if _exists(spark, path):
+        _rename(spark, path, path.rstrip("/") + "._old")
+    _rename(spark, staging, path)
+    _drop(spark, path.rstrip("/") + "._old")
 
 
 def load_model(path: str):

@@ -56,3 +56,64 @@ def test_bounded_helpers(spark):
     with pytest.raises(ValueError):
         take_bounded(df, 10)
     assert len(take_bounded(df, 100)) == 100
+
+
+def _ids(spark, path):
+    return sorted(r.id for r in spark.read.parquet(path).collect())
+
+
+def test_staged_write_replaces_as_a_whole(spark, tmp_path):
+    dest = str(tmp_path / "t")
+    assert io.write_staged(spark.range(3), dest) == 3 and _ids(spark, dest) == [0, 1, 2]
+    # the new table may be made from the old one, and have other columns
+    io.write_staged(spark.read.parquet(dest).selectExpr("id + 1 AS id", "'x' AS more"), dest)
+    assert _ids(spark, dest) == [1, 2, 3] and os.listdir(tmp_path) == ["t"]
+    io.write_table(spark.range(4).selectExpr("id", "id % 2 AS k"), dest, partition_by=["k"])
+    assert _ids(spark, dest) == [0, 1, 2, 3] and io.write_staged(spark.range(0), dest) == 0
+
+
+@pytest.mark.parametrize("fails", [1, 2])
+def test_staged_write_that_dies_leaves_the_old_table(spark, tmp_path, monkeypatch, fails):
+    """The job ends before the first or between the two renames."""
+    dest, real, calls = str(tmp_path / "t"), io._rename, []
+    io.write_staged(spark.range(3), dest)
+
+    def rename(*a):
+        calls.append(a)
+        if len(calls) == fails:
+            raise OSError("lost")
+        real(*a)
+    monkeypatch.setattr(io, "_rename", rename)
+    with pytest.raises(OSError):
+        io.write_staged(spark.range(10, 12), dest)
+    monkeypatch.setattr(io, "_rename", real)
+    io.recover_table(spark, dest)
+    assert _ids(spark, dest) == [0, 1, 2]
+    io.write_staged(spark.range(10, 12), dest)  # the rerun
+    assert _ids(spark, dest) == [10, 11]
+
+
+def test_staged_write_checks_before_it_replaces(spark, tmp_path):
+    dest = str(tmp_path / "t")
+    io.write_staged(spark.range(3), dest)
+
+    def check(t):
+        if t.count() < 100:
+            raise ValueError("too few rows")
+    with pytest.raises(ValueError):
+        io.write_staged(spark.range(5), dest, check=check)
+    with pytest.raises(Exception):
+        io.write_staged(spark.range(5).selectExpr("assert_true(id < 4) AS x"), dest)
+    assert _ids(spark, dest) == [0, 1, 2] and os.listdir(tmp_path) == ["t"]
+
+
+def test_derived_folders_follow_their_inputs(spark, tmp_path):
+    src = str(tmp_path / "in")
+    io.write_staged(spark.range(3), src)
+    path, there = io.stored(spark, "unit", [src], 1)
+    assert not there and io.stored(spark, "unit", [src], 2)[0] != path
+    io.write_staged(spark.range(1), path)
+    io.release_cuts(spark)
+    assert io.stored(spark, "unit", [src], 1) == (path, True)
+    io.write_staged(spark.range(4), src)
+    assert io.stored(spark, "unit", [src], 1)[1] is False

@@ -2,6 +2,9 @@
 
 import math
 
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
 from revlens.operators import text as T
 
 BIZ = "BusinessID string, Name string, City string, PostalCode string, Latitude double, " \
@@ -35,20 +38,6 @@ def test_city_businesses_are_broadcast_to_the_text(spark):
     assert "hashpartitioning(BusinessID" not in plan.replace("#", " ") and "SortMergeJoin" not in plan
 
 
-def test_topics_do_not_depend_on_the_cluster(spark):
-    b = spark.createDataFrame([(f"b{i}", "N", "Toronto", "M", 0.0, 0.0, 5.0) for i in range(12)], BIZ)
-    vocab = ["soup", "noodle", "rice", "tea", "cake", "bread", "fish", "salad"]
-    r = spark.createDataFrame([(str(i), f"b{i % 12}", " ".join(vocab[(i * j) % 8] for j in range(9)))
-                               for i in range(60)], REV)
-    got = []
-    for n in ("2", "7"):
-        old = spark.conf.get("spark.sql.shuffle.partitions")
-        spark.conf.set("spark.sql.shuffle.partitions", n)
-        got.append(sorted(map(tuple, T.topics(T.merge_reviews(r, b, "Toronto"), 3.0, k=2, seed=1)[0].collect())))
-        spark.conf.set("spark.sql.shuffle.partitions", old)
-    assert got[0] == got[1]
-
-
 def test_merge_and_tfidf(spark):
     b = spark.createDataFrame([("b1", "B", "Toronto", "M", 0.0, 0.0, 5.0),
                                ("b2", "C", "Toronto", "M", 0.0, 0.0, 1.0)], BIZ)
@@ -101,12 +90,14 @@ def test_vocabulary_matches_brute_force(spark, rows, k, per_range):
     assert all(r.df == df[r.term] for r in got)
 
 
-def test_document_without_terms_keeps_a_vector(spark):
+def test_document_without_terms_has_an_even_mixture(spark):
     b = spark.createDataFrame([("b1", "B", "Toronto", "M", 0.0, 0.0, 5.0),
                                ("b2", "C", "Toronto", "M", 0.0, 0.0, 1.0)], BIZ)
     r = spark.createDataFrame([("1", "b1", "tasty noodles"), ("2", "b2", "the and of")], REV)
-    docs, vocab = T.document_vectors(T.merge_reviews(r, b, "Toronto"))
-    got = {x.BusinessID: x.idf_vec for x in docs.collect()}
-    assert got["b2"].numNonzeros() == 0 and got["b1"].numNonzeros() == 2
+    merged = T.merge_reviews(r, b, "Toronto")
+    terms = {(x.group, x.doc, x.term): x.weight for x in T.segment_terms(merged).collect()}
     # idf counts both documents: ln((2 + 1) / (1 + 1))
-    assert abs(got["b1"].values[0] - math.log(1.5)) < 1e-12
+    assert set(terms) == {("high", "b1", "tasty"), ("high", "b1", "noodles")}
+    assert all(abs(w - math.log(1.5)) < 1e-12 for w in terms.values())
+    dist = {x.BusinessID: x for x in T.topics(merged, k=3)[1].collect()}
+    assert dist["b2"].topic_distribution == [1 / 3] * 3 and dist["b2"].segment == "low"
