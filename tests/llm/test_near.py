@@ -93,6 +93,27 @@ def test_linked_sets_share_a_signature(seed, size, percent):
     assert P._far(*(P.odd_sketch(s, slots) for s in sets)) <= len(a ^ b) <= P._most(len(a), len(b), percent)
 
 
+@pytest.mark.parametrize("size", [250, 700, 5000])
+@pytest.mark.parametrize("percent", [80, 85])
+def test_large_sets_at_the_threshold_share_a_signature(size, percent):
+    """Pairs with as many differences as a link allows, enumerated like small ones."""
+    rng = P.np.random.default_rng(size + percent)
+    bands = P.Bands(percent)
+    n1, n2, k2 = bands.parts(bands.of(size))
+    assert n2 > 1 and k2 >= 1 and (k2 + 1) * n1 > bands.differences(bands.of(size))
+    for share in (0.0, 0.3, 0.5, 1.0):  # of the differences that are insertions
+        for _ in range(6):
+            a = rng.integers(0, 2**63, size, dtype=P._U)
+            most = (100 - percent) * size // 100
+            gone, new = int(most * (1 - share)), int(most * share)
+            b = P.np.r_[a[gone:], rng.integers(2**63, 2**64 - 1, new, dtype=P._U)]
+            if 100 * (size - gone) < percent * (size + new):
+                continue
+            signed = [{x for k in (0, 1) for x in P.signatures(P.np.sort(s), bands.of(len(s)) + k, bands).tolist()}
+                      for s in (a, b)]
+            assert signed[0] & signed[1]
+
+
 @settings(max_examples=8, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 25), st.integers(0, 25)), max_size=30))
 def test_components_equal_union_find(spark, pairs):
