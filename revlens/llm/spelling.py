@@ -38,6 +38,8 @@ _PLACE = np.zeros(0x100, np.int64)
 _PLACE[LETTERS] = np.arange(DIMS)
 #: Words of a cell, words from which the planes of all top trees are chosen.
 CELL, SAMPLE = 8192, 100_000
+#: Largest count of a letter that vectors hold, so that differences fit a byte.
+MOST = 60
 #: Words of a leaf of a cell's own tree.
 LEAF = 48
 #: Cells of the rows compared at once, so that long words stay bounded.
@@ -51,11 +53,11 @@ def _codes(words: list[str]) -> np.ndarray:
 
 
 def letter_counts(codes: np.ndarray) -> np.ndarray:
-    """Vectors of words of one length; counts beyond 30,000 are cut there, which
+    """Vectors of words of one length; counts beyond ``MOST`` are cut there, which
     only brings vectors nearer."""
     n = len(codes)
     key = _PLACE[codes] + np.arange(n)[:, None] * DIMS
-    return np.minimum(np.bincount(key.ravel(), minlength=n * DIMS), 30_000).astype(np.int16).reshape(n, DIMS)
+    return np.minimum(np.bincount(key.ravel(), minlength=n * DIMS), MOST).astype(np.int8).reshape(n, DIMS)
 
 
 def plane(v: np.ndarray) -> tuple[int, int] | None:
@@ -124,9 +126,13 @@ class TopTree:
 
 
 class KdTree:
-    """Home words of a cell: a k-d tree whose nodes hold the box of their vectors."""
+    """Home words of a cell: a k-d tree whose nodes hold the box of their vectors.
+    It knows only the letters that home words have; what a visitor has of others
+    can but be letters down."""
 
     def __init__(self, v: np.ndarray):
+        self.used = v.any(0)
+        v = np.ascontiguousarray(v[:, self.used])
         self.v = v
         self.order = np.arange(len(v))
         self.nodes: list[tuple[int, int, list[int]]] = []
@@ -151,15 +157,18 @@ class KdTree:
         self.low, self.high = np.array(low), np.array(high)
 
     def near(self, q: np.ndarray, down: int):
-        """(query rows, word rows) whose vectors differ by at most one letter up and
-        ``down`` (0 or 1) letters down, leaf by leaf."""
-        todo = [(0, np.arange(len(q)))]
+        """(query rows, word rows) whose vectors differ by at most ``down`` (0 or 1)
+        letters down and one up, leaf by leaf; a few of more up are among them."""
+        left = down - q[:, ~self.used].sum(1, dtype=np.int64)
+        rows = np.flatnonzero(left >= 0)
+        q = np.ascontiguousarray(q[:, self.used])
+        todo = [(0, rows)]
         while todo:
             node, rows = todo.pop()
             x = q[rows]
-            up = np.maximum(self.low[node] - x, 0).sum(1)
-            off = np.maximum(x - self.high[node], 0).sum(1)
-            rows = rows[(up <= 1) & (off <= down)]
+            up = np.maximum(self.low[node] - x, 0).sum(1, dtype=np.int16)
+            off = np.maximum(x - self.high[node], 0).sum(1, dtype=np.int16)
+            rows = rows[(up <= 1) & (off <= left[rows])]
             if not len(rows):
                 continue
             a, b, below = self.nodes[node]
@@ -167,12 +176,12 @@ class KdTree:
                 todo += [(c, rows) for c in below]
                 continue
             own = self.order[a:b]
-            step = max(1, COMPARED // ((b - a) * DIMS))
+            step = max(1, COMPARED // ((b - a) * max(1, q.shape[1])))
             for i in range(0, len(rows), step):
-                far = self.v[own][None] - q[rows[i:i + step]][:, None]
-                hit = (np.abs(far).sum(2) <= 1 + down) & (far.max(2) <= 1)
-                r, c = np.nonzero(hit)
-                yield rows[i:i + step][r], own[c]
+                some = rows[i:i + step]
+                far = np.abs(self.v[own][None] - q[some][:, None]).sum(2, dtype=np.int16)
+                r, c = np.nonzero(far <= (1 + left[some])[:, None])
+                yield some[r], own[c]
 
 
 def one_replaced(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -200,7 +209,7 @@ def _place(shared):
     in which they live or search."""
     def run(batches):
         trees = shared.value
-        one = TopTree(np.empty((0, DIMS), np.int16), 1.0)  # lengths without planes are one cell
+        one = TopTree(np.empty((0, DIMS), np.int8), 1.0)  # lengths without planes are one cell
         for batch in X.small(batches, 4096):
             words, n = batch.column("word").to_pylist(), batch.column("n")
             for size, rows in _by_length(words):
@@ -249,9 +258,13 @@ def _search(batches):
     key, home, cell = None, [], None
 
     def pairs(rows: pa.RecordBatch):
-        for u, n, v, m in cell.search(rows.column("word").to_pylist(), rows.column("n").to_numpy()):
-            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(n), pa.array(v), pa.array(m)],
-                                             names=["u", "nu", "v", "nv"])
+        found = list(cell.search(rows.column("word").to_pylist(), rows.column("n").to_numpy()))
+        if found:
+            u, n, v, m = zip(*found)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(itertools.chain.from_iterable(u), pa.string()), pa.array(np.concatenate(n)),
+                 pa.array(itertools.chain.from_iterable(v), pa.string()), pa.array(np.concatenate(m))],
+                names=["u", "nu", "v", "nv"])
 
     for batch in X.small(batches, 8192):
         if not batch.num_rows:

@@ -112,7 +112,7 @@ def test_letter_counts_and_order():
 
 def test_range_search_prunes_and_finds_all():
     rng = np.random.default_rng(2)
-    v = rng.integers(0, 3, (3000, S.DIMS)).astype(np.int16) * (np.arange(S.DIMS) < 9)
+    v = rng.integers(0, 3, (3000, S.DIMS)).astype(np.int8) * (np.arange(S.DIMS) < 9).astype(np.int8)
     tree = S.KdTree(v)
     q = v[:200].copy()
     q[np.arange(200), rng.integers(0, 9, 200)] += 1
