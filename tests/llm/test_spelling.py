@@ -122,5 +122,5 @@ def test_range_search_prunes_and_finds_all():
         up, off = np.maximum(far, 0).sum(2), np.maximum(-far, 0).sum(2)
         assert got >= {(int(i), int(j)) for i, j in zip(*np.nonzero((up <= 1) & (off <= down) & (up + off == 1 + down)))}
     for low, high, (a, b, _) in zip(tree.low, tree.high, tree.nodes):
-        own = v[tree.order[a:b]]
+        own = tree.v[tree.order[a:b]]
         assert (own >= low).all() and (own <= high).all()
