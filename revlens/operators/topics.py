@@ -117,13 +117,14 @@ def _start(rows: DataFrame, k: int, seed: int) -> DataFrame:
 
 
 def fit_topics(rows: DataFrame, k: int = 6, seed: int = 123, max_iter: int = 20, tolerance: float = 1e-4,
-               alpha: float | None = None, eta: float | None = None) -> tuple[DataFrame, list[float]]:
+               check_every: int = 5, alpha: float | None = None,
+               eta: float | None = None) -> tuple[DataFrame, list[float]]:
     """Fit ``k`` topics to every group of ``rows`` (group, doc, term, weight >= 0).
 
     A document belongs to one group; (doc, term) rows of a document are its bag of
     words. Rows of weight 0 or null say nothing. Returns the model, a written table
     (group, term, l0..l<k-1>, the Dirichlet parameters of each topic), and the bound
-    before each iteration. ``alpha`` and ``eta`` are 1/k unless given. No rows give
+    before every ``check_every``-th iteration, where the fit may stop. ``alpha`` and ``eta`` are 1/k unless given. No rows give
     an empty model.
     """
     alpha, eta = alpha or 1 / k, eta or 1 / k
@@ -139,13 +140,14 @@ def fit_topics(rows: DataFrame, k: int = 6, seed: int = 123, max_iter: int = 20,
     mixtures = persist_cut(flat.select("doc", *[(F.col("w") / k + alpha).alias(f"g{i}") for i in range(k)]),
                            spark, "topic-mixtures")
     bounds: list[float] = []
-    for _ in range(max_iter):
+    for i in range(max_iter):
         step = _stepped(rows, _beta(model, k), mixtures, k, "topic-step")
         terms, docs = step.where("_terms = 1"), step.where("_terms = 0")
-        bounds.append(_bound(docs, mixtures, model, k, alpha, eta))
+        if i % check_every == 0:
+            bounds.append(_bound(docs, mixtures, model, k, alpha, eta))
         model = model_of(terms)
         mixtures = docs.select("doc", *[(F.col(f"p{i}") + alpha).alias(f"g{i}") for i in range(k)])
-        if len(bounds) > 1 and bounds[-1] - bounds[-2] <= tolerance * abs(bounds[-1]):
+        if i % check_every == 0 and len(bounds) > 1 and bounds[-1] - bounds[-2] <= tolerance * abs(bounds[-1]):
             break
     return persist_cut(model, spark, "topic-model"), bounds
 

@@ -20,6 +20,7 @@ from revlens.operators import sentiment as S
 from revlens.operators import text as T
 from revlens.operators import topics as L
 from revlens.operators.joins import broadcast_if_small
+from revlens.operators.merged import merged_text
 from revlens.plans import oracle as O
 from revlens.plans import params as PR
 from revlens.plans import views as V
@@ -385,6 +386,21 @@ def q_txt_merge_reviews(spark, d):
     return text_merged(spark, d)
 
 
+@register("txt_merged_text", f"""
+  SELECT BusinessID, CAST(before + i AS BIGINT) AS chunk, CAST(length(t) AS INTEGER) AS n_chars, md5(t) AS text_md5
+  FROM (SELECT BusinessID, before, i, substr(whole, CAST(i * {PR.CHUNK_CHARS} + 1 AS BIGINT), {PR.CHUNK_CHARS}) AS t
+        FROM (SELECT *, unnest(range(pieces)) AS i FROM (
+          SELECT *, coalesce(sum(pieces) OVER (PARTITION BY BusinessID ORDER BY part
+                                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+          FROM (SELECT *, CAST(ceil(length(whole) / {PR.CHUNK_CHARS}) AS BIGINT) AS pieces FROM (
+            SELECT BusinessID, part, CASE WHEN row_number() OVER (PARTITION BY BusinessID ORDER BY part) = 1 THEN '' ELSE ' ' END
+                   || joined AS whole FROM merged_parts)))))""")
+def q_txt_merged_text(spark, d):
+    """Chunks of each business's one text, as digests."""
+    t = merged_text(text_merged(spark, d), PR.CHUNK_CHARS)
+    return t.select("BusinessID", "chunk", F.length("text").alias("n_chars"), F.md5("text").alias("text_md5"))
+
+
 @register("txt_tfidf", """
   SELECT BusinessID, term, tf, round(idf, 9) AS idf, round(tf * idf, 9) AS tfidf
   FROM term_freqs JOIN term_idfs USING (term)""")

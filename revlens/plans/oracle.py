@@ -309,6 +309,14 @@ STOP_WORDS = "(" + ", ".join(_q(w) for w in X.STOP_WORDS) + ")"
 CTES["merged_reviews"] = f"""
   SELECT DISTINCT r.BusinessID, r.Review, b.Name AS BusinessName, b.BusinessStars
   FROM text_reviews r JOIN text_businesses b ON r.BusinessID = b.BusinessID WHERE b.City = '{PR.TEXT_CITY}'"""
+CTES["merged_parts"] = f"""
+  SELECT BusinessID, part, string_agg(Review, ' ' ORDER BY h, Review) AS joined FROM (
+    SELECT BusinessID, Review, h, (h * parts) >> 32 AS part FROM (
+      SELECT BusinessID, Review, CAST('0x' || substr(md5(Review), 1, 8) AS BIGINT) AS h FROM merged_reviews
+      WHERE Review IS NOT NULL)
+    JOIN (SELECT BusinessID, CAST(greatest(ceil(sum(length(Review) + 1) / {PR.CHUNK_CHARS}), 1) AS BIGINT) AS parts
+          FROM merged_reviews WHERE Review IS NOT NULL GROUP BY BusinessID) USING (BusinessID))
+  GROUP BY BusinessID, part"""
 CTES["term_freqs"] = f"""
   SELECT BusinessID, term, count(*) AS tf FROM (
     SELECT BusinessID, unnest(list_filter(regexp_extract_all(lower(Review), '\\w+'),

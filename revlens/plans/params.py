@@ -24,6 +24,7 @@ N_USERS = 50
 TOP_N = 10
 AS_OF_DATE = "2024-06-30"    # the reference's current_date, fixed for reproducibility
 GROUP_COLUMNS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+CHUNK_CHARS = 20_000         # characters of a chunk of a merged text
 LDA_K = 6
 LDA_SEED = 123
 SPLIT_SEED = 42

@@ -35,7 +35,7 @@ def _planted(seed=1, n=30, k=2):
 @pytest.fixture(scope="module")
 def fitted(spark):
     rows = spark.createDataFrame(_planted(), ROWS)
-    return rows, *L.fit_topics(rows, k=2, seed=4, max_iter=10)
+    return rows, *L.fit_topics(rows, k=2, seed=4, max_iter=10, check_every=1)
 
 
 def test_bound_never_falls(fitted):
