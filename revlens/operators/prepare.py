@@ -15,9 +15,9 @@ from revlens import schemas
 from revlens.functions import attributes as A
 from revlens.functions import dates as D
 from revlens.functions import text as X
-from revlens.operators.joins import take_bounded
 
-# Spark's own ceiling for pivot values (spark.sql.pivotMaxValues).
+# Most columns of a pivot (Spark's own ceiling, spark.sql.pivotMaxValues); more
+# names become one map column.
 PIVOT_MAX_VALUES = 10_000
 
 
@@ -49,28 +49,40 @@ def category_rows(business: DataFrame) -> DataFrame:
     return e.select("BusinessID", F.upper(F.trim("c")).alias("Category"), F.lit(True).alias("Served"))
 
 
-def pivot_values(df: DataFrame, col: str, max_values: int = PIVOT_MAX_VALUES) -> list[str]:
-    """Sorted distinct values of ``col``: the column set of a pivot.
-
-    Computed once (a distinct with map-side combine) and refused beyond
-    ``max_values``, instead of letting ``pivot`` run its own extra job."""
-    rows = take_bounded(df.select(col).where(F.col(col).isNotNull()).distinct(), max_values)
-    return sorted(r[0] for r in rows)
+def pivot_values(df: DataFrame, col: str, max_values: int = PIVOT_MAX_VALUES) -> list[str] | None:
+    """Sorted distinct values of ``col``, the column set of a pivot; None if there
+    are more than ``max_values``. Computed once (a distinct with map-side combine),
+    instead of letting ``pivot`` run its own extra job."""
+    rows = df.select(col).where(F.col(col).isNotNull()).distinct().limit(max_values + 1).collect()
+    return sorted(r[0] for r in rows) if len(rows) <= max_values else None
 
 
 def _pivot_wide(rows: DataFrame, key: str, value: str, agg, prefix: str,
-                values: list[str] | None) -> DataFrame:
+                values: list[str] | None, max_values: int) -> DataFrame:
     k = rows.select("BusinessID", X.sanitize_name(F.col(key)).alias("_k"), value)
     if values is None:
-        values = pivot_values(k, "_k")
+        values = pivot_values(k, "_k", max_values)
+    if values is None:
+        return _as_map(k, value, agg, prefix.rstrip("_"))
     w = k.groupBy("BusinessID").pivot("_k", values).agg(agg(value))
     return w.select("BusinessID", *[F.col(f"`{v}`").alias(prefix + v) for v in values])
 
 
-def category_wide(cat_rows: DataFrame, values: list[str] | None = None) -> DataFrame:
+def _as_map(rows: DataFrame, value: str, agg, name: str) -> DataFrame:
+    """One row per business with a map from each of its own names to the aggregated
+    value: the pivot of any number of names, without the cells of other businesses'
+    names. A business's names are as many as its own rows."""
+    each = rows.groupBy("BusinessID", "_k").agg(agg(value).alias("_v"))
+    entry = F.when(F.col("_k").isNotNull(), F.struct("_k", "_v"))  # collect_list leaves nulls out
+    return each.groupBy("BusinessID").agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias(name))
+
+
+def category_wide(cat_rows: DataFrame, values: list[str] | None = None,
+                  max_values: int = PIVOT_MAX_VALUES) -> DataFrame:
     """Boolean CAT_<name> column per category; names are sanitised before the
-    pivot so two raw spellings of one name fall into one column."""
-    return _pivot_wide(cat_rows, "Category", "Served", F.max, "CAT_", values)
+    pivot so two raw spellings of one name fall into one column. Of more than
+    ``max_values`` names, one column CAT: a map from each of the business's names."""
+    return _pivot_wide(cat_rows, "Category", "Served", F.max, "CAT_", values, max_values)
 
 
 def attribute_rows(business: DataFrame, struct_col: str = "Attributes") -> DataFrame:
@@ -79,8 +91,11 @@ def attribute_rows(business: DataFrame, struct_col: str = "Attributes") -> DataF
     return e.select("BusinessID", F.col("e.key").alias("attr_key"), F.col("e.val").alias("attr_val"))
 
 
-def attribute_wide(attr_rows: DataFrame, values: list[str] | None = None) -> DataFrame:
-    return _pivot_wide(attr_rows, "attr_key", "attr_val", F.max, "ATTR_", values)
+def attribute_wide(attr_rows: DataFrame, values: list[str] | None = None,
+                   max_values: int = PIVOT_MAX_VALUES) -> DataFrame:
+    """ATTR_<key> column per attribute; of more than ``max_values`` keys, one map
+    column ATTR (see :func:`category_wide`)."""
+    return _pivot_wide(attr_rows, "attr_key", "attr_val", F.max, "ATTR_", values, max_values)
 
 
 def business_wide(business: DataFrame, cat_wide: DataFrame, attr_wide: DataFrame) -> DataFrame:
@@ -99,6 +114,11 @@ def checkin_explode(checkin_raw: DataFrame, business: DataFrame) -> DataFrame:
     return e.where(F.col("t") != "").select("BusinessID", D.parse_time(F.trim("t")).alias("CheckinDate"))
 
 
+def record_reasons(parsed: DataFrame) -> DataFrame:
+    """Number of records by reason (see sources.io.parse_records), ``good`` for none."""
+    return parsed.groupBy(F.coalesce("reason", F.lit("good")).alias("reason")).agg(F.count(F.lit(1)).alias("records"))
+
+
 def review_clean(review_raw: DataFrame, business: DataFrame) -> DataFrame:
     """Reviews of valid businesses with text, votes and stars in [0, 5]."""
     r = review_raw.where(

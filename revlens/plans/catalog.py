@@ -24,7 +24,8 @@ from revlens.operators.merged import merged_text
 from revlens.plans import oracle as O
 from revlens.plans import params as PR
 from revlens.plans import views as V
-from revlens.sources.io import load_model, persist_cut, save_model, stored, write_staged
+from revlens.schemas import REVIEW_RAW
+from revlens.sources.io import load_model, parse_records, persist_cut, save_model, stored, write_staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -137,6 +138,16 @@ def q_etl_review_clean(spark, d):
     return reviews(spark, d)
 
 
+@register("etl_review_quarantine", """
+  SELECT reason, count(*) AS records FROM (
+    SELECT CASE WHEN o % 101 = 0 THEN 'not JSON' WHEN o % 103 = 0 AND stars IS NOT NULL THEN 'wrong type' ELSE 'good' END AS reason
+    FROM (SELECT CAST(split_part(review_id, '-', 1) AS BIGINT) AS o, stars FROM review_raw))
+  GROUP BY reason""")
+def q_etl_review_quarantine(spark, d):
+    """Review lines by what becomes of them: all are parsed, none is lost."""
+    return P.record_reasons(parse_records(V.review_lines(spark, d), REVIEW_RAW))
+
+
 @register("etl_user_valid", "SELECT * FROM users")
 def q_etl_user_valid(spark, d):
     return users(spark, d)

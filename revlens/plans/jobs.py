@@ -12,7 +12,8 @@ are flags (``--help``); their defaults are those of the analyses this library
 reproduces.
 
 ``etl`` reads the raw JSON files (provinces, business, checkin, review,
-user) and writes the clean tables as Parquet; the other jobs read those.
+user) and writes the clean tables as Parquet; the other jobs read those. Lines
+that are no JSON or do not fit go to the table ``quarantine``, with the reason.
 Each clean table is written before the next step reads it, so the written
 table is the lineage cut: a lost executor later costs a re-read, not a
 re-run of the whole ETL.
@@ -21,8 +22,10 @@ re-run of the whole ETL.
 from __future__ import annotations
 
 import argparse
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from revlens import schemas
 from revlens.operators import geo as G
@@ -68,10 +71,18 @@ def _business_schema(spark: SparkSession, path: str):
 
 def etl(spark: SparkSession, input_dir: str, out_dir: str, fmt: str = "parquet") -> dict[str, str]:
     src = {k: f"{input_dir}/{v}" for k, v in RAW_FILES.items()}
-    dst = {k: f"{out_dir}/{k}" for k in CLEAN + ["provinces"]}
-    prov = io.read_json(spark, src["provinces"], schemas.PROVINCE_RAW)
+    dst = {k: f"{out_dir}/{k}" for k in CLEAN + ["provinces", "quarantine"]}
+    start, bad = len(io.cut_folders()), []
+
+    def raw(name, schema):
+        """Good records of an input; the others go to the quarantine."""
+        good, rest, _ = io.read_json_checked(spark, src[name], schema)
+        bad.append(rest.select(F.lit(name).alias("input"), "file", "reason", "record"))
+        return good
+
+    prov = raw("provinces", schemas.PROVINCE_RAW)
     io.write_table(prov, dst["provinces"], fmt)
-    braw = io.read_json(spark, src["business"], _business_schema(spark, src["business"]))
+    braw = raw("business", _business_schema(spark, src["business"]))
     io.write_table(P.business_clean(braw, spark.read.format(fmt).load(dst["provinces"])), dst["business"], fmt)
     business = spark.read.format(fmt).load(dst["business"])
     cats = P.category_rows(business)
@@ -82,15 +93,17 @@ def etl(spark: SparkSession, input_dir: str, out_dir: str, fmt: str = "parquet")
     attrs = spark.read.format(fmt).load(dst["attributes"])
     io.write_table(P.business_wide(business, P.category_wide(cats), P.attribute_wide(attrs)),
                    dst["business_wide"], fmt)
-    chk = io.read_json(spark, src["checkin"], schemas.CHECKIN_RAW)
+    chk = raw("checkin", schemas.CHECKIN_RAW)
     io.write_table(P.checkin_explode(chk, business), dst["checkins"], fmt)
-    rev = io.read_json(spark, src["review"], schemas.REVIEW_RAW)
+    rev = raw("review", schemas.REVIEW_RAW)
     io.write_table(P.review_clean(rev, business), dst["reviews"], fmt)
     reviews = spark.read.format(fmt).load(dst["reviews"])
-    usr = io.read_json(spark, src["user"], schemas.USER_RAW)
+    usr = raw("user", schemas.USER_RAW)
     io.write_table(P.user_valid(usr, reviews), dst["users"], fmt)
     io.write_table(P.user_friends(usr, reviews), dst["user_friends"], fmt)
     io.write_table(P.user_elites(usr, reviews), dst["user_elites"], fmt)
+    io.write_table(reduce(DataFrame.unionByName, bad), dst["quarantine"], fmt)
+    io.release_cuts(spark, start)
     return dst
 
 

@@ -107,6 +107,17 @@ def review_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def review_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw reviews as JSON lines (file, record), some of them broken: those of
+    order numbers divisible by 101 are cut in half, of 103 have words for stars."""
+    r = review_raw(spark, sf_dir)
+    line = F.to_json(F.struct(*r.columns))
+    order = F.split_part("review_id", F.lit("-"), F.lit(1)).cast("long")
+    record = (F.when(order % 101 == 0, F.left(line, (F.length(line) / 2).cast("int")))
+              .when(order % 103 == 0, F.regexp_replace(line, r'"stars":[0-9.]+', '"stars":"many"')).otherwise(line))
+    return r.select(F.lit("reviews").alias("file"), record.alias("record"))
+
+
 def user_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     o = table(spark, sf_dir, "orders")

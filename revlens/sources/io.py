@@ -30,6 +30,53 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType | None = None
     return r.json(path)
 
 
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, record) of every line of text that is not blank."""
+    t = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("record"))
+    return t.where(F.trim("record") != "")
+
+
+def parse_records(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """``lines`` (file, record) with the record parsed by ``schema`` (struct r) and
+    the reason why it cannot be used, null for a good one: ``not JSON``, or ``wrong
+    type`` where a value does not fit its column. Nothing is left out."""
+    whole = T.StructType([*schema.fields, T.StructField("_bad", T.StringType())])
+    parsed = lines.select("file", "record", F.from_json("record", whole, {
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("_r"))
+    readable = F.try_parse_json("record")
+    reason = F.when(readable.isNull() | ~F.startswith(F.ltrim("record"), F.lit("{")), "not JSON").when(
+        F.col("_r").isNull() | F.col("_r._bad").isNotNull(), "wrong type")
+    good = F.struct(*[F.col("_r")[f.name].alias(f.name) for f in schema.fields])
+    return parsed.select("file", "record", good.alias("r"), reason.alias("reason"))
+
+
+def read_json_checked(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame, dict]:
+    """JSON lines as (good records, quarantine (file, record, reason), counts).
+
+    The lines are parsed and written once, parted into good and bad; both results
+    read that table. ``counts``: lines, good, quarantined; good and quarantined
+    make up the lines (else the read is refused)."""
+    lines = read_lines(spark, path)
+    seen = Observation("lines-" + uuid.uuid4().hex)
+    parsed = parse_records(lines, schema).withColumn("ok", F.col("reason").isNull())
+    parsed = parsed.withColumn("record", F.when(~F.col("ok"), F.col("record"))).observe(seen, F.count(F.lit(1)).alias("n"))
+    path = shared_dir(spark, f"cut/records-{uuid.uuid4().hex}")
+    parsed.write.partitionBy("ok").parquet(path)
+    _cuts.append(path)
+    whole = T.StructType([T.StructField("file", T.StringType()), T.StructField("record", T.StringType()),
+                          T.StructField("r", schema), T.StructField("reason", T.StringType()),
+                          T.StructField("ok", T.BooleanType())])
+    table = spark.read.schema(whole).parquet(path)
+    good, bad = table.where("ok").select("r.*"), table.where("NOT ok").select("file", "record", "reason")
+    counts = {"lines": seen.get["n"], "good": good.count(), "quarantined": bad.count()}
+    held = counts["good"] + counts["quarantined"]
+    if held != counts["lines"]:  # a task that ran twice is observed twice
+        counts["lines"] = lines.count()
+    if held != counts["lines"]:
+        raise OSError(f"{path}: {counts} do not add up")
+    return good, bad, counts
+
+
 def read_parquet(spark: SparkSession, path: str, spread: bool = False) -> DataFrame:
     """Parquet scan. With ``spread``, an input of fewer bytes than one scan
     split per core is dealt round-robin over the cores before the row-level

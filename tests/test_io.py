@@ -117,3 +117,21 @@ def test_derived_folders_follow_their_inputs(spark, tmp_path):
     assert io.stored(spark, "unit", [src], 1) == (path, True)
     io.write_staged(spark.range(4), src)
     assert io.stored(spark, "unit", [src], 1)[1] is False
+
+
+def test_quarantine_of_malformed_lines(spark, tmp_path):
+    good = [{"review_id": f"r{i}", "stars": 4.5, "cool": i, "text": "a\nb"} for i in range(20)] + [{"review_id": None}, {}]
+    lines = [json.dumps(r) for r in good]
+    broken = ['{"review_id": "x", "sta', "no json at all", '[1, 2]', '"text"', "7"]
+    wrong = ['{"review_id": "y", "stars": "many"}', '{"review_id": "z", "cool": [1]}', '{"review_id": "w", "cool": 1.5}']
+    for name, part in (("a.json", lines[:10] + broken), ("b.json", lines[10:] + ["", "   "] + wrong)):
+        (tmp_path / name).write_text("\n".join(part) + "\n")
+    ok, bad, counts = io.read_json_checked(spark, str(tmp_path), schemas.REVIEW_RAW)
+    assert counts == {"lines": 30, "good": 22, "quarantined": 8}
+    assert ok.schema == schemas.REVIEW_RAW and sorted(r.cool for r in ok.collect() if r.cool is not None) == list(range(20))
+    got = {r.record: (os.path.basename(r.file), r.reason) for r in bad.collect()}
+    assert got == {**{x: ("a.json", "not JSON") for x in broken}, **{x: ("b.json", "wrong type") for x in wrong}}
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "e.json").write_text("")
+    assert io.read_json_checked(spark, str(tmp_path / "none"), schemas.REVIEW_RAW)[2] == {
+        "lines": 0, "good": 0, "quarantined": 0}

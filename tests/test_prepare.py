@@ -113,3 +113,18 @@ def test_postcode_filter(spark):
     pc = spark.createDataFrame([("M1A", "Not assigned", "x"), ("M1B", "B", "Not assigned"),
                                 ("M1C", "B", "N")], "Postcode string, Borough string, Neighbourhood string")
     assert [r.Postcode for r in P.postcode_filter(pc).collect()] == ["M1C"]
+
+
+def test_pivot_of_many_names_is_a_map(spark):
+    """50,000 names: every business with every one of its names, no error."""
+    rows = spark.range(60_000).selectExpr("concat('b', CAST(id % 700 AS STRING)) AS BusinessID",
+                                          "concat('n ', CAST(id % 50000 AS STRING)) AS Category", "true AS Served")
+    rows = rows.unionByName(spark.createDataFrame([("none", None, True)], rows.schema))
+    wide = P.category_wide(rows)
+    assert wide.columns == ["BusinessID", "CAT"]
+    got = {r.BusinessID: r.CAT for r in wide.collect()}
+    assert len(got) == 701 and got["none"] == {} and sum(map(len, got.values())) == rows.distinct().count() - 1
+    assert got["b5"]["n5"] is True and got["b5"]["n705"] is True
+    few = rows.where("BusinessID IN ('b1', 'none')")
+    assert set(P.category_wide(few).columns) == {"BusinessID", *("CAT_" + k for k in got["b1"])}
+    assert P.category_wide(few, max_values=3).columns == ["BusinessID", "CAT"]
