@@ -15,10 +15,9 @@ with every business sends at most N rows per map task.
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import Imputer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from revlens.sources.io import persist_cut
@@ -79,23 +78,44 @@ def _numbers(rows: DataFrame) -> DataFrame:
     return rows.withColumns({c: F.col(c).cast("double") for c in FEATURES if c in rows.columns})
 
 
-def train_eval(rows: DataFrame, seed: int = 42, weights=(0.75, 0.25), **gbt):
-    """Fit on a seeded 75 % split; r2 and rmse on all rows of the rest.
+#: Share of the rows that a model is trained on.
+TRAIN_SHARE = 0.75
 
-    The rows are written to the shared folder first: ``randomSplit`` samples
-    each split from the same parent, and a parent recomputed through shuffles
-    may come back in another order, which would let rows fall into both splits
-    or neither. A written table reads back identically (and survives lost
-    executors); it is also computed once instead of once per split."""
+
+def split_side(rows: DataFrame, seed: int = 42, share: float = TRAIN_SHARE) -> Column:
+    """Whether a row is for training: by the MD5 of the seed and the row's business,
+    user, day and stars. It is a property of the row alone, so a recomputed parent, in
+    whatever order, never moves a row between the sides; equal rows keep together."""
+    key = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("-"))
+                                               for c in ("BusinessID", "UserID", "ReviewDayOfYear")],
+                      F.coalesce(F.col("ReviewStars").cast("int").cast("string"), F.lit("-")))
+    return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long") % 10_000 < int(share * 10_000)
+
+
+def regression_metrics(pred: DataFrame, label: str = "ReviewStars", prediction: str = "prediction") -> DataFrame:
+    """One row (n, r2, rmse) from sums over a table of predictions, combined
+    map-side. Rows without label or prediction do not count; r2 is null where all
+    labels are equal."""
+    y, p = F.col(label).cast("double"), F.col(prediction).cast("double")
+    t = pred.where(y.isNotNull() & p.isNotNull())
+    t = t.agg(F.count(F.lit(1)).alias("n"), F.sum((y - p) * (y - p)).alias("sse"), F.sum(y).alias("s"),
+              F.sum(y * y).alias("ss"))
+    spread = F.col("ss") - F.col("s") * F.col("s") / F.col("n")
+    return t.select("n", (1 - F.col("sse") / F.when(spread > 0, spread)).alias("r2"),
+                    F.sqrt(F.col("sse") / F.col("n")).alias("rmse"))
+
+
+def train_eval(rows: DataFrame, seed: int = 42, share: float = TRAIN_SHARE, **gbt):
+    """Fit on the training side of the split; r2 and rmse on all rows of the rest.
+    The rows are written once, so both sides and every iteration read them back."""
     rows = persist_cut(_numbers(rows), rows.sparkSession, "rec-train-rows")
-    train, test = (x.persist() for x in rows.randomSplit(list(weights), seed))
+    side = split_side(rows, seed, share)
+    train = rows.where(side).persist()
     model = fit(train, seed, **gbt)
-    pred = model.transform(test)
-    ev = RegressionEvaluator(predictionCol="prediction", labelCol="ReviewStars")
-    metrics = {m: ev.setMetricName(m).evaluate(pred) for m in ("r2", "rmse")}
+    m = regression_metrics(model.transform(rows.where(~side))).first()
     train.unpersist()
-    test.unpersist()
-    return model, metrics
+    return model, {"r2": m["r2"] if m["r2"] is not None else float("nan"),
+                   "rmse": m["rmse"] if m["rmse"] is not None else float("nan")}
 
 
 def sample_users(users: DataFrame, n_users: int) -> DataFrame:

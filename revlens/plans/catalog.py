@@ -505,6 +505,26 @@ def q_rec_train_eval(spark, d):
     return spark.createDataFrame([(float(m["r2"]), float(m["rmse"]))], "r2 double, rmse double")
 
 
+@register("rec_eval_fixed", f"""
+  SELECT train, n, round(1 - sse / (ss - sum_y * sum_y / n), 9) AS r2, round(sqrt(sse / n), 9) AS rmse FROM (
+    SELECT train, count(*) AS n, sum((y - p) * (y - p)) AS sse, sum(y) AS sum_y, sum(y * y) AS ss FROM (
+      SELECT CAST('0x' || substr(md5(concat_ws('|', '{PR.SPLIT_SEED}', r.BusinessID, r.UserID,
+                    CAST(dayofyear(r.Date) AS VARCHAR), CAST(CAST(r.ReviewStars AS INTEGER) AS VARCHAR))), 1, 8) AS BIGINT)
+               % 10000 < 7500 AS train,
+             CAST(r.ReviewStars AS DOUBLE) AS y, u.AverageStars + 3.0::DOUBLE * (s.avg_pos - s.avg_neg) AS p
+      FROM reviews r JOIN users u ON r.UserID = u.UserID
+      JOIN rec_sentiment s ON r.BusinessID = s.BusinessID WHERE s.ZipCode IS NOT NULL)
+    WHERE y IS NOT NULL AND p IS NOT NULL GROUP BY train)""")
+def q_rec_eval_fixed(spark, d):
+    """Size, r2 and rmse of the fixed score on both sides of the split."""
+    rows = R.fixed_score(persist_cut(rec_features(spark, d), spark, "rec-rows"))
+    rows = rows.withColumn("train", R.split_side(rows, PR.SPLIT_SEED))
+    sides = [R.regression_metrics(rows.where(F.col("train") == side), prediction="PredictedReviewStar").select(
+        F.lit(side).alias("train"), "n", F.round("r2", 9).alias("r2"), F.round("rmse", 9).alias("rmse"))
+        for side in (True, False)]
+    return sides[0].unionByName(sides[1])
+
+
 @register("rec_candidates", "SELECT * FROM rec_cand")
 def q_rec_candidates(spark, d):
     return rec_candidates(spark, d)

@@ -86,3 +86,27 @@ def test_many_neighbourhoods_and_missing_numbers_train(spark):
         "0.1D AS AverageNegative", "0.5D AS AverageNeutral", "0.4D AS AveragePositive", "0.3D AS AverageComposite")
     model = R.fit(rows, max_iter=1, max_depth=2)
     assert model.transform(rows.withColumn("Longitude", rows.Latitude * None)).count() == 600
+
+
+def test_split_is_a_property_of_the_row(spark):
+    rows = spark.range(4000).selectExpr("concat('b', id % 37) AS BusinessID", "concat('u', id) AS UserID",
+                                        "CAST(id % 365 AS INT) AS ReviewDayOfYear", "CAST(id % 5 AS DOUBLE) AS ReviewStars")
+
+    def sides(d, seed=1):
+        return {r.UserID: r.side for r in d.withColumn("side", R.split_side(d, seed)).collect()}
+    a = sides(rows)
+    assert a == sides(rows.repartition(7).orderBy("ReviewStars")) and a != sides(rows, 2)
+    assert 0.72 < sum(a.values()) / len(a) < 0.78
+    nulls = rows.selectExpr("BusinessID", "CAST(NULL AS STRING) AS UserID", "CAST(NULL AS INT) AS ReviewDayOfYear",
+                            "CAST(NULL AS DOUBLE) AS ReviewStars").limit(3)
+    assert None not in sides(nulls).values()
+
+
+def test_metrics_are_those_of_the_evaluator(spark):
+    from pyspark.ml.evaluation import RegressionEvaluator
+    d = spark.range(500).selectExpr("CAST(id % 5 AS DOUBLE) AS ReviewStars", "id % 7 * 0.5D AS prediction")
+    m = R.regression_metrics(d).first()
+    ev = RegressionEvaluator(predictionCol="prediction", labelCol="ReviewStars")
+    assert m.n == 500 and all(abs(m[k] - ev.setMetricName(k).evaluate(d)) < 1e-9 for k in ("r2", "rmse"))
+    assert R.regression_metrics(d.where("ReviewStars = 1")).first().r2 is None
+    assert tuple(R.regression_metrics(d.limit(0)).first()) == (0, None, None)
