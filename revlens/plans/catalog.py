@@ -21,6 +21,7 @@ from revlens.operators import text as T
 from revlens.operators import topics as L
 from revlens.operators.joins import broadcast_if_small
 from revlens.operators.merged import merged_text
+from revlens.operators.suggest import top_for_all
 from revlens.plans import oracle as O
 from revlens.plans import params as PR
 from revlens.plans import views as V
@@ -551,3 +552,21 @@ def q_rec_top10_model(spark, d):
     if not there:
         _train(spark, d)
     return R.top_n(R.predict(load_model(path), rec_candidates(spark, d)), PR.TOP_N)
+
+
+@register("rec_top10_all", f"""
+  SELECT UserID, BusinessID, FinalStar, "rank" FROM (
+    SELECT *, CAST(row_number() OVER (PARTITION BY UserID ORDER BY FinalStar DESC, BusinessID) AS INTEGER) AS "rank"
+    FROM (SELECT u.UserID, s.BusinessID,
+                 least(greatest(u.AverageStars + 3.0::DOUBLE * (s.avg_pos - s.avg_neg), 0.0::DOUBLE), 5.0::DOUBLE) AS FinalStar
+          FROM users u CROSS JOIN rec_sentiment s
+          WHERE s.ZipCode IS NOT NULL AND NOT EXISTS (
+            SELECT 1 FROM reviews r WHERE r.BusinessID = s.BusinessID AND r.UserID = u.UserID)))
+  WHERE "rank" <= {PR.TOP_N}""")
+def q_rec_top10_all(spark, d):
+    """The ten best businesses by the fixed score for every user."""
+    r, u, s = rec_inputs(spark, d)
+    users = persist_cut(u.select("UserID", F.col("AverageStars").cast("double").alias("value")), spark, "rec-users")
+    lean = F.lit(3.0) * (F.col("avg_pos") - F.col("avg_neg"))
+    biz = persist_cut(s.where("ZipCode IS NOT NULL").select("BusinessID", lean.alias("value")), spark, "rec-lean")
+    return top_for_all(users, r, biz, PR.TOP_N)[0]

@@ -43,7 +43,7 @@ def test_contract():
     q, o = C.QUERIES, C.ORACLE
     assert set(o) <= set(q) <= set(E.queries())
     assert set(q) - set(o) == ML_KEYS
-    assert len(q) == 49
+    assert len(q) == 50
 
 
 def test_entry(spark):
