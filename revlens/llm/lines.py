@@ -68,15 +68,17 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = 10, site: str = "source
     docs = docs.drop("n_lines", "n_removed")
     d = docs.select("doc_id", "text", F.col(site).cast("string").alias("site"))
     known = persist_cut(boilerplate(d, min_sites), spark, "boilerplate")
+    taken = {c.lower() for c in docs.columns}
+    places = next(n for n in ("gone_places" + "_" * k for k in range(len(taken) + 1)) if n not in taken)
     gone = (_lines(d).where("doc_id IS NOT NULL").join(known, ["h1", "h2"]).groupBy(F.col("doc_id").alias("gone_id"))
-            .agg(F.collect_set("place").alias("gone_places")))
+            .agg(F.collect_set("place").alias(places)))
     all_lines = "split(text, '\\n')"
     worded = f"cast(size(filter({all_lines}, x -> NOT ({N.is_blank('x')}))) as bigint)"
-    kept = F.expr("CASE WHEN gone_places IS NULL THEN text ELSE " + N.let(
-        "l", all_lines, "array_join(transform(array_except(sequence(0, size(l) - 1), gone_places), i -> l[i]), '\\n')")
+    kept = F.expr(f"CASE WHEN {places} IS NULL THEN text ELSE " + N.let(
+        "l", all_lines, f"array_join(transform(array_except(sequence(0, size(l) - 1), {places}), i -> l[i]), '\\n')")
         + " END")
     cut = docs.join(gone, docs["doc_id"] == gone["gone_id"], "left")
     return cut.select(
         *[kept.alias("text") if c == "text" else docs[c] for c in docs.columns],
         F.expr(f"CASE WHEN text IS NULL THEN 0L ELSE {worded} END").alias("n_lines"),
-        F.expr("coalesce(cast(size(gone_places) as bigint), 0L)").alias("n_removed"))
+        F.expr(f"coalesce(cast(size({places}) as bigint), 0L)").alias("n_removed"))

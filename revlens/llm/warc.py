@@ -95,7 +95,8 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
 
     Captures of equal time are ordered by record_id. Responses without URL,
     readable date or status 200 answer nothing. Rows with a null record_id are
-    ignored.
+    ignored. Rows that repeat a record_id (a file read twice) are copies of it: one
+    row comes back for each revisit row, whatever the copies of responses.
     """
     spark = records.sparkSession
     r = records.where("record_id IS NOT NULL").select(
@@ -107,9 +108,10 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     known = r.where("url IS NOT NULL AND at IS NOT NULL")
     latest = persist_cut(_latest(known.select("record_id", "url", "at", revisit.alias("revisit"), full.alias("full"))
                                  .where("revisit OR full")), spark, "revisits")
-    asked = r.where(revisit).select("record_id", "http_headers").join(latest, "record_id", "left")
+    asked = r.where(revisit).select("record_id", "http_headers").join(
+        latest.dropDuplicates(["record_id"]), "record_id", "left")
     stored = r.where(full).select(F.col("record_id").alias("response_id"), F.col("http_headers").alias("stored"),
-                                  "payload").join(latest.select("response_id").distinct(), "response_id", "left_semi")
+                                  "payload").join(latest.select("response_id").distinct(), "response_id", "left_semi").dropDuplicates(["response_id"])
     both = asked.join(stored, "response_id", "left").select(
         "*", F.expr(fields("http_headers")).alias("new"), F.expr(fields("stored")).alias("old"))
     return both.select("record_id", "canonical_url", "response_id", _outcome().alias("outcome"),

@@ -170,3 +170,22 @@ def test_fields_far_down_a_head_are_seen(spark):
     assert (r.outcome, r.payload) == ("resolved", "body")
     lines = r.http_headers.split("\r\n")
     assert len(lines) == 100_004 and "x-100000: 100000" in lines and lines[-2:] == ['etag: "e"', "age: 2"]
+
+
+def test_revisits_given_twice(spark):
+    """A file read twice: one row for each revisit row, further columns ignored."""
+    rows = [(1, "response", "http://a.org/", "2024-01-01T00:00:00Z", 'HTTP/1.1 200 OK\r\nETag: "e"', "body"),
+            (2, "revisit", "http://a.org/", "2024-01-02T00:00:00Z", 'HTTP/1.1 304 Not Modified\r\nETag: "e"', None)] * 2
+    d = spark.createDataFrame(rows, REC).selectExpr("*", "'x' AS url", "1 AS at", "2 AS response_id")
+    got = resolve_revisits(d).collect()
+    assert [(r.record_id, r.response_id, r.outcome, r.payload) for r in got] == [(2, 1, "resolved", "body")] * 2
+    assert resolve_revisits(d.limit(0)).collect() == []
+
+
+def test_lines_beside_columns_of_like_names(spark):
+    rows = [(i, f"s{i}", "common line\nown " + str(i), "x", "y", i) for i in range(3)]
+    d = spark.createDataFrame(rows, "doc_id long, source string, text string, gone_places string, Gone_Places_ string, gone_id long")
+    out = remove_boilerplate(d, 2)
+    assert out.columns == [*d.columns, "n_lines", "n_removed"]
+    assert sorted((r.doc_id, r.text, r.gone_places, r.n_removed) for r in out.collect()) == [
+        (i, f"own {i}", "x", 1) for i in range(3)]
