@@ -126,7 +126,8 @@ def tfidf_table(merged: DataFrame, language: str = "english") -> DataFrame:
     """(BusinessID, term, tf, idf, tfidf) of the merged documents, every term
     (txt_tfidf)."""
     docs = merged.agg(F.count_distinct("BusinessID").alias("m")).scalar()
-    return tfidf(term_counts(merged, language), docs)
+    # Written: the weights read the counts twice, which must not split the texts twice.
+    return tfidf(persist_cut(term_counts(merged, language), merged.sparkSession, "term-counts"), docs)
 
 
 def tfidf(tf: DataFrame, n_docs) -> DataFrame:

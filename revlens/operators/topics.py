@@ -7,11 +7,13 @@ each group (a rating segment) is fitted on its own, all groups in the same jobs.
 * The state is two tables: k variational parameters of each (group, term) and of
   each document. Neither passes through the driver, nor is any vocabulary cut; the
   driver sees k totals and one bound a group.
-* An iteration joins the rows with both tables, shares each weight among the
-  topics, and sums the shares by term and by document in one pass (grouping sets,
-  combined map-side). The sums are written, so a lost executor costs one iteration.
-* Digamma and log-gamma are arithmetic column expressions, so the whole step stays
-  in generated code; k parameters are k columns.
+* The rows are dealt by (group, term) and sorted once. An iteration deals the terms'
+  parameters alike, joins the rows with both tables, shares each weight among the
+  topics, and sums the shares by document (combined map-side) and by term (in place:
+  the rows are not shuffled again). The sums are written, so a lost executor costs one
+  iteration and its part of the dealt rows.
+* Digamma and log-gamma are arithmetic column expressions, of one row of a term or
+  document each, never of a row of the join; k parameters are k columns.
 
 The bound never falls from one iteration to the next (tested); the fit stops when
 it rises by less than ``tolerance`` of itself.
@@ -29,6 +31,8 @@ from pyspark.sql import functions as F
 from revlens.sources.io import persist_cut
 
 _SHIFT = 6
+#: Rows (group, doc, term) of a partition, at most about.
+ROWS_PER_PART = 1_000_000
 
 
 def digamma(x: Column) -> Column:
@@ -57,10 +61,17 @@ def _sum(cols) -> Column:
     return reduce(add, [F.col(c) if isinstance(c, str) else c for c in cols])
 
 
+def _digammas(names: list[str]) -> Column:
+    """Array of the digammas of some columns. A lambda over an array keeps the generated
+    code short: a method with k digammas written out is too long for the JIT compiler,
+    and each row then costs some fifty times as much."""
+    return F.transform(F.array(*names), digamma)
+
+
 def _theta(mixtures: DataFrame, k: int) -> DataFrame:
     """(doc, t0..): exponentials of the expected log shares of a document's topics."""
-    m = mixtures.withColumn("_all", digamma(_sum(_all(k, "g"))))
-    return m.select("doc", *[F.exp(digamma(F.col(f"g{i}")) - F.col("_all")).alias(f"t{i}") for i in range(k)])
+    m = mixtures.withColumn("_all", _sum(_all(k, "g"))).select("doc", _digammas([*_all(k, "g"), "_all"]).alias("_d"))
+    return m.select("doc", *[F.exp(F.col("_d")[i] - F.col("_d")[k]).alias(f"t{i}") for i in range(k)])
 
 
 def _totals(model: DataFrame, k: int) -> DataFrame:
@@ -71,41 +82,54 @@ def _totals(model: DataFrame, k: int) -> DataFrame:
 
 def _beta(model: DataFrame, k: int) -> DataFrame:
     """(group, term, b0..): exponentials of the expected log weights of a term."""
-    m = model.join(F.broadcast(_totals(model, k)), "group")  # one row a group
-    return m.select("group", "term", *[F.exp(digamma(F.col(f"l{i}")) - digamma(F.col(f"s{i}"))).alias(f"b{i}")
-                                       for i in range(k)])
+    totals = _totals(model, k).select("group", _digammas(_all(k, "s")).alias("_s"))
+    m = model.join(F.broadcast(totals), "group")  # one row a group
+    m = m.select("group", "term", _digammas(_all(k, "l")).alias("_l"), "_s")
+    return m.select("group", "term", *[F.exp(F.col("_l")[i] - F.col("_s")[i]).alias(f"b{i}") for i in range(k)])
+
+
+def _dealt(rows: DataFrame, parts: int) -> DataFrame:
+    """``rows`` held by (group, term), in order: two tables so dealt are joined, and
+    summed by term, without a shuffle."""
+    return rows.repartition(parts, "group", "term").sortWithinPartitions("group", "term").persist()
 
 
 def _shared(rows: DataFrame, beta: DataFrame, theta: DataFrame, k: int) -> DataFrame:
     """Rows with their weight shared among the topics (p0..) and their part of the
     bound (fit)."""
     j = rows.join(beta, ["group", "term"]).join(theta, "doc")
-    j = j.withColumns({f"p{i}": F.col(f"b{i}") * F.col(f"t{i}") for i in range(k)}).withColumn("_z", _sum(_all(k, "p")))
-    return j.select("group", "doc", "term", *[(F.col("weight") * F.col(f"p{i}") / F.col("_z")).alias(f"p{i}")
-                                              for i in range(k)], (F.col("weight") * F.log("_z")).alias("fit"))
+    return _shares(j, k, "group", "doc", "term", (F.col("weight") * F.log("_z")).alias("fit"))
+
+
+def _shares(joined: DataFrame, k: int, *others) -> DataFrame:
+    """The weight of each row shared among the topics (p0..) by its b0.. and t0..;
+    ``_z`` is the sum of their products."""
+    j = joined.withColumns({f"p{i}": F.col(f"b{i}") * F.col(f"t{i}") for i in range(k)}).withColumn(
+        "_z", _sum(_all(k, "p"))).withColumn("_r", F.col("weight") / F.col("_z"))
+    return j.select(*others, *[(F.col("_r") * F.col(f"p{i}")).alias(f"p{i}") for i in range(k)])
 
 
 def _bound(docs: DataFrame, mixtures: DataFrame, model: DataFrame, k: int, alpha: float, eta: float) -> float:
     """Variational bound at the parameters ``mixtures`` and ``model``; ``docs``
     holds the fit of each document under them. One job."""
+    def added(parts):
+        return F.aggregate(parts, F.lit(0.0), add)
+
     m = mixtures.withColumn("_s", _sum(_all(k, "g"))).withColumn("_d", digamma(F.col("_s")))
-    doc = F.lit(math.lgamma(k * alpha) - k * math.lgamma(alpha)) - lgamma(F.col("_s")) + _sum(
-        [lgamma(F.col(f"g{i}")) + (alpha - F.col(f"g{i}")) * (digamma(F.col(f"g{i}")) - F.col("_d")) for i in range(k)])
+    doc = F.lit(math.lgamma(k * alpha) - k * math.lgamma(alpha)) - lgamma(F.col("_s")) + added(
+        F.transform(F.array(*_all(k, "g")), lambda g: lgamma(g) + (alpha - g) * (digamma(g) - F.col("_d"))))
     totals = _totals(model, k)
-    term = _sum([lgamma(F.col(f"l{i}")) - F.lit(math.lgamma(eta))
-                 + (eta - F.col(f"l{i}")) * (digamma(F.col(f"l{i}")) - digamma(F.col(f"s{i}"))) for i in range(k)])
+    term = added(F.zip_with(F.array(*_all(k, "l")), F.col("_s"), lambda x, s: lgamma(x) - F.lit(math.lgamma(eta))
+                            + (eta - x) * (digamma(x) - s)))
     whole = _sum([lgamma(F.col("n_terms") * F.lit(float(eta))) - lgamma(F.col(f"s{i}")) for i in range(k)])
+    each = model.join(F.broadcast(totals.select("group", _digammas(_all(k, "s")).alias("_s"))), "group")
     parts = [docs.agg(F.sum("fit").alias("x")), m.agg(F.sum(doc).alias("x")),
-             model.join(F.broadcast(totals), "group").agg(F.sum(term).alias("x")), totals.agg(F.sum(whole).alias("x"))]
+             each.agg(F.sum(term).alias("x")), totals.agg(F.sum(whole).alias("x"))]
     return reduce(DataFrame.unionByName, parts).agg(F.sum("x")).first()[0] or 0.0
 
 
-def _stepped(rows: DataFrame, beta: DataFrame, mixtures: DataFrame, k: int, name: str) -> DataFrame:
-    sums = [F.sum(f"p{i}").alias(f"p{i}") for i in range(k)] + [F.sum("fit").alias("fit")]
-    got = _shared(rows, beta, _theta(mixtures, k), k)
-    got = got.groupingSets([[F.col("group"), F.col("term")], [F.col("doc")]], "group", "term", "doc").agg(
-        *sums, F.grouping("doc").alias("_terms"))
-    return persist_cut(got, rows.sparkSession, name)
+def _sums(k: int, *others: str) -> list[Column]:
+    return [F.sum(c).alias(c) for c in (*_all(k, "p"), *others)]
 
 
 def _start(rows: DataFrame, k: int, seed: int) -> DataFrame:
@@ -133,23 +157,29 @@ def fit_topics(rows: DataFrame, k: int = 6, seed: int = 123, max_iter: int = 20,
                        spark, "topic-rows")
 
     def model_of(terms):
-        return terms.select("group", "term", *[(F.col(f"p{i}") + eta).alias(f"l{i}") for i in range(k)])
+        return persist_cut(terms.select("group", "term", *[(F.col(f"p{i}") + eta).alias(f"l{i}") for i in range(k)]),
+                           spark, "topic-model")
 
-    model = persist_cut(model_of(_start(rows, k, seed)), spark, "topic-model")
+    model = model_of(_start(rows, k, seed))
     flat = rows.groupBy("doc").agg(F.sum("weight").alias("w"))
     mixtures = persist_cut(flat.select("doc", *[(F.col("w") / k + alpha).alias(f"g{i}") for i in range(k)]),
                            spark, "topic-mixtures")
+    parts = max(spark.sparkContext.defaultParallelism, rows.count() // ROWS_PER_PART + 1)
+    rows = _dealt(rows, parts)
     bounds: list[float] = []
     for i in range(max_iter):
-        step = _stepped(rows, _beta(model, k), mixtures, k, "topic-step")
-        terms, docs = step.where("_terms = 1"), step.where("_terms = 0")
+        beta = _dealt(_beta(model, k), parts)
+        got = _shared(rows, beta, _theta(mixtures, k), k)
+        docs = persist_cut(got.groupBy("doc").agg(*_sums(k, "fit")), spark, "topic-docs")
         if i % check_every == 0:
             bounds.append(_bound(docs, mixtures, model, k, alpha, eta))
-        model = model_of(terms)
+        model = model_of(got.groupBy("group", "term").agg(*_sums(k)))
+        beta.unpersist()
         mixtures = docs.select("doc", *[(F.col(f"p{i}") + alpha).alias(f"g{i}") for i in range(k)])
         if i % check_every == 0 and len(bounds) > 1 and bounds[-1] - bounds[-2] <= tolerance * abs(bounds[-1]):
             break
-    return persist_cut(model, spark, "topic-model"), bounds
+    rows.unpersist()
+    return model, bounds
 
 
 def columns(k: int) -> str:
@@ -170,18 +200,14 @@ def infer(model: DataFrame, rows: DataFrame, iterations: int = 10, alpha: float
     k = n_topics(model)
     alpha = alpha or 1 / k
     spark = model.sparkSession
-    beta = persist_cut(_beta(model, k), spark, "topic-beta")
     known = persist_cut(rows.where("weight > 0").select("group", "doc", "term", F.col("weight").cast("double"))
-                        .join(beta, ["group", "term"]), spark, "topic-known")
+                        .join(_beta(model, k), ["group", "term"]).drop("group", "term"), spark, "topic-known")
     mixtures = known.groupBy("doc").agg(F.sum("weight").alias("w")).select(
         "doc", *[(F.col("w") / k + alpha).alias(f"g{i}") for i in range(k)])
     for _ in range(iterations):
-        j = known.join(_theta(mixtures, k), "doc")
-        j = j.withColumns({f"p{i}": F.col(f"b{i}") * F.col(f"t{i}") for i in range(k)}).withColumn(
-            "_z", _sum(_all(k, "p")))
-        mixtures = persist_cut(j.groupBy("doc").agg(*[
-            (F.sum(F.col("weight") * F.col(f"p{i}") / F.col("_z")) + alpha).alias(f"g{i}") for i in range(k)]),
-            spark, "topic-mixtures")
+        got = _shares(known.join(_theta(mixtures, k), "doc"), k, "doc").groupBy("doc").agg(*_sums(k))
+        mixtures = persist_cut(got.select("doc", *[(F.col(f"p{i}") + alpha).alias(f"g{i}") for i in range(k)]),
+                               spark, "topic-mixtures")
     whole = _sum(_all(k, "g"))
     return mixtures.select("doc", F.array(*[F.col(f"g{i}") / whole for i in range(k)]).alias("topics"))
 

@@ -79,3 +79,19 @@ def test_no_rows(spark):
     model, bounds = L.fit_topics(spark.createDataFrame([], ROWS), k=2, max_iter=2)
     assert model.collect() == [] and L.top_terms(model).collect() == []
     assert L.infer(model, spark.createDataFrame([("a", "d", "t", 1.0)], ROWS), iterations=1).collect() == []
+
+
+def test_rows_are_not_shuffled_again(spark):
+    """Terms are summed where their dealt rows lie; only documents are exchanged."""
+    rows = spark.createDataFrame(_planted(3, 8), ROWS)
+    model = rows.select("group", "term").distinct().withColumns({"l0": F.lit(1.0), "l1": F.lit(2.0)})
+    theta = L._theta(rows.select("doc").distinct().withColumns({"g0": F.lit(1.0), "g1": F.lit(3.0)}), 2)
+    dealt, beta = L._dealt(rows, 4), L._dealt(L._beta(model, 2), 4)
+    assert dealt.count() == rows.count() and beta.count() == model.count()
+    got = L._shared(dealt, beta, F.broadcast(theta), 2).groupBy("group", "term").agg(*L._sums(2))
+    plan = got._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")[0]
+    assert "hashpartitioning(group" not in plan
+    whole = L._shared(rows, L._beta(model, 2), theta, 2).agg(F.sum("p0"), F.sum("p1")).first()
+    assert abs(sum(whole) - rows.agg(F.sum("weight")).first()[0]) < 1e-6
+    assert abs(got.agg(F.sum("p0")).first()[0] - whole[0]) < 1e-9
+    dealt.unpersist(), beta.unpersist()
