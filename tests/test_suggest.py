@@ -54,3 +54,11 @@ def test_pairs_scored_do_not_grow_with_users_times_businesses(spark, n_biz):
                               spark.createDataFrame(biz, "BusinessID string, value double"), 3, block=8)
     assert sorted(tuple(r) for r in got.collect()) == _plain(users, reviews, biz, 3)
     assert report["scored"] < 10 * n_biz  # 60 * n_biz pairs in all
+
+
+def test_user_listed_twice(spark):
+    u = spark.createDataFrame([("u", 1.0), ("u", 1.0), ("v", 2.0)], "UserID string, value double")
+    b = spark.createDataFrame([("a", 1.0), ("b", 0.5)], "BusinessID string, value double")
+    r = spark.createDataFrame([], "UserID string, BusinessID string")
+    got = sorted(tuple(x) for x in top_for_all(u, r, b, 2)[0].collect())
+    assert got == [("u", "a", 2.0, 1)] * 2 + [("u", "a", 2.0, 2)] * 2 + [("v", "a", 3.0, 1), ("v", "b", 2.5, 2)]
