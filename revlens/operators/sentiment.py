@@ -175,7 +175,8 @@ def sentiment(df: DataFrame, text_col: str = "text_ascii", lexicon=None,
     """
     lexicon = LEXICON if lexicon is None else lexicon
     if not isinstance(lexicon, dict):
-        lexicon = _token_table(df.sparkSession, lexicon)
+        # Written: it is counted here and may be joined, which must not learn it twice.
+        lexicon = persist_cut(_token_table(df.sparkSession, lexicon), df.sparkSession, "lexicon")
         few = lexicon.limit(inline_max + 1).collect()
         lexicon = {r["token"]: r["valence"] for r in few} if len(few) <= inline_max else lexicon
     keep = [c for c in df.columns if c != text_col]
@@ -293,18 +294,19 @@ def _scores(t: DataFrame, keep: list[str]) -> DataFrame:
 
 def _joined(df: DataFrame, text_col: str, keep: list[str], lexicon) -> DataFrame:
     """Rows with their words (see :func:`_word`), valences by a join with a lexicon
-    too large for the plan. Rows get an id of their own in a written table; words
-    come back in text order."""
+    too large for the plan. Rows get an id of their own in a written table, which
+    holds their words as well; of the exploded words only row, place and valence are
+    shuffled, and the valences come back in text order."""
     spark = df.sparkSession
-    lex = broadcast_if_small(persist_cut(_token_table(spark, lexicon), spark, "lexicon"))
-    rows = persist_cut(df.withColumn("_row", F.monotonically_increasing_id()), spark, "sentiment-rows")
-    t = rows.select("_row", tokens(F.col(text_col)).alias("_t"))
-    t = t.select("_row", "_t", _mixed(F.col("_t")).alias("_mixed"))  # once a row, below the explode
-    t = t.select("_row", "_mixed", F.posexplode("_t").alias("_at", "_w"))
-    t = t.withColumn("token", F.lower("_w")).join(lex, "token", "left")
-    t = t.select("_row", "_at", _word(F.col("_w"), F.col("valence"), F.col("_mixed")).alias("_i"))
-    words = t.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("_at", "_i"))).alias("_o"))
-    back = rows.join(words, "_row", "left")
-    empty = F.expr("array()").cast("array<struct<v:double,b:double,k:int,kind:boolean,of:boolean>>")
-    return back.select(*keep, F.col(text_col).alias("_x"), F.when(F.col(text_col).isNotNull(), F.coalesce(
-        F.col("_o._i"), empty)).alias("_w"))
+    if isinstance(lexicon, dict):
+        lexicon = persist_cut(_token_table(spark, lexicon), spark, "lexicon")
+    rows = df.withColumn("_row", F.monotonically_increasing_id()).withColumn("_t", tokens(F.col(text_col)))
+    rows = persist_cut(rows.withColumn("_mixed", _mixed(F.col("_t"))), spark, "sentiment-rows")
+    t = rows.select("_row", F.posexplode("_t").alias("_at", "_w")).select(
+        "_row", "_at", F.lower("_w").alias("token"))
+    t = t.join(broadcast_if_small(lexicon), "token", "left").select("_row", "_at", "valence")
+    found = t.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("_at", "valence"))).alias("_o"))
+    back = rows.join(found, "_row", "left")
+    none = F.expr("CAST(array() AS array<struct<_at:int,valence:double>>)")
+    return back.select(*keep, F.col(text_col).alias("_x"), F.zip_with(
+        "_t", F.coalesce("_o", none), lambda w, o: _word(w, o["valence"], F.col("_mixed"))).alias("_w"))

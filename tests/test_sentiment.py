@@ -128,3 +128,15 @@ def test_read_and_learn_lexicons(spark, tmp_path):
     assert got["cold"] == (round(math.log((1 / h) / (7 / low)), 2), 0, 6) and "rare" not in got
     assert got["soup"] == (round(math.log((9 / h) / (7 / low)), 2), 8, 6)
     assert S.rated_lexicon(d.limit(0)).collect() == []
+
+
+def test_large_lexicon_is_learnt_once(spark, monkeypatch):
+    """It is written before it is counted; the join reads the written table."""
+    made = []
+    table = S._token_table
+    monkeypatch.setattr(S, "_token_table", lambda *a: made.append(1) or table(*a))
+    lex = spark.createDataFrame([("good", 1.9), ("bad", -2.5), ("fine", 0.8)], "token string, valence double")
+    df = spark.createDataFrame([(1, "not good, but fine"), (2, ""), (3, None)], "i int, text_ascii string")
+    got = sorted(tuple(r) for r in S.sentiment(df, "text_ascii", lex, inline_max=1).collect())
+    assert made == [1]
+    assert got == sorted(tuple(r) for r in S.sentiment(df, "text_ascii", lex).collect())
