@@ -78,8 +78,9 @@ def _numbers(rows: DataFrame) -> DataFrame:
     return rows.withColumns({c: F.col(c).cast("double") for c in FEATURES if c in rows.columns})
 
 
-#: Share of the rows that a model is trained on.
+#: Share of the rows that a model is trained on; columns that tell a row's side.
 TRAIN_SHARE = 0.75
+SPLIT_BY = ("BusinessID", "UserID", "ReviewDayOfYear", "ReviewStars")
 
 
 def split_side(rows: DataFrame, seed: int = 42, share: float = TRAIN_SHARE) -> Column:
@@ -107,13 +108,14 @@ def regression_metrics(pred: DataFrame, label: str = "ReviewStars", prediction:
 
 def train_eval(rows: DataFrame, seed: int = 42, share: float = TRAIN_SHARE, **gbt):
     """Fit on the training side of the split; r2 and rmse on all rows of the rest.
-    The rows are written once, so both sides and every iteration read them back."""
-    rows = persist_cut(_numbers(rows), rows.sparkSession, "rec-train-rows")
+    What fit, split and evaluation read is written once, so both sides and every pass
+    read it back; the executors' memory is left to the booster's own points."""
+    need = {*FEATURES, *SPLIT_BY, "BusinessNeighborhood"}
+    rows = _numbers(rows).select(*[c for c in rows.columns if c in need])
+    rows = persist_cut(rows, rows.sparkSession, "rec-train-rows")
     side = split_side(rows, seed, share)
-    train = rows.where(side).persist()
-    model = fit(train, seed, **gbt)
+    model = fit(rows.where(side), seed, **gbt)
     m = regression_metrics(model.transform(rows.where(~side))).first()
-    train.unpersist()
     return model, {"r2": m["r2"] if m["r2"] is not None else float("nan"),
                    "rmse": m["rmse"] if m["rmse"] is not None else float("nan")}
 

@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from revlens.operators import recommend as R
 from revlens.session import shared_dir
 from revlens.sources.io import load_model, save_model
@@ -110,3 +112,19 @@ def test_metrics_are_those_of_the_evaluator(spark):
     assert m.n == 500 and all(abs(m[k] - ev.setMetricName(k).evaluate(d)) < 1e-9 for k in ("r2", "rmse"))
     assert R.regression_metrics(d.where("ReviewStars = 1")).first().r2 is None
     assert tuple(R.regression_metrics(d.limit(0)).first()) == (0, None, None)
+
+
+def test_training_rows_hold_what_is_read(spark, monkeypatch):
+    """Names and codes that neither fit, split nor evaluation read are not written."""
+    class Stop(Exception):
+        pass
+
+    def cut(df, *_):
+        raise Stop(df.columns)
+    monkeypatch.setattr(R, "persist_cut", cut)
+    rows = spark.createDataFrame([("b", "u", "name", "n", 4.0, *[1.0] * 9)],
+                                 ["BusinessID", "UserID", "BusinessName", "BusinessNeighborhood", "ReviewStars",
+                                  *[c for c in R.FEATURES if c != "BusinessNeighborhoodIndexed"]])
+    with pytest.raises(Stop) as e:
+        R.train_eval(rows)
+    assert set(e.value.args[0]) == set(rows.columns) - {"BusinessName"}
