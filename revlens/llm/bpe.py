@@ -2,9 +2,11 @@
 
 Tier one resolves whole pre-tokens that are in the vocabulary through a minimal
 perfect hash (hash and displace): one hash, one displacement, one comparison.
-Tier two merges the rest: the pre-token's bytes form a linked list, and a heap
-gives the pair of lowest rank, leftmost first, until no pair is in the
-vocabulary. Ranks, pattern and results are those of the public rank files.
+Tier two merges the rest: the pre-token's bytes form a linked list, and the pair
+of lowest rank, leftmost first, is merged until no pair is in the vocabulary. A
+heap gives that pair in long pre-tokens and in lengths of which few are new;
+short ones of equal length stand side by side as columns of arrays, which make
+each step together. Ranks, pattern and results are those of the public rank files.
 
 The vocabulary is read once on the driver (its size does not depend on the
 data) and broadcast. Texts are independent: nothing is shuffled.
@@ -13,6 +15,7 @@ data) and broadcast. Texts are independent: nothing is shuffled.
 from __future__ import annotations
 
 import base64
+from collections import defaultdict
 from hashlib import sha256
 from heapq import heapify, heappop, heappush
 from itertools import chain
@@ -32,11 +35,15 @@ from revlens.llm import textops as X
 REMEMBERED = 100_000
 REMEMBERED_CHARS = 4_000_000
 #: Text bytes after which a task hands on a batch.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
+#: Pre-tokens up to this many bytes are merged as columns, where at least ``FEW``
+#: of a length are new, ``COLUMNS`` at a time. Only time and memory depend on them.
+SHORT, FEW, COLUMNS = 32, 16, 1 << 12
 #: Displacements tried for a group of keys before the table takes another seed,
 #: and seeds tried.
 MOST_SHIFT, MOST_SEEDS = 1 << 16, 1000
 _MASK = (1 << 64) - 1
+_NEVER = (1 << 63) - 1
 
 
 class PerfectHash:
@@ -107,6 +114,9 @@ class Vocabulary:
             raise ValueError("a byte-level vocabulary holds every single byte")
         self.numbers = list(range(len(tokens)))  # one object for each id, however often it is remembered
         self.pairs = self._pairs()
+        #: The same pairs in ascending order, closed by one that no ids make.
+        self.pair_keys = np.sort(np.array([*self.pairs, _NEVER], np.int64))
+        self.pair_ids = np.array([self.pairs.get(k, -1) for k in self.pair_keys.tolist()], np.int64)
 
     def _pairs(self) -> dict[int, int]:
         """(left id << 32 | right id) -> id of every pair that merges: each way
@@ -116,6 +126,13 @@ class Vocabulary:
         return {ids[t[:k]] << 32 | ids[t[k:]]: i for i, t in enumerate(self.tokens)
                 for k in range(1, len(t)) if t[:k] in ids and t[k:] in ids}
 
+    def merged(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Id of what each pair of ids merges to, -1 for pairs that never merge
+        and where an id is -1."""
+        pair = left << 32 | right
+        at = np.searchsorted(self.pair_keys, pair)
+        return np.where(self.pair_keys[at] == pair, self.pair_ids[at], -1)
+
     @classmethod
     def read(cls, path: str, pattern: str) -> Vocabulary:
         """A rank file: base64 token, blank, rank; ranks count from 0."""
@@ -134,7 +151,7 @@ class Encoder:
         self.chars = 0
 
     def merge(self, word: bytes) -> tuple[int, ...]:
-        """Ids of a pre-token outside the vocabulary. Heap entries are rank and
+        """Ids of one pre-token outside the vocabulary. Heap entries are rank and
         position in one integer; ``rank`` tells which of them still hold."""
         pair, own = self.v.pairs.get, self.v.numbers
         ids = list(map(self.v.byte.__getitem__, word))
@@ -177,21 +194,80 @@ class Encoder:
                     rank[p] = -1
         return tuple([x for x in ids if x >= 0])
 
+    def merge_columns(self, words: list[bytes]) -> list[tuple[int, ...]]:
+        """``merge`` of many pre-tokens of one length, a column each. Row ``i``
+        belongs to the token that begins at byte ``i``; the last row, which is
+        also the one before the first, stands for no token."""
+        merged, length, columns = self.v.merged, len(words[0]), len(words)
+        shift = length.bit_length()
+        ids = np.full((length + 1, columns), -1, np.int64)
+        ids[:-1] = np.array(self.v.byte)[np.frombuffer(b"".join(words), np.uint8).reshape(columns, length).T]
+        row = np.arange(length + 1)[:, None]
+        after, before = np.repeat(row + 1, columns, 1), np.repeat(row - 1, columns, 1)
+
+        def entry(rank, i):
+            return np.where(rank >= 0, rank << shift | i, _NEVER)
+
+        entries = np.full((length + 1, columns), _NEVER)
+        entries[:-2] = entry(merged(ids[:-2], ids[1:-1]), row[:-2])
+        while True:
+            top = entries.min(axis=0)
+            c = np.flatnonzero(top != _NEVER)
+            if not len(c):
+                break
+            top = top[c]
+            r, i = top >> shift, top & (1 << shift) - 1
+            j, p = after[i, c], before[i, c]
+            k = after[j, c]
+            ids[i, c], ids[j, c], entries[j, c] = r, -1, _NEVER
+            after[i, c], before[k, c] = k, i
+            entries[i, c] = entry(merged(r, ids[k, c]), i)
+            entries[p, c] = entry(merged(ids[p, c], r), p)
+        ids = ids.T
+        flat = list(map(self.v.numbers.__getitem__, ids[ids >= 0].tolist()))
+        end = np.cumsum((ids >= 0).sum(axis=1)).tolist()
+        return [tuple(flat[a:b]) for a, b in zip([0, *end], end)]
+
+    def merge_all(self, words: list[bytes]) -> list[tuple[int, ...]]:
+        """``merge`` of every pre-token."""
+        out, lengths = [()] * len(words), defaultdict(list)
+        for i, w in enumerate(words):
+            lengths[len(w)].append(i)
+        for length, members in lengths.items():
+            if length > SHORT or len(members) < FEW:
+                for i in members:
+                    out[i] = self.merge(words[i])
+                continue
+            for a in range(0, len(members), COLUMNS):
+                block = members[a:a + COLUMNS]
+                for i, ids in zip(block, self.merge_columns([words[i] for i in block])):
+                    out[i] = ids
+        return out
+
     def encode(self, text: str) -> list[int]:
-        words = self.split(text)
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[list[int]]:
+        """Ids of each text; their new pre-tokens are merged together."""
+        split = [self.split(t) for t in texts]
         if len(self.memory) >= REMEMBERED or self.chars >= REMEMBERED_CHARS:
             # the words in use come back from the older one
             self.memory, self.older, self.chars = {}, self.memory, 0
         memory, older, find, tokens = self.memory, self.older.get, self.v.hash.get, self.v.numbers
-        for w in set(words).difference(memory):
+        rest = []
+        for w in set(chain.from_iterable(split)).difference(memory):
             ids = older(w)
             if ids is None:
-                b = w.encode()
-                i = find(b)
-                ids = (tokens[i],) if i >= 0 else self.merge(b)
+                i = find(w.encode())
+                if i < 0:
+                    rest.append(w)
+                    continue
+                ids = (tokens[i],)
             memory[w] = ids
             self.chars += len(w)
-        return list(chain.from_iterable(map(memory.__getitem__, words)))
+        memory.update(zip(rest, self.merge_all([w.encode() for w in rest])))
+        self.chars += sum(map(len, rest))
+        return [list(chain.from_iterable(map(memory.__getitem__, words))) for words in split]
 
 
 class Decoder:
@@ -217,7 +293,7 @@ def _encoded(batches, encoder):
         first = 0
         while first < len(texts):
             last = max(first + 1, int(np.searchsorted(size, size[first] + BATCH_BYTES, "right")) - 1)
-            ids = [encoder.encode(t or "") for t in texts.slice(first, last - first).to_pylist()]
+            ids = encoder.encode_all([t or "" for t in texts.slice(first, last - first).to_pylist()])
             yield batch.column("doc_id").slice(first, last - first), ids
             first = last
 

@@ -136,6 +136,42 @@ def test_small_memories_change_nothing(vocabulary, exact, monkeypatch):
         assert list(e.encode(t)) == exact.encode_ordinary(t)
 
 
+def _made_up(seed, n, letters="thenonrigs", sizes=range(4, 14)):
+    rng = random.Random(seed)
+    return ["".join(rng.choices(letters, k=rng.choice(sizes))) for _ in range(n)]
+
+
+def test_short_pretokens_are_merged_together(vocabulary, exact, monkeypatch):
+    alone = []
+    heap = bpe.Encoder.merge
+    monkeypatch.setattr(bpe.Encoder, "merge", lambda self, w: alone.append(w) or heap(self, w))
+    texts = ["", *(" ".join(_made_up(k, 300)) for k in range(20)), "x" * 500, "", "thshble onininger"]
+    got = bpe.Encoder(vocabulary).encode_all(texts)
+    assert got == [exact.encode_ordinary(t) for t in texts]
+    assert len(alone) < 100  # of some 6,000
+
+
+@pytest.mark.parametrize("own", [False, True])
+def test_columns_equal_the_heap(vocabulary, monkeypatch, own):
+    monkeypatch.setattr(bpe, "COLUMNS", 7)
+    rng = random.Random(3)
+    if own:  # ranks in no order: a merge may bring a pair of lower rank beside it
+        longer = sorted({w.encode() for w in _made_up(1, 3000, "abc", range(2, 9))})
+        rng.shuffle(longer)
+        vocabulary = bpe.Vocabulary(longer + [bytes([b]) for b in range(256)], public_tokenizers.PATTERN)
+    e = bpe.Encoder(vocabulary)
+    words = [w.encode() for w in _made_up(2, 2000, "abc", range(2, 40)) + _made_up(3, 2000) + ["é語" * 5, "a" * 32] * 20]
+    words += [rng.randbytes(k) for k in range(2, 40) for _ in range(20)]
+    assert e.merge_all(words) == [e.merge(w) for w in words]
+    assert e.merge_columns(words[:1]) == [e.merge(words[0])] and e.merge_all([]) == []
+
+
+def test_columns_where_nothing_merges():
+    e = bpe.Encoder(bpe.Vocabulary([bytes([b]) for b in range(256)], public_tokenizers.PATTERN))
+    words = [b"ab", b"\x00\xff"] * 10 + [b"abc"] * 20
+    assert e.merge_all(words) == [tuple(w) for w in words]
+
+
 # ---- line field ---------------------------------------------------------------------
 
 def _enumerate(score, stay):
