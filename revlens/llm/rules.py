@@ -33,22 +33,28 @@ SMOOTHING = 8.0
 SYMBOLS = "#*$%&|<>"
 
 
-_ONE = f"cast({{0}}[i] & {SLOTS - 1} as int)"
-_TWO = f"cast(xxhash64({{0}}[i], {{0}}[i + 1]) & {SLOTS - 1} as int)"
+def _hashed(docs: DataFrame, *more: Column) -> DataFrame:
+    """Columns ``more`` (which may use ``v``, a text's words) beside ``w`` and
+    ``p``, the hashes of its words and of its pairs of neighbouring words. Each
+    array is a column of its own: it is made once, and all but the lambdas over
+    it is compiled."""
+    worded = docs.withColumn("v", F.expr(N.words("text")))
+    return worded.select(*more, F.expr(N.hashes("v")).alias("w")).withColumn("p", F.expr(N.runs("w")))
 
 
-def _slots(w: str) -> str:
-    """Slots of the words and word pairs of an array of word hashes."""
-    one = f"transform(sequence(0, size({w}) - 1), i -> {_ONE.format(w)})"
-    two = f"transform(sequence(0, size({w}) - 2), i -> {_TWO.format(w)})"
-    return f"CASE WHEN size({w}) = 0 THEN array() WHEN size({w}) = 1 THEN {one} ELSE concat({one}, {two}) END"
+def _mean_weight() -> Column:
+    """Mean weight of the words ``w`` and word pairs ``p``, added in text order.
+    ``weights`` and ``n_grams`` are read once, so that the optimizer can put in
+    what they stand for: no row then holds the weights."""
+    def total(weights: Column) -> Column:
+        def weight(h: Column) -> Column:
+            return F.get(weights, h.bitwiseAND(F.lit(SLOTS - 1)))
 
+        return F.aggregate(F.arrays_zip(F.slice("w", 1, F.size("p")).alias("w"), "p"), F.lit(0.0),
+                           lambda a, x: a + weight(x["w"]) + weight(x["p"]),
+                           lambda a: a + weight(F.get("w", F.size("p"))))
 
-def _mean_weight(w: str) -> str:
-    """Mean weight of the words and word pairs, without listing them."""
-    pair = f"CASE WHEN i < size({w}) - 1 THEN weights[{_TWO.format(w)}] ELSE 0D END"
-    total = f"aggregate(sequence(0, size({w}) - 1), 0D, (a, i) -> a + weights[{_ONE.format(w)}] + {pair})"
-    return f"CASE WHEN size({w}) = 0 THEN 0D ELSE {total} / (2 * size({w}) - 1) END"
+    return F.coalesce(F.try_divide(F.transform(F.array("weights"), total)[0], "n_grams"), F.lit(0.0))
 
 
 def slot_weights(docs: DataFrame, trusted: DataFrame) -> DataFrame:
@@ -57,8 +63,9 @@ def slot_weights(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     ids = persist_cut(trusted.where("doc_id IS NOT NULL").select("doc_id").distinct(), spark, "trusted")
     ids, few = ids.withColumn("trusted", F.lit(True)), ids.count() <= BROADCAST_IDS
     marked = docs.select("doc_id", "text").join(F.broadcast(ids) if few else ids, "doc_id", "left")
-    slot = F.explode(F.expr(N.let("w", N.word_hashes("text"), _slots("w")))).alias("slot")
-    met = marked.select("trusted", slot).groupBy("slot").agg(F.count(F.lit(1)).alias("r"), F.count("trusted").alias("t"))
+    grams = _hashed(marked, F.col("trusted")).select("trusted", F.explode(F.concat("w", "p")).alias("h"))
+    slot = F.col("h").bitwiseAND(F.lit(SLOTS - 1)).cast("int").alias("slot")
+    met = grams.select("trusted", slot).groupBy("slot").agg(F.count(F.lit(1)).alias("r"), F.count("trusted").alias("t"))
     both = spark.range(SLOTS).select(F.col("id").cast("int").alias("slot")).join(met, "slot", "left").select(
         "slot", F.coalesce("r", F.lit(0)).alias("r"), F.coalesce("t", F.lit(0)).alias("t"))
     both = persist_cut(both, spark, "slots")
@@ -83,16 +90,18 @@ def quality_rules(docs: DataFrame, trusted: DataFrame, least: float = LEAST_SCOR
     weights = persist_cut(slot_weights(docs, trusted), docs.sparkSession, "weights").scalar()
     text = "coalesce(text, '')"
     lines = f"filter(split({text}, '\\n'), x -> NOT ({N.is_blank('x')}))"
-    w = docs.select(
-        "doc_id",
-        F.expr(N.word_hashes("text")).alias("w"),
-        F.expr(f"cast(char_length(translate({text}, {N.BLANKS}, '')) as bigint)").alias("word_chars"),
+    counts = ("word_chars", "n_symbols", "n_dup_lines")
+    rows = _hashed(
+        docs.select("doc_id", "text"), F.col("doc_id"),
+        F.expr("cast(char_length(concat_ws('', v)) as bigint)").alias("word_chars"),
         F.expr(N.count_chars(text, SYMBOLS)).alias("n_symbols"),
-        F.expr(N.let("l", lines, "cast(size(l) - size(array_distinct(l)) as bigint)")).alias("n_dup_lines"),
-        weights.alias("weights"))
-    rows = w.select("doc_id", F.size("w").cast("long").alias("n_words"), "word_chars", "n_symbols", "n_dup_lines",
-                    F.expr(N.repeated_words("w")).alias("n_repeat_words"),
-                    F.expr(_mean_weight("w")).alias("score"))
+        F.expr(N.let("l", lines, "cast(size(l) - size(array_distinct(l)) as bigint)")).alias("n_dup_lines"))
+    rows = rows.select("doc_id", F.size("w").cast("long").alias("n_words"), *counts, "w", "p",
+                       (F.size("w") + F.size("p")).alias("n_grams"), weights.alias("weights"))
+    counts = ("doc_id", "n_words", *counts, "score")
+    rows = rows.withColumn("score", _mean_weight()).select(*counts, F.expr(N.runs("p")).alias("q"))
+    rows = rows.select(*counts, F.expr(N.sorted_places("q")).alias("s"))
+    rows = rows.select(*counts, F.expr(N.covered("s")).alias("n_repeat_words"))
     failed: Column = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                        failed.alias("base_failed"), (~failed & (F.col("score") >= least)).alias("kept"), "score")

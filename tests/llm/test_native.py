@@ -33,6 +33,25 @@ def test_base_rules_equal_brute_force(spark):
         assert r.kept <= (not r.base_failed)
 
 
+def test_rules_hold_no_weights_in_rows_and_index_no_words(spark):
+    """65,536 weights copied for every row, and words read by index in lambdas, took half the time."""
+    d = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
+    plan = quality_rules(d, d)._jdf.queryExecution().executedPlan().toString()
+    assert " AS weights#" not in plan and "sequence(" not in plan
+
+
+def test_repeated_words_of_long_texts(spark):
+    """Windows found twice far apart, side by side and never, at lengths about powers of two."""
+    rng = random.Random(4)
+    texts = [" ".join(f"{i}.{k}" for k in range(n)) + f"\t{i}.0 {i}.1\r\n{i}.2 x" * (i % 3)
+             for i, n in enumerate((61, 62, 63, 64, 65, 66, 67, 4095, 4096, 4097))]
+    texts += [" ".join(str(rng.randrange(k)) for _ in range(20_000)) for k in (2, 20, 90, 10_000)]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in quality_rules(d, d.limit(0)).collect():
+        n, chars, _, _, rep = brute.base_rules(texts[r.doc_id])
+        assert (r.n_words, r.word_chars, r.n_repeat_words) == (n, chars, rep)
+
+
 def test_rules_reject_what_the_target_lacks(spark):
     rng = random.Random(2)
     good = [" ".join(f"w{rng.randrange(40)}" for _ in range(200)) for _ in range(40)]
